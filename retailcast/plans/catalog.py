@@ -1000,3 +1000,146 @@ def _(spark, sf):
     stats = t.groupBy(F.format_string("run-%04d-%02d", "year", "month").alias("mlflow_run_id")) \
         .agg(F.avg(F.col("units_sold").cast("double")).alias("label_mean"))
     return runs(spark, sf).join(stats, "mlflow_run_id").select("mlflow_run_id", "rmse", "label_mean")
+
+
+# =============================================================== W: monitoring (batch forms)
+
+from retailcast.operators import monitoring as W  # noqa: E402
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+WIN_SQL = """
+win AS (SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
+               event_type, avg(value) AS avg_value, count(*) AS n
+        FROM events GROUP BY time_bucket(INTERVAL '1 hour', ts), event_type)"""
+
+
+@plain("stream_window_avg", "WITH " + WIN_SQL + "\nSELECT * FROM win")
+def _(spark, sf):
+    return W.window_avg(_events(spark, sf))
+
+
+@plain("stream_alert", "WITH " + WIN_SQL + "\nSELECT *, 'above' AS alert FROM win WHERE avg_value > 100.0")
+def _(spark, sf):
+    return W.alerts(W.window_avg(_events(spark, sf)), 100.0)
+
+
+@plain("stream_anomaly_score", """
+WITH st AS (SELECT event_type, date_trunc('hour', ts) + INTERVAL '1 hour' AS b,
+                   avg(value) AS mean_prev, stddev_samp(value) AS std_prev
+            FROM events GROUP BY event_type, date_trunc('hour', ts))
+SELECT e.event_id, e.event_type, e.value, round(st.mean_prev, 9) AS mean_prev,
+       CASE WHEN st.std_prev = 0 THEN NULL ELSE (e.value - st.mean_prev) / st.std_prev END AS anomaly_score
+FROM events e LEFT JOIN st ON e.event_type = st.event_type AND date_trunc('hour', e.ts) = st.b""")
+def _(spark, sf):
+    return W.anomaly_score(_events(spark, sf))
+
+
+@plain("quarantine", """
+SELECT event_id,
+  CASE WHEN props IS NULL THEN 'missing_payload'
+       WHEN try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL THEN 'malformed_payload'
+       WHEN value IS NULL THEN 'missing_value' WHEN value < 0 THEN 'negative_value' ELSE 'valid' END AS status,
+  try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events""")
+def _(spark, sf):
+    return W.quarantine(_events(spark, sf))
+
+
+@q("apply_contract",
+   "SELECT record_id, " + ", ".join(f"coalesce(TRY_CAST({c} AS FLOAT), CAST(0.0 AS FLOAT)) AS {c}" for c in FEATURE_ORDER)
+   + ", 'v1' AS schema_version FROM test")
+def _(spark, sf):
+    return W.apply_contract(test_scored(spark, sf))
+
+
+@q("delayed_labels",
+   """SELECT count(*) AS n_predictions, count(l.units_sold) AS n_labeled,
+        sqrt(avg((p.prediction - l.units_sold) * (p.prediction - l.units_sold))) AS rmse_labeled
+      FROM (SELECT record_id, prediction FROM test) p
+      LEFT JOIN (SELECT record_id, units_sold FROM feat WHERE is_weekend = 0) l ON p.record_id = l.record_id""")
+def _(spark, sf):
+    preds = test_scored(spark, sf).select("record_id", "prediction")
+    late = feat(spark, sf).filter("is_weekend = 0")       # weekday labels have arrived
+    return W.delayed_labels(preds, late)
+
+
+def _psi_sql(features, base, cur):
+    edges = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS {c}"
+                      for c in features)
+    unp = lambda src: " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {src}" for c in features)
+    edge_rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS edges FROM e" for c in features)
+    return f"""
+e AS (SELECT {edges} FROM {base}),
+el AS ({edge_rows}),
+pbl AS ({unp(base)}), pcl AS ({unp(cur)}),
+bd AS (SELECT l.feature, ({" + ".join(f"CAST(el.edges[{i}] < l.v AS INTEGER)" for i in range(1, 10))}) AS bucket, count(*) AS c
+       FROM pbl l JOIN el USING (feature) WHERE l.v IS NOT NULL GROUP BY 1, 2),
+cd AS (SELECT l.feature, ({" + ".join(f"CAST(el.edges[{i}] < l.v AS INTEGER)" for i in range(1, 10))}) AS bucket, count(*) AS c
+       FROM pcl l JOIN el USING (feature) WHERE l.v IS NOT NULL GROUP BY 1, 2),
+bp AS (SELECT feature, bucket, c / sum(c) OVER (PARTITION BY feature) AS p FROM bd),
+cp AS (SELECT feature, bucket, c / sum(c) OVER (PARTITION BY feature) AS p FROM cd),
+psi AS (SELECT coalesce(bp.feature, cp.feature) AS feature,
+          sum((greatest(coalesce(cp.p, 0.0), 1e-6) - greatest(coalesce(bp.p, 0.0), 1e-6))
+              * ln(greatest(coalesce(cp.p, 0.0), 1e-6) / greatest(coalesce(bp.p, 0.0), 1e-6))) AS psi
+        FROM bp FULL JOIN cp ON bp.feature = cp.feature AND bp.bucket = cp.bucket GROUP BY 1)"""
+
+
+DRIFT_FEATURES = ["max_temp_c", "rainfall_mm", "base_price", "discount_pct", "final_price", "units_sold"]
+TRAIN_TEST = """,
+trn AS (SELECT * FROM scored WHERE split_type = 'train')"""
+
+
+@q("data_drift", "SELECT * FROM psi", extra=TRAIN_TEST.lstrip(",") + "," + _psi_sql(DRIFT_FEATURES, "trn", "test"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.psi(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), DRIFT_FEATURES)
+
+
+@q("prediction_drift", "SELECT * FROM psi",
+   extra=TRAIN_TEST.lstrip(",") + "," + _psi_sql(["prediction"], "trn", "test"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.psi(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), ["prediction"])
+
+
+@q("retrain_trigger",
+   "SELECT feature, psi, psi > 0.2 AS drifted, (max(CASE WHEN psi > 0.2 THEN 1 ELSE 0 END) OVER ()) = 1 AS retrain FROM psi",
+   extra=TRAIN_TEST.lstrip(",") + "," + _psi_sql(DRIFT_FEATURES, "trn", "test"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.retrain_trigger(W.psi(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), DRIFT_FEATURES))
+
+
+@q("bias_drift",
+   """SELECT year, month, dpl, dpl - lag(dpl) OVER (ORDER BY year, month) AS dpl_change FROM (
+        SELECT year, month,
+          CAST(count_if(is_weekend <> 1 AND high_demand = 1) AS DOUBLE) / nullif(count_if(is_weekend <> 1), 0)
+          - CAST(count_if(is_weekend = 1 AND high_demand = 1) AS DOUBLE) / nullif(count_if(is_weekend = 1), 0) AS dpl
+        FROM feat GROUP BY year, month)""", "feat")
+def _(spark, sf):
+    return W.bias_drift(feat(spark, sf))
+
+
+@q("rolling_monitor_window",
+   f"""SELECT {METRICS_SQL} FROM scored
+       WHERE CAST(date AS DATE) > (SELECT max(CAST(date AS DATE)) FROM scored) - INTERVAL 7 DAY
+         AND CAST(date AS DATE) <= (SELECT max(CAST(date AS DATE)) FROM scored)""")
+def _(spark, sf):
+    return E.regression_metrics(W.rolling_window(scored(spark, sf), 7))
+
+
+@q("prediction_sanity",
+   """SELECT avg(CASE WHEN coalesce(prediction >= 0, false) THEN 1.0 ELSE 0.0 END) AS non_negative,
+             avg(CASE WHEN prediction IS NOT NULL AND NOT isnan(prediction) THEN 1.0 ELSE 0.0 END) AS finite,
+             avg(CASE WHEN coalesce(prediction <= (SELECT 2 * max(units_sold) FROM scored), false) THEN 1.0 ELSE 0.0 END)
+               AS within_bound,
+             count(*) AS n FROM scored""")
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.prediction_sanity(s, upper=s.agg((F.max("units_sold") * 2).cast("double")).scalar())
