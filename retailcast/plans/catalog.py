@@ -1143,3 +1143,147 @@ def _(spark, sf):
 def _(spark, sf):
     s = scored(spark, sf)
     return W.prediction_sanity(s, upper=s.agg((F.max("units_sold") * 2).cast("double")).scalar())
+
+
+# =============================================================== M / E6 / X1–X3: model jobs
+
+from retailcast.operators import attribution as A  # noqa: E402
+from retailcast.operators import model as M  # noqa: E402
+
+# Boosting rounds for the registered queries: the training job's 250 rounds
+# are sequential Spark jobs; the registered checks use 20 (see README).
+GBT_ROUNDS = 20
+_MODELS: dict = {}
+
+
+def gbt_model_path(spark, sf) -> str:
+    key = (spark.sparkContext.applicationId, sf, GBT_ROUNDS)
+    if key not in _MODELS:
+        train = scored(spark, sf).filter("split_type = 'train'")
+        model = M.train_gbt(train, rounds=GBT_ROUNDS)
+        _MODELS[key] = M.save_model(model, shared_path(spark, f"models/gbt-{_uid()}"))
+    return _MODELS[key]
+
+
+@q("assemble_features")
+def _(spark, sf):
+    return M.assemble_features(test_scored(spark, sf)).select("record_id", "features")
+
+
+@q("train_gbt")
+def _(spark, sf):
+    path = gbt_model_path(spark, sf)
+    scored_gbt = M.batch_score(path, scored(spark, sf).drop("prediction"))
+    return E.regression_metrics(scored_gbt, by=["split_type"])
+
+
+def _curve(spark, sf):
+    from pyspark.ml.regression import GBTRegressionModel
+    model = GBTRegressionModel.load(gbt_model_path(spark, sf))
+    s = scored(spark, sf)
+    return M.learning_curve(spark, model, s.filter("split_type = 'train'"), s.filter("split_type = 'validation'"))
+
+
+@q("learning_curve")
+def _(spark, sf):
+    return _curve(spark, sf)
+
+
+@q("early_stopping")
+def _(spark, sf):
+    return M.early_stopping(_curve(spark, sf), patience=20)
+
+
+@q("hyperparameter_log",
+   f"SELECT split_type, 'baseline-store-weekday' AS run_id, 0 AS step, key, value FROM ("
+   f"SELECT split_type, 'n_rows' AS key, CAST(n_rows AS DOUBLE) AS value FROM m UNION ALL "
+   f"SELECT split_type, 'rmse', rmse FROM m UNION ALL SELECT split_type, 'mae', mae FROM m UNION ALL "
+   f"SELECT split_type, 'r2', r2 FROM m)",
+   extra=f"m AS (SELECT split_type, {METRICS_SQL} FROM scored GROUP BY split_type)")
+def _(spark, sf):
+    from retailcast.contract import GBT_PARAMS
+    _, long = M.hyperparameter_log("baseline-store-weekday", GBT_PARAMS,
+                                   E.regression_metrics(scored(spark, sf), by=["split_type"]))
+    return long.select("split_type", "run_id", F.col("step").cast("int").alias("step"), "key", "value")
+
+
+@q("batch_score")
+def _(spark, sf):
+    return M.batch_score(gbt_model_path(spark, sf), test_scored(spark, sf).drop("prediction")).select(
+        "record_id", "prediction")
+
+
+@q("tree_table")
+def _(spark, sf):
+    return M.tree_table(spark, gbt_model_path(spark, sf))
+
+
+REQUEST_SIZE = 50
+
+
+def _requests(spark, sf):
+    """Request payloads built from the test rows: 50 instances per request."""
+    t = test_scored(spark, sf).withColumn("request_id", F.floor(F.col("record_id") % 1000003 / 1).cast("bigint"))
+    return t
+
+
+@q("score_csv_requests")
+def _(spark, sf):
+    from retailcast.sources.sinks import export_csv_payload
+    t = test_scored(spark, sf)
+    req = t.select("record_id", export_csv_payload(t).columns[0] and
+                   F.concat_ws(",", *[F.col(c).cast("float").cast("string") for c in FEATURE_ORDER]).alias("value"))
+    return M.score_csv_requests(gbt_model_path(spark, sf), req).select("record_id", "prediction")
+
+
+def _json_requests(spark, sf, as_lists: bool):
+    t = test_scored(spark, sf)
+    # request id: rank block of 50 instances by record_id within each store —
+    # a bounded payload per request, built with a per-store window
+    from pyspark.sql import Window
+    w = Window.partitionBy("store_id").orderBy("record_id")
+    r = t.withColumn("_n", F.row_number().over(w) - 1).withColumn(
+        "request_id", F.col("store_id") * 1000000 + F.floor(F.col("_n") / REQUEST_SIZE))
+    inst = (F.array(*[F.col(c).cast("double") for c in FEATURE_ORDER]) if as_lists
+            else F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURE_ORDER]))
+    body = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct(F.col("_n"), inst.alias("i"))))
+                              .alias("x")))
+    g = r.groupBy("request_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", inst.alias("i")))),
+                                                lambda s: s["i"]).alias("instances"))
+    del body
+    return g.select("request_id", F.to_json(F.struct("instances")).alias("body"))
+
+
+@q("score_json_requests")
+def _(spark, sf):
+    return M.score_json_requests(gbt_model_path(spark, sf), _json_requests(spark, sf, False)).select(
+        "request_id", "pos", "prediction")
+
+
+@q("format_predictions")
+def _(spark, sf):
+    scoredj = M.score_json_requests(gbt_model_path(spark, sf), _json_requests(spark, sf, True))
+    return M.format_predictions(scoredj)
+
+
+def _shap(spark, sf):
+    from retailcast.operators.split import sample_cap
+    # the capped sample comes out of TakeOrdered as one partition; spread its
+    # (at most 300) rows so the attribution tasks run in parallel
+    sample = sample_cap(test_scored(spark, sf), 300).repartition(spark.sparkContext.defaultParallelism)
+    return A.shap_values(spark, sample, gbt_model_path(spark, sf))
+
+
+@q("shap_values")
+def _(spark, sf):
+    return _shap(spark, sf)
+
+
+@q("shap_importance")
+def _(spark, sf):
+    return A.shap_importance(_shap(spark, sf))
+
+
+@q("shap_topk")
+def _(spark, sf):
+    return A.shap_topk(A.shap_importance(_shap(spark, sf)), 20)
