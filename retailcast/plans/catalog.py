@@ -1287,3 +1287,51 @@ def _(spark, sf):
 @q("shap_topk")
 def _(spark, sf):
     return A.shap_topk(A.shap_importance(_shap(spark, sf)), 20)
+
+
+# =============================================================== W: streaming forms
+
+from retailcast.streaming import stream as ST  # noqa: E402
+
+
+def _event_stream(spark, sf):
+    # a glob names the single driver file; the file source lists matches per batch
+    return ST.read_stream(spark, f"{sf}/events.parque[t]", ST.EVENTS_SCHEMA)
+
+
+@plain("stream_window_avg_stream", "WITH " + WIN_SQL + "\nSELECT * FROM win")
+def _(spark, sf):
+    out = ST.run_available_now(ST.stream_window_avg(_event_stream(spark, sf)), f"window-avg-{_uid()}",
+                               mode="complete", batch_fn=ST.overwrite_batch)
+    return spark.read.parquet(out)
+
+
+@plain("stream_alert_stream", "WITH " + WIN_SQL + "\nSELECT *, 'above' AS alert FROM win WHERE avg_value > 100.0")
+def _(spark, sf):
+    out = ST.run_available_now(ST.stream_window_avg(_event_stream(spark, sf)), f"alerts-{_uid()}",
+                               mode="complete", batch_fn=ST.stream_alert_batch(100.0))
+    return spark.read.parquet(out)
+
+
+@plain("stream_anomaly_state", """
+SELECT event_id, event_type, value,
+  CASE WHEN count(*) OVER w >= 2 AND stddev_samp(value) OVER w > 0
+       THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w END AS anomaly_score
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def _(spark, sf):
+    out = ST.run_available_now(ST.stream_anomaly_state(_event_stream(spark, sf)), f"anomaly-{_uid()}")
+    return spark.read.parquet(out)
+
+
+@q("stream_score", "SELECT record_id, store_id, date, units_sold, prediction FROM test")
+def _(spark, sf):
+    f = feat(spark, sf)
+    train = f.filter("split_type = 'train'")
+    keys = E.baseline_fit(train)
+    gmean = train.agg(F.avg(F.col("units_sold").cast("double"))).first()[0]   # one number
+    src = session_table(spark, ("test_features", sf), lambda: f.filter("split_type = 'test'"))
+    files = src.inputFiles()[0].rsplit("/", 1)[0]
+    stream = ST.read_stream(spark, files, src.schema.simpleString()[7:-1].replace(":", " "))
+    out = ST.run_available_now(ST.stream_score(stream, keys, gmean), f"score-{_uid()}")
+    return spark.read.parquet(out).select("record_id", "store_id", "date", "units_sold", "prediction")
