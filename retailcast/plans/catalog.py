@@ -1335,3 +1335,9 @@ def _(spark, sf):
     stream = ST.read_stream(spark, files, src.schema.simpleString()[7:-1].replace(":", " "))
     out = ST.run_available_now(ST.stream_score(stream, keys, gmean), f"score-{_uid()}")
     return spark.read.parquet(out).select("record_id", "store_id", "date", "units_sold", "prediction")
+
+
+# single-metric names of the paired post-training rows
+for _name, _cols in (("bias_di", ["DI"]), ("bias_dcr", ["DCR"]), ("bias_ad", ["AD"]), ("bias_drr", ["DRR"])):
+    QUERIES[_name] = ((lambda cs: (lambda spark, sf: _ext(spark, sf).select(*cs)))(_cols),
+                      with_base("SELECT " + ", ".join(_cols) + " FROM ext", "scored", POST_SQL + "," + EXT_SQL))

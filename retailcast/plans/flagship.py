@@ -6,15 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailcast.functions.features import engineer
 from retailcast.functions.columns import safe_divide
-from retailcast.operators.evaluation import baseline_predict, metric_columns
-from retailcast.sources.tables import retail_daily
+from retailcast.operators.evaluation import metric_columns
 
 
 def scored_frame(spark: SparkSession, sf_dir: str, stores: int | None = None) -> DataFrame:
-    """27 engineered columns + ``prediction`` from the store x weekday baseline."""
-    return baseline_predict(engineer(retail_daily(spark, sf_dir, stores)))
+    """27 engineered columns + ``prediction`` from the store x weekday baseline.
+
+    The retail view and the feature table are written once to the shared
+    folder (lineitem is joined and aggregated once); every consumer reads the
+    stored tables."""
+    from retailcast.plans.base import scored
+    return scored(spark, sf_dir, stores)
 
 
 def flagship(spark: SparkSession, sf_dir: str, stores: int | None = None) -> DataFrame:
