@@ -21,7 +21,7 @@ from retailcast.operators import quality as Q
 from retailcast.operators import registry as G
 from retailcast.operators import split as P
 from retailcast.plans.base import feat, raw, scored, table, test_scored
-from retailcast.plans.oracle import with_base
+from retailcast.plans.oracle import bigint_counts, with_base
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -36,7 +36,7 @@ def q(name: str, sql: str | None = None, level: str = "scored", extra: str = "")
 def plain(name: str, sql: str | None):
     """Register a query whose oracle SQL needs no retail CTEs."""
     def deco(fn):
-        QUERIES[name] = (fn, sql)
+        QUERIES[name] = (fn, bigint_counts(sql) if sql else sql)
         return fn
     return deco
 
@@ -707,7 +707,8 @@ def _(spark, sf):
 
 
 @q("scan_inferred_csv",
-   "SELECT * REPLACE (CAST(date AS DATE) AS date, CAST(store_id AS INTEGER) AS store_id) FROM retail", "retail")
+   "SELECT * REPLACE (CAST(date AS DATE) AS date, CAST(store_id AS INTEGER) AS store_id, "
+   "CAST(units_sold AS INTEGER) AS units_sold) FROM retail", "retail")
 def _(spark, sf):
     return S.scan_inferred_csv(spark, retail_csv(spark, sf))
 

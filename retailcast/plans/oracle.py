@@ -65,6 +65,22 @@ scored AS (
 test AS (SELECT * FROM scored WHERE split_type = 'test')"""
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; wrap each call as BIGINT (Spark's type)."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(tok)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(count_if(" + bigint_counts(sql[j + len(tok):k - 1]) + ") AS BIGINT)")
+        i = k
+
+
 def with_base(body: str, level: str = "scored", extra: str = "") -> str:
     """Prefix ``body`` with the CTE chain up to ``level`` (retail|feat|scored)."""
     ctes = [RETAIL_CTE]
@@ -74,4 +90,4 @@ def with_base(body: str, level: str = "scored", extra: str = "") -> str:
         ctes.append(SCORED_CTE)
     if extra:
         ctes.append(extra)
-    return "WITH " + ",".join(ctes) + "\n" + body
+    return bigint_counts("WITH " + ",".join(ctes) + "\n" + body)
