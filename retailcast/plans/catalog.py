@@ -1222,36 +1222,26 @@ def _(spark, sf):
 REQUEST_SIZE = 50
 
 
-def _requests(spark, sf):
-    """Request payloads built from the test rows: 50 instances per request."""
-    t = test_scored(spark, sf).withColumn("request_id", F.floor(F.col("record_id") % 1000003 / 1).cast("bigint"))
-    return t
-
-
 @q("score_csv_requests")
 def _(spark, sf):
     from retailcast.sources.sinks import export_csv_payload
     t = test_scored(spark, sf)
-    req = t.select("record_id", export_csv_payload(t).columns[0] and
-                   F.concat_ws(",", *[F.col(c).cast("float").cast("string") for c in FEATURE_ORDER]).alias("value"))
+    req = export_csv_payload(t, keep=["record_id"])
     return M.score_csv_requests(gbt_model_path(spark, sf), req).select("record_id", "prediction")
 
 
 def _json_requests(spark, sf, as_lists: bool):
-    t = test_scored(spark, sf)
-    # request id: rank block of 50 instances by record_id within each store —
-    # a bounded payload per request, built with a per-store window
-    from pyspark.sql import Window
-    w = Window.partitionBy("store_id").orderBy("record_id")
-    r = t.withColumn("_n", F.row_number().over(w) - 1).withColumn(
-        "request_id", F.col("store_id") * 1000000 + F.floor(F.col("_n") / REQUEST_SIZE))
+    """JSON request bodies from the test rows: consecutive blocks of 50
+    instances by an exact distributed rank, so every request (and every
+    per-request list) holds at most 50 instances."""
+    from retailcast.operators.split import global_rank
+    r = global_rank(test_scored(spark, sf), ["record_id"])
+    r = r.withColumn("request_id", F.floor(F.col("_rank") / REQUEST_SIZE).cast("bigint")) \
+         .withColumn("_n", F.col("_rank") % REQUEST_SIZE)
     inst = (F.array(*[F.col(c).cast("double") for c in FEATURE_ORDER]) if as_lists
             else F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURE_ORDER]))
-    body = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct(F.col("_n"), inst.alias("i"))))
-                              .alias("x")))
     g = r.groupBy("request_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", inst.alias("i")))),
                                                 lambda s: s["i"]).alias("instances"))
-    del body
     return g.select("request_id", F.to_json(F.struct("instances")).alias("body"))
 
 
@@ -1332,8 +1322,8 @@ def _(spark, sf):
     keys = E.baseline_fit(train)
     gmean = train.agg(F.avg(F.col("units_sold").cast("double"))).first()[0]   # one number
     src = session_table(spark, ("test_features", sf), lambda: f.filter("split_type = 'test'"))
-    files = src.inputFiles()[0].rsplit("/", 1)[0]
-    stream = ST.read_stream(spark, files, src.schema.simpleString()[7:-1].replace(":", " "))
+    folder = src.inputFiles()[0].rsplit("/", 1)[0]
+    stream = ST.read_stream(spark, folder, src.schema, max_files=64)
     out = ST.run_available_now(ST.stream_score(stream, keys, gmean), f"score-{_uid()}")
     return spark.read.parquet(out).select("record_id", "store_id", "date", "units_sold", "prediction")
 

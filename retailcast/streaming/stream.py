@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type
                  "value double, props string")
 
 
-def read_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -87,21 +88,34 @@ ANOMALY_STATE = "n long, mean double, m2 double"
 
 def _welford(key, pdfs, state: GroupState):
     """Per key: score each value against the running mean / sample std of all
-    earlier values of the key, then fold it into the state (Welford)."""
-    n, mean, m2 = state.get if state.exists else (0, 0.0, 0.0)
+    earlier values of the key, then fold the batch into the state. Vectorized:
+    prefix sums of the batch (shifted by the state mean for stability) are
+    combined with the state by the parallel-variance formula."""
+    n0, mean0, m2_0 = state.get if state.exists else (0, 0.0, 0.0)
     for pdf in pdfs:
         pdf = pdf.sort_values(["ts", "event_id"])
-        scores = []
-        for v in pdf["value"].to_numpy():
-            std = (m2 / (n - 1)) ** 0.5 if n >= 2 else None
-            scores.append(None if not std else (v - mean) / std)
-            n += 1
-            d = v - mean
-            mean += d / n
-            m2 += d * (v - mean)
-        state.update((n, mean, m2))
-        yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"), "event_type": key[0],
-                            "value": pdf["value"], "anomaly_score": pd.Series(scores, dtype="float64")})
+        v = pdf["value"].to_numpy(dtype=np.float64)
+        y = v - mean0
+        k = np.arange(len(v), dtype=np.float64)               # rows of this batch before row i
+        s1 = np.concatenate(([0.0], np.cumsum(y)[:-1]))
+        s2 = np.concatenate(([0.0], np.cumsum(y * y)[:-1]))
+        n = n0 + k
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean_y = np.where(n > 0, s1 / np.maximum(n, 1), 0.0)     # state part has mean_y 0
+            m2 = m2_0 + s2 - np.where(k > 0, s1 * s1 / np.maximum(k, 1), 0.0) \
+                + np.where(k > 0, (s1 / np.maximum(k, 1)) ** 2 * n0 * k / np.maximum(n, 1), 0.0)
+            std = np.sqrt(np.maximum(m2, 0.0) / (n - 1))
+            score = np.where((n >= 2) & (std > 0), (y - mean_y) / std, np.nan)
+        tot = n0 + len(v)
+        if len(v):
+            sy, syy = float(np.sum(y)), float(np.sum(y * y))
+            m2_b = syy - sy * sy / len(v)
+            m2_0 = m2_0 + m2_b + (sy / len(v)) ** 2 * n0 * len(v) / tot
+            mean0 = mean0 + sy / tot
+            n0 = tot
+        state.update((n0, mean0, m2_0))
+        yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64").to_numpy(), "event_type": key[0],
+                            "value": v, "anomaly_score": score})
 
 
 def stream_anomaly_state(events: DataFrame, key: str = "event_type") -> DataFrame:
