@@ -121,14 +121,21 @@ def group_rates(conf: DataFrame) -> DataFrame:
 
 
 def _pair(rates: DataFrame) -> DataFrame:
-    """Pivot the two smallest facet values (a < d) into one row of a_* / d_* columns."""
-    a = rates.agg(F.min("facet_value")).scalar()
-    d = rates.filter(F.col("facet_value") > a).agg(F.min("facet_value")).scalar()
+    """The two smallest facet values (a < d) side by side in one row.
+
+    a = min over per-facet structs (ordered by facet value, one scalar
+    subquery); d = the smallest struct above a (one aggregation). Both run
+    over the per-facet table, never over rows."""
     cols = ["n", "tp", "fp", "tn", "fn"] + RATE_COLUMNS
-    out = [a.cast("double").alias("group_a_value"), d.cast("double").alias("group_d_value")]
-    for g, v in (("a", a), ("d", d)):
-        out += [F.max(F.when(F.col("facet_value") == v, F.col(x))).alias(f"{g}_{x}") for x in cols]
-    return rates.agg(*out)
+    s = F.struct(F.col("facet_value"), *[F.col(x) for x in cols])
+    a = rates.agg(F.min(s)).scalar()
+    d = F.min(F.when(F.col("facet_value") > a["facet_value"], s))
+    both = rates.agg(d.alias("d")).select(a.alias("a"), "d")
+    out = [F.col("a.facet_value").cast("double").alias("group_a_value"),
+           F.col("d.facet_value").cast("double").alias("group_d_value")]
+    for g in ("a", "d"):
+        out += [F.col(f"{g}.{x}").alias(f"{g}_{x}") for x in cols]
+    return both.select(*out)
 
 
 def posttraining_bias(scored: DataFrame, facet: str = "is_weekend", label_bin: str = "high_demand",
