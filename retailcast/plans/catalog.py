@@ -21,7 +21,7 @@ from retailcast.operators import quality as Q
 from retailcast.operators import registry as G
 from retailcast.operators import split as P
 from retailcast.plans.base import feat, raw, scored, table, test_scored
-from retailcast.plans.oracle import bigint_counts, with_base
+from retailcast.plans.oracle import RETAIL_CTE, bigint_counts, with_base
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -1324,7 +1324,10 @@ def _(spark, sf):
     src = session_table(spark, ("test_features", sf), lambda: f.filter("split_type = 'test'"))
     folder = src.inputFiles()[0].rsplit("/", 1)[0]
     stream = ST.read_stream(spark, folder, src.schema, max_files=64)
-    out = ST.run_available_now(ST.stream_score(stream, keys, gmean), f"score-{_uid()}")
+    from retailcast.session import broadcast_if_small
+    # the key table (stores x 7 rows) is re-joined every micro-batch: broadcast
+    # it when its size allows, else a shuffle join per batch
+    out = ST.run_available_now(ST.stream_score(stream, broadcast_if_small(keys), gmean), f"score-{_uid()}")
     return spark.read.parquet(out).select("record_id", "store_id", "date", "units_sold", "prediction")
 
 
@@ -1332,3 +1335,18 @@ def _(spark, sf):
 for _name, _cols in (("bias_di", ["DI"]), ("bias_dcr", ["DCR"]), ("bias_ad", ["AD"]), ("bias_drr", ["DRR"])):
     QUERIES[_name] = ((lambda cs: (lambda spark, sf: _ext(spark, sf).select(*cs)))(_cols),
                       with_base("SELECT " + ", ".join(_cols) + " FROM ext", "scored", POST_SQL + "," + EXT_SQL))
+
+
+# =============================================================== five-store sample grain
+
+RETAIL5_CTE = RETAIL_CTE.replace("l_suppkey AS store_id", "CAST(l_suppkey % 5 AS BIGINT) + 1 AS store_id")
+
+
+@plain("retail_daily_5_stores", "WITH " + RETAIL5_CTE + "\nSELECT * FROM retail")
+def _(spark, sf):
+    return raw(spark, sf, 5)
+
+
+@plain("dq_metrics_table_5_stores", "WITH " + RETAIL5_CTE + "\n" + _metrics_sql(DQ_ITEMS))
+def _(spark, sf):
+    return Q.run_analyzers(raw(spark, sf, 5), Q.default_analyzers())

@@ -83,3 +83,11 @@ def session_table(spark: SparkSession, key: tuple, build):
     if full not in _TABLES:
         _TABLES[full] = materialize(build(), "_".join(str(k).replace("/", "_") for k in key))
     return _TABLES[full]
+
+
+def broadcast_if_small(df, max_rows: int = 1_000_000):
+    """Broadcast hint only behind a size check: the rows are counted (the
+    input is an aggregated table) and the hint is applied at or below
+    ``max_rows``; above it the join stays a shuffle join."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= max_rows else df
