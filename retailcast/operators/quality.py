@@ -103,10 +103,10 @@ def uniqueness(df: DataFrame, *cols: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Constraint:
-    """A named assertion over one metric value (SQL expression on ``value``)."""
+    """A named assertion over one metric value."""
     description: str
     analyzer: Analyzer | None
-    assertion: str              # SQL over `value`, e.g. "value >= 500"
+    assertion: str              # "value <op> number", e.g. "value >= 500"
     unique_cols: tuple = ()     # uniqueness constraints use the grouped pass
 
 
@@ -130,49 +130,65 @@ def default_constraints() -> list[Constraint]:
     return cs
 
 
-def _constraint_values(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """One row per constraint: (idx, constraint, metric value). One agg pass for
-    all column metrics + one grouped pass per distinct uniqueness key."""
+def _constraint_array(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
+    """One row holding an array with one struct per constraint: metadata,
+    metric value and verdict. Column metrics come from one aggregation,
+    uniqueness from one grouped pass (a scalar subquery); the array length
+    is the (code-sized) constraint list, never data-sized."""
     plain = [(i, c) for i, c in enumerate(constraints) if c.analyzer is not None]
-    parts = []
-    if plain:
-        wide = df.agg(*[c.analyzer.expr.alias(f"m{i}") for i, c in plain])
-        stack = ", ".join(f"{i}, m{i}" for i, _ in plain)
-        parts.append(wide.selectExpr(f"stack({len(plain)}, {stack}) as (idx, value)"))
+    base = df.agg(*[c.analyzer.expr.alias(f"m{i}") for i, c in plain]) if plain \
+        else df.sparkSession.range(1).select(F.lit(1).alias("_one"))
+    structs = []
     for i, c in enumerate(constraints):
-        if c.unique_cols:
-            parts.append(uniqueness(df, *c.unique_cols).select(F.lit(i).alias("idx"), "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    meta = df.sparkSession.createDataFrame(
-        [(i, c.description, c.assertion,
-          c.analyzer.entity if c.analyzer else "Column",
-          c.analyzer.instance if c.analyzer else ",".join(c.unique_cols),
-          c.analyzer.name if c.analyzer else "Uniqueness") for i, c in enumerate(constraints)],
-        "idx int, constraint string, assertion string, entity string, instance string, name string")
-    # `meta` has one row per declared constraint (a fixed, code-sized list).
-    return out.join(F.broadcast(meta), "idx")
+        value = F.col(f"m{i}") if c.analyzer is not None else \
+            uniqueness(df, *c.unique_cols).select("value").scalar()
+        entity = c.analyzer.entity if c.analyzer else "Column"
+        instance = c.analyzer.instance if c.analyzer else ",".join(c.unique_cols)
+        name = c.analyzer.name if c.analyzer else "Uniqueness"
+        structs.append(F.struct(F.lit(i).alias("idx"), F.lit(c.description).alias("constraint"),
+                                F.lit(entity).alias("entity"), F.lit(instance).alias("instance"),
+                                F.lit(name).alias("name"), value.cast("double").alias("value")))
+    arr = base.select(F.array(*structs).alias("cs"))
+    # verdict: each assertion applied to its own element's value
+    verdict = F.transform("cs", lambda x: x.withField("ok", F.coalesce(_assert_expr(constraints, x),
+                                                                       F.lit(False))))
+    return arr.select(verdict.alias("cs"))
+
+
+def _assert_expr(constraints: list[Constraint], x):
+    """Per-element assertion, dispatched on the element index."""
+    e = None
+    for i, c in enumerate(constraints):
+        a = _compare(x["value"], c.assertion)
+        e = F.when(x["idx"] == i, a) if e is None else e.when(x["idx"] == i, a)
+    return e
+
+
+def _compare(v, assertion: str):
+    """`value <op> number` assertions as column comparisons."""
+    _, op, num = assertion.split()
+    n = float(num)
+    return {">=": v >= n, "<=": v <= n, ">": v > n, "<": v < n, "=": v == n, "==": v == n}[op]
+
+
+def _constraint_values(df: DataFrame, constraints: list[Constraint]) -> DataFrame:
+    """One row per constraint: (idx, constraint, entity, instance, name, value, ok)."""
+    return _constraint_array(df, constraints).select(F.inline("cs"))
 
 
 def check_results(df: DataFrame, constraints: list[Constraint] | None = None,
                   check: str = "Retail Demand Data Quality Check", level: str = "Error") -> DataFrame:
     """Q14: per-constraint status rows; `check_status` is the overall verdict."""
     cs = constraints or default_constraints()
-    vals = _constraint_values(df, cs)
-    rows = []
-    for i, c in enumerate(cs):
-        rows.append(F.when(F.col("idx") == i, F.expr(c.assertion.replace("value", "`value`"))))
-    ok = F.coalesce(*rows)
-    res = vals.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    status = F.when(F.col("_ok"), "Success").otherwise("Failure")
-    all_ok = res.agg(F.min(F.col("_ok").cast("int"))).scalar()
-    overall = F.when(all_ok == 1, "Success").otherwise(level)
+    arr = _constraint_array(df, cs)
+    overall = F.when(F.forall("cs", lambda x: x["ok"]), "Success").otherwise(level)
+    res = arr.select(overall.alias("check_status"), F.inline("cs"))
+    status = F.when(F.col("ok"), "Success").otherwise("Failure")
     return res.select(
         F.lit(check).alias("check"), F.lit(level).alias("check_level"),
-        overall.alias("check_status"), "constraint", status.alias("constraint_status"),
-        F.when(~F.col("_ok"), F.concat(F.lit("Value: "), F.col("value").cast("string"),
-                                       F.lit(" does not meet the constraint requirement!")))
+        "check_status", "constraint", status.alias("constraint_status"),
+        F.when(~F.col("ok"), F.concat(F.lit("Value: "), F.col("value").cast("string"),
+                                      F.lit(" does not meet the constraint requirement!")))
         .otherwise(F.lit("")).alias("constraint_message"))
 
 

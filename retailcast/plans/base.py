@@ -15,12 +15,15 @@ def raw(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
     return session_table(spark, ("raw", sf, stores), lambda: retail_daily(spark, sf, stores))
 
 
-def feat(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
-    return session_table(spark, ("feat", sf, stores), lambda: engineer(raw(spark, sf, stores)))
+def scored(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
+    """Stored feature table with the baseline prediction (one write)."""
+    return session_table(spark, ("scored", sf, stores),
+                         lambda: baseline_predict(engineer(raw(spark, sf, stores))))
 
 
-def scored(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
-    return session_table(spark, ("scored", sf, stores), lambda: baseline_predict(feat(spark, sf, stores)))
+def feat(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
+    """The 27-column feature table: the stored table without the prediction."""
+    return scored(spark, sf, stores).drop("prediction")
 
 
 def test_scored(spark: SparkSession, sf: str) -> DataFrame:
