@@ -37,9 +37,9 @@ def anomaly_score(events: DataFrame, key: str = "event_type", value: str = "valu
     the same key: (v − mean_prev) / std_prev. Bucket statistics are a grouped
     aggregate (keys x buckets rows), joined back on (key, bucket) — a hot key
     is spread over its buckets instead of one ordered window partition."""
-    e = event_time(events, ts).withColumn("_b", F.date_trunc("hour" if bucket == "1 hour" else bucket, ts))
+    e = event_time(events, ts).withColumn("_b", F.window(ts, bucket)["start"])
     stats = (e.groupBy(key, "_b").agg(F.avg(value).alias("mean_prev"), F.stddev_samp(value).alias("std_prev"))
-             .withColumn("_b", F.col("_b") + F.expr("INTERVAL 1 HOUR")))
+             .withColumn("_b", F.col("_b") + F.expr(f"INTERVAL {bucket}")))
     z = F.try_divide(F.col(value) - F.col("mean_prev"), F.col("std_prev"))
     return (e.join(stats, [key, "_b"], "left")
             .select("event_id", key, value, F.round("mean_prev", 9).alias("mean_prev"),

@@ -878,7 +878,9 @@ def _(spark, sf):
     return spark.read.json(path).select(F.col("n_rows").cast("bigint").alias("n_rows"), "rmse", "mae", "r2")
 
 
-@q("export_csv_payload")
+@q("export_csv_payload",
+   "SELECT concat_ws(',', " + ", ".join(f"CAST(CAST({c} AS FLOAT) AS VARCHAR)" for c in FEATURE_ORDER)
+   + ") AS value FROM test")
 def _(spark, sf):
     return K.export_csv_payload(test_scored(spark, sf))
 
