@@ -407,6 +407,34 @@ def _(spark, sf):
     return Q.uniqueness(raw(spark, sf), "date", "store_id")
 
 
+def _suggest_sql() -> str:
+    from retailcast.contract import RAW_FIELDS
+    from pyspark.sql import types as T
+    stats, rules = [], []
+    for c, t in RAW_FIELDS:
+        is_str = isinstance(t, T.StringType)
+        extra = (f"avg(CASE WHEN {c} IS NOT NULL THEN CASE WHEN TRY_CAST({c} AS DOUBLE) IS NOT NULL "
+                 f"THEN 1.0 ELSE 0.0 END END) AS {c}__num" if is_str else f"min(CAST({c} AS DOUBLE)) AS {c}__min")
+        stats.append(f"avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END) AS {c}__compl, "
+                     f"count(DISTINCT {c}) AS {c}__card, {extra}")
+        sel = "SELECT '{c}' AS column_name, '{r}' AS rule, '{d}' AS description, {code} AS code_for_constraint FROM prof WHERE {w}"
+        rules.append(sel.format(c=c, r="CompleteIfCompleteRule", d=f"''{c}'' is not null",
+                                code=f"'.isComplete(\"{c}\")'", w=f"{c}__compl = 1.0"))
+        rules.append(sel.format(c=c, r="RetainCompletenessRule", d=f"''{c}'' has less than full completeness",
+                                code=f"printf('.hasCompleteness(\"{c}\", _ >= %.2f)', floor({c}__compl * 100) / 100)",
+                                w=f"{c}__compl < 1.0 AND {c}__compl > 0"))
+        rules.append(sel.format(c=c, r="CategoricalRangeRule", d=f"''{c}'' has value range of at most 10 values",
+                                code=f"'.isContainedIn(\"{c}\", <observed values>)'", w=f"{c}__card <= 10"))
+        if is_str:
+            rules.append(sel.format(c=c, r="RetainTypeRule", d=f"''{c}'' has numeric type",
+                                    code=f"'.hasDataType(\"{c}\", ConstrainableDataTypes.Numeric)'",
+                                    w=f"{c}__num = 1.0"))
+        else:
+            rules.append(sel.format(c=c, r="NonNegativeNumbersRule", d=f"''{c}'' has no negative values",
+                                    code=f"'.isNonNegative(\"{c}\")'", w=f"{c}__min >= 0"))
+    return with_base(" UNION ALL ".join(rules), "retail", "prof AS (SELECT " + ", ".join(stats) + " FROM retail)")
+
+
 @q("suggest_constraints")
 def _(spark, sf):
     return Q.suggest_constraints(raw(spark, sf))
@@ -1352,3 +1380,6 @@ def _(spark, sf):
 @plain("dq_metrics_table_5_stores", "WITH " + RETAIL5_CTE + "\n" + _metrics_sql(DQ_ITEMS))
 def _(spark, sf):
     return Q.run_analyzers(raw(spark, sf, 5), Q.default_analyzers())
+
+
+QUERIES["suggest_constraints"] = (QUERIES["suggest_constraints"][0], _suggest_sql())
