@@ -140,3 +140,16 @@ def hyperparameter_log(run_id: str, params: dict, metrics: DataFrame) -> tuple[l
     long = metrics.selectExpr(*[c for c in metrics.columns if c not in num],
                               f"stack({len(num)}, {stack}) as (key, value)")
     return prow, long.withColumn("run_id", F.lit(run_id)).withColumn("step", F.lit(0))
+
+
+def fit_with_early_stopping(spark: SparkSession, train: DataFrame, val: DataFrame, rounds: int | None = None,
+                            patience: int = 20, seed: int = 42) -> tuple[GBTRegressionModel, DataFrame]:
+    """M2 + M3: fit, trace the learning curve, and keep the best prefix of
+    trees. Spark seeds round m with seed + m, so a refit with best+1 rounds
+    reproduces exactly that prefix."""
+    model = train_gbt(train, rounds, seed)
+    curve = learning_curve(spark, model, train, val)
+    best = early_stopping(curve, patience).first()
+    if best["stopped_early"] and best["best_iteration"] + 1 < model.getNumTrees:
+        model = train_gbt(train, best["best_iteration"] + 1, seed)
+    return model, curve
