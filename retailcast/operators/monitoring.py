@@ -17,8 +17,11 @@ TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Driver timestamps are zone-less; event time is a session-UTC timestamp."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Event time for batch windows. Zone-less (TIMESTAMP_NTZ) driver columns
+    are used as they are, so windows follow wall-clock time whatever the
+    session time zone; only string columns are parsed."""
+    t = dict(df.dtypes)[ts]
+    return df if t in ("timestamp_ntz", "timestamp") else df.withColumn(ts, F.to_timestamp(ts))
 
 
 def window_avg(events: DataFrame, size: str = "1 hour", key: str = "event_type",
