@@ -122,6 +122,40 @@ def psi(baseline: DataFrame, current: DataFrame, features: list[str], eps: float
     return d.groupBy("feature").agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"))
 
 
+def ks_drift(baseline: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+    """Exact two-sample Kolmogorov–Smirnov statistic per feature:
+    max |F_base(v) − F_cur(v)| over all observed values. Counts per distinct
+    value are a grouped aggregate; the empirical CDFs come from an exact
+    distributed prefix sum (no window over a whole feature)."""
+    from retailcast.operators.split import grouped_prefix_sum
+    both = (_long(baseline, features).withColumn("_side", F.lit(0))
+            .unionByName(_long(current, features).withColumn("_side", F.lit(1)))
+            .filter(F.col("v").isNotNull()))
+    counts = both.groupBy("feature", "v").agg(F.count_if(F.col("_side") == 0).alias("cb"),
+                                              F.count_if(F.col("_side") == 1).alias("cc"))
+    n = counts.groupBy("feature").agg(F.sum("cb").alias("nb"), F.sum("cc").alias("nc"))
+    cum = grouped_prefix_sum(counts, "feature", "v", ["cb", "cc"])
+    gap = F.abs(F.col("cum_cb") / F.col("nb") - F.col("cum_cc") / F.col("nc"))
+    # `n` has one row per feature
+    return cum.join(F.broadcast(n), "feature").groupBy("feature").agg(F.max(gap).alias("ks"))
+
+
+def mean_shift(baseline: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+    """Standardised mean shift per feature, (mean_cur − mean_base) / std_base
+    (sample std of the baseline); one wide aggregation per side."""
+    def stats(df, tag):
+        return df.agg(*[e for c in features for e in (
+            F.avg(F.col(c).cast("double")).alias(f"{c}__m{tag}"),
+            F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__s{tag}"))])
+    b, c_ = stats(baseline, "b"), stats(current, "c")
+    row = b.select(*[F.col(x) for x in b.columns],
+                   *[c_.select(f"{c}__mc").scalar().alias(f"{c}__mc") for c in features])
+    stack = ", ".join(f"'{c}', `{c}__mb`, `{c}__sb`, `{c}__mc`" for c in features)
+    long = row.selectExpr(f"stack({len(features)}, {stack}) as (feature, mean_base, std_base, mean_cur)")
+    return long.select("feature", "mean_base", "mean_cur",
+                       F.try_divide(F.col("mean_cur") - F.col("mean_base"), F.col("std_base")).alias("mean_shift"))
+
+
 def bias_drift(feat: DataFrame, label: str = "high_demand", facet: str = "is_weekend") -> DataFrame:
     """DPL per month and its change against the previous month (window
     over the per-month table, one row per month)."""

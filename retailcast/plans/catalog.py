@@ -1383,3 +1383,41 @@ def _(spark, sf):
 
 
 QUERIES["suggest_constraints"] = (QUERIES["suggest_constraints"][0], _suggest_sql())
+
+
+def _ks_sql(features, base, cur):
+    unp = lambda src, side: " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, {side} AS side FROM {src}" for c in features)
+    return f"""
+kl AS ({unp(base, 0)} UNION ALL {unp(cur, 1)}),
+kc AS (SELECT feature, v, count_if(side = 0) AS cb, count_if(side = 1) AS cc FROM kl WHERE v IS NOT NULL GROUP BY 1, 2),
+kcum AS (SELECT feature,
+           sum(cb) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             / sum(cb) OVER (PARTITION BY feature) AS fb,
+           sum(cc) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             / sum(cc) OVER (PARTITION BY feature) AS fc FROM kc)"""
+
+
+@q("data_drift_ks", "SELECT feature, max(abs(fb - fc)) AS ks FROM kcum GROUP BY feature",
+   extra=TRAIN_TEST.lstrip(",") + "," + _ks_sql(DRIFT_FEATURES, "trn", "test"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.ks_drift(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), DRIFT_FEATURES)
+
+
+@q("prediction_drift_ks", "SELECT feature, max(abs(fb - fc)) AS ks FROM kcum GROUP BY feature",
+   extra=TRAIN_TEST.lstrip(",") + "," + _ks_sql(["prediction"], "trn", "test"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.ks_drift(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), ["prediction"])
+
+
+@q("data_drift_mean_shift", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, (SELECT avg(CAST({c} AS DOUBLE)) FROM trn) AS mean_base, "
+    f"(SELECT avg(CAST({c} AS DOUBLE)) FROM test) AS mean_cur, "
+    f"((SELECT avg(CAST({c} AS DOUBLE)) FROM test) - (SELECT avg(CAST({c} AS DOUBLE)) FROM trn)) "
+    f"/ nullif((SELECT stddev_samp(CAST({c} AS DOUBLE)) FROM trn), 0) AS mean_shift" for c in DRIFT_FEATURES),
+   extra=TRAIN_TEST.lstrip(","))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return W.mean_shift(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), DRIFT_FEATURES)

@@ -44,3 +44,14 @@ def test_sample_cap(spark):
     s = P.sample_cap(df, 300)
     assert s.count() == 300
     assert sorted(r[0] for r in s.collect()) == sorted(r[0] for r in P.sample_cap(df.repartition(5), 300).collect())
+
+
+def test_grouped_prefix_sum(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 3000).alias("v"),
+                                  (F.col("id") % 5).alias("x"))
+    got = {(r["g"], r["v"]): r["cum_x"] for r in P.grouped_prefix_sum(df, "g", "v", ["x"], partitions=7).collect()}
+    rows = sorted((r["g"], r["v"], r["x"]) for r in df.collect())
+    acc = {}
+    for g, v, x in rows:
+        acc[g] = acc.get(g, 0) + x
+        assert got[(g, v)] == acc[g]
