@@ -83,7 +83,8 @@ def _unwound_sum(path, k):
 
 
 def tree_shap(x: np.ndarray, tree: dict, phi: np.ndarray) -> None:
-    """Add one tree's path-dependent Shapley values for row x into phi."""
+    """Add one tree's path-dependent Shapley values for row x into phi
+    (recursive reference form; `tree_shap_batch` is the vectorized one)."""
     left, right, feat, thr, val, cover = (tree[k] for k in ("left", "right", "feat", "thr", "val", "cover"))
 
     def rec(j, path, zero, one, fidx):
@@ -105,6 +106,71 @@ def tree_shap(x: np.ndarray, tree: dict, phi: np.ndarray) -> None:
     rec(0, [], 1.0, 1.0, -1)
 
 
+def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, float]]]]:
+    """Root-to-leaf paths: (leaf value, [(feature, cover ratio, went left, threshold), ...])."""
+    left, right, feat, thr, val, cover = (tree[k] for k in ("left", "right", "feat", "thr", "val", "cover"))
+    out, stack = [], [(0, [])]
+    while stack:
+        j, path = stack.pop()
+        if left[j] < 0:
+            out.append((float(val[j]), path))
+            continue
+        for child, is_left in ((left[j], True), (right[j], False)):
+            stack.append((child, path + [(int(feat[j]), cover[child] / cover[j], is_left, float(thr[j]))]))
+    return out
+
+
+def tree_shap_batch(X: np.ndarray, tree: dict, phi: np.ndarray) -> None:
+    """Vectorized path-dependent tree Shapley values for all rows of X.
+
+    Leaf by leaf: the unique features of the path get a zero fraction (product
+    of cover ratios along their splits) and a per-row one fraction (1 when the
+    row satisfies all of that feature's conditions on the path). Extending the
+    path polynomial is order-independent, so each leaf's contribution is the
+    same as in the recursive algorithm, computed for all rows at once."""
+    n = X.shape[0]
+    for value, path in leaf_paths(tree):
+        feats: dict[int, list] = {}
+        for f, ratio, is_left, t in path:
+            z, o = feats.get(f, (1.0, np.ones(n)))
+            cond = X[:, f] <= t if is_left else X[:, f] > t
+            feats[f] = (z * ratio, o * cond)
+        items = list(feats.items())
+        d = len(items)                       # path elements after the root dummy: 1..d
+        zs = np.array([1.0] + [z for _, (z, _) in items])
+        os_ = np.vstack([np.ones(n)] + [o for _, (_, o) in items])          # (d+1, n)
+        pw = np.zeros((d + 1, n))
+        pw[0] = 1.0
+        for u in range(1, d + 1):                                            # EXTEND with element u
+            for i in range(u - 1, -1, -1):
+                pw[i + 1] += os_[u] * pw[i] * (i + 1) / (u + 1)
+                pw[i] = zs[u] * pw[i] * (u - i) / (u + 1)
+        for k in range(1, d + 1):                                            # UNWOUND SUM of element k
+            one, zero = os_[k], zs[k]
+            nxt = pw[d].copy()
+            total = np.zeros(n)
+            safe_one = np.where(one != 0, one, 1.0)
+            for i in range(d - 1, -1, -1):
+                tmp = nxt * (d + 1) / ((i + 1) * safe_one)
+                t_one = tmp
+                t_zero = pw[i] / (zero * (d - i) / (d + 1))
+                total += np.where(one != 0, t_one, t_zero)
+                nxt = np.where(one != 0, pw[i] - tmp * zero * (d - i) / (d + 1), nxt)
+            phi[:, items[k - 1][0]] += total * (one - zero) * value
+
+
+def predict_batch(X: np.ndarray, tree: dict) -> np.ndarray:
+    """Leaf values of all rows (Spark goes left when x <= threshold)."""
+    j = np.zeros(X.shape[0], dtype=np.int64)
+    while True:
+        inner = tree["left"][j] >= 0
+        if not inner.any():
+            return tree["val"][j]
+        f = tree["feat"][j]
+        go_left = X[np.arange(X.shape[0]), np.where(inner, f, 0)] <= tree["thr"][j]
+        j = np.where(inner, np.where(go_left, tree["left"][j], tree["right"][j]), j)
+
+
 def expected_value(trees: list[dict]) -> float:
     """Cover-weighted mean output of the ensemble (the SHAP base value)."""
     total = 0.0
@@ -128,20 +194,14 @@ def shap_values(spark: SparkSession, df: DataFrame, model_path: str, features=FE
     def run(batches):
         for pdf in batches:
             X = pdf[feats].to_numpy(dtype=np.float64)
-            out = np.zeros((len(X), len(feats)))
+            phi = np.zeros((len(X), len(feats)))
             pred = np.zeros(len(X))
-            for r in range(len(X)):
-                phi = np.zeros(len(feats))
-                for t in trees:
-                    p = np.zeros(len(feats))
-                    tree_shap(X[r], t, p)
-                    phi += t["weight"] * p
-                    j = 0
-                    while t["left"][j] >= 0:
-                        j = t["left"][j] if X[r][t["feat"][j]] <= t["thr"][j] else t["right"][j]
-                    pred[r] += t["weight"] * t["val"][j]
-                out[r] = phi
-            res = pd.DataFrame(out, columns=[f"shap_{c}" for c in feats])
+            for t in trees:
+                part = np.zeros_like(phi)
+                tree_shap_batch(X, t, part)
+                phi += t["weight"] * part
+                pred += t["weight"] * predict_batch(X, t)
+            res = pd.DataFrame(phi, columns=[f"shap_{c}" for c in feats])
             res.insert(0, "model_output", pred)
             res.insert(0, "base_value", base)
             res.insert(0, id_col, pdf[id_col].astype("int64").to_numpy())

@@ -62,3 +62,19 @@ def test_early_stopping(spark):
                                   "round int, train_rmse double, val_rmse double")
     r = M.early_stopping(curve, patience=20).first()
     assert (r["best_iteration"], r["best_val_rmse"], r["last_round"], r["stopped_early"]) == (2, 3.0, 22, True)
+
+
+def test_vectorized_shap_equals_recursive(spark, model_path):
+    trees = A.load_trees(spark, model_path)
+    rows = scored(spark, SF0001).filter("split_type = 'test'").limit(25).toPandas()
+    from retailcast.contract import FEATURE_ORDER
+    X = rows[FEATURE_ORDER].to_numpy(dtype=float)
+    for t in trees:
+        vec = np.zeros((len(X), len(FEATURE_ORDER)))
+        A.tree_shap_batch(X, t, vec)
+        for r in range(len(X)):
+            ref = np.zeros(len(FEATURE_ORDER))
+            A.tree_shap(X[r], t, ref)
+            np.testing.assert_allclose(vec[r], ref, rtol=1e-9, atol=1e-9)
+        pred = A.predict_batch(X, t)
+        assert pred.shape == (len(X),)
