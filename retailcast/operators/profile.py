@@ -103,6 +103,22 @@ def metric_history(runs: DataFrame, window: int = 3, by: list[str] | None = None
         F.avg("rmse").over(w.rowsBetween(-(window - 1), 0)).alias("rmse_rolling_avg"))
 
 
+def profile_history(scored: DataFrame, label: str = LABEL, split: str = "test") -> DataFrame:
+    """Label quantiles per monthly run and their change against the
+    previous run (grouped aggregate, then a window over the per-run table)."""
+    from pyspark.sql import Window
+    s = scored.filter(F.col("split_type") == split) if split else scored
+    y = F.col(label).cast("double")
+    per = s.groupBy("year", "month").agg(
+        F.avg(y).alias("label_mean"), F.percentile(y, [0.25, 0.5, 0.75]).alias("q"))
+    w = Window.orderBy("year", "month")
+    return per.select(
+        F.format_string("run-%04d-%02d", "year", "month").alias("mlflow_run_id"), "label_mean",
+        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
+        (F.col("q")[1] - F.lag(F.col("q")[1]).over(w)).alias("p50_change"),
+        (F.col("label_mean") - F.lag("label_mean").over(w)).alias("mean_change"))
+
+
 def latest_run(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Newest run (max eval timestamp) — `max_by`, a streaming aggregate."""
     keep = [c for c in runs.columns if c not in (by or [])]

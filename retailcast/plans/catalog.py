@@ -1421,3 +1421,16 @@ def _(spark, sf):
 def _(spark, sf):
     s = scored(spark, sf)
     return W.mean_shift(s.filter("split_type = 'train'"), s.filter("split_type = 'test'"), DRIFT_FEATURES)
+
+
+@q("metric_history_profile",
+   """SELECT printf('run-%04d-%02d', year, month) AS mlflow_run_id, label_mean, p25, p50, p75,
+        p50 - lag(p50) OVER (ORDER BY year, month) AS p50_change,
+        label_mean - lag(label_mean) OVER (ORDER BY year, month) AS mean_change
+      FROM (SELECT year, month, avg(CAST(units_sold AS DOUBLE)) AS label_mean,
+                   quantile_cont(CAST(units_sold AS DOUBLE), 0.25) AS p25,
+                   quantile_cont(CAST(units_sold AS DOUBLE), 0.5) AS p50,
+                   quantile_cont(CAST(units_sold AS DOUBLE), 0.75) AS p75
+            FROM test GROUP BY year, month)""")
+def _(spark, sf):
+    return X.profile_history(scored(spark, sf))
