@@ -49,6 +49,47 @@ def anomaly_score(events: DataFrame, key: str = "event_type", value: str = "valu
                     z.alias("anomaly_score")))
 
 
+STATE_COLS = ["n0", "s1_0", "s2_0", "c"]
+
+
+def running_zscore(df: DataFrame, prior: DataFrame | None = None, key: str = "event_type",
+                   order: tuple = ("ts", "event_id"), value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """W3 (cumulative form): z-score of each value against ALL earlier values of
+    its key — prior state plus earlier rows of this input — and the new state.
+
+    State per key: count, sum and sum of squares of (value − c), c a per-key
+    centring constant fixed when the key is first seen. Earlier-row sums come
+    from the exact distributed prefix sum, so a key holding a third of all
+    rows is spread over range partitions instead of one task."""
+    from retailcast.operators.split import grouped_prefix_sum
+    first = df.groupBy(key).agg(F.avg(value).alias("c_new"))
+    if prior is None:
+        st = first.select(key, F.lit(0).cast("bigint").alias("n0"), F.lit(0.0).alias("s1_0"),
+                          F.lit(0.0).alias("s2_0"), F.col("c_new").alias("c"))
+    else:
+        st = (first.join(prior, key, "full")
+              .select(key, F.coalesce("n0", F.lit(0)).cast("bigint").alias("n0"),
+                      F.coalesce("s1_0", F.lit(0.0)).alias("s1_0"), F.coalesce("s2_0", F.lit(0.0)).alias("s2_0"),
+                      F.coalesce("c", "c_new").alias("c")))
+    y = (F.col(value) - F.col("c"))
+    keep = list(dict.fromkeys(["event_id", *order, key, value]))
+    rows = (df.filter(F.col(value).isNotNull()).join(st, key)
+            .select(*keep, *STATE_COLS, F.lit(1).cast("bigint").alias("one"), y.alias("y"), (y * y).alias("y2")))
+    cum = grouped_prefix_sum(rows, key, list(order), ["one", "y", "y2"])
+    n = F.col("n0") + F.col("cum_one") - 1
+    s1 = F.col("s1_0") + F.col("cum_y") - F.col("y")
+    s2 = F.col("s2_0") + F.col("cum_y2") - F.col("y2")
+    var = (s2 - s1 * s1 / n) / (n - 1)
+    z = F.when((n >= 2) & (var > 0), (F.col("y") - s1 / n) / F.sqrt(var))
+    scored = cum.select("event_id", key, value, z.alias("anomaly_score"))
+    batch = rows.groupBy(key).agg(F.count(F.lit(1)).alias("bn"), F.sum("y").alias("bs1"), F.sum("y2").alias("bs2"))
+    new_state = (st.join(batch, key, "left")
+                 .select(key, (F.col("n0") + F.coalesce("bn", F.lit(0))).alias("n0"),
+                         (F.col("s1_0") + F.coalesce("bs1", F.lit(0.0))).alias("s1_0"),
+                         (F.col("s2_0") + F.coalesce("bs2", F.lit(0.0))).alias("s2_0"), "c"))
+    return scored, new_state
+
+
 def alerts(windowed: DataFrame, threshold: float, above: bool = True) -> DataFrame:
     """Window rows whose average crosses the threshold."""
     cond = F.col("avg_value") > threshold if above else F.col("avg_value") < threshold

@@ -108,7 +108,7 @@ def sample_cap(df: DataFrame, n: int = 300, seed: int = SPLIT_SEED,
     return df.orderBy(hash_key(id_col, seed), F.col(id_col)).limit(n)
 
 
-def grouped_prefix_sum(df: DataFrame, group: str, order: str, cols: list[str],
+def grouped_prefix_sum(df: DataFrame, group: str, order: str | list[str], cols: list[str],
                        partitions: int | None = None) -> DataFrame:
     """Exact running sums of ``cols`` within each ``group`` ordered by ``order``,
     without a per-group window holding a whole group.
@@ -123,14 +123,15 @@ def grouped_prefix_sum(df: DataFrame, group: str, order: str, cols: list[str],
     from retailcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(p, group, order)
+    order = [order] if isinstance(order, str) else list(order)
+    ranged = (df.repartitionByRange(p, group, *order)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     totals = ranged.groupBy("_pid", group).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     w_before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", group, *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0))
                                               .alias(f"_o_{c}") for c in cols])
-    w_in = Window.partitionBy("_pid", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    w_in = Window.partitionBy("_pid", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # offsets: one row per (partition, group) -> bounded by partitions x groups
     return (ranged.join(F.broadcast(offsets), ["_pid", group])
             .select(*[c for c in df.columns],

@@ -1341,8 +1341,8 @@ SELECT event_id, event_type, value,
 FROM events
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def _(spark, sf):
-    out = ST.run_available_now(ST.stream_anomaly_state(_event_stream(spark, sf)), f"anomaly-{_uid()}")
-    return spark.read.parquet(out)
+    out = ST.stream_anomaly_state(_event_stream(spark, sf), f"anomaly-{_uid()}")
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @q("stream_score", "SELECT record_id, store_id, date, units_sold, prediction FROM test")
@@ -1434,3 +1434,14 @@ def _(spark, sf):
             FROM test GROUP BY year, month)""")
 def _(spark, sf):
     return X.profile_history(scored(spark, sf))
+
+
+@plain("anomaly_score_cumulative", """
+SELECT event_id, event_type, value,
+  CASE WHEN count(*) OVER w >= 2 AND stddev_samp(value) OVER w > 0
+       THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w END AS anomaly_score
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def _(spark, sf):
+    scored_rows, _ = W.running_zscore(_events(spark, sf))
+    return scored_rows

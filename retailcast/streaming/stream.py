@@ -10,11 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from retailcast.operators.monitoring import TS_FMT
 from retailcast.session import shared_path
@@ -82,44 +79,43 @@ def stream_alert_batch(threshold: float, above: bool = True):
     return fn
 
 
-ANOMALY_OUT = "event_id long, event_type string, value double, anomaly_score double"
-ANOMALY_STATE = "n long, mean double, m2 double"
-
-
-def _welford(key, pdfs, state: GroupState):
-    """Per key: score each value against the running mean / sample std of all
-    earlier values of the key, then fold the batch into the state. Vectorized:
-    prefix sums of the batch (shifted by the state mean for stability) are
-    combined with the state by the parallel-variance formula."""
-    n0, mean0, m2_0 = state.get if state.exists else (0, 0.0, 0.0)
-    for pdf in pdfs:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        v = pdf["value"].to_numpy(dtype=np.float64)
-        y = v - mean0
-        k = np.arange(len(v), dtype=np.float64)               # rows of this batch before row i
-        s1 = np.concatenate(([0.0], np.cumsum(y)[:-1]))
-        s2 = np.concatenate(([0.0], np.cumsum(y * y)[:-1]))
-        n = n0 + k
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean_y = np.where(n > 0, s1 / np.maximum(n, 1), 0.0)     # state part has mean_y 0
-            m2 = m2_0 + s2 - np.where(k > 0, s1 * s1 / np.maximum(k, 1), 0.0) \
-                + np.where(k > 0, (s1 / np.maximum(k, 1)) ** 2 * n0 * k / np.maximum(n, 1), 0.0)
-            std = np.sqrt(np.maximum(m2, 0.0) / (n - 1))
-            score = np.where((n >= 2) & (std > 0), (y - mean_y) / std, np.nan)
-        tot = n0 + len(v)
-        if len(v):
-            sy, syy = float(np.sum(y)), float(np.sum(y * y))
-            m2_b = syy - sy * sy / len(v)
-            m2_0 = m2_0 + m2_b + (sy / len(v)) ** 2 * n0 * len(v) / tot
-            mean0 = mean0 + sy / tot
-            n0 = tot
-        state.update((n0, mean0, m2_0))
-        yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64").to_numpy(), "event_type": key[0],
-                            "value": v, "anomaly_score": score})
-
-
-def stream_anomaly_state(events: DataFrame, key: str = "event_type") -> DataFrame:
-    """W3 (stream form): running z-score per key with Welford state per key."""
-    return (events.select("event_id", "ts", key, "value").groupBy(key)
-            .applyInPandasWithState(_welford, ANOMALY_OUT, ANOMALY_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+def _latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
+    """State written by the newest earlier micro-batch (folder listing only)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(path)
+           if st.getPath().getName().startswith("batch_id=")]
+    ids = [i for i in ids if i < batch_id]
+    return spark.read.parquet(f"{state_dir}/batch_id={max(ids)}") if ids else None
+
+
+def anomaly_state_writer(state_dir: str, key: str = "event_type"):
+    """W3 (stream form) as a foreachBatch writer with an explicit state table.
+
+    Each micro-batch reads the per-key state of the previous batch, scores its
+    rows against all earlier values of their key (exact distributed prefix
+    sums, so a hot key is split across tasks), then writes its output and the
+    new state under its batch id: a replayed batch overwrites the same
+    folders, so the sink is idempotent and restarts resume exactly once."""
+    from retailcast.operators.monitoring import running_zscore
+
+    def fn(batch: DataFrame, batch_id: int, out: str) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        prior = _latest_state(spark, state_dir, batch_id)
+        scored, new_state = running_zscore(batch, prior, key)
+        scored.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        new_state.write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
+        batch.unpersist()
+    return fn
+
+
+def stream_anomaly_state(events: DataFrame, name: str, key: str = "event_type") -> str:
+    """Run the stateful anomaly stream to completion of the present data;
+    returns the output folder (partitioned by batch id)."""
+    state_dir = shared_path(events.sparkSession, f"streams/{name}/state")
+    cols = events.select("event_id", F.col("ts"), key, "value")
+    return run_available_now(cols, name, batch_fn=anomaly_state_writer(state_dir, key))
