@@ -11,10 +11,14 @@ from retailcast.functions.columns import sanitize_column_name
 
 
 def scan_typed_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
-                   mode: str = "PERMISSIVE") -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass)."""
-    return (spark.read.schema(schema).option("header", True).option("quote", '"')
-            .option("mode", mode).csv(path))
+                   mode: str = "PERMISSIVE", corrupt_col: str | None = None) -> DataFrame:
+    """Header CSV with an explicit schema (no inference pass). In
+    PERMISSIVE mode a `corrupt_col` keeps the raw text of malformed lines."""
+    r = spark.read.option("header", True).option("quote", '"').option("mode", mode)
+    if corrupt_col:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType(), True)])
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    return r.schema(schema).csv(path)
 
 
 def scan_inferred_csv(spark: SparkSession, path: str) -> DataFrame:

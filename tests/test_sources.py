@@ -67,3 +67,14 @@ def test_json_report_nulls_non_finite(spark):
 def test_export_payload_requires_features(spark):
     with pytest.raises(ValueError):
         K.export_csv_payload(spark.range(1))
+
+
+def test_typed_csv_keeps_corrupt_lines(spark):
+    path = shared_path(spark, f"test-bad-{_uid()}")
+    spark.createDataFrame([("1", "2024-01-01"), ("x", "2024-01-02")], "record_id string, date string") \
+        .coalesce(1).write.option("header", True).csv(path)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("record_id", T.LongType()), T.StructField("date", T.StringType())])
+    rows = S.scan_typed_csv(spark, path, schema, corrupt_col="_corrupt").orderBy("date").collect()
+    assert rows[0]["record_id"] == 1 and rows[0]["_corrupt"] is None
+    assert rows[1]["record_id"] is None and rows[1]["_corrupt"] == "x,2024-01-02"
