@@ -66,8 +66,13 @@ def global_rank(df: DataFrame, order_cols: list[str], partitions: int | None = N
     partition-local position comes from ``monotonically_increasing_id``.
     The per-partition row counts (one number per partition) become offsets.
     The ranged frame is checkpointed to the shared folder so both passes
-    see the same partitioning and the lineage survives executor loss.
-    """
+    see the same partitioning and the lineage survives executor loss."""
+    return ranked_with_total(df, order_cols, partitions, out)[0]
+
+
+def ranked_with_total(df: DataFrame, order_cols: list[str], partitions: int | None = None,
+                      out: str = "_rank") -> tuple[DataFrame, int]:
+    """`global_rank` plus the row count, taken from the same per-partition counts."""
     spark = df.sparkSession
     from retailcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
@@ -85,17 +90,16 @@ def global_rank(df: DataFrame, order_cols: list[str], partitions: int | None = N
         acc += counts.get(i, 0)
     offset_col = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (pid + 1).cast("int")) \
         if offsets else F.lit(0).cast("bigint")
-    return ranged.withColumn(out, offset_col + local).drop("_mid")
+    return ranged.withColumn(out, offset_col + local).drop("_mid"), acc
 
 
 def split_exact(df: DataFrame, fractions=SPLIT_FRACTIONS, seed: int = SPLIT_SEED,
                 id_col: str = "record_id", out: str = "split_type",
                 partitions: int | None = None) -> DataFrame:
     """P1 + P4: exact sizes; membership is a seeded hash order (deterministic)."""
-    n = df.count()
-    _, n_val, n_test = exact_sizes(n, fractions)
     keyed = df.withColumn("_k", hash_key(id_col, seed))
-    ranked = global_rank(keyed, ["_k", id_col], partitions)
+    ranked, n = ranked_with_total(keyed, ["_k", id_col], partitions)
+    _, n_val, n_test = exact_sizes(n, fractions)
     r = F.col("_rank")
     tag = F.when(r < n_test, "test").when(r < n_test + n_val, "validation").otherwise("train")
     return ranked.withColumn(out, tag).drop("_k", "_rank")
