@@ -13,7 +13,10 @@ TABLES = ["lineitem", "part", "events", "labels"]
 FAST = ["flagship", "parse_date", "label_high_demand_p75", "split_exact", "dq_metrics_table", "check_results",
         "eval_by_split", "bias_pretraining_report", "bias_posttraining_report", "bias_long", "data_profile",
         "evaluation_summary_flat", "latest_features", "route_approval_event", "serving_version",
-        "stream_window_avg", "stream_anomaly_score", "data_drift", "metric_history", "stream_anomaly_state"]
+        "stream_window_avg", "stream_anomaly_score", "data_drift", "metric_history", "stream_anomaly_state",
+        "suggest_constraints", "scan_typed_csv", "append_monitoring", "pending_notification", "data_drift_ks",
+        "anomaly_score_cumulative", "residual_histogram", "bias_dcacc", "bias_cddpl", "retail_daily_5_stores",
+        "export_csv_payload", "metric_history_profile", "quarantine", "delayed_labels"]
 
 
 def _norm(v):
