@@ -55,3 +55,14 @@ def test_grouped_prefix_sum(spark):
     for g, v, x in rows:
         acc[g] = acc.get(g, 0) + x
         assert got[(g, v)] == acc[g]
+
+
+def test_prefix_sum_splits_a_hot_group(spark):
+    # one group holds 90% of the rows; range partitioning spreads it over tasks
+    df = spark.range(20000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 3 + 1).otherwise(0).alias("g"),
+                                   F.col("id").alias("v"), F.lit(1).alias("x"))
+    out = P.grouped_prefix_sum(df, "g", "v", ["x"], partitions=8)
+    per_task = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(per_task) < 0.25 * 20000                       # no task holds the hot group whole
+    hot = out.filter("g = 0").agg(F.max("cum_x")).first()[0]
+    assert hot == 18000                                        # and the running sum is still exact
