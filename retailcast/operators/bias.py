@@ -191,6 +191,34 @@ def posttraining_extended(scored: DataFrame, facet: str = "is_weekend", label_bi
         (fn_fp("d") - fn_fp("a")).alias("TE"))
 
 
+def posttraining_one_vs_rest(scored: DataFrame, facet: str = "is_weekend", label_bin: str = "high_demand",
+                             prediction: str = "prediction", label: str = LABEL) -> DataFrame:
+    """Facets with more than two values: every value d against the rest a
+    (a − d differences of label rate, prediction rate, recall and accuracy).
+    Per-value counts plus their totals — no pairing of facet values."""
+    thr = bias_threshold(scored, label_bin, label)
+    binned = with_predicted_label(scored, thr, prediction, "pred_bin", label_bin, label)
+    conf = confusion_by_facet(binned, facet, label_bin, "pred_bin")
+    tot = conf.agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "tp", "fp", "tn", "fn")])
+    rest = {c: tot.select(f"t_{c}").scalar() - F.col(c) for c in ("n", "tp", "fp", "tn", "fn")}
+    c = F.col
+
+    def rates(n, tp, fp, tn, fn):
+        return (safe_divide(tp + fn, n), safe_divide(tp + fp, n), safe_divide(tp, tp + fn), safe_divide(tp + tn, n))
+    d = rates(c("n"), c("tp"), c("fp"), c("tn"), c("fn"))
+    a = rates(rest["n"], rest["tp"], rest["fp"], rest["tn"], rest["fn"])
+    return conf.select(
+        F.col("facet_value").cast("double").alias("facet_value"), c("n").alias("n_d"), rest["n"].alias("n_a"),
+        (a[0] - d[0]).alias("DPL_labels"), (a[1] - d[1]).alias("DPPL_predicted"),
+        (a[2] - d[2]).alias("RD_recall_diff"), (a[3] - d[3]).alias("AD_accuracy_diff"))
+
+
+def excluded_rows(df: DataFrame, facet: str = "is_weekend", label_bin: str = "high_demand") -> DataFrame:
+    """Rows left out of the bias reports because the facet or the label is NULL."""
+    return df.agg(F.count_if(F.col(facet).isNull() | F.col(label_bin).isNull()).alias("n_excluded"),
+                  F.count(F.lit(1)).alias("n_rows"))
+
+
 def bias_long(record: DataFrame, prefix: str = "bias_") -> DataFrame:
     """Numeric fields of a one-row record as (key, value) rows, NULL/NaN skipped."""
     num = [c for c, t in record.dtypes if t in ("double", "float", "int", "bigint")]

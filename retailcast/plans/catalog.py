@@ -1445,3 +1445,25 @@ WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDE
 def _(spark, sf):
     scored_rows, _ = W.running_zscore(_events(spark, sf))
     return scored_rows
+
+
+@q("bias_one_vs_rest", """
+SELECT CAST(c.facet_value AS DOUBLE) AS facet_value, c.n AS n_d, CAST(t.n - c.n AS BIGINT) AS n_a,
+  CAST((t.tp - c.tp) + (t.fn - c.fn) AS DOUBLE) / nullif(t.n - c.n, 0) - CAST(c.tp + c.fn AS DOUBLE) / nullif(c.n, 0)
+    AS DPL_labels,
+  CAST((t.tp - c.tp) + (t.fp - c.fp) AS DOUBLE) / nullif(t.n - c.n, 0) - CAST(c.tp + c.fp AS DOUBLE) / nullif(c.n, 0)
+    AS DPPL_predicted,
+  CAST(t.tp - c.tp AS DOUBLE) / nullif((t.tp - c.tp) + (t.fn - c.fn), 0) - CAST(c.tp AS DOUBLE) / nullif(c.tp + c.fn, 0)
+    AS RD_recall_diff,
+  CAST((t.tp - c.tp) + (t.tn - c.tn) AS DOUBLE) / nullif(t.n - c.n, 0) - CAST(c.tp + c.tn AS DOUBLE) / nullif(c.n, 0)
+    AS AD_accuracy_diff
+FROM conf c, (SELECT sum(n) AS n, sum(tp) AS tp, sum(fp) AS fp, sum(tn) AS tn, sum(fn) AS fn FROM conf) t""",
+   extra=POST_SQL)
+def _(spark, sf):
+    return B.posttraining_one_vs_rest(test_scored(spark, sf))
+
+
+@q("bias_excluded_rows",
+   "SELECT count_if(is_weekend IS NULL OR high_demand IS NULL) AS n_excluded, count(*) AS n_rows FROM test")
+def _(spark, sf):
+    return B.excluded_rows(test_scored(spark, sf))

@@ -33,3 +33,15 @@ def test_cddpl(spark):
     r = B.cddpl(df, group="grp").first()["CDDPL"]
     # g1: neg=1 (d share 1), pos=2 (d share 1/2) -> DD=0.5 ; g2: neg=2 (d 1/2), pos=0 -> DD=0.5
     assert abs(r - (3 * 0.5 + 2 * 0.5) / 5) < 1e-12
+
+
+def test_one_vs_rest_three_values(spark):
+    rows = [(0, 1, 200.0, 150), (0, 0, 10.0, 50), (1, 1, 10.0, 150), (1, 0, 10.0, 50), (2, 0, 200.0, 50),
+            (2, 0, 10.0, 50)]
+    df = spark.createDataFrame(rows, "is_weekend int, high_demand int, prediction double, units_sold long")
+    got = {r["facet_value"]: r for r in B.posttraining_one_vs_rest(df).collect()}
+    assert set(got) == {0.0, 1.0, 2.0}
+    # value 2: label rate 0 vs rest 2/4 ; prediction rate 1/2 vs rest 1/4
+    assert abs(got[2.0]["DPL_labels"] - 0.5) < 1e-12 and abs(got[2.0]["DPPL_predicted"] - (0.25 - 0.5)) < 1e-12
+    assert (got[2.0]["n_d"], got[2.0]["n_a"]) == (2, 4)
+    assert B.excluded_rows(df).first()["n_excluded"] == 0
