@@ -219,8 +219,9 @@ def rolling_window(df: DataFrame, days: int = 7, date_col: str = "date", end: Co
 def retrain_trigger(psi_df: DataFrame, threshold: float = 0.2) -> DataFrame:
     """Per-feature drift flag and whether any feature triggers retraining."""
     flagged = psi_df.withColumn("drifted", F.col("psi") > threshold)
-    any_ = flagged.agg(F.max(F.col("drifted").cast("int"))).scalar()
-    return flagged.withColumn("retrain", any_ == 1)
+    # the drift table has one row per feature: a whole-table window over it
+    # avoids computing the drift twice (once more in a subquery)
+    return flagged.withColumn("retrain", F.max(F.col("drifted").cast("int")).over(Window.partitionBy()) == 1)
 
 
 def prediction_sanity(scored: DataFrame, prediction: str = "prediction", upper: Column | None = None) -> DataFrame:
