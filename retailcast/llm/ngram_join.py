@@ -53,6 +53,8 @@ BLOCK, TILE = 512, 512
 #: Keys with at most so many nodes give pairs directly, others go to R-trees.
 SMALL_RUN = 24
 LEAF = 32
+#: Shingles compared at once when a tile is verified.
+COLUMNS = 4096
 HOMES = 5
 
 
@@ -123,13 +125,30 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return (NUM + DEN) * int(np.count_nonzero(b[at] == a)) >= NUM * (len(a) + len(b))
 
 
-def star_links(sets: list[np.ndarray], labels: np.ndarray) -> list[tuple[int, int]]:
-    """Verified links of the first member with the others; one link for each label is enough."""
-    out, known = [], {labels[0]}
-    for j in range(1, len(sets)):
-        if labels[j] not in known and linked(sets[0], sets[j]):
-            known.add(labels[j])
-            out.append((0, j))
+def tile_links(sets: list[np.ndarray], labels: np.ndarray) -> list[tuple[int, int]]:
+    """Verified links that connect whatever is linked within a tile, from exact
+    overlaps: products of 0/1 matrices over the shingles that two members share."""
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    values, which = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.repeat(np.arange(len(sets)), n)
+    shared = np.bincount(which, minlength=len(values))[which] > 1
+    _, which = np.unique(which[shared], return_inverse=True)
+    member = member[shared]
+    order = np.argsort(which, kind="stable")
+    which, member = which[order], member[order]
+    overlap = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for lo in range(0, int(which[-1]) + 1 if len(which) else 0, COLUMNS):
+        a, b = np.searchsorted(which, [lo, lo + COLUMNS])
+        x = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        x[member[a:b], which[a:b] - lo] = 1
+        overlap += x @ x.T
+    i, j = np.nonzero(np.triu(overlap >= need(n[:, None], n[None, :]), 1) & (labels[:, None] != labels[None, :]))
+    first, known, out = {}, Union(len(sets)), []
+    for k, v in enumerate(labels.tolist()):
+        known.join(k, first.setdefault(v, k))
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        if known.join(a, b):
+            out.append((a, b))
     return out
 
 
@@ -423,15 +442,18 @@ def _candidates(nodes: DataFrame) -> DataFrame:
 
 
 def _pair_members(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs as blocks around their smaller node, for verification;
-    of several partners with one label a single link is looked for."""
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
-    rest = pairs.join(groups, "a").select(
-        F.col("a").alias("block"), F.pmod(F.xxhash64("b"), "salts").cast("long").alias("salt"), F.lit(1).alias("rank"),
-        F.col("b").alias("node"))
-    centres = groups.select(F.col("a").alias("block"), F.explode(F.expr("sequence(0L, cast(salts - 1 AS BIGINT))")).alias("salt"),
-                            F.lit(0).alias("rank"), F.col("a").alias("node"))
-    return rest.unionByName(centres).join(labels, "node").select("block", "salt", "rank", "node", "label")
+    """Tiles for verification: a pair goes to the block of the least node that either
+    end is a candidate with, so a node's set is sent once per block and not per pair.
+    A block of more than BLOCK nodes is cut into chunks, and its pairs into tiles of two."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    placed = pairs.join(least, "a").join(least.toDF("b", "mb"), "b").select("a", "b", F.least("m", "mb").alias("block"))
+    chunks = (placed.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
+              .groupBy("block").agg(F.ceil(2 * F.count("*") / BLOCK).alias("chunks")))
+    chunk = lambda c: F.pmod(F.xxhash64(c), "chunks")
+    tiled = placed.join(chunks, "block").select("block", "a", "b", (F.least(chunk("a"), chunk("b")) * F.lit(2**31) + F.greatest(chunk("a"), chunk("b"))).alias("salt"))
+    members = tiled.select("block", "salt", F.explode(F.array("a", "b")).alias("node")).distinct()
+    return members.withColumn("rank", F.lit(1)).join(labels, "node").select("block", "salt", "rank", "node", "label")
 
 
 def _label(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -464,7 +486,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = links.unionByName(more)
     labels = materialize(_label(light, links).select("node", "label"), "labels")
     pairs = _candidates(nodes.drop("label", "homes").join(labels, "node"))
-    links = links.unionByName(materialize(_block_join(docs, _pair_members(pairs, labels), star_links), "links"))
+    links = links.unionByName(materialize(_block_join(docs, _pair_members(pairs, labels), tile_links), "links"))
     found = _label(nodes.select("node"), links)
     classes = nodes.select("f1", "f2", "n", "node").join(found, "node")
     return (signed.select("doc_id", "n", "f1", "f2")
