@@ -13,11 +13,11 @@ the documents that can link, and the trees work inside those blocks:
 2. Likely near copies: nodes with an equal min-hash meet in blocks of bounded
    size around a common centre; an R-tree join inside each block finds links.
    This contracts large groups of near copies to one label in linear work.
-3. Exactness: two sets that link share a shingle among the first
-   n - ceil(0.75 n) + 1 of either in any fixed order of all shingles (prefix
-   filter). The order puts frequent shingles last, so passages that many
-   documents share are hardly ever keys. Nodes of different labels that meet
-   under a key and pass the size and count-vector bounds are verified.
+3. Exactness: in any fixed order of all shingles, two sets that link share at
+   least l shingles among the first n - ceil(0.75 n) + l of either (prefix
+   filter); l is 1 + n / STRIDE, so sharing a passage isn't enough. The order puts
+   frequent shingles last. Nodes of different labels that share enough keys and
+   pass the size and count-vector bounds are verified.
 4. Connected components of all links.
 
 Keys are split into tiles when many nodes meet under one, so no task holds an
@@ -56,6 +56,8 @@ LEAF = 32
 #: Shingles compared at once when a tile is verified.
 COLUMNS = 4096
 HOMES = 5
+#: One more shared key is asked for, and one more is listed, for so many shingles.
+STRIDE = 20
 
 
 def need(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -251,7 +253,7 @@ def _signature_pass(heavy: np.ndarray):
                 prefix = []
                 for r in range(w.rows):
                     own, l = values[off[r]:off[r + 1]], late[off[r]:off[r + 1]]
-                    size = n[r] - -(-NUM * n[r] // DEN) + 1 if n[r] else 0
+                    size = n[r] - -(-NUM * n[r] // DEN) + 1 + n[r] // STRIDE if n[r] else 0
                     front = own[l < 0]
                     if len(front) < size:
                         front = np.concatenate([front, own[np.argsort(l, kind="stable")][len(front):]])
@@ -334,8 +336,9 @@ RUNS = "kind int, a long, b long, tile long, n long, label long"
 
 def _run_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, n, label) sorted by key -> kind 0: pairs (a, b) of nodes of
-    different labels and fitting sizes that share a key held by few nodes;
-    kind 1: tile members (a: key, b: node) of the other keys."""
+    different labels and fitting sizes that share n keys held by few nodes;
+    kind 1: tile members (a: key, b: node) of the other keys; kind 2: of a node (a) the
+    numbers of keys that nodes of several labels (n) and of these many nodes (b) hold."""
     carry: dict | None = None
     for last, batch in _with_last(batches):
         cols = {c: batch.column(c).to_numpy() for c in ("key", "node", "n", "label")}
@@ -366,9 +369,13 @@ def _runs(c: dict) -> Iterator[pa.RecordBatch]:
     cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
     size = np.diff(np.append(cuts, len(key)))
     mixed = np.minimum.reduceat(label, cuts) != np.maximum.reduceat(label, cuts)
-    out = []
+    out, pairs = [], []
     small = mixed & (size <= SMALL_RUN)
     rows = np.flatnonzero(np.repeat(small, size))
+    held = np.repeat(mixed, size)
+    own, which = np.unique(node[held], return_inverse=True)
+    if len(own):
+        out.append((2, own, np.bincount(which, weights=np.repeat(~small, size)[held]).astype(np.int64), 0, np.bincount(which), 0))
     run = np.repeat(np.arange(len(cuts)), size)
     for step in range(1, SMALL_RUN):
         ok = rows[rows + step < len(key)]
@@ -377,8 +384,12 @@ def _runs(c: dict) -> Iterator[pa.RecordBatch]:
             break
         j = i + step
         fit = (label[i] != label[j]) & sizes_fit(n[i], n[j])
-        i, j = i[fit], j[fit]
-        out.append((0, np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), 0, 0, 0))
+        pairs.append(np.stack([np.minimum(node[i[fit]], node[j[fit]]), np.maximum(node[i[fit]], node[j[fit]])], axis=1))
+    if pairs:
+        both = np.concatenate(pairs)
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        new = np.flatnonzero(np.append(True, (both[1:] != both[:-1]).any(axis=1))[: len(both)])
+        out.append((0, both[new, 0], both[new, 1], 0, np.diff(np.append(new, len(both))), 0))
     for r in np.flatnonzero(mixed & (size > SMALL_RUN)):
         at = np.arange(cuts[r], cuts[r] + size[r])
         at = at[np.argsort(n[at], kind="stable")]
@@ -432,13 +443,25 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     keys = nodes.select(F.explode("prefix").alias("key"), "node", "n", "label")
     runs = materialize(keys.repartition("key").sortWithinPartitions("key").mapInArrow(_run_pass, RUNS), "runs")
     counts = nodes.select("node", "counts")
-    pairs = runs.filter("kind = 0").select("a", "b").distinct()
-    small = (pairs.join(counts.toDF("a", "ca"), "a").join(counts.toDF("b", "cb"), "b")
+    asked = lambda c: F.lit(1) + F.floor(F.col(c) / STRIDE)
+    # a node of n shingles can link only with nodes of 0.75 n or more, and needs as many shared keys as they do
+    held = (runs.filter("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("mixed"), F.sum("b").alias("large"))
+            .join(nodes.select("node", "n"), "node").filter(F.col("mixed") >= 1 + F.floor(F.floor(F.col("n") * NUM / DEN) / STRIDE)))
+    held = materialize(held.select("node", "n", "large"), "held")
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b, c: shared keys among those of few nodes) that can share enough keys in all."""
+        return (pairs.join(held.toDF("a", "na", "la"), "a").join(held.toDF("b", "nb", "lb"), "b")
+                .filter(F.col("c") + F.least("la", "lb") >= F.least(asked("na"), asked("nb"))).select("a", "b"))
+
+    shared = runs.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("c"))
+    small = (enough(shared).join(counts.toDF("a", "ca"), "a").join(counts.toDF("b", "cb"), "b")
              .mapInArrow(_bound_pass, "a long, b long"))
-    tiles = (runs.filter("kind = 1").join(counts.toDF("b", "counts"), "b")
+    tiles = (runs.filter("kind = 1").join(held.select(F.col("node").alias("b")), "b").join(counts.toDF("b", "counts"), "b")
              .select("a", "b", "tile", "n", "label", "counts")
-             .repartition("a", "tile").sortWithinPartitions("a", "tile").mapInArrow(_tile_pass, "a long, b long"))
-    return materialize(small.unionByName(tiles).distinct(), "pairs")
+             .repartition("a", "tile").sortWithinPartitions("a", "tile").mapInArrow(_tile_pass, "a long, b long").distinct())
+    tiled = enough(tiles.join(shared, ["a", "b"], "left").fillna(0, ["c"]))
+    return materialize(small.unionByName(tiled).distinct(), "pairs")
 
 
 def _pair_members(pairs: DataFrame, labels: DataFrame) -> DataFrame:
