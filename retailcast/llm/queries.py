@@ -2,21 +2,95 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from retailcast.llm import (decontam, dsir, license_dice, line_dedup, ngram_join, pivot_topk, secret_ledger,
+                            sp_codec, surrogates, toxicity)
+from retailcast.session import ensure_checkpoint_dir, shared_path
 
-from retailcast.llm import ngram_join
-from retailcast.session import ensure_checkpoint_dir
+#: The SentencePiece model; a parameter of the installation, never part of the repository.
+SP_MODEL = os.environ.get("SP_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: The key of the surrogates; a deployment sets its own.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "local-development-key")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ledger = shared_path(spark, f"tables/ledger-{uuid.uuid4().hex}")
+    return secret_ledger.secret_report(secret_ledger.secrets(docs, ledger))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_codec.encode(table(spark, sf_dir, "documents"), sp_codec.model_bytes(SP_MODEL))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_dice.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored, least = dsir.resample(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "log_weight", "gumbel_key", (F.col("gumbel_key") >= least).alias("kept"))
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_secret_scan, op3_toxicity, op4_sentencepiece, op5_decontamination,
+    op6_pivot_topk, op7_license_scan, op8_quality_classifier, op9_pii_surrogates, op10_line_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_pivot_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_line_dedup": """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT k.*, c.key IS NOT NULL AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+}

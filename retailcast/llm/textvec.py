@@ -23,6 +23,8 @@ BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 GRAM_CODE = _rng.integers(1, 2**63, 16, dtype=np.int64).astype(U) | U(1)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Separators of normalised words: every ASCII byte but letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: Bytes worked on at a time; a longer single text is cut only between words.
 BLOCK_BYTES = 1 << 20
 _pow = np.ones(1, dtype=U), np.ones(1, dtype=U)
@@ -87,9 +89,9 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), off
 
 
-def _block_words(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, ...]:
+def _block_words(data: np.ndarray, row_starts: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, ...]:
     """Word starts, ends and hashes in ``data``; a word never crosses a row start."""
-    solid = ~SPACE[data]
+    solid = ~blank[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     last = solid.copy()
@@ -111,31 +113,31 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
         i = j
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the rows with the given byte offsets into ``data``."""
+def words_of(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> Words:
+    """Words of the rows with the given byte offsets into ``data``; ``blank`` marks separating bytes."""
     parts, lo, hi = [], int(offsets[0]), int(offsets[-1])
     if hi - lo > 2 * BLOCK_BYTES and len(offsets) == 2:      # one long text: blocks cut at white space
         at = lo
         while at < hi:
             end = min(at + BLOCK_BYTES, hi)
-            while end < hi and not SPACE[data[end]]:
+            while end < hi and not blank[data[end]]:
                 end += 1
-            s, e, h = _block_words(data[at:end], np.zeros(0, np.int64))
+            s, e, h = _block_words(data[at:end], np.zeros(0, np.int64), blank)
             parts.append((s + (at - lo), e + (at - lo), h))
             at = end
         s, e, h = (np.concatenate(x) for x in zip(*parts, strict=True))
         return Words(h, np.array([0, len(h)]), s, e)
-    s, e, h = _block_words(data[lo:hi], offsets - lo)
+    s, e, h = _block_words(data[lo:hi], offsets - lo, blank)
     counts = np.searchsorted(s, offsets - lo)
     base = np.repeat(offsets[:-1] - lo, np.diff(counts))
     return Words(h, counts, s - base, e - base)
 
 
-def word_blocks(column: pa.Array) -> Iterator[tuple[int, Words]]:
+def word_blocks(column: pa.Array, blank: np.ndarray = SPACE) -> Iterator[tuple[int, Words]]:
     """(first row, words) over bounded blocks of rows of a text column."""
     data, offsets = text_buffers(column)
     for i, j in row_blocks(offsets):
-        yield i, words_of(data, offsets[i:j + 1])
+        yield i, words_of(data, offsets[i:j + 1], blank)
 
 
 def gram_hashes(w: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
