@@ -31,6 +31,9 @@ BUCKETS = 1 << 16
 #: Labelled rows used at most; a fixed bound of the fit.
 MAX_LABELS = 20_000
 SMOOTH = 1.0
+#: n-grams whose two probabilities are within a factor of two say nothing: the target
+#: sample's share of a language or topic is uncertain, and long texts would add that up.
+MARGIN = float(np.log(2))
 #: Keys sorted on the driver at most when the k-th is looked for.
 FINE, BINS = 10_000, 1_000
 
@@ -102,7 +105,8 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     target[rows["bucket"].to_numpy(dtype=np.int64)] += rows["target"].to_numpy(dtype=float)
     if target.sum() <= SMOOTH * BUCKETS:                # nothing labelled good: no document is preferred
         return np.zeros(BUCKETS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    return np.where(np.abs(ratio) < MARGIN, 0.0, ratio)
 
 
 def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
