@@ -331,13 +331,13 @@ def _home_members(nodes: DataFrame, turns: list[int]) -> DataFrame:
 
 # ---- keys -----------------------------------------------------------------------------------------
 
-RUNS = "kind int, a long, b long, tile long, n long, label long"
+RUNS = "kind int, a long, b long, n long, label long"
 
 
 def _run_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, n, label) sorted by key -> kind 0: pairs (a, b) of nodes of
     different labels and fitting sizes that share n keys held by few nodes;
-    kind 1: tile members (a: key, b: node) of the other keys; kind 2: of a node (a) the
+    kind 1: the nodes b of families a of other keys; kind 2: of a node (a) the
     numbers of keys that nodes of several labels (n) and of these many nodes (b) hold."""
     carry: dict | None = None
     for last, batch in _with_last(batches):
@@ -375,7 +375,7 @@ def _runs(c: dict) -> Iterator[pa.RecordBatch]:
     held = np.repeat(mixed, size)
     own, which = np.unique(node[held], return_inverse=True)
     if len(own):
-        out.append((2, own, np.bincount(which, weights=np.repeat(~small, size)[held]).astype(np.int64), 0, np.bincount(which), 0))
+        out.append((2, own, np.bincount(which, weights=np.repeat(~small, size)[held]).astype(np.int64), np.bincount(which), 0))
     run = np.repeat(np.arange(len(cuts)), size)
     for step in range(1, SMALL_RUN):
         ok = rows[rows + step < len(key)]
@@ -389,31 +389,25 @@ def _runs(c: dict) -> Iterator[pa.RecordBatch]:
         both = np.concatenate(pairs)
         both = both[np.lexsort((both[:, 1], both[:, 0]))]
         new = np.flatnonzero(np.append(True, (both[1:] != both[:-1]).any(axis=1))[: len(both)])
-        out.append((0, both[new, 0], both[new, 1], 0, np.diff(np.append(new, len(both))), 0))
-    for r in np.flatnonzero(mixed & (size > SMALL_RUN)):
-        at = np.arange(cuts[r], cuts[r] + size[r])
-        at = at[np.argsort(n[at], kind="stable")]
-        chunks = [at[i:i + TILE // 2] for i in range(0, len(at), TILE // 2)]
-        for x, one in enumerate(chunks):                 # chunks in order of size: only neighbours can link
-            for y in range(x, len(chunks)):
-                if DEN * n[one[-1]] < NUM * n[chunks[y][0]]:
-                    break
-                if y == x and len(chunks) > 1:           # within a chunk: done with the next tile it is part of
-                    if x + 1 < len(chunks) and DEN * n[one[-1]] >= NUM * n[chunks[x + 1][0]]:
-                        continue
-                both = one if y == x else np.concatenate([one, chunks[y]])
-                if label[both].min() != label[both].max():
-                    out.append((1, key[both], node[both], x * 2**31 + y, n[both], label[both]))
-    for kind, a, b, tile, n_, label_ in out:
+        out.append((0, both[new, 0], both[new, 1], np.diff(np.append(new, len(both))), 0))
+    large = np.repeat(mixed & (size > SMALL_RUN), size)
+    if large.any():
+        # keys that hold about the same nodes get the same family: their least node by hash
+        h = V.mix(node.astype(V.U))
+        least = np.minimum.reduceat(h, cuts)[run]
+        family = np.maximum.reduceat(np.where(h == least, node, np.iinfo(np.int64).min), cuts)[run]
+        both = np.unique(np.stack([family[large], node[large], n[large], label[large]]), axis=1)
+        out.append((1, both[0], both[1], both[2], both[3]))
+    for kind, a, b, n_, label_ in out:
         k = len(a)
         fill = lambda v: pa.array(np.broadcast_to(np.asarray(v, dtype=np.int64), k))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, dtype=np.int32)), pa.array(a), pa.array(b), fill(tile), fill(n_), fill(label_)],
-                                         ["kind", "a", "b", "tile", "n", "label"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, dtype=np.int32)), pa.array(a), pa.array(b), fill(n_), fill(label_)],
+                                         ["kind", "a", "b", "n", "label"])
 
 
 def _tile_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tile members with count vectors -> candidate pairs of different labels, by R-tree."""
-    for t in V.key_runs(batches, "a", "tile"):
+    for t in V.key_runs(batches, "tile"):
         node, n, label = (t.column(c).to_numpy() for c in ("b", "n", "label"))
         counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), dtype=np.uint32).reshape(-1, GROUPS).astype(np.int32)
         tree, a, b = CountTree(counts, n), [], []
@@ -437,6 +431,29 @@ def _bound_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
 
+def _tiled(family: DataFrame) -> DataFrame:
+    """Members of families (a, b, n, label) with the tiles they are compared in.
+
+    Sizes that can link are in the same or neighbouring bands of ratio 4:3. A band of
+    a family is cut into chunks of TILE / 2; a tile holds two chunks of one or of
+    neighbouring bands, or a whole family that fits.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(DEN / NUM)))).cast("int")
+    rows = family.withColumn("band", band)
+    chunks = (rows.groupBy("a", "band").agg(F.count("*").alias("k"))
+              .groupBy("a").agg(F.sum("k").alias("total"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(2 * F.col("k") / TILE).cast("int").alias("c")))).alias("chunks")))
+    count = lambda d: F.coalesce(F.col("chunks")[F.col("band") + d], F.lit(0))
+    own = F.pmod(F.xxhash64("b"), count(0)).cast("int")
+    upto = lambda c: F.when(c > 0, F.sequence(F.lit(0), F.greatest(c, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    tile = lambda i, x, j, y: F.xxhash64("a", i, x, j, y)
+    all_tiles = F.concat(
+        F.transform(upto(count(0)), lambda y: tile("band", F.least(own, y), "band", F.greatest(own, y))),
+        F.transform(upto(count(1)), lambda y: tile("band", own, F.col("band") + 1, y)),
+        F.transform(upto(count(-1)), lambda y: tile(F.col("band") - 1, y, "band", own)))
+    return (rows.join(chunks, "a").withColumn("tile", F.explode(F.when(F.col("total") <= TILE, F.array(F.xxhash64("a"))).otherwise(all_tiles)))
+            .select("a", "b", "n", "label", "tile"))
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
     """Pairs (a < b) of nodes of different labels that share a prefix key and pass the bounds."""
     spark = nodes.sparkSession
@@ -457,9 +474,9 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     shared = runs.filter("kind = 0").groupBy("a", "b").agg(F.sum("n").alias("c"))
     small = (enough(shared).join(counts.toDF("a", "ca"), "a").join(counts.toDF("b", "cb"), "b")
              .mapInArrow(_bound_pass, "a long, b long"))
-    tiles = (runs.filter("kind = 1").join(held.select(F.col("node").alias("b")), "b").join(counts.toDF("b", "counts"), "b")
-             .select("a", "b", "tile", "n", "label", "counts")
-             .repartition("a", "tile").sortWithinPartitions("a", "tile").mapInArrow(_tile_pass, "a long, b long").distinct())
+    family = runs.filter("kind = 1").select("a", "b", "n", "label").distinct().join(held.select(F.col("node").alias("b")), "b")
+    tiles = (_tiled(materialize(family, "family")).join(counts.toDF("b", "counts"), "b").select("tile", "b", "n", "label", "counts")
+             .repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile_pass, "a long, b long").distinct())
     tiled = enough(tiles.join(shared, ["a", "b"], "left").fillna(0, ["c"]))
     return materialize(small.unionByName(tiled).distinct(), "pairs")
 
