@@ -23,10 +23,14 @@ from pyspark.sql import functions as F
 
 from retailcast.llm import textvec as V
 
-BITS, DIM, WINDOW, GRAMS = 17, 8, 12, (3, 4, 5, 6)
+BITS, DIM, WINDOW, GRAMS = 17, 8, 2, (3, 4, 5, 6)
 #: Labelled rows of each class in the fit at most.
 MAX_TRAIN = 1_500
-WARM, STEPS, RATE = 25, 60, 0.08
+#: Steps over all windows, rounds of picking windows and steps on the picked ones.
+WARM, ROUNDS, STEPS, RATE = 5, 10, 12, 0.1
+#: Windows of a document that are learnt from in a round, and the clean ones' share of the loss.
+TOP_TOXIC, TOP_CLEAN, CLEAN_SHARE = 1, 8, 0.6
+LEAST_DOCS = 3
 CUT = 0.7
 
 
@@ -52,6 +56,15 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return (np.concatenate(out) >> V.U(64 - BITS)).astype(np.int64), np.concatenate(owner)
 
 
+def without_repeats(w: V.Words) -> V.Words:
+    """Words without those equal to the word before: a repeated word is one piece of evidence."""
+    row = w.row_of()
+    keep = np.ones(len(w.hashes), dtype=bool)
+    keep[1:] = (w.hashes[1:] != w.hashes[:-1]) | (row[1:] != row[:-1])
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return V.Words(w.hashes[keep], total[w.offsets], w.starts[keep], w.ends[keep])
+
+
 def windows(w: V.Words) -> tuple[np.ndarray, np.ndarray]:
     """(window of each word, row of each window): runs of WINDOW words of a row."""
     at = np.arange(len(w.hashes)) - w.offsets[:-1][w.row_of()]
@@ -60,30 +73,34 @@ def windows(w: V.Words) -> tuple[np.ndarray, np.ndarray]:
     return base[:-1][w.row_of()] + at // WINDOW, np.repeat(np.arange(w.rows), per_row)
 
 
+def ragged(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """flat[first[i]: first[i] + count[i]] of all i, joined."""
+    total = np.cumsum(count)
+    return flat[np.repeat(first - (total - count), count) + np.arange(total[-1] if len(total) else 0)]
+
+
 class Averages:
-    """Sparse row averages: out[i] = mean of x[col] over the entries of row i."""
+    """Sparse row averages: out[i] = mean of x[col] over the entries of row i (rows in order)."""
 
-    def __init__(self, row: np.ndarray, col: np.ndarray, n_rows: int, n_cols: int):
-        order = np.argsort(row, kind="stable")
-        self.col, row = col[order], row[order]
+    def __init__(self, row: np.ndarray, col: np.ndarray, n_rows: int):
+        self.col, self.n_rows = col, n_rows
         self.count = np.bincount(row, minlength=n_rows)
         self.some = np.flatnonzero(self.count)
-        self.first = np.concatenate([[0], np.cumsum(self.count)])[:-1][self.some]
-        back = np.argsort(self.col, kind="stable")
-        self.row_back, cols = row[back], self.col[back]
-        self.cols, self.first_back = np.unique(cols, return_index=True)
-        self.shape = n_rows, n_cols
+        self.first = (np.cumsum(self.count) - self.count)[self.some]
+        back = np.argsort(col, kind="stable")
+        self.row_back = row[back]
+        self.cols, self.first_back = np.unique(col[back], return_index=True)
 
     def forward(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.shape[0], x.shape[1]), dtype=x.dtype)
+        out = np.zeros((self.n_rows, x.shape[1]), dtype=np.float32)
         if len(self.some):
             out[self.some] = np.add.reduceat(x[self.col], self.first) / self.count[self.some, None]
         return out
 
-    def backward(self, g: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.shape[1], g.shape[1]), dtype=g.dtype)
+    def backward(self, g: np.ndarray, n_cols: int) -> np.ndarray:
+        out = np.zeros((n_cols, g.shape[1]), dtype=np.float32)
         if len(self.cols):
-            out[self.cols] = np.add.reduceat((g / np.maximum(self.count, 1)[:, None])[self.row_back], self.first_back)
+            out[self.cols] = np.add.reduceat((g / np.maximum(self.count, 1)[:, None]).astype(np.float32)[self.row_back], self.first_back)
         return out
 
 
@@ -95,7 +112,7 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     seen: dict = {}
     byte_parts = []
     for i, j in V.row_blocks(offsets):
-        w = V.words_of(data, offsets[i:j + 1], V.NOT_ALNUM)
+        w = without_repeats(V.words_of(data, offsets[i:j + 1], V.NOT_ALNUM))
         own, (of, rows) = data[offsets[i]:offsets[j]], windows(w)
         hashes.append(w.hashes)
         win.append(of + count)
@@ -115,45 +132,90 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     word = number[np.searchsorted(table, hashes)]
     ends = np.cumsum([len(b) for b in byte_parts])
     bucket, owner = subwords(np.frombuffer(b"".join(byte_parts), dtype=np.uint8), np.concatenate([[0], ends[:-1]]), ends)
-    used, bucket = np.unique(bucket, return_inverse=True)
-    words = Averages(owner, bucket, len(seen), len(used))
-    wins = Averages(win, word, count, len(seen))
+    # n-grams of fewer than LEAST_DOCS documents are left out: their score would be chance
+    doc_word = np.unique(np.stack([row_of_win[win], word]), axis=1)
+    word_docs = np.bincount(doc_word[1], minlength=len(seen))
+    gram_docs = np.bincount(bucket, weights=word_docs[owner], minlength=1 << BITS)
+    often = gram_docs[bucket] >= LEAST_DOCS
+    used, bucket = np.unique(bucket[often], return_inverse=True)
+    owner = owner[often]
+    if not len(used):
+        return np.zeros(1 << BITS, dtype=np.float32), 0.0
     rng = np.random.default_rng(5)
-    emb = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
-    soft, bias = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
-    params, moments = [emb, soft, bias], [[np.zeros_like(p), np.zeros_like(p)] for p in (emb, soft, bias)]
-    y_win = labels[row_of_win]
+    model = Model(np.zeros((len(used), DIM)), rng.normal(0, 0.5, (DIM, 2)), np.array([1.5, -1.5]))
+    every = np.arange(count)
+    inside = Bag(owner, bucket, win, word)
+    y = labels[row_of_win]
+    for _ in range(WARM):                              # every window has its document's label
+        model.step(*inside.pick(every), y, *class_weights(y))
     order = np.argsort(row_of_win, kind="stable")
-    row_first = np.unique(row_of_win[order], return_index=True)
-    for step in range(1, WARM + STEPS + 1):
-        wv = words.forward(emb)
-        x = wins.forward(wv)
-        z = x @ soft + bias
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        # warm-up: every window has its document's label; then a document is its most toxic window
-        weight = np.where(y_win == 1, 0.5 / max(1, (y_win == 1).sum()), 0.5 / max(1, (y_win == 0).sum()))
-        if step > WARM:
-            top = np.maximum.reduceat(p[order, 1], row_first[1])
-            best = np.zeros(count, dtype=bool)
-            best_rows = np.full(len(labels), 2.0)
-            best_rows[row_first[0]] = top
-            best = p[:, 1] >= best_rows[row_of_win]
-            weight = np.where(best, np.where(y_win == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum()), np.where(y_win == 0, 0.2 * weight, 0))
-        grad = p.copy()
-        grad[np.arange(count), y_win] -= 1
-        grad = (grad * weight[:, None]).astype(np.float32)
-        gx = grad @ soft.T
-        grads = [words.backward(wins.backward(gx)), x.T @ grad, grad.sum(axis=0)]
-        for param, g, (m, v) in zip(params, grads, moments, strict=True):
+    for _ in range(ROUNDS):                            # a document is its most toxic windows
+        p = model.predict(*inside.pick(every))
+        best = order[np.lexsort((-p[order], row_of_win[order]))]
+        first = np.searchsorted(row_of_win[best], row_of_win[best])
+        place = np.arange(count) - first
+        top = best[place < np.where(y[best] == 1, TOP_TOXIC, TOP_CLEAN)]
+        parts = inside.pick(top)
+        for _ in range(STEPS):
+            model.step(*parts, y[top], *class_weights(y[top]))
+    out = np.zeros(1 << BITS, dtype=np.float32)
+    out[used] = model.emb @ (model.soft[:, 1] - model.soft[:, 0])
+    return out, float(model.bias[1] - model.bias[0])
+
+
+def class_weights(y: np.ndarray) -> tuple[float, float]:
+    """Weights of a clean and of a toxic window: CLEAN_SHARE of the loss is on clean ones."""
+    return CLEAN_SHARE / max(1, int((y == 0).sum())), (1 - CLEAN_SHARE) / max(1, int((y == 1).sum()))
+
+
+class Bag:
+    """n-grams of words and words of windows, from which averages over chosen windows are made."""
+
+    def __init__(self, owner, bucket, win, word):
+        self.grams = bucket[order := np.argsort(owner, kind="stable")]
+        self.gram_count = np.bincount(owner, minlength=int(word.max()) + 1)
+        self.gram_first = np.cumsum(self.gram_count) - self.gram_count
+        self.words = word[order := np.argsort(win, kind="stable")]
+        self.word_count = np.bincount(win)
+        self.word_first = np.cumsum(self.word_count) - self.word_count
+
+    def pick(self, some: np.ndarray) -> tuple[Averages, Averages]:
+        words = ragged(self.words, self.word_first[some], self.word_count[some])
+        own, words = np.unique(words, return_inverse=True)
+        n = self.gram_count[own]
+        grams = ragged(self.grams, self.gram_first[own], n)
+        return (Averages(np.repeat(np.arange(len(own)), n), grams, len(own)),
+                Averages(np.repeat(np.arange(len(some)), self.word_count[some]), words, len(some)))
+
+
+class Model:
+    """n-gram embeddings and a linear softmax with Adam moments."""
+
+    def __init__(self, emb, soft, bias):
+        self.emb, self.soft, self.bias = (x.astype(np.float32) for x in (emb, soft, bias))
+        self.moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (self.emb, self.soft, self.bias)]
+        self.turn = 0
+
+    def forward(self, words: Averages, wins: Averages) -> tuple[np.ndarray, np.ndarray]:
+        x = wins.forward(words.forward(self.emb))
+        z = x @ self.soft + self.bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        return x, p / p.sum(axis=1, keepdims=True)
+
+    def predict(self, words: Averages, wins: Averages) -> np.ndarray:
+        return self.forward(words, wins)[1][:, 1]
+
+    def step(self, words: Averages, wins: Averages, y: np.ndarray, clean: float, toxic: float) -> None:
+        self.turn += 1
+        x, grad = self.forward(words, wins)
+        grad[np.arange(len(y)), y] -= 1
+        grad = (grad * np.where(y == 1, toxic, clean)[:, None]).astype(np.float32)
+        back = words.backward(wins.backward(grad @ self.soft.T, words.n_rows), len(self.emb))
+        grads = [back, x.T @ grad, grad.sum(axis=0)]
+        for param, g, (m, v) in zip((self.emb, self.soft, self.bias), grads, self.moments, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            param -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    direction = (soft[:, 1] - soft[:, 0])
-    out = np.zeros(1 << BITS, dtype=np.float32)
-    out[used] = emb @ direction
-    return out, float(bias[1] - bias[0])
+            param -= RATE * (m / (1 - 0.9 ** self.turn)) / (np.sqrt(v / (1 - 0.99 ** self.turn)) + 1e-8)
 
 
 def word_scores(hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -169,7 +231,7 @@ def _score_pass(table: np.ndarray, bias: float):
             data, offsets = V.text_buffers(batch.column(1))
             logit = np.full(batch.num_rows, bias)
             for i, j in V.row_blocks(offsets):
-                w = V.words_of(data, offsets[i:j + 1], V.NOT_ALNUM)
+                w = without_repeats(V.words_of(data, offsets[i:j + 1], V.NOT_ALNUM))
                 if not len(w.hashes):
                     continue
                 start = w.starts + (offsets[i:j + 1] - offsets[i])[w.row_of()]
