@@ -10,13 +10,10 @@ from retailcast.functions.columns import (calendar_columns, discount_amount,
                                           event_time_iso, promo_or_holiday)
 
 
-def p75_threshold(df: DataFrame, label: str = LABEL, q: float = 0.75, exact: bool = True) -> Column:
-    """Scalar-subquery column: linear-interpolated quantile of ``label`` over
-    the whole input. Exact ``percentile`` buffers one count per distinct
-    value (bounded for integer counts); ``exact=False`` switches to the
-    sketch for high-cardinality labels."""
-    agg = F.percentile(label, q) if exact else F.percentile_approx(label, q, 100000)
-    return df.agg(agg.cast("double")).scalar()
+def p75_threshold(df: DataFrame, label: str = LABEL, q: float = 0.75) -> Column:
+    """Scalar column: the exact, linearly interpolated quantile of ``label`` over the whole input."""
+    from retailcast.operators.quantile import exact_quantile  # local import: avoids a cycle
+    return exact_quantile(df, label, q)
 
 
 def label_high_demand(df: DataFrame, threshold: Column | float | None = None,

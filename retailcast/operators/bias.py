@@ -81,10 +81,10 @@ def pretraining_report(df: DataFrame, label: str = "high_demand", facet: str = "
 # ---------------------------------------------------------------- post-training
 
 def bias_threshold(scored: DataFrame, label_bin: str = "high_demand", label: str = LABEL) -> Column:
-    """min label among positives, else p75 of the label (scalar subquery)."""
-    y = F.col(label).cast("double")
-    return scored.agg(F.coalesce(F.min(F.when(F.col(label_bin) == 1, y)),
-                                 F.percentile(y, 0.75))).scalar()
+    """min label among positives, else p75 of the label (one number)."""
+    from retailcast.operators.quantile import exact_quantile
+    least = scored.agg(F.min(F.when(F.col(label_bin) == 1, F.col(label).cast("double")))).first()[0]
+    return exact_quantile(scored, label, 0.75) if least is None else F.lit(least)
 
 
 def with_predicted_label(scored: DataFrame, threshold: Column | None = None,
@@ -232,8 +232,10 @@ def cddpl(scored: DataFrame, group: str, facet: str = "is_weekend", facet_value=
     """Conditional demographic disparity of predicted labels.
 
     Per group i: DD_i = share of facet d among predicted negatives − share of
-    facet d among predicted positives; CDDPL = Σ n_i·DD_i / n. Two-level
-    aggregation: per (group) conditional counts, then a weighted sum.
+    facet d among predicted positives; CDDPL = Σ n_i·DD_i / Σ n_i. A group
+    without predicted positives or negatives has no DD_i: it is left out with
+    its weight and counted in ``n_undefined``. Two-level aggregation: per
+    (group) conditional counts, then a weighted sum.
     """
     is_d, pos = F.col(facet) == F.lit(facet_value), F.col(yhat) == 1
     per = (scored.filter(F.col(facet).isNotNull())
@@ -241,6 +243,6 @@ def cddpl(scored: DataFrame, group: str, facet: str = "is_weekend", facet_value=
            .agg(F.count(F.lit(1)).alias("n_i"),
                 F.count_if(~pos).alias("neg"), F.count_if(pos).alias("pos"),
                 F.count_if(~pos & is_d).alias("neg_d"), F.count_if(pos & is_d).alias("pos_d")))
-    dd = F.coalesce(safe_divide(F.col("neg_d"), F.col("neg")), F.lit(0.0)) - \
-        F.coalesce(safe_divide(F.col("pos_d"), F.col("pos")), F.lit(0.0))
-    return per.agg((F.sum(F.col("n_i") * dd) / F.sum("n_i")).alias("CDDPL"))
+    dd = safe_divide(F.col("neg_d"), F.col("neg")) - safe_divide(F.col("pos_d"), F.col("pos"))
+    return per.agg(safe_divide(F.sum(F.col("n_i") * dd), F.sum(F.when(dd.isNotNull(), F.col("n_i")))).alias("CDDPL"),
+                   F.count_if(dd.isNull()).alias("n_undefined"))

@@ -33,11 +33,11 @@ def baseline_predict(df: DataFrame, split_col: str = "split_type", keys=("store_
 
 
 def metric_columns(label: str = LABEL, prediction: str = "prediction") -> list[Column]:
-    """E1–E3 as aggregate expressions (one pass)."""
-    y = F.col(label).cast("double")
-    e = F.col(prediction).cast("double") - y
+    """E1–E3 as aggregate expressions (one pass) over rows that have a label and a prediction."""
+    e = F.col(prediction).cast("double") - F.col(label).cast("double")
+    y = F.when(e.isNotNull(), F.col(label).cast("double"))       # rows with a label and a prediction
     sse = F.sum(e * e)
-    n = F.count(F.lit(1))
+    n = F.count(e)
     sst = F.var_pop(y) * n
     return [
         n.alias("n_rows"),

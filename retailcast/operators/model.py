@@ -10,24 +10,29 @@ import json
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailcast.contract import FEATURE_ORDER, GBT_PARAMS, LABEL
+from retailcast.functions.columns import require_columns
 
 
 def assemble_features(df: DataFrame, features=FEATURE_ORDER, handle_invalid: str = "keep",
                       out: str = "features") -> DataFrame:
     """M1: ordered numeric feature vector (missing input column -> error)."""
-    missing = [c for c in features if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required features in input: {missing}")
+    require_columns(df, features)
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
 def gbt_estimator(rounds: int | None = None, seed: int = 42, label: str = LABEL, **overrides) -> GBTRegressor:
     """M2: the training job's boosted-tree settings mapped onto Spark's GBT.
-    Spark has no L2 leaf term or min-child-weight; minInstancesPerNode=1."""
+
+    Spark has no L2 leaf term, no minimum child weight and samples columns per
+    node, not per tree: asking for other values of these raises."""
+    unknown = set(overrides) - set(GBT_PARAMS)
+    fixed = {k for k in ("reg_lambda", "min_child_weight") if overrides.get(k, GBT_PARAMS[k]) != GBT_PARAMS[k]}
+    if unknown or fixed:
+        raise ValueError(f"boosted trees can't take {sorted(unknown | fixed)}")
     p = dict(GBT_PARAMS, **overrides)
     return GBTRegressor(
         labelCol=label, featuresCol="features", predictionCol="prediction",
@@ -95,32 +100,69 @@ def tree_table(spark: SparkSession, model_path: str) -> DataFrame:
                     F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold")))
 
 
-CSV_DDL = ", ".join(f"{c} float" for c in FEATURE_ORDER)
+def _feature_rows(values: Column, error: Column, keep: list[str]) -> list[Column]:
+    """Columns of a parsed request row: position, the features as floats, and the error (NULL: valid)."""
+    return [*keep, "pos", *[F.when(error.isNull(), F.get(values, F.lit(i))).cast("float").alias(c) for i, c in enumerate(FEATURE_ORDER)],
+            error.alias("error")]
 
 
-def score_csv_requests(model_path: str, requests: DataFrame, col: str = "value") -> DataFrame:
-    """M7: headerless CSV rows (18 floats in model order) -> prediction."""
-    parsed = requests.select("*", F.from_csv(F.col(col), CSV_DDL).alias("r")).select("*", "r.*").drop("r")
-    return batch_score(model_path, parsed)
+def parse_csv_requests(requests: DataFrame, col: str = "value") -> DataFrame:
+    """M7: headerless CSV bodies of one or more lines -> one row per line that isn't
+    blank: the request's other columns, ``pos``, the 18 features and ``error``.
+
+    A field that isn't a number is NULL; a line of another width, and a body
+    without a line, become a row with an error. No request is lost."""
+    keep = [c for c in requests.columns if c != col]
+    lines = F.filter(F.split(F.coalesce(F.col(col), F.lit("")), "\r?\n"), lambda x: F.trim(x) != "")
+    rows = requests.select(*keep, F.posexplode_outer(lines).alias("pos", "line"))
+    values = F.transform(F.split("line", ","), lambda x: F.trim(x).try_cast("double"))
+    error = (F.when(F.col("line").isNull(), F.lit("empty_body"))
+             .when(F.size(values) != len(FEATURE_ORDER), F.lit("wrong_width")))
+    return rows.select(*_feature_rows(values, error, keep))
+
+
+def parse_json_requests(requests: DataFrame, id_col: str = "request_id", body: str = "body") -> DataFrame:
+    """M8: JSON bodies -> one row per instance: id, ``pos``, the 18 features and ``error``.
+
+    The instances are the field ``instances`` of an object, whatever stands beside
+    it, or the body itself: a list of objects, a list of lists or a flat list of
+    numbers (one instance). What can't be read becomes a row with an error: not_json,
+    no_instances, missing_features (an object without all features) or wrong_width."""
+    text = F.coalesce(F.get_json_object(body, "$.instances"), F.col(body))
+    valid = F.try_parse_json(F.col(body))
+    is_dicts, is_lists, is_flat = text.rlike(r"^\s*\[\s*\{"), text.rlike(r"^\s*\[\s*\["), text.rlike(r"^\s*\[")
+    dicts = F.from_json(text, "array<map<string,double>>")
+    from_dicts = F.transform(dicts, lambda m: F.struct(
+        F.array(*[F.try_element_at(m, F.lit(c)) for c in FEATURE_ORDER]).alias("x"),
+        F.when(m.isNull() | ~F.forall(F.array(*map(F.lit, FEATURE_ORDER)), lambda c: F.map_contains_key(m, c)), "missing_features").alias("error")))
+    row = lambda x: F.struct(x.alias("x"), F.when(x.isNull() | (F.size(x) != len(FEATURE_ORDER)), "wrong_width").alias("error"))
+    from_lists = F.transform(F.from_json(text, "array<array<double>>"), row)
+    from_flat = F.array(row(F.from_json(text, "array<double>")))
+    found = F.when(is_dicts, from_dicts).when(is_lists, from_lists).when(is_flat, from_flat)
+    none = F.coalesce(F.size(found), F.lit(0)) <= 0
+    empty = F.array(F.struct(F.lit(None).cast("array<double>").alias("x"), F.when(valid.isNull(), "not_json").otherwise("no_instances").alias("error")))
+    rows = requests.select(id_col, F.posexplode(F.when(valid.isNull() | none | text.rlike(r"^\s*\[\s*\]\s*$"), empty).otherwise(found)).alias("pos", "r"))
+    return rows.select(*_feature_rows(F.col("r.x"), F.col("r.error"), [id_col]))
 
 
-INSTANCE_SCHEMA = "struct<instances: array<struct<" + ", ".join(f"{c}: double" for c in FEATURE_ORDER) + ">>>"
-LIST_SCHEMA = "struct<instances: array<array<double>>>"
+def quarantined_requests(parsed: DataFrame) -> DataFrame:
+    """Request rows that can't be scored, with their reason."""
+    return parsed.filter("error IS NOT NULL").drop(*FEATURE_ORDER)
+
+
+def score_parsed(model_path: str, parsed: DataFrame) -> DataFrame:
+    return batch_score(model_path, parsed.filter("error IS NULL").drop("error"))
+
+
+def score_csv_requests(model_path: str, requests: DataFrame, col: str = "value") -> DataFrame:
+    """M7: predictions of the valid lines; the others are in ``quarantined_requests``."""
+    return score_parsed(model_path, parse_csv_requests(requests, col))
 
 
 def score_json_requests(model_path: str, requests: DataFrame, id_col: str = "request_id",
                         body: str = "body") -> DataFrame:
-    """M8: JSON bodies {"instances": [{..}]} or {"instances": [[..]]} or a bare
-    list -> one row per instance (request id, position) -> prediction."""
-    as_dicts = F.from_json(body, INSTANCE_SCHEMA)["instances"]
-    as_lists = F.coalesce(F.from_json(body, LIST_SCHEMA)["instances"],
-                          F.from_json(body, "array<array<double>>"))
-    dict_rows = F.transform(as_dicts, lambda s: F.array(*[s[c] for c in FEATURE_ORDER]))
-    is_dict = F.substring(F.regexp_replace(body, r"\s", ""), 1, 15) == F.lit('{"instances":[{')
-    inst = F.when(is_dict, dict_rows).otherwise(as_lists)
-    rows = requests.select(id_col, F.posexplode(inst).alias("pos", "x"))
-    flat = rows.select(id_col, "pos", *[F.col("x")[i].cast("float").alias(c) for i, c in enumerate(FEATURE_ORDER)])
-    return batch_score(model_path, flat)
+    """M8: (request id, position) -> prediction of the valid instances; the others are in ``quarantined_requests``."""
+    return score_parsed(model_path, parse_json_requests(requests, id_col, body))
 
 
 def format_predictions(scored: DataFrame, id_col: str = "request_id", pos: str = "pos",
@@ -147,13 +189,23 @@ def hyperparameter_log(run_id: str, params: dict, metrics: DataFrame) -> tuple[l
 
 
 def fit_with_early_stopping(spark: SparkSession, train: DataFrame, val: DataFrame, rounds: int | None = None,
-                            patience: int = 20, seed: int = 42) -> tuple[GBTRegressionModel, DataFrame]:
-    """M2 + M3: fit, trace the learning curve, and keep the best prefix of
-    trees. Spark seeds round m with seed + m, so a refit with best+1 rounds
-    reproduces exactly that prefix."""
-    model = train_gbt(train, rounds, seed)
-    curve = learning_curve(spark, model, train, val)
-    best = early_stopping(curve, patience).first()
-    if best["stopped_early"] and best["best_iteration"] + 1 < model.getNumTrees:
+                            patience: int | None = None, seed: int = 42) -> tuple[GBTRegressionModel, DataFrame]:
+    """M2 + M3: boost until ``patience`` rounds past the best validation round or
+    ``rounds`` (the job's 250) in all, and keep the trees up to the best round.
+
+    Spark seeds round m with seed + m, so a longer fit begins with the same trees: the
+    number of rounds doubles until the curve stops, which trains at most twice the
+    rounds that are needed instead of all of them; the kept prefix is a short fit."""
+    patience = GBT_PARAMS["early_stopping_rounds"] if patience is None else patience
+    total = rounds or GBT_PARAMS["n_estimators"]
+    size = min(total, patience + patience // 2)
+    while True:
+        model = train_gbt(train, size, seed)
+        curve = learning_curve(spark, model, train, val)
+        best = early_stopping(curve, patience).first()
+        if best["stopped_early"] or size >= total:
+            break
+        size = min(total, 2 * size)
+    if best["best_iteration"] + 1 < model.getNumTrees:
         model = train_gbt(train, best["best_iteration"] + 1, seed)
-    return model, curve
+    return model, curve.filter(F.col("round") <= best["last_round"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailcast.operators.quantile import exact_quantiles
 from retailcast.contract import FEATURE_ORDER, LABEL
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -143,18 +144,21 @@ def _long(df: DataFrame, features: list[str]) -> DataFrame:
 def psi(baseline: DataFrame, current: DataFrame, features: list[str], eps: float = 1e-6) -> DataFrame:
     """Population stability index per feature over baseline-decile buckets.
 
-    Edges: exact deciles of each baseline feature (one wide aggregation, one
-    row per feature). Bucket = number of edges strictly below the value.
-    Counts are a grouped aggregate over (feature, bucket); the edge table is
-    bounded by the feature count and broadcast."""
-    edges = baseline.agg(*[F.percentile(F.col(c).cast("double"), DECILES).alias(c) for c in features])
-    edge_long = edges.selectExpr(
-        f"stack({len(features)}, " + ", ".join(f"'{c}', `{c}`" for c in features) + ") as (feature, edges)")
+    Edges: exact deciles of each baseline feature. Bucket = number of edges
+    strictly below the value; all buckets of all features are counted in one
+    wide aggregation per side, without unpivoting rows."""
+    # nine numbers per feature: the edges become literals of one wide counting pass per side
+    edges = {r["feature"]: r["q"] for r in exact_quantiles(baseline, features, DECILES).collect()}
 
     def dist(df, side):
-        lg = _long(df, features).join(F.broadcast(edge_long), "feature")
-        b = F.size(F.filter("edges", lambda e: e < F.col("v")))
-        cnt = lg.filter(F.col("v").isNotNull()).groupBy("feature", b.alias("bucket")).agg(F.count(F.lit(1)).alias("c"))
+        counts, cells = [], []
+        for c in features:
+            v, cut = F.col(c).cast("double"), edges.get(c, [])
+            bucket = sum((F.when(v > e, 1).otherwise(0) for e in cut), F.lit(0))
+            for b in range(len(cut) + 1):
+                counts.append(F.count_if(v.isNotNull() & (bucket == b)).alias(f"{c}__{b}"))
+                cells.append(F.struct(F.lit(c).alias("feature"), F.lit(b).alias("bucket"), F.col(f"{c}__{b}").alias("c")))
+        cnt = df.agg(*counts).select(F.inline(F.array(*cells))).filter("c > 0")
         tot = F.sum("c").over(Window.partitionBy("feature"))
         return cnt.select("feature", "bucket", (F.col("c") / tot).alias(side))
     d = dist(baseline, "p_base").join(dist(current, "p_cur"), ["feature", "bucket"], "full")

@@ -1,8 +1,7 @@
 """Data profile, evaluation summary, run history.
 
-The profile is computed WIDE: one aggregation with 7 statistics per column
-(no unpivot, so rows are not multiplied by the column count), then the
-single result row is stacked into the long form.
+Moments and extremes are computed WIDE, in one aggregation whose single row is
+stacked into the long form; quantiles come from distributed ranks.
 """
 
 from __future__ import annotations
@@ -11,17 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailcast.contract import FEATURE_ORDER, LABEL
+from retailcast.operators.quantile import exact_quantiles
 
+# ---- fixed values: statistics of a profile, in order ----
 STATS = ["mean", "std", "min", "max", "p25", "p50", "p75"]
 NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
 
 
-def _stat_exprs(c: str, exact: bool) -> list[Column]:
+def _stat_exprs(c: str) -> list[Column]:
     x = F.col(c).cast("double")
-    q = F.percentile(x, [0.25, 0.5, 0.75]) if exact else \
-        F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>")
     return [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-            F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), q.alias(f"{c}__q")]
+            F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
 
 
 def profile_columns(df: DataFrame, features=FEATURE_ORDER, label: str = LABEL) -> list[tuple[str, str]]:
@@ -32,25 +31,25 @@ def profile_columns(df: DataFrame, features=FEATURE_ORDER, label: str = LABEL) -
     return out
 
 
-def data_profile(df: DataFrame, features=FEATURE_ORDER, label: str = LABEL,
-                 exact: bool = True) -> DataFrame:
+def data_profile(df: DataFrame, features=FEATURE_ORDER, label: str = LABEL) -> DataFrame:
     """Long profile rows (feature_name, kind, n_rows, mean, std, min, max, p25, p50, p75)."""
     cols = profile_columns(df, features, label)
     wide = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[e for c, _ in cols for e in _stat_exprs(c, exact)])
+                  *[e for c, _ in cols for e in _stat_exprs(c)])
     structs = [F.struct(F.lit(c).alias("feature_name"), F.lit(k).alias("kind"),
                         F.col("n_rows"),
-                        *[F.col(f"{c}__{s}").alias(s) for s in ("mean", "std", "min", "max")],
-                        *[F.col(f"{c}__q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
+                        *[F.col(f"{c}__{s}").alias(s) for s in ("mean", "std", "min", "max")])
                for c, k in cols]
-    return wide.select(F.inline(F.array(*structs)))
+    quantiles = exact_quantiles(df, [c for c, _ in cols], [0.25, 0.5, 0.75]).select(
+        F.col("feature").alias("feature_name"), *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
+    return wide.select(F.inline(F.array(*structs))).join(quantiles, "feature_name", "left")
 
 
 def profile_nested(df: DataFrame, generated_at_utc: str, features=FEATURE_ORDER,
-                   label: str = LABEL, exact: bool = True) -> DataFrame:
+                   label: str = LABEL) -> DataFrame:
     """Nested one-row profile: generated_at_utc, n_rows, label_<label> struct,
     features map<string, struct<7 stats>>."""
-    long = data_profile(df, features, label, exact)
+    long = data_profile(df, features, label)
     stats = F.struct(*[F.col(s) for s in STATS])
     return long.agg(
         F.lit(generated_at_utc).alias("generated_at_utc"),
@@ -109,8 +108,8 @@ def profile_history(scored: DataFrame, label: str = LABEL, split: str = "test")
     from pyspark.sql import Window
     s = scored.filter(F.col("split_type") == split) if split else scored
     y = F.col(label).cast("double")
-    per = s.groupBy("year", "month").agg(
-        F.avg(y).alias("label_mean"), F.percentile(y, [0.25, 0.5, 0.75]).alias("q"))
+    per = (s.groupBy("year", "month").agg(F.avg(y).alias("label_mean"))
+           .join(exact_quantiles(s, [label], [0.25, 0.5, 0.75], by=["year", "month"]).select("year", "month", "q"), ["year", "month"], "left"))
     w = Window.orderBy("year", "month")
     return per.select(
         F.format_string("run-%04d-%02d", "year", "month").alias("mlflow_run_id"), "label_mean",
@@ -147,6 +146,7 @@ def evaluation_summary(metrics: DataFrame, label_dist: DataFrame, profile: DataF
     return one
 
 
+# ---- fixed values: bias fields of the flat summary, in order ----
 FLAT_BIAS_FIELDS = [
     "threshold_units_sold", "group_a_value", "group_d_value",
     "group_a_n", "group_a_pos_rate_true", "group_a_pos_rate_pred", "group_a_recall",

@@ -177,7 +177,7 @@ def _constraint_values(df: DataFrame, constraints: list[Constraint]) -> DataFram
 
 
 def check_results(df: DataFrame, constraints: list[Constraint] | None = None,
-                  check: str = "Retail Demand Data Quality Check", level: str = "Error") -> DataFrame:
+                  check: str = "daily sales quality", level: str = "Error") -> DataFrame:
     """Q14: per-constraint status rows; `check_status` is the overall verdict."""
     cs = constraints or default_constraints()
     arr = _constraint_array(df, cs)

@@ -4,6 +4,7 @@ feature table and the scored table, each materialized once per session."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retailcast.functions.features import engineer
 from retailcast.operators.evaluation import baseline_predict
@@ -12,13 +13,14 @@ from retailcast.sources.tables import read_table, retail_daily
 
 
 def raw(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
-    return session_table(spark, ("raw", sf, stores), lambda: retail_daily(spark, sf, stores))
+    sources = tuple(read_table(spark, sf, t) for t in ("lineitem", "part"))
+    return session_table(spark, ("raw", sf, stores), lambda: retail_daily(spark, sf, stores), sources)
 
 
 def scored(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
     """Stored feature table with the baseline prediction (one write)."""
     return session_table(spark, ("scored", sf, stores),
-                         lambda: baseline_predict(engineer(raw(spark, sf, stores))))
+                         lambda: baseline_predict(engineer(raw(spark, sf, stores))), (raw(spark, sf, stores),))
 
 
 def feat(spark: SparkSession, sf: str, stores: int | None = None) -> DataFrame:
@@ -30,5 +32,13 @@ def test_scored(spark: SparkSession, sf: str) -> DataFrame:
     return scored(spark, sf).filter("split_type = 'test'")
 
 
+def spread(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows with a prediction of known spread: off by up to 5, 10, 15 or 20
+    units by month, so that runs fall on both sides of the gate and every facet has
+    right and wrong predicted labels."""
+    off = (F.col("record_id") * 31 % 21 - 10) * (1 + F.col("month") % 4) / 2.0
+    return test_scored(spark, sf).withColumn("prediction", F.col("units_sold") + off)
+
+
 def table(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
     return read_table(spark, sf, name, *cols)

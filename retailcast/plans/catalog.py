@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailcast.contract import FEATURE_ORDER, NON_FEATURE_COLUMNS
@@ -23,9 +23,9 @@ from retailcast.operators import profile as X
 from retailcast.operators import quality as Q
 from retailcast.operators import registry as G
 from retailcast.operators import split as P
-from retailcast.plans.base import feat, raw, scored, table, test_scored
+from retailcast.plans.base import feat, raw, scored, spread, table, test_scored
 from retailcast.plans.oracle import RETAIL_CTE, bigint_counts, with_base
-from retailcast.session import session_table, shared_path
+from retailcast.session import materialize, session_table, shared_path
 from retailcast.sources import files as S
 from retailcast.sources import sinks as K
 from retailcast.streaming import stream as ST
@@ -133,15 +133,18 @@ def _(spark, sf):
 
 @q("require_features",
    "SELECT count_if(" + " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_ORDER) + ") AS n_valid, "
-   "count_if(NOT (" + " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_ORDER) + ")) AS n_quarantined FROM feat",
+   "count_if(NOT (" + " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_ORDER) + ")) AS n_quarantined "
+   "FROM (SELECT * REPLACE (CASE WHEN record_id % 11 <> 0 THEN max_temp_c END AS max_temp_c) FROM feat)",
    "feat")
 def _(spark, sf):
-    df = feat(spark, sf)
+    df = feat(spark, sf).withColumn("max_temp_c", F.when(F.col("record_id") % 11 != 0, F.col("max_temp_c")))
     C.require_columns(df, FEATURE_ORDER)
     ok = F.greatest(*[F.col(c).isNull() for c in FEATURE_ORDER]) == F.lit(False)
     return df.agg(F.count_if(ok).alias("n_valid"), F.count_if(~ok).alias("n_quarantined"))
 
 
+RUN_TS, RUN_ID = "2025-12-03T10:51:32.309311Z", "baseline-store-weekday"
+
 RUNS_SQL = """
 runs AS (
   SELECT printf('run-%04d-%02d', year, month) AS mlflow_run_id,
@@ -152,11 +155,11 @@ runs AS (
          CASE WHEN var_pop(CAST(units_sold AS DOUBLE)) * count(*) > 0
               THEN 1 - sum((prediction - units_sold) * (prediction - units_sold))
                        / (var_pop(CAST(units_sold AS DOUBLE)) * count(*)) END AS r2
-  FROM test GROUP BY year, month)"""
+  FROM spread GROUP BY year, month)"""
 
 
 def runs(spark, sf):
-    return X.monthly_runs(scored(spark, sf))
+    return X.monthly_runs(spread(spark, sf))
 
 
 @q("eval_date", "SELECT mlflow_run_id, substr(eval_timestamp_utc, 1, 10) AS eval_date FROM runs", extra=RUNS_SQL)
@@ -172,12 +175,11 @@ def _(spark, sf):
 
 
 @q("add_run_context",
-   """SELECT mlflow_run_id, eval_timestamp_utc, substr(eval_timestamp_utc, 1, 10) AS eval_date,
+   f"""SELECT '{RUN_ID}' AS mlflow_run_id, '{RUN_TS}' AS eval_timestamp_utc, '{RUN_TS[:10]}' AS eval_date,
              n_rows, rmse FROM runs""", extra=RUNS_SQL)
 def _(spark, sf):
-    r = runs(spark, sf)
-    return r.select("mlflow_run_id", "eval_timestamp_utc",
-                    C.eval_date("eval_timestamp_utc").alias("eval_date"), "n_rows", "rmse")
+    r = runs(spark, sf).drop("eval_timestamp_utc", "mlflow_run_id").select("n_rows", "rmse")
+    return C.add_run_context(r, RUN_TS, RUN_ID)
 
 
 REG_EVENTS_SQL = """
@@ -217,13 +219,13 @@ def _(spark, sf):
 
 THR_SQL = """
 thr AS (SELECT coalesce(min(CASE WHEN high_demand = 1 THEN CAST(units_sold AS DOUBLE) END),
-                        quantile_cont(CAST(units_sold AS DOUBLE), 0.75)) AS t FROM test),
-binned AS (SELECT *, CAST(coalesce(prediction >= (SELECT t FROM thr), false) AS INTEGER) AS pred_bin FROM test)"""
+                        quantile_cont(CAST(units_sold AS DOUBLE), 0.75)) AS t FROM spread),
+binned AS (SELECT *, CAST(coalesce(prediction >= (SELECT t FROM thr), false) AS INTEGER) AS pred_bin FROM spread)"""
 
 
 @q("predicted_label", "SELECT record_id, pred_bin FROM binned", extra=THR_SQL)
 def _(spark, sf):
-    t = test_scored(spark, sf)
+    t = spread(spark, sf)
     return t.select("record_id", C.predicted_label("prediction", B.bias_threshold(t)).alias("pred_bin"))
 
 
@@ -392,7 +394,7 @@ for _name, _prefix in (("check_size", "Size"), ("check_min", "Minimum"), ("check
 
 
 @q("check_results",
-   "SELECT 'Retail Demand Data Quality Check' AS \"check\", 'Error' AS check_level, "
+   "SELECT 'daily sales quality' AS \"check\", 'Error' AS check_level, "
    "CASE WHEN bool_and(ok) OVER () THEN 'Success' ELSE 'Error' END AS check_status, \"constraint\", "
    + CHECK_STATUS + ", CASE WHEN ok THEN '' ELSE 'Value: ' || CAST(value AS VARCHAR) || "
    "' does not meet the constraint requirement!' END AS constraint_message FROM ("
@@ -615,8 +617,7 @@ post AS (
 
 
 def _binned(spark, sf):
-    t = test_scored(spark, sf)
-    return B.with_predicted_label(t)
+    return B.with_predicted_label(spread(spark, sf))
 
 
 @q("bias_confusion", "SELECT * FROM conf", extra=POST_SQL)
@@ -632,7 +633,7 @@ def _(spark, sf):
 @q("bias_differences", "SELECT DPL_labels, DPPL_predicted, RD_recall_diff, AD_accuracy_diff FROM post",
    extra=POST_SQL)
 def _(spark, sf):
-    return B.posttraining_bias(test_scored(spark, sf)).select(
+    return B.posttraining_bias(spread(spark, sf)).select(
         "DPL_labels", "DPPL_predicted", "RD_recall_diff", "AD_accuracy_diff")
 
 
@@ -643,14 +644,14 @@ POST_FIELDS = ["threshold_units_sold", "group_a_value", "group_d_value"] + [
 
 @q("bias_posttraining_report", "SELECT " + ", ".join(POST_FIELDS) + " FROM post", extra=POST_SQL)
 def _(spark, sf):
-    return B.posttraining_bias(test_scored(spark, sf))
+    return B.posttraining_bias(spread(spark, sf))
 
 
 @q("bias_long", " UNION ALL ".join(
     f"SELECT 'bias_{c}' AS key, CAST({c} AS DOUBLE) AS value FROM post WHERE {c} IS NOT NULL AND NOT isnan({c})"
     for c in POST_FIELDS), extra=POST_SQL)
 def _(spark, sf):
-    return B.bias_long(B.posttraining_bias(test_scored(spark, sf)))
+    return B.bias_long(B.posttraining_bias(spread(spark, sf)))
 
 
 EXT_SQL = """
@@ -667,7 +668,7 @@ ext AS (SELECT group_a_value, group_d_value,
 
 
 def _ext(spark, sf):
-    return B.posttraining_extended(test_scored(spark, sf))
+    return B.posttraining_extended(spread(spark, sf))
 
 
 for _name, _cols in (("bias_dppl", ["DPPL", "DI"]), ("bias_dcacc", ["DCAcc", "DCR"]), ("bias_rd", ["RD", "AD"]),
@@ -677,11 +678,11 @@ for _name, _cols in (("bias_dppl", ["DPPL", "DI"]), ("bias_dcacc", ["DCAcc", "DC
 
 
 @q("bias_cddpl",
-   """SELECT sum(n_i * (coalesce(CAST(neg_d AS DOUBLE) / nullif(neg, 0), 0.0)
-                       - coalesce(CAST(pos_d AS DOUBLE) / nullif(pos, 0), 0.0))) / sum(n_i) AS CDDPL
-      FROM (SELECT store_id, count(*) AS n_i, count_if(pred_bin <> 1) AS neg, count_if(pred_bin = 1) AS pos,
+   """SELECT sum(n_i * dd) / nullif(sum(CASE WHEN dd IS NOT NULL THEN n_i END), 0) AS CDDPL,
+             count_if(dd IS NULL) AS n_undefined
+      FROM (SELECT n_i, CAST(neg_d AS DOUBLE) / nullif(neg, 0) - CAST(pos_d AS DOUBLE) / nullif(pos, 0) AS dd FROM (SELECT store_id, count(*) AS n_i, count_if(pred_bin <> 1) AS neg, count_if(pred_bin = 1) AS pos,
                    count_if(pred_bin <> 1 AND is_weekend = 1) AS neg_d, count_if(pred_bin = 1 AND is_weekend = 1) AS pos_d
-            FROM binned WHERE is_weekend IS NOT NULL GROUP BY store_id)""", extra=THR_SQL)
+            FROM binned WHERE is_weekend IS NOT NULL GROUP BY store_id))""", extra=THR_SQL)
 def _(spark, sf):
     return B.cddpl(_binned(spark, sf), group="store_id")
 
@@ -753,7 +754,7 @@ def _(spark, sf):
 @q("register_external_table", RAW_SQL, "retail")
 def _(spark, sf):
     db = f"retail_demand_{_uid()}"
-    return S.register_external_table(spark, db, "demand_product", retail_csv(spark, sf),
+    return S.register_external_table(spark, db, "daily_sales", retail_csv(spark, sf),
                                      db_location=shared_path(spark, f"warehouse/{db}.db"))
 
 
@@ -762,10 +763,10 @@ def _(spark, sf):
    "retail")
 def _(spark, sf):
     db = f"retail_demand_{_uid()}"
-    S.register_external_table(spark, db, "demand_product", retail_csv(spark, sf),
+    S.register_external_table(spark, db, "daily_sales", retail_csv(spark, sf),
                               db_location=shared_path(spark, f"warehouse/{db}.db"))
     return S.source_table_or_query(
-        spark, f"SELECT store_id, day_of_week, sum(units_sold) AS units FROM {db}.demand_product "
+        spark, f"SELECT store_id, day_of_week, sum(units_sold) AS units FROM {db}.daily_sales "
                "GROUP BY store_id, day_of_week")
 
 
@@ -816,17 +817,14 @@ def _(spark, sf):
 
 
 @q("append_monitoring",
-   "SELECT mlflow_run_id, eval_timestamp_utc, substr(eval_timestamp_utc, 1, 10) AS eval_date, n_rows, rmse, mae, r2 "
-   "FROM runs", extra=RUNS_SQL)
+   " UNION ALL ".join(f"SELECT '{RUN_ID}-{i}' AS mlflow_run_id, '{RUN_TS}' AS eval_timestamp_utc, '{RUN_TS[:10]}' AS eval_date, "
+                      "n_rows, rmse, mae, r2 FROM runs" for i in (1, 2)), extra=RUNS_SQL)
 def _(spark, sf):
     path = shared_path(spark, f"monitoring/evaluation_summary-{_uid()}")
-    r = runs(spark, sf)
-    # one append per run-context batch; the second append of the same run
-    # replaces its partition (idempotent re-run)
-    for _ in range(2):
-        out = r.withColumn("eval_date", F.substring("eval_timestamp_utc", 1, 10))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("eval_date", "mlflow_run_id").parquet(path))
+    r = runs(spark, sf).select("n_rows", "rmse", "mae", "r2")
+    # two runs; the second append of a run replaces its partition
+    for run_id in (f"{RUN_ID}-1", f"{RUN_ID}-2", f"{RUN_ID}-1"):
+        K.append_monitoring(r, path, RUN_TS, run_id)
     return spark.read.parquet(path).withColumn("eval_date", F.col("eval_date").cast("string"))
 
 
@@ -849,9 +847,6 @@ def _(spark, sf):
     return _profile(spark, sf)
 
 
-RUN_TS, RUN_ID = "2025-12-03T10:51:32.309311Z", "baseline-store-weekday"
-
-
 @q("profile_long",
    f"SELECT '{RUN_TS}' AS eval_timestamp_utc, '{RUN_ID}' AS mlflow_run_id, '{RUN_TS[:10]}' AS eval_date, "
    f"'{RUN_TS}' AS generated_at_utc, * FROM prof", extra=PROFILE_SQL)
@@ -872,10 +867,10 @@ def _(spark, sf):
 
 
 def _summary(spark, sf):
-    t = test_scored(spark, sf)
+    t = spread(spark, sf)
     return X.evaluation_summary(
         E.regression_metrics(t), E.label_distribution(t), X.profile_nested(t, RUN_TS),
-        B.posttraining_bias(t), RUN_TS, RUN_ID, "forcasting_demand_product", "baseline:store_x_weekday",
+        B.posttraining_bias(t), RUN_TS, RUN_ID, "retail-demand", "baseline:store_x_weekday",
         "lineitem+part")
 
 
@@ -885,7 +880,7 @@ def _(spark, sf):
 
 
 FLAT_SQL = f"""
-SELECT '{RUN_TS}' AS eval_timestamp_utc, '{RUN_ID}' AS mlflow_run_id, 'forcasting_demand_product' AS experiment_name,
+SELECT '{RUN_TS}' AS eval_timestamp_utc, '{RUN_ID}' AS mlflow_run_id, 'retail-demand' AS experiment_name,
   'baseline:store_x_weekday' AS model_source, 'lineitem+part' AS test_data_source,
   m.n_rows, m.rmse, m.mae, m.r2,
   p.mean AS label_units_sold_mean, p.std AS label_units_sold_std, p.min AS label_units_sold_min,
@@ -893,7 +888,7 @@ SELECT '{RUN_TS}' AS eval_timestamp_utc, '{RUN_ID}' AS mlflow_run_id, 'forcastin
   CAST(count_if_pos AS DOUBLE) AS high_demand_n_pos, CAST(count_if_neg AS DOUBLE) AS high_demand_n_neg,
   CAST(count_if_pos AS DOUBLE) / nullif(count_if_pos + count_if_neg, 0) AS high_demand_pos_rate_overall,
   {", ".join(f"CAST(post.{c} AS DOUBLE) AS bias_{c}" for c in X.FLAT_BIAS_FIELDS)}
-FROM (SELECT {METRICS_SQL} FROM test) m, (SELECT * FROM prof WHERE kind = 'label') p,
+FROM (SELECT {METRICS_SQL} FROM spread) m, (SELECT * FROM prof WHERE kind = 'label') p,
      (SELECT count_if(high_demand = 1) AS count_if_pos, count_if(high_demand = 0) AS count_if_neg FROM test) hd, post
 """
 
@@ -903,11 +898,12 @@ def _(spark, sf):
     return X.evaluation_summary_flat(_summary(spark, sf))
 
 
-@q("write_json_report", "SELECT n_rows, rmse, mae, r2 FROM (SELECT " + METRICS_SQL + " FROM test)")
+@q("write_json_report", FLAT_SQL, extra=PROFILE_SQL + "," + POST_SQL)
 def _(spark, sf):
     path = shared_path(spark, f"reports/evaluation_summary-{_uid()}")
-    K.write_json_report(X.evaluation_summary_flat(_summary(spark, sf)), path)
-    return spark.read.json(path).select(F.col("n_rows").cast("bigint").alias("n_rows"), "rmse", "mae", "r2")
+    summary = _summary(spark, sf)
+    K.write_json_report(summary, path)
+    return X.evaluation_summary_flat(spark.read.schema(summary.schema).json(path))
 
 
 @q("export_csv_payload",
@@ -920,9 +916,9 @@ def _(spark, sf):
 @q("registry_metrics",
    "SELECT rmse AS rmse_value, mae AS mae_value, r2 AS r2_value, DPL_labels AS dpl_value, "
    "DPPL_predicted AS dppl_value, AD_accuracy_diff AS ad_value, 'NaN' AS rmse_standard_deviation "
-   "FROM (SELECT " + METRICS_SQL + " FROM test) m, post", extra=POST_SQL)
+   "FROM (SELECT " + METRICS_SQL + " FROM spread) m, post", extra=POST_SQL)
 def _(spark, sf):
-    t = test_scored(spark, sf)
+    t = spread(spark, sf)
     doc = X.registry_metrics(E.regression_metrics(t), B.posttraining_bias(t))
     schema = ("regression_metrics struct<" + ",".join(
         f"{k}: struct<value: double, standard_deviation: string>" for k in ("rmse", "mae", "r2", "dpl", "dppl", "ad"))
@@ -969,7 +965,22 @@ def _(spark, sf):
 
 @q("ingest_always", "SELECT gate_passed, count(*) AS n_runs FROM gated GROUP BY gate_passed", extra=GATED_SQL)
 def _(spark, sf):
-    return G.metric_gate(runs(spark, sf)).groupBy("gate_passed").agg(F.count(F.lit(1)).alias("n_runs"))
+    path = shared_path(spark, f"monitoring/gated-{_uid()}")
+    K.append_monitoring(G.metric_gate(runs(spark, sf)).drop("mlflow_run_id", "eval_timestamp_utc"), path, RUN_TS, RUN_ID)
+    return spark.read.parquet(path).groupBy("gate_passed").agg(F.count(F.lit(1)).alias("n_runs"))
+
+
+@q("register_next_versions",
+   """SELECT 'retail-demand' AS model_package_group,
+        row_number() OVER (ORDER BY year < 1997 DESC, eval_timestamp_utc, mlflow_run_id) AS model_version, mlflow_run_id
+      FROM (SELECT *, CAST(substr(eval_timestamp_utc, 1, 4) AS INTEGER) AS year FROM gated) WHERE gate_passed""", extra=GATED_SQL)
+def _(spark, sf):
+    gated = G.metric_gate(runs(spark, sf))
+    early = F.substring("eval_timestamp_utc", 1, 4).cast("int") < 1997
+    stored = materialize(G.register_model_versions(gated.filter(early)), "versions")
+    # the later call sees all runs again: those that are stored get no second version
+    return (stored.unionByName(G.register_model_versions(gated, stored=stored))
+            .select("model_package_group", "model_version", "mlflow_run_id"))
 
 
 @plain("extract_event_key",
@@ -1005,11 +1016,8 @@ def _(spark, sf):
 
 @plain("pending_notification",
        "WITH " + REG_EVENTS_SQL + """
-SELECT arn AS model_package_arn, '[Registry] Model pending approval' AS subject,
-  printf('A new Model Package is pending manual approval.\n\nGroup: %s\nVersion: %d\nApprovalStatus: %s\n'
-         || 'PackageStatus: %s\nModelPackageArn: %s\n\n'
-         || 'Action: Please review & set ApprovalStatus = Approved in the Model Registry.',
-         grp, event_id, approval, pkg_status, arn) AS message
+SELECT arn AS model_package_arn, 'Model version waits for approval' AS subject,
+  printf('Version %d of %s (%s, %s) waits for a decision.\nPackage key: %s', event_id, grp, approval, pkg_status, arn) AS message
 FROM regev WHERE has_key IS NOT NULL AND approval = 'PendingManualApproval'""")
 def _(spark, sf):
     return G.pending_notification(G.route_approval_event(reg_events(spark, sf)))
@@ -1079,9 +1087,14 @@ SELECT event_id,
        WHEN try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL THEN 'malformed_payload'
        WHEN value IS NULL THEN 'missing_value' WHEN value < 0 THEN 'negative_value' ELSE 'valid' END AS status,
   try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k
-FROM events""")
+FROM (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '{"k": "none"}' ELSE props END AS props,
+             CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -value - 1 ELSE value END AS value FROM events)""")
 def _(spark, sf):
-    return W.quarantine(_events(spark, sf))
+    i = F.col("event_id")
+    spoilt = _events(spark, sf).withColumns({
+        "props": F.when(i % 13 == 0, None).when(i % 17 == 0, '{"k": "none"}').otherwise(F.col("props")),
+        "value": F.when(i % 19 == 0, None).when(i % 23 == 0, -F.col("value") - 1).otherwise(F.col("value"))})
+    return W.quarantine(spoilt)
 
 
 @q("apply_contract",
@@ -1182,24 +1195,28 @@ def _(spark, sf):
 # =============================================================== M / E6 / X1–X3: model jobs
 
 
-# Boosting rounds for the registered queries: the training job's 250 rounds
-# are sequential Spark jobs; the registered checks use 20 (see README).
-GBT_ROUNDS = 20
 _MODELS: dict = {}
 
 
-def gbt_model_path(spark, sf) -> str:
-    key = (spark.sparkContext.applicationId, sf, GBT_ROUNDS)
+def fitted(spark, sf) -> tuple[str, DataFrame]:
+    """The stored model of the training job (early stopping within its 250 rounds) and its learning curve."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        train = scored(spark, sf).filter("split_type = 'train'")
-        model = M.train_gbt(train, rounds=GBT_ROUNDS)
-        _MODELS[key] = M.save_model(model, shared_path(spark, f"models/gbt-{_uid()}"))
+        s = scored(spark, sf)
+        model, curve = M.fit_with_early_stopping(spark, s.filter("split_type = 'train'"), s.filter("split_type = 'validation'"))
+        _MODELS[key] = M.save_model(model, shared_path(spark, f"models/gbt-{_uid()}")), materialize(curve, "curve")
     return _MODELS[key]
 
 
-@q("assemble_features")
+def gbt_model_path(spark, sf) -> str:
+    return fitted(spark, sf)[0]
+
+
+@q("assemble_features", "SELECT record_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS v_{c}" for c in FEATURE_ORDER) + " FROM test")
 def _(spark, sf):
-    return M.assemble_features(test_scored(spark, sf)).select("record_id", "features")
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array("features")
+    return M.assemble_features(test_scored(spark, sf)).select("record_id", *[v[i].alias(f"v_{c}") for i, c in enumerate(FEATURE_ORDER)])
 
 
 @q("train_gbt")
@@ -1209,21 +1226,30 @@ def _(spark, sf):
     return E.regression_metrics(scored_gbt, by=["split_type"])
 
 
-def _curve(spark, sf):
-    from pyspark.ml.regression import GBTRegressionModel
-    model = GBTRegressionModel.load(gbt_model_path(spark, sf))
-    s = scored(spark, sf)
-    return M.learning_curve(spark, model, s.filter("split_type = 'train'"), s.filter("split_type = 'validation'"))
+@q("learning_curve")
+def _(spark, sf):
+    return fitted(spark, sf)[1]
 
 
-@q("learning_curve")
+@q("early_stopping_gbt")
 def _(spark, sf):
-    return _curve(spark, sf)
+    return M.early_stopping(fitted(spark, sf)[1])
+
+
+# the rule itself, over a curve that SQL has too: the RMSE of the monthly runs in order
+EARLY_SQL = """,
+ec AS (SELECT CAST(row_number() OVER (ORDER BY eval_timestamp_utc) - 1 AS INTEGER) AS round, rmse AS val_rmse FROM runs),
+eb AS (SELECT round, val_rmse, (SELECT e.round FROM ec e WHERE e.round <= ec.round ORDER BY e.val_rmse, e.round LIMIT 1) AS best FROM ec),
+es AS (SELECT min(round) AS stop FROM eb WHERE round - best >= 20),
+ek AS (SELECT * FROM eb WHERE round <= coalesce((SELECT stop FROM es), 1000000000))"""
 
 
-@q("early_stopping")
+@q("early_stopping", """SELECT arg_min(round, (val_rmse, round)) AS best_iteration, min(val_rmse) AS best_val_rmse,
+  max(round) AS last_round, (SELECT stop FROM es) IS NOT NULL AS stopped_early FROM ek""", extra=RUNS_SQL + EARLY_SQL)
 def _(spark, sf):
-    return M.early_stopping(_curve(spark, sf), patience=20)
+    order = Window.orderBy("eval_timestamp_utc")            # one row per month
+    curve = runs(spark, sf).select((F.row_number().over(order) - 1).alias("round"), F.col("rmse").alias("val_rmse"))
+    return M.early_stopping(curve, patience=20)
 
 
 @q("hyperparameter_log",
@@ -1250,6 +1276,54 @@ def _(spark, sf):
     return M.tree_table(spark, gbt_model_path(spark, sf))
 
 
+def _mixed_json(spark, sf):
+    """One request per test row in eight forms by record id: six valid, one without a feature, one cut off."""
+    f = [F.col(c).cast("double") for c in FEATURE_ORDER]
+    row, vec = F.struct(*[c.alias(n) for c, n in zip(f, FEATURE_ORDER, strict=True)]), F.array(*f)
+    short = F.struct(*[c.alias(n) for c, n in zip(f, FEATURE_ORDER, strict=True) if n != "final_price"])
+    text = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    forms = [text(F.struct(F.array(row).alias("instances"))), text(F.struct(F.lit("v1").alias("schema"), F.array(row).alias("instances"))),
+             text(F.struct(F.array(vec).alias("instances"))), text(F.array(row)), text(F.array(vec, vec)), text(vec),
+             text(F.struct(F.array(short).alias("instances"))), F.lit('{"instances": [')]
+    form = F.pmod("record_id", F.lit(8))
+    body = F.coalesce(*[F.when(form == i, t) for i, t in enumerate(forms)])
+    return test_scored(spark, sf).select(F.col("record_id").alias("request_id"), body.alias("body"))
+
+
+FLOATS = ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in FEATURE_ORDER)
+
+
+@q("parse_json_requests", f"""SELECT record_id AS request_id, CAST(0 AS INTEGER) AS pos, {FLOATS} FROM test WHERE record_id % 8 < 6
+UNION ALL SELECT record_id, 1, {FLOATS} FROM test WHERE record_id % 8 = 4""")
+def _(spark, sf):
+    return M.parse_json_requests(_mixed_json(spark, sf)).filter("error IS NULL").drop("error")
+
+
+@q("quarantine_json_requests", """SELECT record_id AS request_id, CAST(0 AS INTEGER) AS pos,
+  CASE WHEN record_id % 8 = 6 THEN 'missing_features' ELSE 'not_json' END AS error FROM test WHERE record_id % 8 >= 6""")
+def _(spark, sf):
+    return M.quarantined_requests(M.parse_json_requests(_mixed_json(spark, sf)))
+
+
+def _mixed_csv(spark, sf):
+    """One CSV request per test row: one line, two lines, or a line without its last field."""
+    fields = [F.col(c).cast("float").cast("string") for c in FEATURE_ORDER]
+    line, form = F.concat_ws(",", *fields), F.pmod("record_id", F.lit(3))
+    body = F.when(form == 0, line).when(form == 1, F.concat(line, F.lit("\n"), line, F.lit("\n"))).otherwise(F.concat_ws(",", *fields[:-1]))
+    return test_scored(spark, sf).select("record_id", body.alias("value"))
+
+
+@q("parse_csv_requests", f"""SELECT record_id, CAST(0 AS INTEGER) AS pos, {FLOATS} FROM test WHERE record_id % 3 < 2
+UNION ALL SELECT record_id, 1, {FLOATS} FROM test WHERE record_id % 3 = 1""")
+def _(spark, sf):
+    return M.parse_csv_requests(_mixed_csv(spark, sf)).filter("error IS NULL").drop("error")
+
+
+@q("quarantine_csv_requests", "SELECT record_id, CAST(0 AS INTEGER) AS pos, 'wrong_width' AS error FROM test WHERE record_id % 3 = 2")
+def _(spark, sf):
+    return M.quarantined_requests(M.parse_csv_requests(_mixed_csv(spark, sf)))
+
+
 REQUEST_SIZE = 50
 
 
@@ -1289,11 +1363,9 @@ def _(spark, sf):
 
 
 def _shap(spark, sf):
-    from retailcast.operators.split import sample_cap
-    # the capped sample comes out of TakeOrdered as one partition; spread its
-    # (at most 300) rows so the attribution tasks run in parallel
-    sample = sample_cap(test_scored(spark, sf), 300).repartition(spark.sparkContext.defaultParallelism)
-    return A.shap_values(spark, sample, gbt_model_path(spark, sf))
+    # the split is a few files: spread its rows so that all tasks attribute
+    rows = test_scored(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    return A.shap_values(spark, rows, gbt_model_path(spark, sf))
 
 
 @q("shap_values")
@@ -1327,6 +1399,14 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@plain("stream_window_avg_append", "WITH " + WIN_SQL + """
+SELECT * FROM win WHERE strptime(window_end, '%Y-%m-%d %H:%M:%S') <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    """Append mode: a window is written once, when the watermark has passed its end, and its state is dropped."""
+    out = ST.run_available_now(ST.stream_window_avg(_event_stream(spark, sf)), f"window-append-{_uid()}")
+    return spark.read.parquet(out)
+
+
 @plain("stream_alert_stream", "WITH " + WIN_SQL + "\nSELECT *, 'above' AS alert FROM win WHERE avg_value > 100.0")
 def _(spark, sf):
     out = ST.run_available_now(ST.stream_window_avg(_event_stream(spark, sf)), f"alerts-{_uid()}",
@@ -1354,10 +1434,7 @@ def _(spark, sf):
     src = session_table(spark, ("test_features", sf), lambda: f.filter("split_type = 'test'"))
     folder = src.inputFiles()[0].rsplit("/", 1)[0]
     stream = ST.read_stream(spark, folder, src.schema, max_files=64)
-    from retailcast.session import broadcast_if_small
-    # the key table (stores x 7 rows) is re-joined every micro-batch: broadcast
-    # it when its size allows, else a shuffle join per batch
-    out = ST.run_available_now(ST.stream_score(stream, broadcast_if_small(keys), gmean), f"score-{_uid()}")
+    out = ST.run_available_now(ST.stream_score(stream, keys, gmean), f"score-{_uid()}")
     return spark.read.parquet(out).select("record_id", "store_id", "date", "units_sold", "prediction")
 
 
@@ -1460,7 +1537,7 @@ SELECT CAST(c.facet_value AS DOUBLE) AS facet_value, c.n AS n_d, CAST(t.n - c.n
 FROM conf c, (SELECT sum(n) AS n, sum(tp) AS tp, sum(fp) AS fp, sum(tn) AS tn, sum(fn) AS fn FROM conf) t""",
    extra=POST_SQL)
 def _(spark, sf):
-    return B.posttraining_one_vs_rest(test_scored(spark, sf))
+    return B.posttraining_one_vs_rest(spread(spark, sf))
 
 
 @q("bias_excluded_rows",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from retailcast.functions.columns import safe_divide
 from retailcast.operators.evaluation import metric_columns
+from retailcast.operators.quantile import exact_quantiles
 
 
 def scored_frame(spark: SparkSession, sf_dir: str, stores: int | None = None) -> DataFrame:
@@ -25,8 +26,10 @@ def flagship(spark: SparkSession, sf_dir: str, stores: int | None = None) -> Dat
     # Per-split threshold (min label among positives, else p75): one row per
     # split, so the join back is bounded by the three split names.
     thr = scored.groupBy("split_type").agg(
-        F.coalesce(F.min(F.when(F.col("high_demand") == 1, F.col("units_sold").cast("double"))),
-                   F.percentile(F.col("units_sold").cast("double"), 0.75)).alias("threshold"))
+        F.min(F.when(F.col("high_demand") == 1, F.col("units_sold").cast("double"))).alias("threshold"))
+    if not thr.filter("threshold IS NULL").isEmpty():
+        p75 = exact_quantiles(scored, ["units_sold"], [0.75], by=["split_type"])
+        thr = thr.join(p75, "split_type", "left").select("split_type", F.coalesce("threshold", F.col("q")[0]).alias("threshold"))
     binned = scored.join(F.broadcast(thr), "split_type").withColumn(
         "pred_bin", F.coalesce(F.col("prediction") >= F.col("threshold"), F.lit(False)).cast("int"))
     a, d = F.col("is_weekend") == 0, F.col("is_weekend") == 1

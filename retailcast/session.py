@@ -7,8 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on; they are applied to sessions created here and
-# checked (never overridden) on sessions handed in by a cluster launcher.
+# Settings every job relies on; they are applied to sessions created here.
+# ``check_session`` refuses sessions handed in without those results depend on.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -35,12 +35,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def check_session(spark: SparkSession) -> None:
+    """Raise on a session outside UTC or without adaptive execution (never changed here)."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"spark.sql.session.timeZone is {zone}; the date columns need UTC")
+    if spark.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+        raise RuntimeError("spark.sql.adaptive.enabled is off; skewed joins need it")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as-is. Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    used as-is. Only when it is unset on a local master (tests) a scratch
+    folder is created and registered; other masters are refused.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -50,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="retailcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -76,18 +87,20 @@ def materialize(df, name: str):
 _TABLES: dict = {}
 
 
-def session_table(spark: SparkSession, key: tuple, build):
+def session_table(spark: SparkSession, key: tuple, build, sources: tuple = ()):
     """Materialize ``build()`` once per (application, key) and reuse it: the
-    stored feature table that downstream jobs read, as a feature store would."""
-    full = (spark.sparkContext.applicationId,) + tuple(key)
-    if full not in _TABLES:
-        _TABLES[full] = materialize(build(), "_".join(str(k).replace("/", "_") for k in key))
-    return _TABLES[full]
-
-
-def broadcast_if_small(df, max_rows: int = 1_000_000):
-    """Broadcast hint only behind a size check: the rows are counted (the
-    input is an aggregated table) and the hint is applied at or below
-    ``max_rows``; above it the join stays a shuffle join."""
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.count() <= max_rows else df
+    stored feature table that downstream jobs read, as a feature store would.
+
+    The copy is tied to the file lists of ``sources`` (DataFrames): data that Spark
+    wrote anew under the same path has other files and makes a new copy."""
+    full = (spark.sparkContext.applicationId, *key)
+    state = tuple(sorted(f for s in sources for f in s.inputFiles()))
+    if full not in _TABLES or _TABLES[full][0] != state:
+        _TABLES[full] = state, materialize(build(), "_".join(str(k).replace("/", "_") for k in key))
+    return _TABLES[full][1]
+
+
+def forget_tables(spark: SparkSession) -> None:
+    """Drop this application's stored copies from the cache; their files go with the checkpoint folder."""
+    for k in [k for k in _TABLES if k[0] == spark.sparkContext.applicationId]:
+        del _TABLES[k]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from retailcast.contract import RAW_SCHEMA
 from retailcast.functions.columns import sanitize_column_name
@@ -28,13 +29,12 @@ def scan_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_csv_dir(spark: SparkSession, folder: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """S3: every *.csv file of a folder as one table; error when there is none."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/*.csv"))
-    if statuses is None or len(statuses) == 0:
-        raise RuntimeError(f"No CSV files found in {folder}")
-    return scan_typed_csv(spark, folder.rstrip("/") + "/*.csv", schema)
+    try:
+        return scan_typed_csv(spark, folder.rstrip("/") + "/*.csv", schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise RuntimeError(f"{folder} holds no *.csv file") from e
 
 
 def ddl(schema: T.StructType) -> str:

@@ -3,11 +3,13 @@ monitoring tables and JSON reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from retailcast.contract import FEATURE_ORDER, FEATURE_TABLE_SCHEMA
-from retailcast.functions.columns import add_run_context, null_if_not_finite
+from retailcast.functions.columns import add_run_context, null_if_not_finite, require_columns
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split_type", fmt: str = "parquet") -> None:
@@ -27,9 +29,25 @@ def contract_select(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURE_TABLE_SCHEMA.fields])
 
 
+def read_if_exists(spark, path: str) -> DataFrame | None:
+    """A Parquet table, or None when nothing has been written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def append_feature_table(df: DataFrame, path: str) -> None:
-    """Append to the offline feature table, partitioned by year/month."""
-    contract_select(df).write.mode("append").partitionBy("year", "month").parquet(path)
+    """Append to the offline feature table, partitioned by year/month. A
+    (record_id, event_time) that is stored already is not stored again, so a
+    repeated run adds nothing."""
+    rows = contract_select(df)
+    stored = read_if_exists(df.sparkSession, path)
+    if stored is not None:
+        rows = rows.join(stored.select("record_id", "event_time"), ["record_id", "event_time"], "left_anti")
+    rows.select(*[f.name for f in FEATURE_TABLE_SCHEMA.fields]).write.mode("append").partitionBy("year", "month").parquet(path)
 
 
 def latest_features(table: DataFrame, key: str = "record_id", ts: str = "event_time",
@@ -43,12 +61,6 @@ def latest_features(table: DataFrame, key: str = "record_id", ts: str = "event_t
             .select(key, "r.*"))
 
 
-def latest_features_window(table: DataFrame, key: str = "record_id", ts: str = "event_time") -> DataFrame:
-    """S13 (window form): row_number over key partitions ordered by time desc."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).desc())
-    return table.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def append_monitoring(df: DataFrame, path: str, eval_timestamp_utc: str, run_id: str,
                       ingested_at_utc: str | None = None) -> None:
     """Append with run context, partitioned by (eval_date, run id).
@@ -58,9 +70,21 @@ def append_monitoring(df: DataFrame, path: str, eval_timestamp_utc: str, run_id:
      .partitionBy("eval_date", "mlflow_run_id").parquet(path))
 
 
+def _finite(c: Column, t: T.DataType) -> Column:
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return null_if_not_finite(c)
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _finite(x, t.elementType))
+    if isinstance(t, T.MapType):
+        return F.transform_values(c, lambda k, v: _finite(v, t.valueType))
+    if isinstance(t, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_finite(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+    return c
+
+
 def json_safe(df: DataFrame) -> DataFrame:
-    """NaN/±Inf -> NULL on every top-level float column."""
-    return df.withColumns({c: null_if_not_finite(F.col(c)) for c, t in df.dtypes if t in ("double", "float")})
+    """NaN/±Inf -> NULL in every float, also inside structs, arrays and map values."""
+    return df.select(*[_finite(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
@@ -70,8 +94,6 @@ def write_json_report(df: DataFrame, path: str) -> None:
 
 def export_csv_payload(df: DataFrame, features: list[str] = FEATURE_ORDER, keep=()) -> DataFrame:
     """Headerless float32 CSV line per row in model feature order."""
-    missing = [c for c in features if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required features in input: {missing}")
+    require_columns(df, features)
     return df.select(*keep, F.concat_ws(",", *[F.col(c).cast("float").cast("string")
                                                for c in features]).alias("value"))

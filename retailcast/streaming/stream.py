@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from retailcast.operators.monitoring import TS_FMT
 from retailcast.session import shared_path
+from retailcast.sources.sinks import read_if_exists
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -47,10 +48,6 @@ def overwrite_batch(batch: DataFrame, batch_id: int, out: str) -> None:
     batch.write.mode("overwrite").parquet(out)
 
 
-def append_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    batch.write.mode("append").parquet(out)
-
-
 def stream_score(features: DataFrame, key_table: DataFrame, global_mean: float,
                  keys=("store_id", "day_of_week_index")) -> DataFrame:
     """Each feature record -> record + prediction (stream-static join with
@@ -80,23 +77,18 @@ def stream_alert_batch(threshold: float, above: bool = True):
 
 
 def _latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    """State written by the newest earlier micro-batch (folder listing only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(state_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(path)
-           if st.getPath().getName().startswith("batch_id=")]
-    ids = [i for i in ids if i < batch_id]
-    return spark.read.parquet(f"{state_dir}/batch_id={max(ids)}") if ids else None
+    """State written by the newest earlier micro-batch (``batch_id`` is the table's partition column)."""
+    states = read_if_exists(spark, state_dir)
+    newest = None if states is None else states.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    return None if newest is None else states.filter(F.col("batch_id") == newest).drop("batch_id")
 
 
 def anomaly_state_writer(state_dir: str, key: str = "event_type"):
     """W3 (stream form) as a foreachBatch writer with an explicit state table.
 
     Each micro-batch reads the per-key state of the previous batch, scores its
-    rows against all earlier values of their key (exact distributed prefix
+    rows against all earlier values of their key (a row that arrives late
+    is scored against the newer state it meets; exact distributed prefix
     sums, so a hot key is split across tasks), then writes its output and the
     new state under its batch id: a replayed batch overwrites the same
     folders, so the sink is idempotent and restarts resume exactly once."""

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retailcast.contract import RAW_COLUMNS, RAW_SCHEMA
@@ -52,8 +53,8 @@ def test_latest_features_newest_wins(spark):
                                 (2, "2024-01-01T00:00:00Z", 3)], "record_id long, event_time string, v int")
     got = {r["record_id"]: r["v"] for r in K.latest_features(df).collect()}
     assert got == {1: 7, 2: 3}
-    got_w = {r["record_id"]: r["v"] for r in K.latest_features_window(df).collect()}
-    assert got_w == got
+    newest = df.withColumn("rn", F.row_number().over(Window.partitionBy("record_id").orderBy(F.desc("event_time"))))
+    assert {r["record_id"]: r["v"] for r in newest.filter("rn = 1").collect()} == got
 
 
 def test_json_report_nulls_non_finite(spark):
