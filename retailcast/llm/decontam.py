@@ -45,6 +45,15 @@ def simhash(grams: np.ndarray) -> np.ndarray:
     return np.packbits(2 * votes > grams.shape[1], axis=1).view(np.uint64).ravel()
 
 
+def between(found: set, size: int) -> list[tuple[int, int]]:
+    """(row, first word) of aligned windows and of those between two that overlap."""
+    out, last = [], (-1, 0)
+    for r, s in sorted(found):
+        out += [(r, k) for k in range(last[1] + 1 if last[0] == r and s - last[1] < size else s, s + 1)]
+        last = r, s
+    return out
+
+
 def similarity(a: Counter, b: Counter) -> float:
     common = sum((a & b).values())
     return common / (sum(a.values()) + sum(b.values()) - common)
@@ -67,6 +76,11 @@ class Items:
         self.gram_item, self.gram_at = row[order], (at - w.offsets[:-1][row])[order]
         self.prints = np.array([simhash(g[None, :])[0] if len(g) else 0 for g in own], dtype=np.uint64)
         self.index: dict = defaultdict(list)
+        self.short = sorted({int(n) for n in self.words if 0 < n < K})
+        self.short_items: dict = defaultdict(list)
+        for i, g in enumerate(own):
+            if 0 < self.words[i] < K:
+                self.short_items[int(g[0])].append(i)
         for i, p in enumerate(self.prints):
             for b in range(BLOCKS):
                 value = int(p >> np.uint64(8 * b)) & 255
@@ -94,13 +108,19 @@ class Items:
                 windows[size].add((r, min(max(start - int(self.gram_at[k]), 0), max(int(n_words[r]) - size, 0))))
         best: dict = {}
         for size, found in windows.items():
-            for r, s in sorted(found):
+            for r, s in between(found, size):
                 n = min(size, int(n_words[r]))
                 own = grams[gram_off[r] + s: gram_off[r] + s + max(n - K + 1, 1)]
                 for i in self.near(size, simhash(own[None, :])[0]):
                     score = similarity(Counter(own.tolist()), self.weights[i])
                     if score >= THRESHOLD and score > best.get((r, i), (0.0,))[0]:
                         best[r, i] = score, s
+        for size in self.short:         # a window below K words is one shingle: equal or not
+            grams, row, at = V.gram_hashes(w, size)
+            known = np.array([h for h, i in self.short_items.items() if self.words[i[0]] == size], dtype=V.U)
+            for p in np.flatnonzero(np.isin(grams, known)):
+                for i in self.short_items[int(grams[p])]:
+                    best.setdefault((int(row[p]), i), (1.0, int(at[p] - w.offsets[row[p]])))
         for (r, i), (score, s) in sorted(best.items()):
             yield r, i, score, s
 
@@ -139,8 +159,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): documents that hold an item.
 
-    Per document and item the best window (the first on ties). A text shorter than
-    an item is compared whole. Items and texts without words, null ones, and items
+    Per document and item the best of the windows in which a shared shingle stands
+    where the item has it and of those between them (the first on ties). A text
+    shorter than an item is compared whole. Items and texts without words, null ones, and items
     without an id match nothing; documents with a null id are reported with it;
     repeated rows are reported each. Other columns are ignored.
     """

@@ -30,7 +30,10 @@ from retailcast.session import materialize
 BUCKETS = 1 << 16
 #: Labelled rows used at most; a fixed bound of the fit.
 MAX_LABELS = 20_000
-SMOOTH = 1.0
+#: Pseudo-count of both models: what a bucket must be expected for its count to speak.
+PRIOR = 5.0
+#: n-grams from which on a text's weight stops growing with its length.
+LENGTH = 100
 #: n-grams whose two probabilities are within a factor of two say nothing: the target
 #: sample's share of a language or topic is uncertain, and long texts would add that up.
 MARGIN = float(np.log(2))
@@ -100,12 +103,13 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
                .select("good", "text"))
     rows = (flagged.mapInArrow(_count_pass, "bucket long, raw long, target long")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
-    raw, target = np.full(BUCKETS, SMOOTH), np.full(BUCKETS, SMOOTH)
-    raw[rows["bucket"].to_numpy(dtype=np.int64)] += rows["raw"].to_numpy(dtype=float)
-    target[rows["bucket"].to_numpy(dtype=np.int64)] += rows["target"].to_numpy(dtype=float)
-    if target.sum() <= SMOOTH * BUCKETS:                # nothing labelled good: no document is preferred
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    raw[rows["bucket"].to_numpy(dtype=np.int64)] = rows["raw"].to_numpy(dtype=float)
+    target[rows["bucket"].to_numpy(dtype=np.int64)] = rows["target"].to_numpy(dtype=float)
+    if not target.any():                                # nothing labelled good: no document is preferred
         return np.zeros(BUCKETS)
-    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    # the target's count against the one expected at the raw rate; PRIOR keeps rare n-grams near 1
+    ratio = np.log(target + PRIOR) - np.log(raw * (target.sum() / raw.sum()) + PRIOR)
     return np.where(np.abs(ratio) < MARGIN, 0.0, ratio)
 
 
@@ -116,7 +120,8 @@ def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
             weight = np.zeros(batch.num_rows)
             for i, j in V.row_blocks(offsets):
                 bucket, row, n = features(data, offsets[i:j + 1])
-                weight[i:j] = np.bincount(row, weights=ratio[bucket], minlength=n)
+                count = np.bincount(row, minlength=n)
+                weight[i:j] = np.bincount(row, weights=ratio[bucket], minlength=n) * (LENGTH / np.maximum(count, LENGTH))
             u = batch.column(uniform_col).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [*batch.drop_columns([uniform_col]).columns, pa.array(weight), pa.array(weight - np.log(-np.log(u)))],

@@ -274,7 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> tuple[np.
     rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
             .join(F.broadcast(training_rows(labels, limit)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
     # the sample is bounded, so one task can hold it
-    return pickle.loads(rows.select("doc_id", "toxic", "text").repartition(1).mapInArrow(_train_pass, "model binary").first()[0])
+    model = rows.select("doc_id", "toxic", "text").repartition(1).mapInArrow(_train_pass, "model binary").first()
+    return pickle.loads(model[0]) if model else train([], np.zeros(0, dtype=np.int64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, cut: float = CUT, limit: int = MAX_TRAIN) -> DataFrame:
