@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by batched numpy Viterbi.
 
-Texts are cut into words (a run of word marks and what follows it; no piece
-crosses into the next word), every distinct word is segmented once, and words of
+Texts are cut into words (a run of word marks and what follows it, cut again
+between characters that no piece holds side by side), every distinct word is segmented once, and words of
 equal length advance together: at each position the substrings that end there
 are hashed from prefix sums, probed in the sorted piece keys, scored, and the
 vectorised maximum stores the backpointer.
@@ -30,8 +30,8 @@ from retailcast.llm import textvec as V
 
 MARK = 0x2581
 #: Characters worked on at a time, and distinct words a task remembers.
-BLOCK_CHARS, REMEMBERED = 2_000_000, 400_000
-#: Longer words are cut first where no piece can cross, then advance alone.
+BLOCK_CHARS, REMEMBERED = 2_000_000, 1_000_000
+#: Longer words advance alone.
 LONG = 48
 UNIGRAM, BPE = 1, 2
 
@@ -108,7 +108,12 @@ class Codec:
         inner = np.ones(len(cp), dtype=bool)
         inner[np.cumsum(size) - 1] = False
         at = np.flatnonzero(inner)
-        self.crossed = np.unique(cp[at].astype(np.int64) << 32 | cp[at + 1])     # neighbours inside some piece
+        # neighbours inside some piece: a table over the characters of pieces of two or more
+        letters = np.unique(cp[np.repeat(size > 1, size)])
+        self.letter = np.zeros(0x110000, dtype=np.int32)
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.crossed = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+        self.crossed[self.letter[cp[at]], self.letter[cp[at + 1]]] = True
         self.left, self.right = np.arange(self.n), np.arange(self.n)
         self.own = np.ones(self.n, dtype=bool)
         if self.bpe:
@@ -271,18 +276,12 @@ class Codec:
                     ids = self._ids(grid[i], ranks[ends[i] - n[i]:ends[i]])
                     put(own[a + i:a + i + 1], ids, np.array([len(ids)]))
         for i in np.flatnonzero(size > LONG):
-            text = cp[start[i]:end[i]]
-            pair = text[:-1].astype(np.int64) << 32 | text[1:]
-            at = np.minimum(np.searchsorted(self.crossed, pair), max(len(self.crossed) - 1, 0))
-            cuts = np.concatenate([[0], np.flatnonzero(self.crossed[at] != pair) + 1, [len(text)]])
-            ids = np.concatenate([self._ids(p, self._together(p[None, :])[0]) if len(p) <= LONG else self._alone(p)
-                                  for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in [text[a:b]]])
+            ids = self._alone(cp[start[i]:end[i]])
             put(np.array([i]), ids, np.array([len(ids)]))
         return ragged(np.concatenate(flat) if flat else np.zeros(0, np.int64), first, count).astype(np.int32), count
 
     def _alone(self, cp: np.ndarray) -> np.ndarray:
-        """A very long run without a cut, in windows: positions advance one at a time,
-        the candidates of each are compared with the path they extend."""
+        """One very long word: its positions advance one at a time."""
         text = "".join(map(chr, cp))
         if not hasattr(self, "by_text"):
             self.by_text = {self.pieces[i]: r for r, i in enumerate(self.ids)}
@@ -320,6 +319,9 @@ class Codec:
         mark = cp == MARK
         first = mark.copy()
         first[1:] &= ~mark[:-1]
+        if self.fallback:               # no piece reaches over this place: the parts are segmented apart
+            letter = self.letter[cp]
+            first[1:] |= ~self.crossed[letter[:-1], letter[1:]] & ~(mark[1:] & mark[:-1])
         first[rows[:-1][rows[:-1] < len(cp)]] = True
         start = np.flatnonzero(first)
         end = np.append(start[1:], len(cp))
@@ -335,11 +337,14 @@ class Codec:
                 keys, first_id, count, flat = values[:0], first_id[:0], count[:0], flat[:0]
                 new = np.arange(len(values))
                 ids, n = self.words(cp, start[at], end[at])
-            keys = np.concatenate([keys, values[new]])
-            first_id = np.concatenate([first_id, len(flat) + np.cumsum(n) - n])
-            count, flat = np.concatenate([count, n]), np.concatenate([flat, ids])
-            order = np.argsort(keys)
-            keys, first_id, count = keys[order], first_id[order], count[order]
+            if len(keys):
+                spot = place[new] + (keys[place[new]] < values[new])
+                keys = np.insert(keys, spot, values[new])
+                first_id = np.insert(first_id, spot, len(flat) + np.cumsum(n) - n)
+                count = np.insert(count, spot, n)
+                flat = np.concatenate([flat, ids])
+            else:
+                keys, first_id, count, flat = values, np.cumsum(n) - n, n, ids
             self.known = keys, first_id, count, flat
             place = np.searchsorted(keys, values)
         word = place[which]
@@ -369,6 +374,17 @@ class Codec:
         return data, rows
 
 
+_LAST: dict[bytes, Codec] = {}
+
+
+def codec_of(proto: bytes) -> Codec:
+    """The model's codec; a Python worker keeps the last one, with the words it has met, for its next tasks."""
+    if proto not in _LAST:
+        _LAST.clear()
+        _LAST[proto] = Codec(proto)
+    return _LAST[proto]
+
+
 def model_bytes(path: str) -> bytes:
     with open(path, "rb") as f:          # a file of the installation, read on the driver
         return f.read()
@@ -382,7 +398,7 @@ def text_blocks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def _encode_pass(proto: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(proto)
+        codec = codec_of(proto)
         for batch in batches:
             data, offsets = V.text_buffers(batch.column(1))
             for i, texts in text_blocks(batch.column(1)):
@@ -406,7 +422,7 @@ def _encode_pass(proto: bytes):
 
 def _decode_pass(proto: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(proto)
+        codec = codec_of(proto)
         for batch in batches:
             lists = batch.column(1).fill_null([])
             ids, rows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
