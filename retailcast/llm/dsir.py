@@ -28,6 +28,8 @@ from retailcast.llm import textvec as V
 from retailcast.session import materialize
 
 BUCKETS = 1 << 16
+#: Columns added to scored rows.
+LOG_WEIGHT, KEY, UNIFORM = "_dsir_log_weight", "_dsir_gumbel_key", "_dsir_uniform"
 #: Labelled rows used at most; a fixed bound of the fit.
 MAX_LABELS = 20_000
 #: Pseudo-count of both models: what a bucket must be expected for its count to speak.
@@ -125,34 +127,34 @@ def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
             u = batch.column(uniform_col).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [*batch.drop_columns([uniform_col]).columns, pa.array(weight), pa.array(weight - np.log(-np.log(u)))],
-                [*(c for c in batch.schema.names if c != uniform_col), "log_weight", "gumbel_key"])
+                [*(c for c in batch.schema.names if c != uniform_col), LOG_WEIGHT, KEY])
     return run
 
 
 def score(docs: DataFrame, ratio: np.ndarray, seed: int, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``log_weight`` and ``gumbel_key``; the noise is a hash of id, text and seed."""
+    """``docs`` with LOG_WEIGHT and KEY; the noise is a hash of id, text and seed."""
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", text_col, F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
-    schema = T.StructType([*docs.schema.fields, T.StructField("log_weight", T.DoubleType()), T.StructField("gumbel_key", T.DoubleType())])
-    return docs.withColumn("_u", u).mapInArrow(_score_pass(ratio, text_col, "_u"), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(LOG_WEIGHT, T.DoubleType()), T.StructField(KEY, T.DoubleType())])
+    return docs.withColumn(UNIFORM, u).mapInArrow(_score_pass(ratio, text_col, UNIFORM), schema)
 
 
 def kth_largest(keys: DataFrame, k: int) -> float:
-    """The k-th largest ``gumbel_key``, by histograms that narrow down on it; -inf for k past the end."""
-    lo, hi, n = keys.agg(F.min("gumbel_key"), F.max("gumbel_key"), F.count("gumbel_key")).first()
+    """The k-th largest KEY, by histograms that narrow down on it; -inf for k past the end."""
+    lo, hi, n = keys.agg(F.min(KEY), F.max(KEY), F.count(KEY)).first()
     if k <= 0 or not n:
         return float("inf")
     if k > n:
         return float("-inf")
     left = k
     while True:
-        inside = keys.filter(F.col("gumbel_key").between(lo, hi))
+        inside = keys.filter(F.col(KEY).between(lo, hi))
         width = (hi - lo) / BINS
         if width <= 0 or lo + width == lo or inside.count() <= FINE:
             if lo == hi:
                 return lo
-            return [r[0] for r in inside.select("gumbel_key").orderBy(F.desc("gumbel_key")).limit(left).collect()][-1] if inside.count() <= FINE else lo
-        bins = sorted(inside.groupBy(F.least(F.floor((F.col("gumbel_key") - lo) / width), F.lit(BINS - 1)).alias("b"))
-                      .agg(F.count("*").alias("c"), F.min("gumbel_key").alias("lo"), F.max("gumbel_key").alias("hi")).collect(), key=lambda r: -r.b)
+            return [r[0] for r in inside.select(KEY).orderBy(F.desc(KEY)).limit(left).collect()][-1] if inside.count() <= FINE else lo
+        bins = sorted(inside.groupBy(F.least(F.floor((F.col(KEY) - lo) / width), F.lit(BINS - 1)).alias("b"))
+                      .agg(F.count("*").alias("c"), F.min(KEY).alias("lo"), F.max(KEY).alias("hi")).collect(), key=lambda r: -r.b)
         for r in bins:
             if left <= r.c:
                 lo, hi = r.lo, r.hi
@@ -163,9 +165,9 @@ def kth_largest(keys: DataFrame, k: int) -> float:
 def calibrated_count(scored: DataFrame, sample: DataFrame) -> int:
     """k: the documents whose key reaches the cut that tells the held-back labels apart
     best (halfway between the two keys at it). Without labels of both kinds, all."""
-    rows = (scored.select("doc_id", "gumbel_key").join(F.broadcast(sample.filter("not fit")), "doc_id")
-            .select("gumbel_key", "good").toPandas())
-    good, key = rows["good"].to_numpy(dtype=bool), rows["gumbel_key"].to_numpy(dtype=float)
+    rows = (scored.select("doc_id", KEY).join(F.broadcast(sample.filter("not fit")), "doc_id")
+            .select(KEY, "good").toPandas())
+    good, key = rows["good"].to_numpy(dtype=bool), rows[KEY].to_numpy(dtype=float)
     if not good.any() or good.all():
         return scored.count()
     order = np.argsort(key, kind="stable")
@@ -174,7 +176,7 @@ def calibrated_count(scored: DataFrame, sample: DataFrame) -> int:
     right = np.concatenate([[0], np.cumsum(~good)]) / (~good).sum() + (good.sum() - np.concatenate([[0], np.cumsum(good)])) / good.sum()
     i = int(np.argmax(right))
     cut = float("-inf") if i == 0 else (key[i - 1] + key[i]) / 2 if i < len(key) else float("inf")
-    return scored.filter(F.col("gumbel_key") >= cut).count()
+    return scored.filter(F.col(KEY) >= cut).count()
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
@@ -189,11 +191,11 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 17, id_col: str = "
     sample = materialize(label_sample(labels, id_col, label_col), "label_sample")
     texts = named.select("doc_id", F.col(text_col).cast("string").alias("text"))
     scored = score(named, fit(texts, sample), seed, text_col)
-    keys = materialize(scored.select("doc_id", "gumbel_key"), "keys")
+    keys = materialize(scored.select("doc_id", KEY), "keys")
     return scored, kth_largest(keys, calibrated_count(keys, sample) if k is None else k)
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The sampled rows of ``docs``, all columns."""
     scored, least = resample(docs, labels, **options)
-    return scored.filter(F.col("gumbel_key") >= least).drop("log_weight", "gumbel_key").select(*docs.columns)
+    return scored.filter(F.col(KEY) >= least).drop(LOG_WEIGHT, KEY).select(*docs.columns)

@@ -59,19 +59,21 @@ def dropped_words(docs: DataFrame, min_docs: int = 10, min_length: int = 1, keep
 
 
 def apply_words(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``docs`` with ``n_lines``, ``n_dropped`` and ``kept`` (the lines left, joined by newlines)."""
-    words = words.select(F.col("doc_id").alias("_d"), F.col("version").alias("_v"), F.expr(
-        "transform(sequence(0, array_max(map_keys(words))), w -> coalesce(words[w], 0L))").alias("_words"))
-    joined = docs.join(words, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_v")), "left")
+    """``docs`` with ``_dedup``: n_lines, n_dropped and kept (the lines left, joined by newlines)."""
+    words = words.select(F.col("doc_id").alias("_dedup_id"), F.col("version").alias("_dedup_version"), F.expr(
+        "transform(sequence(0, array_max(map_keys(words))), w -> coalesce(words[w], 0L))").alias("_dedup_words"))
+    joined = docs.join(words, F.col("doc_id").eqNullSafe(F.col("_dedup_id")) & (F.xxhash64("text") == F.col("_dedup_version")), "left")
     lines = split_lines(F.col("text"))
-    kept = F.when(F.col("_words").isNull(), lines).otherwise(F.filter(lines, _stays))
-    return (joined.withColumn("_kept", kept).withColumn("n_lines", F.size(lines).cast("long"))
-            .withColumn("n_dropped", F.col("n_lines") - F.size("_kept"))
-            .withColumn("kept", F.array_join("_kept", "\n")).drop("_d", "_v", "_words", "_kept"))
+    left = F.col("_dedup_left")
+    kept = F.when(F.col("_dedup_words").isNull(), lines).otherwise(F.filter(lines, _stays))
+    return (joined.withColumn("_dedup_left", kept)
+            .withColumn("_dedup", F.struct(F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(left)).cast("long").alias("n_dropped"),
+                                           F.array_join(left, "\n").alias("kept")))
+            .drop("_dedup_id", "_dedup_version", "_dedup_words", "_dedup_left"))
 
 
 def _stays(line: Column, i: Column) -> Column:
-    word = F.coalesce(F.get(F.col("_words"), F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
+    word = F.coalesce(F.get(F.col("_dedup_words"), F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
     return F.getbit(word, i % 64) == 0
 
 
@@ -85,4 +87,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null id take part. Other columns are ignored; an empty table gives none.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return apply_words(docs, dropped_words(docs, **rule))
+    return apply_words(docs, dropped_words(docs, **rule)).select("doc_id", "text", "_dedup.*")

@@ -56,7 +56,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored, least = dsir.resample(docs, table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "log_weight", "gumbel_key", (F.col("gumbel_key") >= least).alias("kept"))
+    key = F.col(dsir.KEY)
+    return scored.select("doc_id", F.col(dsir.LOG_WEIGHT).alias("log_weight"), key.alias("gumbel_key"), (key >= least).alias("kept"))
 
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

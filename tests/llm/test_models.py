@@ -117,19 +117,19 @@ def test_log_weights_match_plain_counts(spark):
     np.testing.assert_allclose(ratio, want, atol=1e-9)
     for r in dsir.score(docs, ratio, 17).collect():
         n = len(own[r["doc_id"]])
-        assert abs(r["log_weight"] - sum(want[x] for x in own[r["doc_id"]]) * min(1, dsir.LENGTH / n)) < 1e-6
+        assert abs(r[dsir.LOG_WEIGHT] - sum(want[x] for x in own[r["doc_id"]]) * min(1, dsir.LENGTH / n)) < 1e-6
 
 
 def test_gumbel_top_k_is_exact_and_samples_by_weight(spark, monkeypatch):
-    keys = spark.range(5000).withColumn("gumbel_key", F.rand(3) * F.when(F.col("id") % 7 == 0, 100).otherwise(1))
-    all_keys = sorted((r[0] for r in keys.select("gumbel_key").collect()), reverse=True)
+    keys = spark.range(5000).withColumn(dsir.KEY, F.rand(3) * F.when(F.col("id") % 7 == 0, 100).otherwise(1))
+    all_keys = sorted((r[0] for r in keys.select(dsir.KEY).collect()), reverse=True)
     monkeypatch.setattr(dsir, "FINE", 40)
     for k in (1, 700, 2500, 5000):
         assert dsir.kth_largest(keys, k) == all_keys[k - 1]
     assert dsir.kth_largest(keys, 0) == math.inf and dsir.kth_largest(keys, 9999) == -math.inf
     # the noise is Gumbel: of pairs with log weights 0 and log 3 the second wins three times in four
     docs = frame(spark, [f"t{i}" for i in range(8000)])
-    noise = np.array([r["gumbel_key"] for r in dsir.score(docs, np.zeros(dsir.BUCKETS), 17).orderBy("doc_id").collect()])
+    noise = np.array([r[dsir.KEY] for r in dsir.score(docs, np.zeros(dsir.BUCKETS), 17).orderBy("doc_id").collect()])
     assert abs(np.mean(noise[1::2] + np.log(3) > noise[::2]) - 0.75) < 0.03
 
 
@@ -137,7 +137,7 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     docs, labels, _ = corpus(spark, 40)
     assert dsir.quality_filter(no_docs, labels).count() == 0
     scored, least = dsir.resample(odd_docs, labels)
-    assert scored.count() == odd_docs.count() and dsir.resample(odd_docs, labels.limit(0))[1] <= scored.agg(F.min("gumbel_key")).first()[0] + 1e9
+    assert scored.count() == odd_docs.count() and dsir.resample(odd_docs, labels.limit(0))[1] <= scored.agg(F.min(dsir.KEY)).first()[0] + 1e9
     assert dsir.quality_filter(odd_docs, labels.limit(0)).count() == odd_docs.count()
     assert dsir.quality_filter(odd_docs, labels).columns == odd_docs.columns
 

@@ -36,7 +36,7 @@ def test_stages_keep_the_columns(stages):
 def test_quality_stage(spark, stages):
     before, after = stages[0]
     scored, least = dsir.resample(before, table(spark, SF0001, "labels"))
-    assert set(rows(after)) == {r["doc_id"] for r in scored.collect() if r["gumbel_key"] >= least}
+    assert set(rows(after)) == {r["doc_id"] for r in scored.collect() if r[dsir.KEY] >= least}
     quality = {r["doc_id"]: r["quality"] for r in table(spark, SF0001, "labels").collect()}
     kept = set(rows(after))
     good = [i in kept for i, q in quality.items() if q == 1]
@@ -77,14 +77,21 @@ def test_token_stage(stages):
 def test_odd_rows_pass_all_stages(spark, tmp_path):
     """Nulls in every column, empty and repeated rows, an extra column with a name the stages use."""
     text = " ".join(f"w{i}" for i in range(30))
-    docs = [(1, text, "en", "s", 1, "x"), (1, text, "en", "s", 1, "x"), (2, None, None, None, None, None), (None, text, "en", "s", 1, "x"), (3, "", "en", "s", 0, "x"), (4, "a\n\nb", "en", "s", 4, "x")]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string"
+    more = ("x", 1.5, "y", "z")
+    docs = [(1, text, "en", "s", 1, *more), (1, text, "en", "s", 1, *more), (2, None, None, None, None, None, None, None, None), (None, text, "en", "s", 1, *more),
+            (3, "", "en", "s", 0, *more), (4, "a\n\nb", "en", "s", 4, *more)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, log_weight double, n_dropped string, node string"
     labels = "doc_id long, quality int, toxic int"
     spark.createDataFrame(docs, schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, None)], labels).write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "zz yy xx"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = P.run(spark, str(tmp_path)).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == [(False, 1), (False, 2), (False, 3), (False, 4), (True, 0)]
+    stage = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, f in P.STAGES[:-1]:
+        stage = f(spark, stage, str(tmp_path))
+        assert stage.columns == schema.replace(",", "").split()[::2]
+        assert {(r["kept"], r["log_weight"], r["n_dropped"], r["node"]) for r in stage.collect() if r["doc_id"] != 2} == {more}
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], labels).write.parquet(f"{tmp_path}/none/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
