@@ -27,10 +27,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with its text and ``n_chars`` (code points) as they are afterwards."""
     ensure_checkpoint_dir(spark)
     words = line_dedup.dropped_words(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    cleaned = line_dedup.apply_words(docs, words).withColumn("_changed", F.col("n_dropped") > 0)
-    values = {"text": F.when(F.col("_changed"), F.col("kept")).otherwise(F.col("text")),
-              "n_chars": F.when(F.col("_changed"), F.char_length("kept").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
-    return cleaned.select(*[values[c].alias(c) if values.get(c) is not None else F.col(c) for c in docs.columns])
+    cleaned, kept = line_dedup.apply_words(docs, words), F.col("_dedup.kept")
+    value = {"text": kept, "n_chars": F.char_length(kept).cast("long")}
+    return cleaned.select(*[F.when(F.col("_dedup.n_dropped") > 0, value[c]).otherwise(F.col(c)).alias(c) if c in value else F.col(c)
+                            for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
