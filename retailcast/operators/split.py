@@ -93,16 +93,49 @@ def ranked_with_total(df: DataFrame, order_cols: list[str], partitions: int | No
     return ranged.withColumn(out, offset_col + local).drop("_mid"), acc
 
 
-def split_exact(df: DataFrame, fractions=SPLIT_FRACTIONS, seed: int = SPLIT_SEED,
-                id_col: str = "record_id", out: str = "split_type",
-                partitions: int | None = None) -> DataFrame:
-    """P1 + P4: exact sizes; membership is a seeded hash order (deterministic)."""
-    keyed = df.withColumn("_k", hash_key(id_col, seed))
-    ranked, n = ranked_with_total(keyed, ["_k", id_col], partitions)
+FINE = 10_000
+
+
+def _keys_at(keys: DataFrame, id_col: str, fractions) -> dict[str, tuple]:
+    """The (key, id) rows at the cut ranks, from counts per key prefix that narrow down."""
+    def counts(prefix: str) -> list[tuple[str, int]]:
+        rows = keys.filter(F.col("_k").startswith(prefix)).groupBy(F.substring("_k", 1, len(prefix) + 3).alias("p")).count().collect()
+        return sorted((r["p"], r["count"]) for r in rows)           # at most 4,096
+    top = counts("")
+    n = sum(c for _, c in top)
     _, n_val, n_test = exact_sizes(n, fractions)
-    r = F.col("_rank")
-    tag = F.when(r < n_test, "test").when(r < n_test + n_val, "validation").otherwise("train")
-    return ranked.withColumn(out, tag).drop("_k", "_rank")
+    out = {}
+    for name, rank in (("test", n_test), ("validation", n_test + n_val)):
+        if rank >= n:
+            continue
+        level, left, prefix = top, rank, ""
+        while True:
+            for prefix, c in level:
+                if left < c:
+                    break
+                left -= c
+            if c <= FINE or len(prefix) >= 32:
+                row = keys.filter(F.col("_k").startswith(prefix)).orderBy("_k", id_col).limit(left + 1).collect()[-1]
+                out[name] = (row["_k"], row[id_col])
+                break
+            level = counts(prefix)
+    return out
+
+
+def split_exact(df: DataFrame, fractions=SPLIT_FRACTIONS, seed: int = SPLIT_SEED,
+                id_col: str = "record_id", out: str = "split_type") -> DataFrame:
+    """P1 + P4: exact sizes; membership is a seeded hash order (deterministic).
+
+    Only two cut keys are looked for, over the id column (counts per key prefix,
+    then the few keys of the boundary prefix); rows are tagged where they are,
+    without a shuffle or a copy."""
+    key = hash_key(id_col, seed)
+    cuts = _keys_at(df.select(key.alias("_k"), id_col), id_col, fractions)
+    here = F.struct(key.alias("k"), F.col(id_col).alias("i"))
+
+    def before(name: str) -> Column:
+        return here < F.struct(F.lit(cuts[name][0]).alias("k"), F.lit(cuts[name][1]).alias("i")) if name in cuts else F.lit(True)
+    return df.withColumn(out, F.when(before("test"), "test").when(before("validation"), "validation").otherwise("train"))
 
 
 def sample_cap(df: DataFrame, n: int = 300, seed: int = SPLIT_SEED,

@@ -1081,20 +1081,27 @@ def _(spark, sf):
     return W.anomaly_score(_events(spark, sf))
 
 
-@plain("quarantine", """
+QUARANTINE_SQL = """
 SELECT event_id,
   CASE WHEN props IS NULL THEN 'missing_payload'
        WHEN try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL THEN 'malformed_payload'
        WHEN value IS NULL THEN 'missing_value' WHEN value < 0 THEN 'negative_value' ELSE 'valid' END AS status,
   try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN '{"k": "none"}' ELSE props END AS props,
-             CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -value - 1 ELSE value END AS value FROM events)""")
-def _(spark, sf):
+             CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -value - 1 ELSE value END AS value FROM events)"""
+
+
+def _spoilt(events):
+    """Events with missing and malformed payloads and missing and negative values by id."""
     i = F.col("event_id")
-    spoilt = _events(spark, sf).withColumns({
+    return events.withColumns({
         "props": F.when(i % 13 == 0, None).when(i % 17 == 0, '{"k": "none"}').otherwise(F.col("props")),
         "value": F.when(i % 19 == 0, None).when(i % 23 == 0, -F.col("value") - 1).otherwise(F.col("value"))})
-    return W.quarantine(spoilt)
+
+
+@plain("quarantine", QUARANTINE_SQL)
+def _(spark, sf):
+    return W.quarantine(_spoilt(_events(spark, sf)))
 
 
 @q("apply_contract",
@@ -1407,6 +1414,30 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@plain("stream_quarantine", "SELECT event_id, status, CASE WHEN status = 'valid' THEN 'valid' ELSE 'quarantine' END AS sink FROM ("
+       + QUARANTINE_SQL + ")")
+def _(spark, sf):
+    tagged = W.quarantine(_spoilt(_event_stream(spark, sf)))
+    out = ST.run_available_now(tagged, f"quarantine-{_uid()}", batch_fn=ST.two_sinks_batch(F.col("status") == "valid"))
+    sinks = [spark.read.parquet(f"{out}/{s}").select("event_id", "status", F.lit(s).alias("sink")) for s in ("valid", "quarantine")]
+    return sinks[0].unionByName(sinks[1])
+
+
+@plain("stream_route_approval", "WITH " + REG_EVENTS_SQL + ROUTE_SQL)
+def _(spark, sf):
+    routed = G.route_approval_event(G.registry_events_from(_event_stream(spark, sf)))
+    out = ST.run_available_now(routed.select("event_id", "action", "reason"), f"routed-{_uid()}")
+    return spark.read.parquet(out)
+
+
+@q("stream_score_model")
+def _(spark, sf):
+    src = session_table(spark, ("test_features", sf), lambda: feat(spark, sf).filter("split_type = 'test'"))
+    stream = ST.read_stream(spark, src.inputFiles()[0].rsplit("/", 1)[0], src.schema, max_files=64)
+    out = ST.run_available_now(M.batch_score(gbt_model_path(spark, sf), stream).select("record_id", "prediction"), f"model-{_uid()}")
+    return spark.read.parquet(out)
+
+
 @plain("stream_alert_stream", "WITH " + WIN_SQL + "\nSELECT *, 'above' AS alert FROM win WHERE avg_value > 100.0")
 def _(spark, sf):
     out = ST.run_available_now(ST.stream_window_avg(_event_stream(spark, sf)), f"alerts-{_uid()}",

@@ -67,6 +67,17 @@ def stream_window_avg(events: DataFrame, size: str = "1 hour", watermark: str =
                     F.date_format("w.end", TS_FMT).alias("window_end"), key, "avg_value", "n"))
 
 
+def two_sinks_batch(condition, valid: str = "valid", other: str = "quarantine"):
+    """W5 (stream form): foreachBatch writer of two sinks. A batch goes to folders
+    under its own id, so a replayed batch replaces what it wrote."""
+    def fn(batch: DataFrame, batch_id: int, out: str) -> None:
+        batch = batch.persist()
+        batch.filter(condition).write.mode("overwrite").parquet(f"{out}/{valid}/batch_id={batch_id}")
+        batch.filter(~condition).write.mode("overwrite").parquet(f"{out}/{other}/batch_id={batch_id}")
+        batch.unpersist()
+    return fn
+
+
 def stream_alert_batch(threshold: float, above: bool = True):
     """foreachBatch writer that appends only windows crossing the threshold."""
     def fn(batch: DataFrame, batch_id: int, out: str) -> None:

@@ -54,6 +54,6 @@ def test_exact_sizes_partition_n(n, fr):
 @given(st.integers(1, 400), st.integers(1, 9))
 def test_split_exact_sizes_distributed(spark, n, parts):
     df = spark.range(n).withColumnRenamed("id", "record_id")
-    got = dict(P.split_exact(df, partitions=parts).groupBy("split_type").count().collect())
+    got = dict(P.split_exact(df).groupBy("split_type").count().collect())
     tr, va, te = P.exact_sizes(n)
     assert got.get("train", 0) == tr and got.get("validation", 0) == va and got.get("test", 0) == te

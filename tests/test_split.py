@@ -17,10 +17,10 @@ def test_fraction_check():
 
 def test_split_exact_distributed(spark):
     df = spark.range(500).withColumnRenamed("id", "record_id")
-    a = P.split_exact(df, partitions=7)
+    a = P.split_exact(df.repartition(7))
     counts = dict(a.groupBy("split_type").count().collect())
     assert counts == {"train": 450, "validation": 25, "test": 25}
-    b = P.split_exact(df.repartition(3), partitions=4)
+    b = P.split_exact(df.repartition(3))
     assert a.exceptAll(b).count() == 0           # deterministic, partitioning-independent
     assert a.select("record_id").distinct().count() == 500
 
@@ -66,3 +66,13 @@ def test_prefix_sum_splits_a_hot_group(spark):
     assert max(per_task) < 0.25 * 20000                       # no task holds the hot group whole
     hot = out.filter("g = 0").agg(F.max("cum_x")).first()[0]
     assert hot == 18000                                        # and the running sum is still exact
+
+
+def test_split_exact_narrows_down_by_prefix(spark, monkeypatch):
+    """Boundary prefixes with more keys than FINE are counted again by a longer prefix."""
+    df = spark.range(3000).withColumnRenamed("id", "record_id")
+    a = P.split_exact(df)
+    monkeypatch.setattr(P, "FINE", 0)
+    b = P.split_exact(df)
+    assert a.exceptAll(b).count() == 0
+    assert dict(a.groupBy("split_type").count().collect()) == {"train": 2700, "validation": 150, "test": 150}
