@@ -142,6 +142,7 @@ HITS = "doc_id long, item_id long, similarity double, first_word long, n_words l
 
 
 def _hit_pass(rows: list):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows)
         for batch in batches:
@@ -173,6 +174,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def _clean_pass(rows: list, text_col: str):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows)
         for batch in batches:

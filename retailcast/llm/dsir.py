@@ -76,6 +76,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(out) >> V.U(48)).astype(np.int64), np.concatenate(rows), w.rows
 
 
+@V.frugal
 def _count_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(good, text) -> a task's n-gram counts of all texts and of the good ones."""
     raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
@@ -116,6 +117,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
 
 
 def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = V.text_buffers(batch.column(text_col))

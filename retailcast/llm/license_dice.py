@@ -123,6 +123,7 @@ HITS = "doc_id long, license string, dice double, first_word long, n_words long"
 
 
 def _pass(table: list, threshold: float):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(table, threshold)
         for batch in batches:

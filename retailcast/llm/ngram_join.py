@@ -47,7 +47,7 @@ GROUPS = 1 << GROUP_BITS
 GROUP_SHIFT = V.U(64 - GROUP_BITS)
 HEAVY_MAX = 200_000
 #: Shingles counted together in a task, and the count there from which one is reported.
-HEAVY_CHUNK, HEAVY_MIN = 4_000_000, 8
+HEAVY_CHUNK, HEAVY_MIN = 2_000_000, 8
 #: Most members of a min-hash block, and of a tile of a key.
 BLOCK, TILE = 512, 512
 #: Keys with at most so many nodes give pairs directly, others go to R-trees.
@@ -176,6 +176,7 @@ def block_links(sets: list[np.ndarray], labels: np.ndarray) -> list[tuple[int, i
 
 # ---- per-document passes ----------------------------------------------------------------------
 
+@V.frugal
 def _heavy_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
 
@@ -225,6 +226,7 @@ SIGNED = "doc_id long, n long, f1 long, f2 long, homes array<long>, counts binar
 
 
 def _signature_pass(heavy: np.ndarray):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = V.HashSet(heavy)
         rank = np.empty(len(heavy), dtype=np.int64)
@@ -271,6 +273,7 @@ def _signature_pass(heavy: np.ndarray):
 
 
 def _set_pass(words: np.ndarray):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = V.in_bitmap(words, batch.column(2).to_numpy())
@@ -292,6 +295,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "node")
 
 
+@V.frugal
 def _link_pass(verify, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a block, the centre first -> links."""
     a, b = [], []
@@ -334,6 +338,7 @@ def _home_members(nodes: DataFrame, turns: list[int]) -> DataFrame:
 RUNS = "kind int, a long, b long, n long, label long"
 
 
+@V.frugal
 def _run_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, n, label) sorted by key -> kind 0: pairs (a, b) of nodes of
     different labels and fitting sizes that share n keys held by few nodes;
@@ -405,6 +410,7 @@ def _runs(c: dict) -> Iterator[pa.RecordBatch]:
                                          ["kind", "a", "b", "n", "label"])
 
 
+@V.frugal
 def _tile_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tile members with count vectors -> candidate pairs of different labels, by R-tree."""
     for t in V.key_runs(batches, "tile"):
@@ -420,6 +426,7 @@ def _tile_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
+@V.frugal
 def _bound_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that the sum of coordinate minima lets through."""
     for batch in batches:

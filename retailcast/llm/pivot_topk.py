@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailcast.llm import textvec as V
+
 PIVOTS, QUERY_BLOCK, VECTOR_BLOCK, STEP = 24, 2_048, 4_096, 256
 SCALE = 256.0
 
@@ -86,6 +88,7 @@ class Search:
 
 
 def _search_pass(queries: list[tuple[np.ndarray, np.ndarray]], k: int):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searches = {x.shape[1]: Search(ids, x, k) for ids, x in queries}
         for batch in batches:

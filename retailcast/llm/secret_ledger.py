@@ -81,6 +81,7 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind",
 
 
 def _scan_pass(rules: tuple[Rule, ...], words):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
         for batch in batches:

@@ -30,7 +30,7 @@ from retailcast.llm import textvec as V
 
 MARK = 0x2581
 #: Characters worked on at a time, and distinct words a task remembers.
-BLOCK_CHARS, REMEMBERED = 2_000_000, 400_000
+BLOCK_CHARS, REMEMBERED = 1_000_000, 400_000
 #: Longer words advance alone.
 LONG = 48
 UNIGRAM, BPE = 1, 2
@@ -386,6 +386,7 @@ def text_blocks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 
 def _encode_pass(proto: bytes):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(proto)
         for batch in batches:
@@ -410,6 +411,7 @@ def _encode_pass(proto: bytes):
 
 
 def _decode_pass(proto: bytes):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(proto)
         for batch in batches:

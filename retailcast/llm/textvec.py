@@ -8,6 +8,8 @@ words, n-grams or sets collide with probability about 2^-64 per pair.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,6 +17,23 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+
+
+def frugal(task):
+    """A task function that gives freed memory back to the system at its end: Python
+    workers stay for later tasks, and their allocators would keep it."""
+    @functools.wraps(task)
+    def run(*args):
+        try:
+            yield from task(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # the C library's, where it has it
+            if trim:
+                trim(0)
+    return run
+
+
 _rng = np.random.Generator(np.random.PCG64(20240607))
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U) | U(1)
 BYTE_CODE[65:91] = BYTE_CODE[97:123]

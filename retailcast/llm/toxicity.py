@@ -226,6 +226,7 @@ def word_scores(hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends:
 
 
 def _score_pass(table: np.ndarray, bias: float):
+    @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = V.text_buffers(batch.column(1))
@@ -245,6 +246,7 @@ def _score_pass(table: np.ndarray, bias: float):
     return run
 
 
+@V.frugal
 def _train_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
     if rows is None or not rows.num_rows:
