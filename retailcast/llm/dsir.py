@@ -105,10 +105,10 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     flagged = (docs.select("doc_id", "text").join(F.broadcast(sample.filter("fit and good").select("doc_id", "good")), "doc_id", "left")
                .select("good", "text"))
     rows = (flagged.mapInArrow(_count_pass, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
+            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows["bucket"].to_numpy(dtype=np.int64)] = rows["raw"].to_numpy(dtype=float)
-    target[rows["bucket"].to_numpy(dtype=np.int64)] = rows["target"].to_numpy(dtype=float)
+    raw[rows.column("bucket").to_numpy()] = rows.column("raw").to_numpy()
+    target[rows.column("bucket").to_numpy()] = rows.column("target").to_numpy()
     if not target.any():                                # nothing labelled good: no document is preferred
         return np.zeros(BUCKETS)
     # the target's count against the one expected at the raw rate; PRIOR keeps rare n-grams near 1
@@ -168,8 +168,8 @@ def calibrated_count(scored: DataFrame, sample: DataFrame) -> int:
     """k: the documents whose key reaches the cut that tells the held-back labels apart
     best (halfway between the two keys at it). Without labels of both kinds, all."""
     rows = (scored.select("doc_id", KEY).join(F.broadcast(sample.filter("not fit")), "doc_id")
-            .select(KEY, "good").toPandas())
-    good, key = rows["good"].to_numpy(dtype=bool), rows[KEY].to_numpy(dtype=float)
+            .select(KEY, "good").toArrow())
+    good, key = rows.column("good").to_numpy(), rows.column(KEY).to_numpy()
     if not good.any() or good.all():
         return scored.count()
     order = np.argsort(key, kind="stable")

@@ -212,9 +212,9 @@ def heavy_shingles(docs: DataFrame, text: str) -> np.ndarray:
         total, cut = total + count, step
     if cut is None:
         return np.zeros(0, V.U)
-    rows = seen.filter(F.floor(F.log2("c") * 4) >= cut).toPandas()
-    order = np.lexsort((rows["h"], rows["c"]))
-    return rows["h"].to_numpy(dtype=np.int64)[order].view(V.U)
+    rows = seen.filter(F.floor(F.log2("c") * 4) >= cut).toArrow()
+    h, c = rows.column("h").to_numpy(), rows.column("c").to_numpy()
+    return h[np.lexsort((h, c))].view(V.U)
 
 
 def _home(values: np.ndarray, offsets: np.ndarray, turn: int) -> np.ndarray:

@@ -257,9 +257,9 @@ def id_bitmap(ids) -> np.ndarray:
     slot = F.shiftrightunsigned(h, 64 - ID_BITS)
     rows = (ids.select(slot.alias("s")).filter("s is not null")
             .groupBy(F.shiftright("s", 6).cast("int").alias("w"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toPandas())
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toArrow())
     words = np.zeros(1 << (ID_BITS - 6), dtype=np.int64)
-    words[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
+    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
     return words
 
 
