@@ -24,12 +24,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more documents share; every document stays,
-    with its text and ``n_chars`` (code points) as they are afterwards."""
+    with its text and ``n_chars`` (code points) as they are afterwards.
+
+    A document that would be left with blank lines only keeps its text: such are the
+    copies of a text held ten times or more, of which the next stage keeps one. A
+    shared line of any other document goes everywhere, its first occurrence too.
+    """
     ensure_checkpoint_dir(spark)
     words = line_dedup.dropped_words(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     cleaned, kept = line_dedup.apply_words(docs, words), F.col("_dedup.kept")
     value = {"text": kept, "n_chars": F.char_length(kept).cast("long")}
-    return cleaned.select(*[F.when(F.col("_dedup.n_dropped") > 0, value[c]).otherwise(F.col(c)).alias(c) if c in value else F.col(c)
+    cut = (F.col("_dedup.n_dropped") > 0) & (F.btrim(kept, F.lit(line_dedup.BLANKS)) != "")
+    return cleaned.select(*[F.when(cut, value[c]).otherwise(F.col(c)).alias(c) if c in value else F.col(c)
                             for c in docs.columns])
 
 

@@ -53,6 +53,18 @@ def test_line_stage(stages):
         assert after[i]["n_chars"] == (len(kept) if dropped else before[i]["n_chars"])
 
 
+def test_one_copy_of_a_large_group_keeps_its_text(spark):
+    """Twelve copies share every line with ten documents or more: their text must not be lost."""
+    text = "\n\n".join(f"line {k} of the copied text has words {k * 7} of its own" for k in range(6))
+    docs = [(i, text) for i in range(12)] + [(20 + i, f"own words number {i} stay here\n\nshared footer") for i in range(12)] + [(40, " shared FOOTER\n")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in docs], "doc_id long, text string, n_chars long")
+    cut = P.lines(spark, docs, SF0001)
+    kept = rows(P.near_duplicates(spark, materialize(cut, "lines_kept"), SF0001))
+    assert {i for i in kept if i < 12} == {0} and kept[0]["text"] == text and kept[0]["n_chars"] == len(text)
+    assert all(kept[20 + i]["text"] == f"own words number {i} stay here\n" for i in range(12))
+    assert kept[40]["text"] == " shared FOOTER\n" and cut.count() == 25
+
+
 def test_near_duplicate_stage(stages):
     before, after = map(rows, stages[2])
     assert set(after) == {c for _, _, c in brute([(i, r["text"]) for i, r in before.items()])}
