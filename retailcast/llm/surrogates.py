@@ -40,6 +40,8 @@ ANY = "|".join(KINDS.values())
 #: What every entity holds; texts without it are left as they are.
 HINT = rf"@|[0-9]{{2}}|[0-9]\.[0-9]+\.|{TITLE}\.? \p{{Lu}}"
 MAX_ROUNDS = 40
+#: So many attempts make names a syllable, local parts a letter and phone numbers a digit longer.
+GROW = 2
 
 
 def kind_of(mention: Column) -> Column:
@@ -63,11 +65,17 @@ def _digits(count: Column, seed: Column) -> Column:
     return F.when(count <= 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: _letters(seed, "0123456789", i)), ""))
 
 
-def _email(norm: Column, seed: Column, secret: str) -> Column:
+def _more(attempt: Column) -> Column:
+    return F.floor(attempt / GROW).cast("int")
+
+
+def _email(norm: Column, seed: Column, attempt: Column, secret: str) -> Column:
+    """The local part gains a letter every ``GROW`` attempts; the host depends on the domain alone."""
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.expr("substr(substring_index(norm, '@', -1), 1, length(substring_index(norm, '@', -1)) - length(substring_index(norm, '.', -1)))")
-    return F.concat(_scramble(local, seed), F.lit("@"), _scramble(host, F.sha2(F.concat(F.lit(secret), domain), 256)), top)
+    tail = F.substr(F.lit("a" * MAX_ROUNDS), F.lit(1), _more(attempt))
+    return F.concat(_scramble(local, seed), _scramble(tail, F.concat(seed, F.lit("+"))), F.lit("@"), _scramble(host, F.sha2(F.concat(F.lit(secret), domain), 256)), top)
 
 
 def _card(norm: Column, seed: Column) -> Column:
@@ -76,25 +84,27 @@ def _card(norm: Column, seed: Column) -> Column:
     return F.concat(body, F.when(F.call_function("luhn_check", norm), last[0]).otherwise(_digits(F.lit(1), F.concat(seed, F.lit("x")))))
 
 
-def _ip(norm: Column, seed: Column) -> Column:
+def _ip(norm: Column, seed: Column, attempt: Column) -> Column:
+    """Octets of as many digits; after some attempts any octets."""
     def octet(part, i):
         h = F.xxhash64(seed, i)
-        return (F.when(F.length(part) == 1, F.pmod(h, F.lit(10))).when(F.length(part) == 2, F.pmod(h, F.lit(90)) + 10)
+        return (F.when(_more(attempt) > 2, F.pmod(h, F.lit(256))).when(F.length(part) == 1, F.pmod(h, F.lit(10))).when(F.length(part) == 2, F.pmod(h, F.lit(90)) + 10)
                 .otherwise(F.pmod(h, F.lit(156)) + 100)).cast("string")
     return F.array_join(F.transform(F.split(norm, r"\."), octet), ".")
 
 
-def _name(norm: Column, seed: Column, part: str) -> Column:
-    """``norm``: script:gender:name. A given name ends by gender; a family name is three syllables."""
+def _name(norm: Column, seed: Column, attempt: Column, part: str) -> Column:
+    """``norm``: script:gender:name. A given name ends by gender; a family name is three
+    syllables, and one more every ``GROW`` attempts."""
     def pick(words, i):
-        return F.get(F.array(*map(F.lit, words)), F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(len(words))).cast("int"))
+        return F.get(F.array(*map(F.lit, words)), F.pmod(F.xxhash64(seed, i), F.lit(len(words))).cast("int"))
     gender = F.split(norm, ":")[1]
 
     def build(script, syllables):
-        first = [pick(syllables, i) for i in range(3 if part == "last" else 2)]
+        name = F.array_join(F.transform(F.sequence(F.lit(0), _more(attempt) + (2 if part == "last" else 1)), lambda i: pick(syllables, i)), "")
         if part == "first":
-            first.append(F.when(gender == "f", pick(ENDINGS["f"][script], 9)).otherwise(pick(ENDINGS["m"][script], 9)))
-        return F.initcap(F.concat(*first))
+            name = F.concat(name, F.when(gender == "f", pick(ENDINGS["f"][script], F.lit(99))).otherwise(pick(ENDINGS["m"][script], F.lit(99))))
+        return F.initcap(name)
     return F.when(norm.startswith("c:"), build(1, CYRILLIC)).otherwise(build(0, LATIN))
 
 
@@ -102,10 +112,10 @@ def surrogate(kind: Column, norm: Column, attempt: Column, secret: str) -> Colum
     seed = F.sha2(F.concat_ws("|", F.lit(secret), kind, norm, attempt.cast("string")), 256)
     country = F.when(norm.startswith("+"), F.regexp_extract(norm, r"^\+([0-9]+):", 1)).otherwise("")
     rest = F.regexp_replace(norm, r"^\+[0-9]+:", "")
-    return (F.when(kind == "email", _email(norm, seed, secret)).when(kind == "ip", _ip(norm, seed))
-            .when(kind == "phone", F.concat(country, _digits(F.length(rest), seed)))
+    return (F.when(kind == "email", _email(norm, seed, attempt, secret)).when(kind == "ip", _ip(norm, seed, attempt))
+            .when(kind == "phone", F.concat(country, _digits(F.length(rest) + _more(attempt), seed)))
             .when(kind == "ssn", F.concat(F.lit("9"), _digits(F.lit(8), seed))).when(kind == "card", _card(norm, seed))
-            .when(kind == "first", _name(norm, seed, "first")).otherwise(_name(norm, seed, "last")))
+            .when(kind == "first", _name(norm, seed, attempt, "first")).otherwise(_name(norm, seed, attempt, "last")))
 
 
 def _real(kind: Column, norm: Column) -> Column:
@@ -158,8 +168,11 @@ def _render(kind: Column, mention: Column, parts: Column) -> Column:
     sur = parts[0]
     digits = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("i")),
                          lambda acc, c: F.when(c.rlike("^[0-9]$"), F.struct(F.concat(acc.out, F.substr(sur, acc.i + 1, F.lit(1))).alias("out"), (acc.i + 1).alias("i")))
-                         .otherwise(F.struct(F.concat(acc.out, c).alias("out"), acc.i.alias("i"))), lambda acc: acc.out)
-    cased = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("^[A-Z]$"), F.upper(F.substr(sur, i + 1, F.lit(1)))).otherwise(F.substr(sur, i + 1, F.lit(1)))), "")
+                         .otherwise(F.struct(F.concat(acc.out, c).alias("out"), acc.i.alias("i"))), lambda acc: F.concat(acc.out, F.substr(sur, acc.i + 1, F.length(sur))))
+    # letters that the replacement has more stand before the @
+    local, more = F.instr(mention, "@") - 1, F.length(sur) - F.length(mention)
+    same = lambda i: F.substr(sur, i + 1 + F.when(i > local, more).otherwise(0), F.when(i == local, more + 1).otherwise(1))
+    cased = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("^[A-Z]$"), F.upper(same(i))).otherwise(same(i))), "")
     return (F.when(kind == "email", cased).when(kind == "ip", sur)
             .when(kind == "person", F.concat_ws(" ", F.split(mention, " ")[0], F.array_join(parts, " "))).otherwise(digits))
 

@@ -1,7 +1,9 @@
 """Secrets, licences, decontamination and PII against plain versions."""
 
 import hashlib
+import itertools
 import re
+import string
 import uuid
 from collections import Counter
 
@@ -167,6 +169,23 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     assert len(set(got)) == 10 and not set(got) & {f"1.1.1.{i}" for i in range(10)}
 
 
+def test_surrogates_never_run_out(spark):
+    """More surnames and given names than short draws, every one-letter local part of a domain, all short hosts and phones."""
+    names = ["".join(x).capitalize() for x in itertools.islice(itertools.product("bcdfgklmnprstvz", "aeiou", "xzvtr", "aeiou", "lmnr"), 5000)]
+    mails = [f"{c}@one.org" for c in string.ascii_lowercase + string.digits]
+    texts = ([f"Mr. {n} {n}" for n in names] + mails + [f"{c.upper()}@One.org" for c in "abc"]
+             + [f"host 1.1.{i // 100}.{i % 100}" for i in range(1000)] + [f"call +1 {i // 100 + 10} {i % 100:02d}" for i in range(6000)])
+    got = [r["text"] for r in surrogates.replace_entities(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    assert {len(x.split()) for x in got[:5000]} == {3}
+    assert len({x.split()[1] for x in got[:5000]}) == len({x.split()[2] for x in got[:5000]}) == 5000
+    new = got[5000:5000 + len(mails)]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails) and len({m.split("@")[1] for m in new}) == 1
+    assert all(re.fullmatch(r"[a-z0-9][a-z]*@[a-z]{3}\.org", m) for m in new)
+    assert [m.lower() for m in got[5000 + len(mails):5003 + len(mails)]] == new[:3] and got[5000 + len(mails)][0].isupper()
+    for part in (got[5003 + len(mails):6003 + len(mails)], got[6003 + len(mails):]):
+        assert len(set(part)) == len(part) and not set(part) & set(texts)
+
+
 def test_surrogates_have_no_python(spark):
     plan = surrogates.replace_entities(frame(spark, PII), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
