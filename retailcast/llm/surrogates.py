@@ -4,7 +4,7 @@ Emails, phone numbers, card numbers, IPv4 addresses, social-security numbers and
 titled person names are found by one pattern. Each distinct entity of the corpus
 gets one keyed replacement of its type (digits for digits, letters for letters,
 valid octets, a Luhn digit where the original has one, names of the title's
-gender in the name's script); mentions that differ in letter case or punctuation
+gender, if it has one, in the name's script); mentions that differ in letter case or punctuation
 share it. A collision check over all entities redraws replacements that equal
 another's or a real value, so distinct entities stay distinct.
 """
@@ -24,21 +24,27 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-
 IPV4 = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 PHONE = (r"\+[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
          r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])"
-         r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-         r"|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])")
+         r"|\+[0-9]{1,3}[ .-][0-9]{2,4}[ .-][0-9]{5,8}(?![0-9])"
+         r"|(?<![0-9])\+[0-9]{7,15}(?![0-9])"
+         r"|(?:(?<![0-9-])1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+         r"|(?<![0-9-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+         r"|(?<![0-9.])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|\.[0-9])"
+         r"|(?<![0-9])(?<![0-9] )(?:1 )?[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]| [0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-MALE = ["Mr", "Herr", "Monsieur", "Señor", "господин"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "госпожа"]
-TITLE = rf"(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})"
-PERSON = rf"(?<![\p{{L}}]){TITLE}\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}])"
+MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "господин"]
+FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Señorita", "госпожа"]
+NEUTRAL = ["Dr", "Doctor", "Doktor", "Prof", "Professor"]
+TITLE = rf"(?:{'|'.join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))})"
+TITLES = rf"(?:{TITLE}\.? )+"
+PERSON = rf"(?<![\p{{L}}]){TITLES}\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}])"
 KINDS = {"email": EMAIL, "ip": IPV4, "phone": PHONE, "ssn": SSN, "card": CARD, "person": PERSON}
 LATIN = ["ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "ke", "li", "mo", "ra", "te"]
 CYRILLIC = ["ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ке", "ли", "мо", "ра", "те"]
 ENDINGS = {"m": (["n", "s", "ldo", "rt"], ["н", "с", "рт", "л"]), "f": (["na", "lia", "rine", "sa"], ["на", "лия", "рина", "са"])}
 ANY = "|".join(KINDS.values())
-#: What every entity holds; texts without it are left as they are.
-HINT = rf"@|[0-9]{{2}}|[0-9]\.[0-9]+\.|{TITLE}\.? \p{{Lu}}"
+#: What every entity holds (an @, two digits at most one separator apart, or a title); texts without it are left as they are.
+HINT = rf"@|[0-9][ .-]?[0-9]|{TITLES}\p{{Lu}}"
 MAX_ROUNDS = 40
 #: So many attempts make names a syllable, local parts a letter and phone numbers a digit longer.
 GROW = 2
@@ -103,7 +109,8 @@ def _name(norm: Column, seed: Column, attempt: Column, part: str) -> Column:
     def build(script, syllables):
         name = F.array_join(F.transform(F.sequence(F.lit(0), _more(attempt) + (2 if part == "last" else 1)), lambda i: pick(syllables, i)), "")
         if part == "first":
-            name = F.concat(name, F.when(gender == "f", pick(ENDINGS["f"][script], F.lit(99))).otherwise(pick(ENDINGS["m"][script], F.lit(99))))
+            name = F.concat(name, F.when(gender == "f", pick(ENDINGS["f"][script], F.lit(99))).when(gender == "m", pick(ENDINGS["m"][script], F.lit(99)))
+                            .otherwise(pick(ENDINGS["f"][script] + ENDINGS["m"][script], F.lit(99))))
         return F.initcap(name)
     return F.when(norm.startswith("c:"), build(1, CYRILLIC)).otherwise(build(0, LATIN))
 
@@ -126,17 +133,19 @@ def _real(kind: Column, norm: Column) -> Column:
 def _parts(mentions: DataFrame) -> DataFrame:
     """(mention, kind, i, part, norm): the entities that a mention names."""
     m, only = F.col("mention"), F.regexp_replace("mention", "[^0-9]", "")
-    code = F.regexp_extract(m, r"^\+([0-9]{1,3})(?=[ .(-])", 1)
-    phone = F.when(code != "", F.concat(F.lit("+"), code, F.lit(":"), F.expr("substr(regexp_replace(mention, '[^0-9]', ''), length(regexp_extract(mention, '^\\\\+([0-9]{1,3})(?=[ .(-])', 1)) + 1)"))).otherwise(only)
+    # a leading 1 is the country code of ten digits, with or without +
+    code = F.when(m.rlike(r"^(?:\+1[0-9]{10}|1[ .(-].*)$"), "1").otherwise(F.regexp_extract(m, r"^\+([0-9]{1,3})(?=[ .(-])", 1))
+    phone = F.when(code != "", F.concat(F.lit("+"), code, F.lit(":"), F.substr(only, F.length(code) + 1, F.length(only)))).otherwise(only)
     simple = F.array(F.struct(F.col("kind").alias("part"), F.when(F.col("kind") == "email", F.lower(m)).when(F.col("kind") == "ip", m)
                               .when(F.col("kind") == "phone", phone).otherwise(only).alias("norm")))
-    words = F.split(m, " ")
-    gender = F.when(F.regexp_replace(words[0], r"\.$", "").isin(*FEMALE), "f").otherwise("m")
-    script = F.when(words[1].rlike(r"^\p{IsCyrillic}"), "c").otherwise("l")
+    words = F.split(F.regexp_replace(m, f"^{TITLES}", ""), " ")
+    titled = lambda titles: F.regexp_extract(m, f"^{TITLES}", 0).rlike(rf"(?:^| )(?:{'|'.join(titles)})\.? ")
+    gender = F.when(titled(FEMALE), "f").when(titled(MALE), "m").otherwise("x")
+    script = F.when(words[0].rlike(r"^\p{IsCyrillic}"), "c").otherwise("l")
     # family names are shared by both genders: the same family keeps one name
     last = lambda w: F.struct(F.lit("last").alias("part"), F.concat_ws(":", script, F.lit("x"), F.lower(w)).alias("norm"))
-    first = F.struct(F.lit("first").alias("part"), F.concat_ws(":", script, gender, F.lower(words[1])).alias("norm"))
-    person = F.when(F.size(words) == 3, F.array(first, last(words[2]))).otherwise(F.array(last(words[1])))
+    first = F.struct(F.lit("first").alias("part"), F.concat_ws(":", script, gender, F.lower(words[0])).alias("norm"))
+    person = F.when(F.size(words) == 2, F.array(first, last(words[1]))).otherwise(F.array(last(words[0])))
     return (mentions.withColumn("kind", kind_of(m))
             .select("mention", "kind", F.posexplode(F.when(F.col("kind") == "person", person).otherwise(simple)).alias("i", "x"))
             .select("mention", "kind", "i", "x.part", "x.norm"))
@@ -174,7 +183,7 @@ def _render(kind: Column, mention: Column, parts: Column) -> Column:
     same = lambda i: F.substr(sur, i + 1 + F.when(i > local, more).otherwise(0), F.when(i == local, more + 1).otherwise(1))
     cased = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("^[A-Z]$"), F.upper(same(i))).otherwise(same(i))), "")
     return (F.when(kind == "email", cased).when(kind == "ip", sur)
-            .when(kind == "person", F.concat_ws(" ", F.split(mention, " ")[0], F.array_join(parts, " "))).otherwise(digits))
+            .when(kind == "person", F.concat(F.regexp_extract(mention, f"^{TITLES}", 0), F.array_join(parts, " "))).otherwise(digits))
 
 
 def replace_entities(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -169,6 +169,26 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     assert len(set(got)) == 10 and not set(got) & {f"1.1.1.{i}" for i in range(10)}
 
 
+SAMPLES = {"phone": ["1-800-555-1234", "555.123.4567", "555 123 4567", "+14155550123", "1 415 555 0123", "1 (415) 555-0123", "(415) 555 0123", "+49 151 12345678", "+12 34 56"],
+           "card": ["-".join("4111111111111111"), "4111 1111 1111 1111", " ".join("4111111111111")], "ssn": ["123-45-6789"], "ip": ["1.2.3.4"], "email": ["a@b.org"],
+           "person": ["Dr Smith", "Prof. Dr. Anna Müller", "Sra. García", "Mr. John Smith"]}
+
+
+def test_surrogates_find_common_forms(spark):
+    flat = [(k, x) for k, xs in SAMPLES.items() for x in xs]
+    got = [r.asDict() for r in surrogates.replace_entities(frame(spark, [f"see {x}, then" for _, x in flat]), "k").orderBy("doc_id").collect()]
+    assert [g["kinds"] for g in got] == [[k] for k, _ in flat]
+    shape = lambda t: re.sub("[0-9]", "9", t)
+    for g, (kind, x) in zip(got, flat, strict=True):
+        assert x not in g["text"]
+        assert kind not in ("phone", "card") or shape(g["text"]) == shape(f"see {x}, then")
+    new = {x: re.sub("[^0-9]", "", g["text"]) for g, (_, x) in zip(got, flat, strict=True)}
+    assert new["+14155550123"] == new["1 415 555 0123"] == new["1 (415) 555-0123"]
+    assert [g["text"].split()[1:3] for g, (_, x) in zip(got, flat, strict=True) if x.startswith("Prof")] == [["Prof.", "Dr."]]
+    hint = frame(spark, [x for _, x in flat]).select(F.col("text").rlike(surrogates.HINT).alias("h")).collect()
+    assert all(r["h"] for r in hint)
+
+
 def test_surrogates_never_run_out(spark):
     """More surnames and given names than short draws, every one-letter local part of a domain, all short hosts and phones."""
     names = ["".join(x).capitalize() for x in itertools.islice(itertools.product("bcdfgklmnprstvz", "aeiou", "xzvtr", "aeiou", "lmnr"), 5000)]
