@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailcast.llm import (decontam, dsir, hilbert_pq, license_dice, line_dedup, ngram_join, onebit, pivot_topk,
-                            secret_ledger, sp_codec, surrogates, toxicity)
+                            secret_ledger, sp_codec, surrogates, toxicity, wrappers)
 from retailcast.session import ensure_checkpoint_dir, shared_path
 
 #: The SentencePiece model; a parameter of the installation, never part of the repository.
@@ -74,6 +74,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.hard_negatives(table(spark, sf_dir, "embeddings"), label)
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_pq.compress(table(spark, sf_dir, "embeddings"))
 
@@ -81,7 +85,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_secret_scan, op3_toxicity, op4_sentencepiece, op5_decontamination,
     op6_pivot_topk, op7_license_scan, op8_quality_classifier, op9_pii_surrogates, op10_line_dedup,
-    op11_hard_negatives, op13_vector_codes)}
+    op11_hard_negatives, op12_html_extraction, op13_vector_codes)}
 
 #: Rows of ``embeddings`` whose vectors are usable.
 _USABLE = """embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
