@@ -23,15 +23,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more documents share; every document stays,
-    with its text and ``n_chars`` (code points) as they are afterwards.
+    """Documents without the lines that ten or more documents share, but for each line's first
+    occurrence (by document id and position): no line is lost. Every document stays, with its text
+    and ``n_chars`` (code points) as they are afterwards.
 
-    A document that would be left with blank lines only keeps its text: such are the
-    copies of a text held ten times or more, of which the next stage keeps one. A
-    shared line of any other document goes everywhere, its first occurrence too.
+    A document that would be left with blank lines only keeps its text: such are further
+    copies of a text held ten times or more, of which the next stage keeps one. Near copies
+    of a large group keep their own lines, and the first of them the shared ones.
     """
     ensure_checkpoint_dir(spark)
-    words = line_dedup.dropped_words(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    words = line_dedup.dropped_words(docs.select("doc_id", F.col("text").cast("string").alias("text")), keep_first=True)
     cleaned, kept = line_dedup.apply_words(docs, words), F.col("_dedup.kept")
     value = {"text": kept, "n_chars": F.char_length(kept).cast("long")}
     cut = (F.col("_dedup.n_dropped") > 0) & (F.btrim(kept, F.lit(line_dedup.BLANKS)) != "")
