@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from retailcast.llm.html_tree import Element, parse
 from retailcast.llm.textvec import frugal
+from retailcast.session import materialize
 
 #: Items of an expression. Text: [TEXT, hash of the one text it always held or None, count, characters, in links];
 #: element: [ELEMENT, label, marks, count, items]; group of several items: [GROUP, "", marks, count, items].
@@ -39,6 +40,7 @@ WIDE = 40
 #: Hosts' items that a task holds before it sends what it has.
 HELD = 200_000
 SALTS = 16
+SHIPPED, PIECES = 16 << 20, 400
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold running text, and those that the search for the article doesn't enter.
 PROSE = HEADINGS | frozenset("p pre blockquote td th li dd dt figcaption".split())
@@ -383,7 +385,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [decision(json.loads(w), n) for n, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["host", "decision"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], ["_host", "_pages", "decision"])
 
 
 @frugal
@@ -414,6 +416,22 @@ def host_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_aligned, WRAPPER)
 
 
+def with_decisions(rows: DataFrame, made: DataFrame) -> DataFrame:
+    """``rows`` (with their host as ``_of``) and the decision of their host."""
+    held, total = made.agg(F.sum(F.octet_length("decision") + F.octet_length("_host")), F.sum("_pages")).first()
+    if (held or 0) <= SHIPPED:
+        return rows.join(F.broadcast(made), F.col("_of") == F.col("_host"), "left")
+    share = F.ceil(F.col("_pages") * F.lit(PIECES) / F.lit(total)).cast("long")
+    hot = made.filter(share > 1).select("_host", share.alias("n")).collect()             # fewer than PIECES hosts
+    pieces = F.lit(1).cast("long")
+    if hot:
+        known = F.create_map(*[F.lit(x) for r in hot for x in (r["_host"], r["n"])])
+        pieces = F.coalesce(known[F.col("_of")], pieces)
+    rows = rows.withColumn("_piece", F.pmod(F.xxhash64("page_id", "html"), pieces))
+    made = made.withColumn("_own", F.explode(F.sequence(F.lit(0).cast("long"), share - 1)))
+    return rows.join(made, (F.col("_of") == F.col("_host")) & (F.col("_piece") == F.col("_own")), "left")
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every row: the blocks of the article, joined by newlines.
 
@@ -423,8 +441,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     page take part like all others; repeated rows and null ids and urls stay (null urls share one
     host). An empty table gives none; other columns are ignored.
     """
-    made = host_wrappers(pages, url_col, html_col).mapInArrow(_decided, "host string, decision string")
-    made = made.select(F.col("host").alias("_host"), "decision")
+    made = materialize(host_wrappers(pages, url_col, html_col).mapInArrow(_decided, "_host string, _pages long, decision string"), "wrappers")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("_of"))
     kinds = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url {rows.schema['url'].dataType.simpleString()}, text string, n_chars long"
-    return rows.join(made, F.col("_of") == F.col("_host"), "left").select("page_id", "url", "html", "decision").mapInArrow(_read, kinds)
+    return with_decisions(rows, made).select("page_id", "url", "html", "decision").mapInArrow(_read, kinds)

@@ -124,3 +124,12 @@ def test_one_wrapper_per_host_from_all_its_pages(spark):
     assert sorted((x.host, x.pages) for x in made) == [("h0", 20), ("h1", 20), ("h2", 20)]
     for x in made:
         assert W.notation(json.loads(x.wrapper)) == "div<#> p<'text'>+?"
+
+
+def test_decisions_too_large_to_ship_are_joined(spark, monkeypatch):
+    """Hot hosts are dealt to pieces; the texts stay the same."""
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    want = sorted(map(tuple, W.main_text(pages).collect()))
+    monkeypatch.setattr(W, "SHIPPED", 10)
+    joined = W.main_text(pages)
+    assert "_piece" in joined._jdf.queryExecution().analyzed().toString() and sorted(map(tuple, joined.collect())) == want
