@@ -1,16 +1,20 @@
 """Licence scan: normalised text against licence templates by the Dice
 coefficient over word bigrams.
 
-Normalised words are runs of letters and digits, A-Z lower-cased. The units
-compared are sentences, lines, paragraphs and the whole text. A unit of a
-bigrams and a template of b can reach Dice t only if min(a, b) >= t / (2 - t) *
-max(a, b): templates outside that size range are pruned, and a unit whose
-bigrams are mostly of no template is left out before any is compared.
+Normalised words are runs of letters and digits, A-Z lower-cased; a point between
+digits stays, so 2.0 is one word. White space, newlines and other punctuation don't
+count. A template is compared with the windows of a text that have as many words
+and are aligned to a shared bigram. Sizes prune first: a window of a bigrams and a
+template of b reach Dice t only if min(a, b) >= t / (2 - t) * max(a, b), and only if
+t / 2 * (a + b) bigrams of the window are the template's. A window counts if the
+name and version words of its licence are in it; of windows that overlap, the one
+with the highest Dice wins.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,110 +23,108 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailcast.llm import textvec as V
+from retailcast.llm.license_texts import Template, templates
 
 THRESHOLD = 0.8
+#: The byte that stands for a point between digits; no UTF-8 text has it.
+POINT = 0xFF
 
-# ---- fixed values: licence names and their texts or notices ----
-NOTICES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Released under the Apache License 2.0.",
-                   "This project is licensed under the terms of the Apache License, Version 2.0."],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the terms of the MIT license.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-            "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
-            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-            "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-            "substantial portions of the Software."],
-    "ISC": ["Released under the ISC License.", "Licensed under the ISC License.",
-            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-            "the above copyright notice and this permission notice appear in all copies."],
-    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", "Released under the 2-clause BSD license."],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Released under the 3-clause BSD license."],
-    "MPL-2.0": ["Licensed under the Mozilla Public License, version 2.0.",
-                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "CC0-1.0": ["Licensed under CC0 1.0.", "Dedicated to the public domain under CC0 1.0 Universal."],
-}
-GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
-GNU_VERSIONS = {"GPL": ["2", "3"], "LGPL": ["2.1", "3"], "AGPL": ["3"]}
-CC_TERMS, CC_VERSIONS = ["BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"], ["2.0", "3.0", "4.0"]
-
-
-def templates() -> list[tuple[str, str]]:
-    out = [(name, text) for name, texts in NOTICES.items() for text in texts]
-    for short, long in GNU.items():
-        for v in GNU_VERSIONS[short]:
-            name = f"{short}-{v if '.' in v else v + '.0'}"
-            out += [(name, f"This work is licensed under the {long}, version {v}."), (name, f"Licensed under the {long}, version {v}."),
-                    (name, f"Released under the {short} version {v}.")]
-    for t in CC_TERMS:
-        for v in CC_VERSIONS:
-            out += [(f"CC-{t}-{v}", f"Licensed under CC {t} {v}."), (f"CC-{t}-{v}", f"This work is licensed under a Creative Commons {t} {v} license.")]
-    return out
-
-
-def bigrams(w: V.Words) -> tuple[np.ndarray, np.ndarray]:
+
+def normalised(data: np.ndarray) -> np.ndarray:
+    """``data`` with each point between two digits as a byte of a word."""
+    digit = (data >= 48) & (data <= 57)
+    inner = np.zeros(len(data), dtype=bool)
+    if len(data) > 2:
+        inner[1:-1] = (data[1:-1] == 46) & digit[:-2] & digit[2:]
+    return np.where(inner, np.uint8(POINT), data)
+
+
+def word_hashes(text: str) -> list[int]:
+    data, offsets = V.text_buffers(pa.array([text]))
+    return V.words_of(normalised(data), offsets, V.NOT_ALNUM).hashes.tolist()
+
+
+def bigrams(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = V.mix(w.hashes[:-1] * V.GRAM_CODE[0] + w.hashes[1:] * V.GRAM_CODE[1]) if len(w.hashes) > 1 else np.zeros(0, V.U)
-    return h, np.arange(len(h))
+        return V.mix(h[:-1] * V.GRAM_CODE[0] + h[1:] * V.GRAM_CODE[1]) if len(h) > 1 else np.zeros(0, V.U)
+
+
+def holds(words: list[int], part: list[int]) -> bool:
+    n = len(part)
+    return any(words[i] == part[0] and words[i:i + n] == part for i in range(len(words) - n + 1))
 
 
 class Matcher:
-    def __init__(self, table: list[tuple[str, str]], threshold: float):
-        self.names, self.t = [n for n, _ in table], threshold
-        w = [V.words_of(*V.text_buffers(pa.array([t])), V.NOT_ALNUM) for _, t in table]
-        self.bags = [Counter(bigrams(x)[0].tolist()) for x in w]
-        self.sizes = np.array([sum(b.values()) for b in self.bags])
-        self.known = V.HashSet(np.array([h for b in self.bags for h in b], dtype=V.U))
-        self.ratio = threshold / (2 - threshold)
-
-    def best(self, grams: np.ndarray) -> tuple[float, str] | None:
-        n, bag, found = len(grams), Counter(grams.tolist()), []
-        for i in np.flatnonzero((self.sizes * self.ratio <= n) & (n * self.ratio <= self.sizes)):
-            score = 2 * sum((bag & self.bags[i]).values()) / (n + int(self.sizes[i]))
-            if score >= self.t:
-                found.append((-score, self.names[i]))
-        return (-min(found)[0], min(found)[1]) if found else None
+    def __init__(self, table: list[Template], threshold: float):
+        self.table, self.t = table, threshold
+        self.bags, self.must, self.never, self.anchors = [], [], [], defaultdict(set)
+        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for k, x in enumerate(table):
+            grams = bigrams(np.array(word_hashes(x.text), dtype=V.U)).tolist()
+            self.bags.append(Counter(grams))
+            for o, g in enumerate(grams):
+                self.postings[g].append((k, o))
+            self.must.append([[word_hashes(p) for p in any_of] for any_of in x.must])
+            self.never.append([word_hashes(p) for p in x.never])
+            for p in self.must[-1][0]:                  # a text without its first words can't be this licence
+                self.anchors[p[0]].add(k)
+        self.size = [sum(b.values()) for b in self.bags]
+        self.known = V.HashSet(np.array(list(self.postings), dtype=V.U))
+        self.anchor_set = V.HashSet(np.array(list(self.anchors), dtype=V.U))
+
+    def windows(self, words: np.ndarray) -> list[tuple[float, int, int, int]]:
+        """(Dice, first word, words, template) of the windows of a text that count."""
+        at, which = self.anchor_set.index(words)
+        able = set().union(*(self.anchors[int(self.anchor_set.values[w])] for w in set(which.tolist()))) if len(at) else set()
+        if not able:
+            return []
+        grams = bigrams(words)
+        pos, which = self.known.index(grams)
+        starts, hits = defaultdict(set), defaultdict(list)
+        for p, w in zip(pos.tolist(), which.tolist(), strict=True):
+            for k, o in self.postings[int(self.known.values[w])]:
+                if k in able:
+                    if not hits[k] or hits[k][-1] != p:
+                        hits[k].append(p)
+                    starts[k].add(p - o)
+        out, n_words = [], len(words)
+        for k, own in starts.items():
+            b = self.size[k]
+            a = min(b, n_words - 1)
+            if min(a, b) * (2 - self.t) < self.t * max(a, b) or len(hits[k]) * 2 < self.t * (a + b) - 1e-9:
+                continue
+            for s in sorted({min(max(s, 0), n_words - 1 - a) for s in own}):
+                if (bisect_left(hits[k], s + a) - bisect_left(hits[k], s)) * 2 < self.t * (a + b) - 1e-9:
+                    continue
+                common = sum((Counter(grams[s:s + a].tolist()) & self.bags[k]).values())
+                score = 2 * common / (a + b)
+                if score >= self.t:
+                    held = words[s:s + a + 1].tolist()
+                    if all(any(holds(held, p) for p in any_of) for any_of in self.must[k]) and not any(holds(held, p) for p in self.never[k]):
+                        out.append((score, s, a + 1, k))
+        return out
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str, float, int, int]]:
         """(row, licence, best score, first word, words) of each row's licences."""
-        w = V.words_of(data, offsets, V.NOT_ALNUM)
-        grams, at = bigrams(w)
-        if not len(grams):
-            return
-        hit = np.zeros(len(grams), dtype=bool)
-        hit[self.known.index(grams)[0]] = True
-        row = w.row_of()
-        start = w.starts + (offsets - offsets[0])[row]
-        own = data[offsets[0]:offsets[-1]]
-        best: dict = {}
-        nl = own == 10
-        blank = np.zeros(len(own), dtype=bool)
-        blank[1:] = nl[1:] & nl[:-1]
-        stop = np.zeros(len(own), dtype=bool)
-        stop[:-1] = np.isin(own[:-1], [33, 46, 63]) & V.SPACE[own[1:]]
-        for cut in (stop | nl, nl, blank, None):
-            unit = row.astype(np.int64)
-            if cut is not None:
-                unit = unit + np.concatenate([[0], np.cumsum(cut)])[start]
-            same = (unit[1:] == unit[:-1]) & (row[1:] == row[:-1])
-            ids = np.concatenate([[0], np.cumsum(~same)])
-            n = np.bincount(ids[1:][same], minlength=ids[-1] + 1)
-            hits = np.bincount(ids[1:][same & hit], minlength=ids[-1] + 1)
-            first = np.searchsorted(ids, np.arange(ids[-1] + 1))
-            for u in np.flatnonzero((hits > 0) & (hits >= self.ratio * n)):
-                f = int(first[u])
-                if m := self.best(grams[f: f + int(n[u])]):
-                    r = int(row[f])
-                    key, value = (r, m[1]), (m[0], -(f - int(w.offsets[r])), int(n[u]) + 1)
-                    best[key] = max(best.get(key, value), value)
-        for (r, name), (score, f, n_words) in sorted(best.items()):
-            yield r, name, score, -f, n_words
+        w = V.words_of(normalised(data[offsets[0]:offsets[-1]]), offsets - offsets[0], V.NOT_ALNUM)
+        some = np.unique(w.row_of()[self.anchor_set.index(w.hashes)[0]])
+        for r in some.tolist():
+            taken: list[tuple[int, int, str]] = []
+            best: dict = {}
+            for score, s, n, k in sorted(self.windows(w.hashes[w.offsets[r]:w.offsets[r + 1]]), key=lambda x: (-x[0], -x[2], x[1], self.table[x[3]].license)):
+                name = self.table[k].license
+                if any(s < e and f < s + n and other != name for f, e, other in taken):
+                    continue
+                taken.append((s, s + n, name))
+                best.setdefault(name, (score, s, n))
+            for name, (score, s, n) in sorted(best.items()):
+                yield r, name, score, s, n
 
 
 HITS = "doc_id long, license string, dice double, first_word long, n_words long"
 
 
-def _pass(table: list, threshold: float):
+def _pass(table: list[Template], threshold: float):
     @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(table, threshold)
@@ -138,13 +140,15 @@ def _pass(table: list, threshold: float):
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 table: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+                 table: list[Template] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, license, dice, first_word, n_words): one row per document and
-    licence found, with its best unit (ties: the first, then the longer).
+    licence found, with its best window (ties: the longer, then the first).
 
-    A unit counts for the template with the highest Dice (ties: the first name).
-    Null, empty and one-word texts have no bigram and match nothing. Rows with a null
-    id are reported with it, repeated rows each; other columns are ignored.
+    A text shorter than a template is compared whole. Of overlapping windows of
+    different licences the better one stays. A licence of another version than the templates' has
+    no row. Null, empty and one-word texts have no bigram and match nothing. Rows with a
+    null id are reported with it, repeated rows each; an empty table gives none; other columns
+    are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(_pass(table or templates(), threshold), HITS)

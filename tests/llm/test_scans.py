@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import random
 import re
 import string
+import textwrap
 import uuid
 from collections import Counter
 
@@ -64,26 +66,110 @@ def test_secrets_odd_rows(odd_docs, spark):
     assert secret_ledger.secrets(odd_docs, ledger(spark)).count() == odd_docs.count()
 
 
-def dice(a, b):
-    words = lambda t: re.findall(r"[a-z0-9\u0080-￿]+", t.lower())
-    bag = lambda t: Counter(zip(words(t), words(t)[1:], strict=False))
-    x, y = bag(a), bag(b)
-    return 2 * sum((x & y).values()) / max(1, sum(x.values()) + sum(y.values()))
-
-
-def test_licences_match_brute_force_over_lines(spark):
-    table = license_dice.templates()
-    texts = ["foo bar.\n" + t + "\nbaz" for _, t in table] + ["released under the mit licence", "Licensed under the Apache License, Version 2.0 (the \"License\")", "plain text of no kind", None, "", "a", "the the the"]
-    got = {(r["doc_id"], r["license"]): r["dice"] for r in license_dice.license_scan(frame(spark, texts)).collect()}
-    want = {}
+def plain_licences(text, table, least=license_dice.THRESHOLD):
+    """Every window of every template's size, with Python strings."""
+    norm = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+(?:(?<=[0-9])\.(?=[0-9])[a-z0-9\u0080-\U0010ffff]+)*", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    bag = lambda w: Counter(itertools.pairwise(w))
+    words, found = norm(text), []
+    for x in table:
+        own = norm(x.text)
+        n = min(len(own), len(words))
+        for s in range(len(words) - n + 1 if n > 1 else 0):
+            window = words[s:s + n]
+            score = 2 * sum((bag(window) & bag(own)).values()) / (n + len(own) - 2)
+            line = f" {' '.join(window)} "
+            holds = lambda part: f" {' '.join(norm(part))} " in line  # noqa: B023, E731
+            if score >= least and all(any(map(holds, m)) for m in x.must) and not any(map(holds, x.never)):
+                found.append((-score, -n, s, x.license))
+    best, taken = {}, []
+    for score, n, s, name in sorted(found):
+        if not any(s < e and f < s - n and other != name for f, e, other in taken):
+            taken.append((s, s - n, name))
+            best.setdefault(name, (-score, s, -n))
+    return best
+
+
+def test_licences_match_brute_force(spark):
+    table = license_dice.templates()[::9] + license_dice.templates()[:16]
+    rng, texts = random.Random(4), ["plain text of no kind", None, "", "a", "the the the", "mit mit mit license"]
+    for t in table:
+        words = t.text.split()
+        for _ in range(rng.randrange(2)):
+            words[rng.randrange(len(words))] = rng.choice(["changed", "", "two words"])
+        texts.append("before it " + "\n".join(words) + rng.choice([" after it", "", " and the MIT License"]))
+    got = {}
+    for r in license_dice.license_scan(frame(spark, texts), table=table).collect():
+        got.setdefault(r["doc_id"], {})[r["license"]] = (r["dice"], r["first_word"], r["n_words"])
     for i, text in enumerate(texts):
-        lines = (text or "").split("\n")
-        for unit in {*lines, text or "", *[s for line in lines for s in re.split(r"(?<=[.!?])\s", line)]}:
-            best = max(((dice(unit, t), [-ord(c) for c in n], n) for n, t in table), default=None)
-            if best and best[0] >= license_dice.THRESHOLD:
-                want[i, best[2]] = max(want.get((i, best[2]), 0), best[0])
-    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
-    assert all(any(k[0] == i and k[1] == n for k in got) for i, (n, _) in enumerate(table))
+        want = plain_licences(text, table)
+        # of windows with the same Dice, only those aligned to a shared bigram are seen
+        assert {k: round(v[0], 9) for k, v in got.get(i, {}).items()} == {k: round(v[0], 9) for k, v in want.items()}, text
+
+
+BSD_TEXT = """Copyright (c) 1998, 2001 The Regents of the Example University. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+ * Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+ * Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE."""
+ENDORSE = " * Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software\n   without specific prior written permission.\n"
+GPL_3 = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The GNU General Public License is a free, copyleft license for software and other kinds of works."""
+GPL_1 = """                    GNU GENERAL PUBLIC LICENSE
+                     Version 1, February 1989
+
+ Copyright (C) 1989 Free Software Foundation, Inc. 51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA
+ Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."""
+GPL_NOTICE = """foo.c - frobnicates. Copyright 2011 Jane Doe
+
+This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free
+Software Foundation{} either version {} of the License, or (at your option) any later version. This program is distributed in the hope that it will be
+useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+APACHE = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions."""
+APACHE_HEADER = """Copyright 2019 The Frob Authors. Licensed under the Apache License, Version {} (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-{}. Unless required by applicable law"""
+CC_CODE = """Creative Commons Attribution-ShareAlike {0} International Public License. By exercising the Licensed Rights (defined below), You accept and
+agree to be bound by the terms and conditions of this Creative Commons Attribution-ShareAlike {0} International Public License ("Public License"). To the
+extent this Public License may be interpreted as a contract"""
+
+
+def test_licences_of_known_texts(spark):
+    """Texts written apart from the templates, as found in files, and other versions."""
+    cases = [("This project is licensed under the terms of the\nApache License, Version 2.0.", "Apache-2.0"), ("GNU General Public License, version 1", None),
+             (BSD_TEXT.format(ENDORSE), "BSD-3-Clause"), (BSD_TEXT.format(""), "BSD-2-Clause"), (GPL_3, "GPL-3.0"), (GPL_1, None),
+             (GPL_NOTICE.format(":", "", ",", 3), "GPL-3.0"), (GPL_NOTICE.format(";", "", ";", 2), "GPL-2.0"), (GPL_NOTICE.format(";", "", ";", 1), None),
+             (GPL_NOTICE.format(":", "Affero ", ",", 3), "AGPL-3.0"), (GPL_NOTICE.format(":", "Lesser ", ",", "2.1"), "LGPL-2.1"), (APACHE, "Apache-2.0"),
+             (APACHE_HEADER.format("2.0", "2.0"), "Apache-2.0"), (APACHE_HEADER.format("1.1", "1.1"), None), (CC_CODE.format("4.0"), "CC-BY-SA-4.0"),
+             (CC_CODE.format("5.0"), None), ("# SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-or-later */ int x;", "GPL-2.0"),
+             ("// SPDX-License-Identifier: GPL-1.0", None), ("Released under the Apache License, Version 2.1.", None),
+             ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+             ("We met at MIT and talked about the license of the software and its version 2.0 for hours.", None)]
+    wrapped = [(t, w) for text, w in cases for t in (text, "\n".join(textwrap.wrap(text, 72)), "\n".join(" * " + x for x in textwrap.wrap(text, 72)))]
+    found = {}
+    for r in license_dice.license_scan(frame(spark, ["Some words in front.\n" + t + "\nMore words behind." for t, _ in wrapped])).collect():
+        found.setdefault(r["doc_id"], []).append(r["license"])
+    assert [found.get(i, []) for i in range(len(wrapped))] == [[w] if w else [] for _, w in wrapped]
 
 
 def test_licences_odd_rows(odd_docs, no_docs):
