@@ -34,10 +34,8 @@ LOG_WEIGHT, KEY, UNIFORM = "_dsir_log_weight", "_dsir_gumbel_key", "_dsir_unifor
 MAX_LABELS = 20_000
 #: Pseudo-count of both models: what a bucket must be expected for its count to speak.
 PRIOR = 5.0
-#: n-grams from which on a text's weight stops growing with its length.
-LENGTH = 100
-#: n-grams whose two probabilities are within a factor of two say nothing: the target
-#: sample's share of a language or topic is uncertain, and long texts would add that up.
+#: Production values of two parameters of ``resample``, see there.
+LENGTH: int | None = 100
 MARGIN = float(np.log(2))
 #: Keys sorted on the driver at most when the k-th is looked for.
 FINE, BINS = 10_000, 1_000
@@ -100,8 +98,8 @@ def label_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "qu
     return rows.orderBy(h, "doc_id").limit(limit).select("doc_id", "good", (F.pmod(h, F.lit(2)) == 0).alias("fit"))
 
 
-def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
-    """Log ratio of the target and raw models by bucket."""
+def fit(docs: DataFrame, sample: DataFrame, margin: float = MARGIN) -> np.ndarray:
+    """Log ratio of the target and raw models by bucket; those below ``margin`` count as 0."""
     flagged = (docs.select("doc_id", "text").join(F.broadcast(sample.filter("fit and good").select("doc_id", "good")), "doc_id", "left")
                .select("good", "text"))
     rows = (flagged.mapInArrow(_count_pass, "bucket long, raw long, target long")
@@ -113,10 +111,10 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
         return np.zeros(BUCKETS)
     # the target's count against the one expected at the raw rate; PRIOR keeps rare n-grams near 1
     ratio = np.log(target + PRIOR) - np.log(raw * (target.sum() / raw.sum()) + PRIOR)
-    return np.where(np.abs(ratio) < MARGIN, 0.0, ratio)
+    return np.where(np.abs(ratio) < margin, 0.0, ratio)
 
 
-def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
+def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str, length: int | None):
     @V.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +123,9 @@ def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
             for i, j in V.row_blocks(offsets):
                 bucket, row, n = features(data, offsets[i:j + 1])
                 count = np.bincount(row, minlength=n)
-                weight[i:j] = np.bincount(row, weights=ratio[bucket], minlength=n) * (LENGTH / np.maximum(count, LENGTH))
+                weight[i:j] = np.bincount(row, weights=ratio[bucket], minlength=n)
+                if length is not None:
+                    weight[i:j] *= length / np.maximum(count, length)
             u = batch.column(uniform_col).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [*batch.drop_columns([uniform_col]).columns, pa.array(weight), pa.array(weight - np.log(-np.log(u)))],
@@ -133,11 +133,11 @@ def _score_pass(ratio: np.ndarray, text_col: str, uniform_col: str):
     return run
 
 
-def score(docs: DataFrame, ratio: np.ndarray, seed: int, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, ratio: np.ndarray, seed: int, text_col: str = "text", id_col: str = "doc_id", length: int | None = LENGTH) -> DataFrame:
     """``docs`` with LOG_WEIGHT and KEY; the noise is a hash of id, text and seed."""
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", text_col, F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
+    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.lit(seed)), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
     schema = T.StructType([*docs.schema.fields, T.StructField(LOG_WEIGHT, T.DoubleType()), T.StructField(KEY, T.DoubleType())])
-    return docs.withColumn(UNIFORM, u).mapInArrow(_score_pass(ratio, text_col, UNIFORM), schema)
+    return docs.withColumn(UNIFORM, u).mapInArrow(_score_pass(ratio, text_col, UNIFORM, length), schema)
 
 
 def kth_largest(keys: DataFrame, k: int) -> float:
@@ -182,18 +182,22 @@ def calibrated_count(scored: DataFrame, sample: DataFrame) -> int:
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "quality", k: int | None = None) -> tuple[DataFrame, float]:
+             label_col: str = "quality", k: int | None = None, length: int | None = LENGTH, margin: float = MARGIN) -> tuple[DataFrame, float]:
     """(scored rows, least key that is sampled): a row is sampled if its key reaches it.
 
     ``k`` defaults to ``calibrated_count``. Every row takes part, those with null
     ids too. Null and empty texts have log weight 0. Equal rows have one key and share
     their fate (ties at the k-th key are all in). An empty table gives none.
+
+    ``length`` bends the weight of a text of more n-grams to that of as many (None: the sum over
+    all n-grams, whatever the length); n-grams with a log ratio below ``margin`` say nothing (0: all
+    speak). Their production values stand for the sampling error of the target model, whose share
+    of a language or topic is uncertain and which long texts would add up.
     """
-    named = docs.withColumn("doc_id", F.col(id_col).cast("long")) if id_col != "doc_id" else docs
     sample = materialize(label_sample(labels, id_col, label_col), "label_sample")
-    texts = named.select("doc_id", F.col(text_col).cast("string").alias("text"))
-    scored = score(named, fit(texts, sample), seed, text_col)
-    keys = materialize(scored.select("doc_id", KEY), "keys")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    scored = score(docs, fit(texts, sample, margin), seed, text_col, id_col, length)
+    keys = materialize(scored.select(F.col(id_col).cast("long").alias("doc_id"), KEY), "keys")
     return scored, kth_largest(keys, calibrated_count(keys, sample) if k is None else k)
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -120,6 +121,30 @@ def test_log_weights_match_plain_counts(spark):
         assert abs(r[dsir.LOG_WEIGHT] - sum(want[x] for x in own[r["doc_id"]]) * min(1, dsir.LENGTH / n)) < 1e-6
 
 
+def test_unbent_log_weights_are_the_plain_sum(spark):
+    """With ``length`` and ``margin`` off a weight is the sum of log ratios of words counted here
+    (no bucket holds two n-grams of so few), and other ids and columns come back as they were."""
+    docs = frame(spark, ["aa bb aa", "aa cc " * 200, "dd ee ff gg", "", None]).withColumnRenamed("doc_id", "key").withColumn("doc_id", F.lit(7))
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "key long, quality int")
+    scored, _ = dsir.resample(docs, labels, id_col="key", k=3, length=None, margin=0.0)
+    assert scored.columns == [*docs.columns, dsir.LOG_WEIGHT, dsir.KEY]
+    rows = {r["key"]: r for r in scored.collect()}
+    assert all(r["doc_id"] == 7 for r in rows.values()) and rows[3][dsir.LOG_WEIGHT] == rows[4][dsir.LOG_WEIGHT] == 0
+    fitted = {r["doc_id"] for r in dsir.label_sample(labels, "key").filter("fit and good").collect()}
+    shape = lambda a, b: ("again" if a == b else "", len(b))
+    grams = {}
+    for i, t in enumerate(["aa bb aa", "aa cc " * 200, "dd ee ff gg", "", ""]):
+        w = t.split()
+        own = [*w, *zip(w, w[1:], strict=False)]
+        shapes = [shape(a, b) for a, b in zip([None, *w], w, strict=False)]
+        grams[i] = own + [("shape", x) for x in shapes] + [("shapes", a, b) for a, b in zip(shapes, shapes[1:], strict=False)]
+    raw, good = Counter(g for own in grams.values() for g in own), Counter(g for i, own in grams.items() if i in fitted for g in own)
+    share = sum(good.values()) / sum(raw.values())
+    for i, own in grams.items():
+        want = sum(math.log(good[g] + dsir.PRIOR) - math.log(raw[g] * share + dsir.PRIOR) for g in own)
+        assert abs(rows[i][dsir.LOG_WEIGHT] - want) < 1e-6
+
+
 def test_gumbel_top_k_is_exact_and_samples_by_weight(spark, monkeypatch):
     keys = spark.range(5000).withColumn(dsir.KEY, F.rand(3) * F.when(F.col("id") % 7 == 0, 100).otherwise(1))
     all_keys = sorted((r[0] for r in keys.select(dsir.KEY).collect()), reverse=True)
