@@ -17,6 +17,7 @@ from retailcast.functions.features import label_fixed_threshold, label_high_dema
 from retailcast.operators import attribution as A
 from retailcast.operators import bias as B
 from retailcast.operators import evaluation as E
+from retailcast.operators import knn as KN
 from retailcast.operators import model as M
 from retailcast.operators import monitoring as W
 from retailcast.operators import profile as X
@@ -687,6 +688,33 @@ def _(spark, sf):
     return B.cddpl(_binned(spark, sf), group="store_id")
 
 
+FT_FEATURES = [c for c in FEATURE_ORDER if c != "is_weekend"]
+_FT_SCALED = ", ".join(f"CASE WHEN max({c}) OVER () > min({c}) OVER () THEN coalesce(floor(1000.0::DOUBLE * (CAST({c} AS DOUBLE) - CAST(min({c}) OVER () AS DOUBLE)) / "
+                       f"(CAST(max({c}) OVER () AS DOUBLE) - CAST(min({c}) OVER () AS DOUBLE))), 0) ELSE 0 END" for c in FT_FEATURES)
+FT_SQL = THR_SQL + f""",
+fx AS (SELECT record_id, is_weekend, pred_bin, [{_FT_SCALED}] AS x FROM binned),
+nn AS (SELECT d.record_id, d.pred_bin, a.pred_bin AS np FROM fx d JOIN fx a ON d.is_weekend = 1 AND a.is_weekend <> 1
+  QUALIFY row_number() OVER (PARTITION BY d.record_id ORDER BY list_sum(list_transform(range(1, {len(FT_FEATURES)} + 1), lambda i: (d.x[i] - a.x[i]) * (d.x[i] - a.x[i]))), a.record_id) <= 5),
+fl AS (SELECT record_id, max(pred_bin) AS own, CAST(avg(np) > 0.5 AS INTEGER) AS flip FROM nn GROUP BY record_id)"""
+
+
+@q("bias_ft",
+   """SELECT count(*) AS n_d, count_if(own = 0 AND flip = 1) AS flips_up, count_if(own = 1 AND flip = 0) AS flips_down,
+        CAST(count_if(own = 0 AND flip = 1) - count_if(own = 1 AND flip = 0) AS DOUBLE) / nullif(count(*), 0) AS FT FROM fl""", extra=FT_SQL)
+def _(spark, sf):
+    return B.flip_test(_binned(spark, sf), FEATURE_ORDER)
+
+
+@q("bias_ft_neighbours",
+   f"""SELECT d.record_id AS query_id, a.record_id AS candidate_id,
+         list_sum(list_transform(range(1, {len(FT_FEATURES)} + 1), lambda i: (d.x[i] - a.x[i]) * (d.x[i] - a.x[i]))) AS distance2,
+         CAST(row_number() OVER (PARTITION BY d.record_id ORDER BY list_sum(list_transform(range(1, {len(FT_FEATURES)} + 1), lambda i: (d.x[i] - a.x[i]) * (d.x[i] - a.x[i]))), a.record_id) AS INTEGER) AS rank
+       FROM fx d JOIN fx a ON d.is_weekend = 1 AND a.is_weekend <> 1 QUALIFY rank <= 5""", extra=FT_SQL)
+def _(spark, sf):
+    rows = KN.scaled_features(_binned(spark, sf), FT_FEATURES, "record_id")
+    return KN.knn_join(rows.filter("is_weekend = 1"), rows.filter("is_weekend <> 1"), 5)[0]
+
+
 FLAGSHIP_SQL = with_base("""
 SELECT s.split_type,
   count(*) AS n_rows,
