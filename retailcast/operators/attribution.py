@@ -24,24 +24,29 @@ def load_trees(spark: SparkSession, model_path: str) -> list[dict]:
     for r in rows:
         t = trees.setdefault(r["treeID"], {"weight": r["tree_weight"], "nodes": {}})
         t["nodes"][r["id"]] = (r["leftChild"], r["rightChild"], r["featureIndex"], r["threshold"],
-                               r["prediction"], float(r["rawCount"]))
+                               r["prediction"], float(r["rawCount"]), r["missing_left"])
     out = []
     for tid in sorted(trees):
         nd = trees[tid]["nodes"]
         n = max(nd) + 1
         arr = {k: np.zeros(n) for k in ("thr", "val", "cover")}
-        left, right, feat = np.full(n, -1), np.full(n, -1), np.full(n, -1)
-        for i, (lc, rc, fi, th, pv, cv) in nd.items():
-            left[i], right[i], feat[i] = lc, rc, fi if fi is not None else -1
+        left, right, feat, miss = np.full(n, -1), np.full(n, -1), np.full(n, -1), np.zeros(n, bool)
+        for i, (lc, rc, fi, th, pv, cv, ml) in nd.items():
+            left[i], right[i], feat[i], miss[i] = lc, rc, fi if fi is not None else -1, bool(ml)
             arr["thr"][i] = th if th is not None else 0.0
             arr["val"][i], arr["cover"][i] = pv, cv
-        out.append({"weight": trees[tid]["weight"], "left": left, "right": right, "feat": feat, **arr})
+        out.append({"weight": trees[tid]["weight"], "left": left, "right": right, "feat": feat, "miss": miss, **arr})
     return out
 
 
-def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, float]]]]:
-    """Root-to-leaf paths: (leaf value, [(feature, cover ratio, went left, threshold), ...])."""
-    left, right, feat, thr, val, cover = (tree[k] for k in ("left", "right", "feat", "thr", "val", "cover"))
+def went_left(v: np.ndarray, threshold, missing_left) -> np.ndarray:
+    """Whether values pass a split to the left; a missing value has the split's own side."""
+    return np.where(np.isnan(v), missing_left, v <= threshold)
+
+
+def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, float, bool]]]]:
+    """Root-to-leaf paths: (leaf value, [(feature, cover ratio, went left, threshold, missing left), ...])."""
+    left, right, feat, thr, val, cover, miss = (tree[k] for k in ("left", "right", "feat", "thr", "val", "cover", "miss"))
     out, stack = [], [(0, [])]
     while stack:
         j, path = stack.pop()
@@ -49,7 +54,7 @@ def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, flo
             out.append((float(val[j]), path))
             continue
         for child, is_left in ((left[j], True), (right[j], False)):
-            stack.append((child, path + [(int(feat[j]), cover[child] / cover[j], is_left, float(thr[j]))]))
+            stack.append((child, path + [(int(feat[j]), cover[child] / cover[j], is_left, float(thr[j]), bool(miss[j]))]))
     return out
 
 
@@ -64,9 +69,9 @@ def tree_shap_batch(X: np.ndarray, tree: dict, phi: np.ndarray) -> None:
     n = X.shape[0]
     for value, path in leaf_paths(tree):
         feats: dict[int, list] = {}
-        for f, ratio, is_left, t in path:
+        for f, ratio, is_left, t, missing_left in path:
             z, o = feats.get(f, (1.0, np.ones(n)))
-            cond = X[:, f] <= t if is_left else X[:, f] > t
+            cond = went_left(X[:, f], t, missing_left) == is_left
             feats[f] = (z * ratio, o * cond)
         items = list(feats.items())
         d = len(items)                       # path elements after the root dummy: 1..d
@@ -93,14 +98,14 @@ def tree_shap_batch(X: np.ndarray, tree: dict, phi: np.ndarray) -> None:
 
 
 def predict_batch(X: np.ndarray, tree: dict) -> np.ndarray:
-    """Leaf values of all rows (Spark goes left when x <= threshold)."""
+    """Leaf values of all rows (left when x <= threshold)."""
     j = np.zeros(X.shape[0], dtype=np.int64)
     while True:
         inner = tree["left"][j] >= 0
         if not inner.any():
             return tree["val"][j]
         f = tree["feat"][j]
-        go_left = X[np.arange(X.shape[0]), np.where(inner, f, 0)] <= tree["thr"][j]
+        go_left = went_left(X[np.arange(X.shape[0]), np.where(inner, f, 0)], tree["thr"][j], tree["miss"][j])
         j = np.where(inner, np.where(go_left, tree["left"][j], tree["right"][j]), j)
 
 

@@ -1,20 +1,24 @@
-"""Model training and batch inference as Spark ML jobs (M-series, E6).
+"""Model training and batch inference as Spark jobs (M-series, E6).
 
-Boosted trees: Spark's distributed-histogram GBTRegressor. Rounds are
-sequential jobs; each round is distributed over the partitions.
+Boosted trees: the second-order histogram booster of ``operators.boosting``. Rounds
+are sequential; every pass of a round is distributed over the partitions.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailcast.contract import FEATURE_ORDER, GBT_PARAMS, LABEL
 from retailcast.functions.columns import require_columns
+from retailcast.operators import boosting
+from retailcast.operators.boosting import Booster
 
 
 def assemble_features(df: DataFrame, features=FEATURE_ORDER, handle_invalid: str = "keep",
@@ -24,43 +28,53 @@ def assemble_features(df: DataFrame, features=FEATURE_ORDER, handle_invalid: str
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
-def gbt_estimator(rounds: int | None = None, seed: int = 42, label: str = LABEL, **overrides) -> GBTRegressor:
-    """M2: the training job's boosted-tree settings mapped onto Spark's GBT.
+def boosting_params(seed: int = 42, **overrides) -> dict:
+    """M2: the training job's boosted-tree settings; unknown names and values out of range raise."""
+    p = dict(GBT_PARAMS, seed=seed) | overrides
+    unknown = set(p) - set(GBT_PARAMS) - {"seed"}
+    if unknown or not (0 < p["subsample"] <= 1 and 0 < p["colsample_bytree"] <= 1 and p["max_depth"] >= 1 and p["reg_lambda"] >= 0 and p["min_child_weight"] >= 0):
+        raise ValueError(f"boosted trees can't take {sorted(unknown) or p}")
+    return p
 
-    Spark has no L2 leaf term, no minimum child weight and samples columns per
-    node, not per tree: asking for other values of these raises."""
-    unknown = set(overrides) - set(GBT_PARAMS)
-    fixed = {k for k in ("reg_lambda", "min_child_weight") if overrides.get(k, GBT_PARAMS[k]) != GBT_PARAMS[k]}
-    if unknown or fixed:
-        raise ValueError(f"boosted trees can't take {sorted(unknown | fixed)}")
-    p = dict(GBT_PARAMS, **overrides)
-    return GBTRegressor(
-        labelCol=label, featuresCol="features", predictionCol="prediction",
-        maxDepth=p["max_depth"], maxIter=rounds or p["n_estimators"], stepSize=p["learning_rate"],
-        subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample_bytree"]),
-        minInstancesPerNode=1, lossType="squared", seed=seed,
-        # depth-6 trees (<= 127 nodes) are cheap to ship per level, so node-id
-        # caching costs more than it saves (measured: 31 s vs 21 s, 20 rounds
-        # on sf0.1); predictions are checkpointed every 10 rounds (lineage cut)
-        cacheNodeIds=False, checkpointInterval=10, maxMemoryInMB=512)
 
-
-def train_gbt(train: DataFrame, rounds: int | None = None, seed: int = 42, features=FEATURE_ORDER,
-              label: str = LABEL) -> GBTRegressionModel:
-    data = assemble_features(train, features).select("features", F.col(label).cast("double").alias(label))
-    return gbt_estimator(rounds, seed, label).fit(data)
+def _id_col(df: DataFrame, id_col: str = "record_id") -> str | None:
+    return id_col if id_col in df.columns else None
 
 
-def learning_curve(spark: SparkSession, model: GBTRegressionModel, train: DataFrame, val: DataFrame,
+def train_gbt(train: DataFrame, rounds: int | None = None, seed: int = 42, features=FEATURE_ORDER,
+              label: str = LABEL, start: Booster | None = None, **options) -> Booster:
+    """M2: a fit of ``rounds`` rounds, or as many more from ``start``; ``options`` are parameters
+    of the job or of ``boosting.fit`` (bins, equal_width, bits)."""
+    require_columns(train, [*features, label])
+    own = {k: options.pop(k) for k in ("bins", "equal_width", "bits") if k in options}
+    p = boosting_params(seed, **options)
+    return boosting.fit(train, features, label, p, rounds or p["n_estimators"], start=start, id_col=_id_col(train), **own)[0]
+
+
+def _error_pass(model: Booster, label: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(model.trees)), 0
+        for batch in batches:
+            x, y = boosting._numbers(batch, model.features), batch.column(label).to_numpy(zero_copy_only=False)
+            pred = np.full(len(y), model.base)
+            for k, t in enumerate(model.trees):
+                pred += t.predict(x)
+                total[k] += ((pred - y) ** 2).sum()
+            n += len(y)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n))], ["round", "e", "n"])
+    return run
+
+
+def learning_curve(spark: SparkSession, model: Booster, train: DataFrame, val: DataFrame,
                    features=FEATURE_ORDER, label: str = LABEL) -> DataFrame:
     """Train / validation RMSE after each boosting round (one distributed
     pass per split; the result has one row per round)."""
-    def curve(df):
-        data = assemble_features(df, features).select("features", F.col(label).cast("double").alias(label))
-        return model.evaluateEachIteration(data, "squared")
-    tr, va = curve(train), curve(val)
-    rows = [(i, float(a) ** 0.5, float(b) ** 0.5) for i, (a, b) in enumerate(zip(tr, va))]
-    return spark.createDataFrame(rows, "round int, train_rmse double, val_rmse double")
+    def curve(df: DataFrame, name: str) -> DataFrame:
+        rows = df.filter(F.col(label).isNotNull()).select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
+        sums = rows.mapInArrow(_error_pass(model, label), "round int, e double, n long").groupBy("round").agg(F.sum("e").alias("e"), F.sum("n").alias("n"))
+        return sums.select("round", F.sqrt(F.col("e") / F.col("n")).alias(name))
+    return curve(train, "train_rmse").join(curve(val, "val_rmse"), "round", "full")
 
 
 def early_stopping(curve: DataFrame, patience: int = 20) -> DataFrame:
@@ -77,27 +91,19 @@ def early_stopping(curve: DataFrame, patience: int = 20) -> DataFrame:
                     stop_round.isNotNull().alias("stopped_early"))
 
 
-def save_model(model: GBTRegressionModel, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
+def save_model(model: Booster, path: str) -> str:
+    return boosting.save(model, SparkSession.active(), path)
 
 
 def batch_score(model_path: str, df: DataFrame, features=FEATURE_ORDER, out: str = "prediction") -> DataFrame:
     """M6: load the stored model and score a table (input columns + prediction)."""
-    model = GBTRegressionModel.load(model_path)
-    scored = model.setPredictionCol(out).transform(assemble_features(df, features))
-    return scored.drop("features")
+    require_columns(df, features)
+    return boosting.score(df.sparkSession, model_path, df, out)
 
 
 def tree_table(spark: SparkSession, model_path: str) -> DataFrame:
-    """Model inspection — one row per node (tree id, node fields, tree weight)."""
-    nodes = spark.read.parquet(f"{model_path}/data")
-    weights = spark.read.parquet(f"{model_path}/treesMetadata").select(
-        F.col("_1").cast("int").alias("treeID"), F.col("_3").alias("tree_weight"))
-    return (nodes.join(F.broadcast(weights), "treeID")
-            .select("treeID", "tree_weight", "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
-                    "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-                    F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold")))
+    """Model inspection — one row per node of the stored model (tree 0 is the intercept)."""
+    return boosting.nodes(spark, model_path)
 
 
 def _feature_rows(values: Column, error: Column, keep: list[str]) -> list[Column]:
@@ -178,34 +184,24 @@ def format_predictions(scored: DataFrame, id_col: str = "request_id", pos: str =
     return agg.select(id_col, F.array_join(F.transform("p", lambda v: v.cast("string")), "\n").alias("body"))
 
 
-def hyperparameter_log(run_id: str, params: dict, metrics: DataFrame) -> tuple[list, DataFrame]:
+def hyperparameter_log(spark: SparkSession, run_id: str, params: dict, metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M4: params as (run_id, key, value) rows and metrics long (run_id, key, step, value)."""
-    prow = [(run_id, k, json.dumps(v) if not isinstance(v, str) else v) for k, v in sorted(params.items())]
+    rows = spark.createDataFrame([(run_id, k, json.dumps(v) if not isinstance(v, str) else v) for k, v in sorted(params.items())],
+                                 "run_id string, key string, value string")
     num = [c for c, t in metrics.dtypes if t in ("double", "bigint", "int", "float")]
     stack = ", ".join(f"'{c}', cast(`{c}` as double)" for c in num)
     long = metrics.selectExpr(*[c for c in metrics.columns if c not in num],
                               f"stack({len(num)}, {stack}) as (key, value)")
-    return prow, long.withColumn("run_id", F.lit(run_id)).withColumn("step", F.lit(0))
+    return rows, long.withColumn("run_id", F.lit(run_id)).withColumn("step", F.lit(0))
 
 
 def fit_with_early_stopping(spark: SparkSession, train: DataFrame, val: DataFrame, rounds: int | None = None,
-                            patience: int | None = None, seed: int = 42) -> tuple[GBTRegressionModel, DataFrame]:
+                            patience: int | None = None, seed: int = 42, **overrides) -> tuple[Booster, DataFrame]:
     """M2 + M3: boost until ``patience`` rounds past the best validation round or
     ``rounds`` (the job's 250) in all, and keep the trees up to the best round.
 
-    Spark seeds round m with seed + m, so a longer fit begins with the same trees: the
-    number of rounds doubles until the curve stops, which trains at most twice the
-    rounds that are needed instead of all of them; the kept prefix is a short fit."""
-    patience = GBT_PARAMS["early_stopping_rounds"] if patience is None else patience
-    total = rounds or GBT_PARAMS["n_estimators"]
-    size = min(total, patience + patience // 2)
-    while True:
-        model = train_gbt(train, size, seed)
-        curve = learning_curve(spark, model, train, val)
-        best = early_stopping(curve, patience).first()
-        if best["stopped_early"] or size >= total:
-            break
-        size = min(total, 2 * size)
-    if best["best_iteration"] + 1 < model.getNumTrees:
-        model = train_gbt(train, best["best_iteration"] + 1, seed)
-    return model, curve.filter(F.col("round") <= best["last_round"])
+    Rounds are appended to one fit and never refitted: trees past the best round are cut off."""
+    p = boosting_params(seed, **overrides)
+    patience = p["early_stopping_rounds"] if patience is None else patience
+    model, curve = boosting.fit(train, FEATURE_ORDER, LABEL, p, rounds or p["n_estimators"], val=val, patience=patience, id_col=_id_col(train))
+    return model, spark.createDataFrame(curve, "round int, train_rmse double, val_rmse double")

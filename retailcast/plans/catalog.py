@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailcast.contract import FEATURE_ORDER, NON_FEATURE_COLUMNS
+from retailcast.contract import FEATURE_ORDER, GBT_PARAMS, NON_FEATURE_COLUMNS
 from retailcast.functions import columns as C
 from retailcast.functions.features import label_fixed_threshold, label_high_demand, label_if_missing
 from retailcast.operators import attribution as A
+from retailcast.operators import boosting as BO
 from retailcast.operators import bias as B
 from retailcast.operators import evaluation as E
 from retailcast.operators import knn as KN
@@ -24,6 +25,7 @@ from retailcast.operators import profile as X
 from retailcast.operators import quality as Q
 from retailcast.operators import registry as G
 from retailcast.operators import split as P
+from retailcast.plans import boosted_sql as BQ
 from retailcast.plans.base import feat, raw, scored, spread, table, test_scored
 from retailcast.plans.oracle import RETAIL_CTE, bigint_counts, with_base
 from retailcast.session import materialize, session_table, shared_path
@@ -1235,18 +1237,29 @@ _MODELS: dict = {}
 
 def fitted(spark, sf) -> tuple[str, DataFrame]:
     """The stored model of the training job (early stopping within its 250 rounds) and its learning curve."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MODELS:
-        s = scored(spark, sf)
+    key, s = (spark.sparkContext.applicationId, sf), scored(spark, sf)
+    state = tuple(sorted(s.inputFiles()))
+    if _MODELS.get(key, (None,))[0] != state:
         model, curve = M.fit_with_early_stopping(spark, s.filter("split_type = 'train'"), s.filter("split_type = 'validation'"))
-        _MODELS[key] = M.save_model(model, shared_path(spark, f"models/gbt-{_uid()}")), materialize(curve, "curve")
-    return _MODELS[key]
+        _MODELS[key] = state, (M.save_model(model, shared_path(spark, f"models/gbt-{_uid()}")), materialize(curve, "curve"))
+    return _MODELS[key][1]
 
 
 def gbt_model_path(spark, sf) -> str:
     return fitted(spark, sf)[0]
 
 
+def small_model_path(spark, sf) -> str:
+    """A stored small fit without sampling, which SQL can follow (``boosted_sql``)."""
+    key = (spark.sparkContext.applicationId, sf, "small")
+    train = scored(spark, sf).filter("split_type = 'train'")
+    state = tuple(sorted(train.inputFiles()))
+    if _MODELS.get(key, (None,))[0] != state:
+        model = M.train_gbt(train, BQ.ROUNDS, bins=BQ.BINS, equal_width=True, bits=BQ.BITS, **BQ.SMALL)
+        _MODELS[key] = state, M.save_model(model, shared_path(spark, f"models/small-{_uid()}"))
+    return _MODELS[key][1]
+
+
 @q("assemble_features", "SELECT record_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS v_{c}" for c in FEATURE_ORDER) + " FROM test")
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
@@ -1261,7 +1274,28 @@ def _(spark, sf):
     return E.regression_metrics(scored_gbt, by=["split_type"])
 
 
-@q("learning_curve")
+@q("train_gbt_small", "SELECT * FROM nodes", extra=BQ.FIT_CTE)
+def _(spark, sf):
+    return M.tree_table(spark, small_model_path(spark, sf))
+
+
+def _errors_sql(split: str) -> str:
+    ends = ["(SELECT prediction FROM nodes WHERE \"treeID\" = 0)"]
+    for r in range(BQ.ROUNDS):
+        ends.append(f"{ends[-1]} + max(CASE WHEN t = {r + 1} THEN v END)")
+    return " UNION ALL ".join(
+        f"SELECT CAST({r} AS INTEGER) AS round, sqrt(avg((pred - units_sold) * (pred - units_sold))) AS rmse FROM "
+        f"(SELECT rid, {ends[r + 1]} AS pred FROM walked GROUP BY rid) JOIN scored ON rid = record_id WHERE split_type = '{split}'" for r in range(BQ.ROUNDS))
+
+
+@q("learning_curve", f"SELECT t.round, t.rmse AS train_rmse, v.rmse AS val_rmse FROM ({_errors_sql('train')}) t JOIN ({_errors_sql('validation')}) v USING (round)",
+   extra=BQ.FIT_CTE + "," + BQ.walk_cte("scored"))
+def _(spark, sf):
+    s = scored(spark, sf)
+    return M.learning_curve(spark, BO.load(spark, small_model_path(spark, sf)), s.filter("split_type = 'train'"), s.filter("split_type = 'validation'"))
+
+
+@q("early_stopping_curve")
 def _(spark, sf):
     return fitted(spark, sf)[1]
 
@@ -1291,22 +1325,34 @@ def _(spark, sf):
    f"SELECT split_type, 'baseline-store-weekday' AS run_id, 0 AS step, key, value FROM ("
    f"SELECT split_type, 'n_rows' AS key, CAST(n_rows AS DOUBLE) AS value FROM m UNION ALL "
    f"SELECT split_type, 'rmse', rmse FROM m UNION ALL SELECT split_type, 'mae', mae FROM m UNION ALL "
-   f"SELECT split_type, 'r2', r2 FROM m)",
+   f"SELECT split_type, 'r2', r2 FROM m UNION ALL SELECT NULL, 'param:' || unnest({list(GBT_PARAMS)}), CAST(unnest({[float(v) for v in GBT_PARAMS.values()]}) AS DOUBLE))",
    extra=f"m AS (SELECT split_type, {METRICS_SQL} FROM scored GROUP BY split_type)")
 def _(spark, sf):
-    from retailcast.contract import GBT_PARAMS
-    _, long = M.hyperparameter_log("baseline-store-weekday", GBT_PARAMS,
-                                   E.regression_metrics(scored(spark, sf), by=["split_type"]))
-    return long.select("split_type", "run_id", F.col("step").cast("int").alias("step"), "key", "value")
+    params, long = M.hyperparameter_log(spark, "baseline-store-weekday", GBT_PARAMS,
+                                        E.regression_metrics(scored(spark, sf), by=["split_type"]))
+    return long.select("split_type", "run_id", F.col("step").cast("int").alias("step"), "key", "value").unionByName(
+        params.select(F.lit(None).cast("string").alias("split_type"), "run_id", F.lit(0).alias("step"), F.concat(F.lit("param:"), "key").alias("key"), F.col("value").cast("double")))
+
 
+PREDICTED_SQL = BQ.FIT_CTE + "," + BQ.walk_cte("test")
+#: Requests carry floats.
+REQUESTED_SQL = BQ.FIT_CTE + "," + BQ.walk_cte("test", "FLOAT")
 
-@q("batch_score")
+
+@q("batch_score", "SELECT rid AS record_id, prediction FROM predicted", extra=PREDICTED_SQL)
 def _(spark, sf):
-    return M.batch_score(gbt_model_path(spark, sf), test_scored(spark, sf).drop("prediction")).select(
+    return M.batch_score(small_model_path(spark, sf), test_scored(spark, sf).drop("prediction")).select(
         "record_id", "prediction")
 
 
-@q("tree_table")
+@q("tree_table", "SELECT \"treeID\", count(*) AS n_nodes, count_if(\"featureIndex\" < 0) AS n_leaves, sum(gain) AS gain, "
+   "CAST(max(\"rawCount\") AS BIGINT) AS cover FROM nodes GROUP BY \"treeID\"", extra=BQ.FIT_CTE)
+def _(spark, sf):
+    return M.tree_table(spark, small_model_path(spark, sf)).groupBy("treeID").agg(
+        F.count("*").alias("n_nodes"), F.count_if(F.col("featureIndex") < 0).alias("n_leaves"), F.sum("gain").alias("gain"), F.max("rawCount").alias("cover"))
+
+
+@q("tree_table_gbt")
 def _(spark, sf):
     return M.tree_table(spark, gbt_model_path(spark, sf))
 
@@ -1362,12 +1408,12 @@ def _(spark, sf):
 REQUEST_SIZE = 50
 
 
-@q("score_csv_requests")
+@q("score_csv_requests", "SELECT rid AS record_id, prediction FROM predicted", extra=REQUESTED_SQL)
 def _(spark, sf):
     from retailcast.sources.sinks import export_csv_payload
     t = test_scored(spark, sf)
     req = export_csv_payload(t, keep=["record_id"])
-    return M.score_csv_requests(gbt_model_path(spark, sf), req).select("record_id", "prediction")
+    return M.score_csv_requests(small_model_path(spark, sf), req).select("record_id", "prediction")
 
 
 def _json_requests(spark, sf, as_lists: bool):
@@ -1385,37 +1431,52 @@ def _json_requests(spark, sf, as_lists: bool):
     return g.select("request_id", F.to_json(F.struct("instances")).alias("body"))
 
 
-@q("score_json_requests")
+REQUEST_RANKS = f"""SELECT CAST(floor(k / {REQUEST_SIZE}) AS BIGINT) AS request_id, CAST(k % {REQUEST_SIZE} AS INTEGER) AS pos, prediction
+  FROM (SELECT row_number() OVER (ORDER BY rid) - 1 AS k, prediction FROM predicted)"""
+
+
+@q("score_json_requests", REQUEST_RANKS, extra=REQUESTED_SQL)
 def _(spark, sf):
-    return M.score_json_requests(gbt_model_path(spark, sf), _json_requests(spark, sf, False)).select(
+    return M.score_json_requests(small_model_path(spark, sf), _json_requests(spark, sf, False)).select(
         "request_id", "pos", "prediction")
 
 
-@q("format_predictions")
+@q("format_predictions", REQUEST_RANKS, extra=REQUESTED_SQL)
 def _(spark, sf):
-    scoredj = M.score_json_requests(gbt_model_path(spark, sf), _json_requests(spark, sf, True))
-    return M.format_predictions(scoredj)
+    """The response bodies, read again: the JSON text of a double differs between engines, its value doesn't."""
+    scoredj = M.score_json_requests(small_model_path(spark, sf), _json_requests(spark, sf, True))
+    values = F.from_json("body", "predictions array<double>")["predictions"]
+    return M.format_predictions(scoredj).select("request_id", F.posexplode(values).alias("pos", "prediction"))
 
 
-def _shap(spark, sf):
+def _shap(spark, sf, path: str):
     # the split is a few files: spread its rows so that all tasks attribute
     rows = test_scored(spark, sf).repartition(spark.sparkContext.defaultParallelism)
-    return A.shap_values(spark, rows, gbt_model_path(spark, sf))
+    return A.shap_values(spark, rows, path)
+
+
+SHAP_SQL = PREDICTED_SQL + "," + BQ.SHAP_CTE
+
+
+@q("shap_values", "SELECT p.rid AS record_id, (SELECT v FROM base) AS base_value, max(p.prediction) AS model_output, " + ", ".join(
+    f"coalesce(max(CASE WHEN f = {i} THEN phi END), 0) AS shap_{c}" for i, c in enumerate(FEATURE_ORDER)) + " FROM predicted p LEFT JOIN phis USING (rid) GROUP BY p.rid", extra=SHAP_SQL)
+def _(spark, sf):
+    return _shap(spark, sf, small_model_path(spark, sf))
 
 
-@q("shap_values")
+@q("shap_values_gbt")
 def _(spark, sf):
-    return _shap(spark, sf)
+    return _shap(spark, sf, gbt_model_path(spark, sf))
 
 
-@q("shap_importance")
+@q("shap_importance", "SELECT * FROM importance", extra=SHAP_SQL)
 def _(spark, sf):
-    return A.shap_importance(_shap(spark, sf))
+    return A.shap_importance(_shap(spark, sf, small_model_path(spark, sf)))
 
 
-@q("shap_topk")
+@q("shap_topk", "SELECT * FROM importance ORDER BY mean_abs_shap DESC, feature LIMIT 20", extra=SHAP_SQL)
 def _(spark, sf):
-    return A.shap_topk(A.shap_importance(_shap(spark, sf)), 20)
+    return A.shap_topk(A.shap_importance(_shap(spark, sf, small_model_path(spark, sf))), 20)
 
 
 # =============================================================== W: streaming forms
@@ -1458,11 +1519,11 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
-@q("stream_score_model")
+@q("stream_score_model", "SELECT rid AS record_id, prediction FROM predicted", extra=PREDICTED_SQL)
 def _(spark, sf):
     src = session_table(spark, ("test_features", sf), lambda: feat(spark, sf).filter("split_type = 'test'"))
     stream = ST.read_stream(spark, src.inputFiles()[0].rsplit("/", 1)[0], src.schema, max_files=64)
-    out = ST.run_available_now(M.batch_score(gbt_model_path(spark, sf), stream).select("record_id", "prediction"), f"model-{_uid()}")
+    out = ST.run_available_now(M.batch_score(small_model_path(spark, sf), stream).select("record_id", "prediction"), f"model-{_uid()}")
     return spark.read.parquet(out)
 
 

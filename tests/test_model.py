@@ -13,7 +13,7 @@ from tests.shap_reference import tree_shap
 @pytest.fixture(scope="module")
 def model_path(spark):
     train = scored(spark, SF0001).filter("split_type = 'train'")
-    m = M.train_gbt(train, rounds=5)
+    m = M.train_gbt(train, rounds=5, max_depth=4)
     return M.save_model(m, shared_path(spark, "test-models/gbt5"))
 
 
@@ -29,7 +29,7 @@ def test_shap_additive_and_matches_spark(spark, model_path):
 
 def test_tree_table_and_codecs(spark, model_path):
     tt = M.tree_table(spark, model_path)
-    assert tt.select("treeID").distinct().count() == 5
+    assert tt.select("treeID").distinct().count() == 6           # the intercept and five trees
     t = scored(spark, SF0001).filter("split_type = 'test'").drop("prediction")
     from retailcast.contract import FEATURE_ORDER
     req = t.select("record_id", F.concat_ws(",", *[F.col(c).cast("float").cast("string")

@@ -70,9 +70,9 @@ def test_csv_request_lines(spark):
 
 def test_unsupported_hyperparameters_raise():
     with pytest.raises(ValueError):
-        M.gbt_estimator(reg_lambda=99)
+        M.boosting_params(reg_lambda=-1)
     with pytest.raises(ValueError):
-        M.gbt_estimator(depth=3)
+        M.boosting_params(depth=3)
 
 
 def test_versions_go_on_and_are_idempotent(spark):
