@@ -54,27 +54,32 @@ STATE_COLS = ["n0", "s1_0", "s2_0", "c"]
 
 
 def running_zscore(df: DataFrame, prior: DataFrame | None = None, key: str = "event_type",
-                   order: tuple = ("ts", "event_id"), value: str = "value") -> tuple[DataFrame, DataFrame]:
+                   order: tuple = ("ts", "event_id"), value: str = "value", expire: str | None = None) -> tuple[DataFrame, DataFrame]:
     """W3 (cumulative form): z-score of each value against ALL earlier values of
     its key — prior state plus earlier rows of this input — and the new state.
 
     State per key: count, sum and sum of squares of (value − c), c a per-key
-    centring constant fixed when the key is first seen. Earlier-row sums come
-    from the exact distributed prefix sum, so a key holding a third of all
-    rows is spread over range partitions instead of one task."""
+    centring constant fixed when the key is first seen, and the newest event time
+    ``seen``. Earlier-row sums come from the exact distributed prefix sum, so a key
+    holding a third of all rows is spread over range partitions instead of one task.
+    A row without a value has no score and doesn't change the state. With ``expire`` (an
+    interval) the new state leaves out keys last seen that long before the newest event:
+    such a key begins anew."""
     from retailcast.operators.split import grouped_prefix_sum
-    first = df.groupBy(key).agg(F.avg(value).alias("c_new"))
+    first = df.groupBy(key).agg(F.avg(value).alias("c_new"), F.max(order[0]).alias("seen_new"))
     if prior is None:
         st = first.select(key, F.lit(0).cast("bigint").alias("n0"), F.lit(0.0).alias("s1_0"),
-                          F.lit(0.0).alias("s2_0"), F.col("c_new").alias("c"))
+                          F.lit(0.0).alias("s2_0"), F.col("c_new").alias("c"), F.col("seen_new").alias("seen"))
     else:
-        st = (first.join(prior, key, "full")
-              .select(key, F.coalesce("n0", F.lit(0)).cast("bigint").alias("n0"),
+        st = (first.join(prior, first[key].eqNullSafe(prior[key]), "full")
+              .select(F.coalesce(first[key], prior[key]).alias(key), F.coalesce("n0", F.lit(0)).cast("bigint").alias("n0"),
                       F.coalesce("s1_0", F.lit(0.0)).alias("s1_0"), F.coalesce("s2_0", F.lit(0.0)).alias("s2_0"),
-                      F.coalesce("c", "c_new").alias("c")))
+                      F.coalesce("c", "c_new").alias("c"), F.greatest("seen", "seen_new").alias("seen")))
     y = (F.col(value) - F.col("c"))
     keep = list(dict.fromkeys(["event_id", *order, key, value]))
-    rows = (df.filter(F.col(value).isNotNull()).join(st, key)
+    valued = df.filter(F.col(value).isNotNull()).select(*keep)
+    state = st.withColumnRenamed(key, "_key")
+    rows = (valued.join(state, F.col(key).eqNullSafe(F.col("_key")))
             .select(*keep, *STATE_COLS, F.lit(1).cast("bigint").alias("one"), y.alias("y"), (y * y).alias("y2")))
     cum = grouped_prefix_sum(rows, key, list(order), ["one", "y", "y2"])
     n = F.col("n0") + F.col("cum_one") - 1
@@ -82,12 +87,15 @@ def running_zscore(df: DataFrame, prior: DataFrame | None = None, key: str = "ev
     s2 = F.col("s2_0") + F.col("cum_y2") - F.col("y2")
     var = (s2 - s1 * s1 / n) / (n - 1)
     z = F.when((n >= 2) & (var > 0), (F.col("y") - s1 / n) / F.sqrt(var))
-    scored = cum.select("event_id", key, value, z.alias("anomaly_score"))
-    batch = rows.groupBy(key).agg(F.count(F.lit(1)).alias("bn"), F.sum("y").alias("bs1"), F.sum("y2").alias("bs2"))
-    new_state = (st.join(batch, key, "left")
+    scored = cum.select("event_id", key, value, z.alias("anomaly_score")).unionByName(
+        df.filter(F.col(value).isNull()).select("event_id", key, value, F.lit(None).cast("double").alias("anomaly_score")))
+    batch = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("bn"), F.sum("y").alias("bs1"), F.sum("y2").alias("bs2"))
+    new_state = (st.join(batch, F.col(key).eqNullSafe(F.col("_key")), "left")
                  .select(key, (F.col("n0") + F.coalesce("bn", F.lit(0))).alias("n0"),
                          (F.col("s1_0") + F.coalesce("bs1", F.lit(0.0))).alias("s1_0"),
-                         (F.col("s2_0") + F.coalesce("bs2", F.lit(0.0))).alias("s2_0"), "c"))
+                         (F.col("s2_0") + F.coalesce("bs2", F.lit(0.0))).alias("s2_0"), "c", "seen"))
+    if expire:
+        new_state = new_state.filter(F.col("seen") >= st.agg(F.max("seen")).scalar() - F.expr(f"INTERVAL {expire}"))
     return scored, new_state
 
 
@@ -133,6 +141,21 @@ def delayed_labels(predictions: DataFrame, labels: DataFrame, key: str = "record
                  F.sqrt(F.avg(e * e)).alias("rmse_labeled"))
 
 
+LABEL_STATES = ("labeled", "unlabeled", "late_label")
+
+
+def labels_within(predictions: DataFrame, labels: DataFrame, bound: str, key: str = "record_id") -> DataFrame:
+    """Predictions (key, predicted_at, prediction) and labels (key, labelled_at, label), batch or stream,
+    joined in full where the label comes within ``bound`` of its prediction: (key, status, prediction, label).
+
+    Status: labeled; unlabeled, a prediction without a label in time; late_label, a label without a
+    prediction that it could still reach."""
+    mine = labels.withColumnRenamed(key, "_label_key")
+    near = (F.col(key) == F.col("_label_key")) & (F.col("labelled_at") >= F.col("predicted_at")) & (F.col("labelled_at") <= F.col("predicted_at") + F.expr(f"INTERVAL {bound}"))
+    status = F.when(F.col(key).isNull(), LABEL_STATES[2]).when(F.col("_label_key").isNull(), LABEL_STATES[1]).otherwise(LABEL_STATES[0])
+    return predictions.join(mine, near, "full").select(F.coalesce(key, "_label_key").alias(key), status.alias("status"), "prediction", "label")
+
+
 DECILES = [i / 10 for i in range(1, 10)]
 
 
@@ -201,16 +224,26 @@ def mean_shift(baseline: DataFrame, current: DataFrame, features: list[str]) ->
                        F.try_divide(F.col("mean_cur") - F.col("mean_base"), F.col("std_base")).alias("mean_shift"))
 
 
-def bias_drift(feat: DataFrame, label: str = "high_demand", facet: str = "is_weekend") -> DataFrame:
-    """DPL per month and its change against the previous month (window
-    over the per-month table, one row per month)."""
-    m = feat.groupBy("year", "month").agg(
-        (F.try_divide(F.count_if((F.col(facet) != 1) & (F.col(label) == 1)).cast("double"),
-                      F.count_if(F.col(facet) != 1).cast("double"))
-         - F.try_divide(F.count_if((F.col(facet) == 1) & (F.col(label) == 1)).cast("double"),
-                        F.count_if(F.col(facet) == 1).cast("double"))).alias("dpl"))
-    w = Window.orderBy("year", "month")
-    return m.select("year", "month", "dpl", (F.col("dpl") - F.lag("dpl").over(w)).alias("dpl_change"))
+def bias_drift(scored: DataFrame, facet: str = "is_weekend", y: str = "high_demand", yhat: str = "pred_bin", facet_value=1,
+               period: tuple = ("year", "month")) -> DataFrame:
+    """The post-training record per period and its change against the previous one.
+
+    One grouped pass counts the confusion cells of facet d (``facet_value``) and the rest per period; the
+    window runs over one row per period. Undefined ratios, and changes from or to one, are NULL."""
+    d, t, p = F.col(facet) == F.lit(facet_value), F.col(y) == 1, F.col(yhat) == 1
+    cells = [(f"{g}_{name}", who & cond) for g, who in (("a", ~d), ("d", d)) for name, cond in (("tp", t & p), ("fp", ~t & p), ("tn", ~t & ~p), ("fn", t & ~p))]
+    counts = scored.filter(F.col(facet).isNotNull() & F.col(y).isNotNull()).groupBy(*period).agg(*[F.count_if(c).alias(n) for n, c in cells])
+    c = {n: F.col(n).cast("double") for n, _ in cells}
+
+    def rates(g: str) -> dict[str, Column]:
+        tp, fp, tn, fn = (c[f"{g}_{x}"] for x in ("tp", "fp", "tn", "fn"))
+        n = tp + fp + tn + fn
+        return {"DPL_labels": F.try_divide(tp + fn, n), "DPPL_predicted": F.try_divide(tp + fp, n), "RD_recall_diff": F.try_divide(tp, tp + fn),
+                "DAR_precision_diff": F.try_divide(tp, tp + fp), "AD_accuracy_diff": F.try_divide(tp + tn, n)}
+    a, b = rates("a"), rates("d")
+    record = counts.select(*period, *[(a[k] - b[k]).alias(k) for k in a], *[sum((F.col(f"{g}_{x}") for x in ("tp", "fp", "tn", "fn")), F.lit(0)).cast("bigint").alias(f"n_{g}") for g in ("a", "d")])
+    w = Window.orderBy(*period)
+    return record.select("*", *[(F.col(k) - F.lag(k).over(w)).alias(f"{k}_change") for k in a])
 
 
 def rolling_window(df: DataFrame, days: int = 7, date_col: str = "date", end: Column | None = None) -> DataFrame:

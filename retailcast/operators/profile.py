@@ -118,6 +118,15 @@ def profile_history(scored: DataFrame, label: str = LABEL, split: str = "test")
         (F.col("label_mean") - F.lag("label_mean").over(w)).alias("mean_change"))
 
 
+def quantile_history(df: DataFrame, columns: list[str], period: tuple = ("year", "month")) -> DataFrame:
+    """Quartiles of columns per period and the change of the median against the previous one."""
+    from pyspark.sql import Window
+    per = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=list(period))
+    w = Window.partitionBy("feature").orderBy(*period)              # one row per period and column
+    q = F.col("q")
+    return per.select(*period, "feature", "n", q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), (q[1] - F.lag(q[1]).over(w)).alias("p50_change"))
+
+
 def latest_run(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Newest run (max eval timestamp) — `max_by`, a streaming aggregate."""
     keep = [c for c in runs.columns if c not in (by or [])]

@@ -1,25 +1,34 @@
-"""Exact quantiles without a value map in one task.
+"""Exact quantiles without shipping the values of a column.
 
-Rows are counted per distinct value (map-side combined), the counts get an exact
-distributed prefix sum in value order, and the values at the two ranks around
+Whole columns: one pass makes a KLL sketch per column, whose quantiles at the wanted rank
+plus and minus its error bracket the answer; a second pass counts the values below each
+bracket, and only the distinct values inside the brackets (counted map-side) are shuffled to
+pick the exact ranks. The counts prove that a rank lies in its bracket; otherwise the bracket is
+widened and counted again.
+
+Grouped quantiles: rows are counted per distinct value (map-side combined), the counts get an
+exact distributed prefix sum in value order, and the values at the two ranks around
 each quantile are picked by a grouped maximum: a task holds its range of distinct
 values, never those of a whole column.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailcast.operators.split import grouped_prefix_sum
 
+#: Size of a sketch, and the half width of a bracket in ranks: about three times its error (2.3 / k^0.9).
+SKETCH, MARGIN = 2_048, 0.006
+#: Values inside all brackets up to which one window per bracket ranks them; more get a distributed prefix sum.
+WINDOWED = 2_000_000
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """(*by, feature, n, q): for each column its non-NULL count and the linearly
-    interpolated quantiles ``q`` at ``probs``; columns without a value are not listed."""
-    by = list(by)
+
+def _grouped(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: list[str]) -> DataFrame:
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns]))
     counts = (df.select(*by, pairs.alias("x")).select(*by, "x.feature", "x.v").filter("v IS NOT NULL")
               .groupBy(F.struct(*by, "feature").alias("g"), "v").agg(F.count(F.lit(1)).alias("c")))
@@ -34,11 +43,107 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         place = (F.col("n") - 1) * F.lit(float(p))
         picks += [at(F.floor(place)).alias(f"lo{i}"), at(F.ceil(place)).alias(f"hi{i}")]
         part = place - F.floor(place)
-        values.append(F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise(F.col(f"lo{i}") * (1 - part) + F.col(f"hi{i}") * part))
+        values.append(_between(F.col(f"lo{i}"), F.col(f"hi{i}"), part))
     out = ranked.groupBy("g", "n").agg(*picks)
     return out.select(*[F.col(f"g.{c}").alias(c) for c in (*by, "feature")], "n", F.array(*values).alias("q"))
 
 
+def _between(lo: Column, hi: Column, part: Column) -> Column:
+    return F.when(lo == hi, lo).otherwise(lo * (1 - part) + hi * part)
+
+
+def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> tuple[dict, bool]:
+    """({column: (count, [(low, high)])} from sketches, whether a column holds NaN)."""
+    ranks = sorted({min(max(p + s * MARGIN, 0.0), 1.0) for p in probs for s in (-1, 1)})
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        aggs += [F.count(v).alias(f"n{i}"), F.count_if(F.isnan(F.col(c).cast("double"))).alias(f"nan{i}"),
+                 F.kll_sketch_agg_double(v, SKETCH).alias(f"s{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    sketches = df.agg(*aggs)
+    at = F.array(*[F.lit(r) for r in ranks])
+    row = sketches.select(*[x for i in range(len(columns)) for x in (
+        f"n{i}", f"nan{i}", f"lo{i}", f"hi{i}", F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", at)).alias(f"q{i}"))]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        if row[f"n{i}"]:
+            known = dict(zip(ranks, row[f"q{i}"], strict=True))
+            ends = []
+            for p in probs:
+                a, b = min(max(p - MARGIN, 0.0), 1.0), min(max(p + MARGIN, 0.0), 1.0)
+                ends.append((row[f"lo{i}"] if a == 0 else known[a], row[f"hi{i}"] if b == 1 else known[b]))
+            out[c] = row[f"n{i}"], ends
+    return out, any(row[f"nan{i}"] for i in range(len(columns)))
+
+
+def _counted(df: DataFrame, held: dict) -> dict:
+    """{(column, i): (values below its bracket, values inside)}."""
+    aggs = []
+    for k, (c, (_, ends)) in enumerate(held.items()):
+        v = F.col(c).cast("double")
+        for i, (lo, hi) in enumerate(ends):
+            aggs += [F.count_if(v < lo).alias(f"b{k}_{i}"), F.count_if((v >= lo) & (v <= hi)).alias(f"w{k}_{i}")]
+    row = df.agg(*aggs).first()
+    return {(c, i): (row[f"b{k}_{i}"], row[f"w{k}_{i}"]) for k, (c, (_, ends)) in enumerate(held.items()) for i in range(len(ends))}
+
+
+def _whole(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame | None:
+    """Quantiles of whole columns through sketches; None where a column holds NaN."""
+    held, nan = _brackets(df, columns, probs)
+    if nan:
+        return None
+    schema = "feature string, n bigint, q array<double>"
+    if not held:
+        return df.sparkSession.createDataFrame([], schema)
+    place = {(c, i): ((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for c, (n, _) in held.items() for i, p in enumerate(probs)}
+    inside = _counted(df, held)
+    missed = {k for k, (below, within) in inside.items() if not (below <= place[k][1] and place[k][2] < below + within)}
+    if missed:                                          # beyond the sketch's stated error: such brackets become the whole range
+        held = {c: (n, [(-math.inf, math.inf) if (c, i) in missed else e for i, e in enumerate(ends)]) for c, (n, ends) in held.items()}
+        inside = _counted(df, held)
+    cells = []
+    for c, (_, ends) in held.items():
+        v = F.col(c).cast("double")
+        for i, (lo, hi) in enumerate(ends):
+            cells.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(c).alias("feature"), F.lit(i).alias("i"), v.alias("v"))))
+    found = df.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("x")).groupBy("x.feature", "x.i", "x.v").agg(F.count(F.lit(1)).alias("c"))
+    keyed = found.select(F.struct("feature", "i").alias("g"), "v", "c")
+    if sum(w for _, w in inside.values()) <= WINDOWED:
+        ranked = keyed.withColumn("cum_c", F.sum("c").over(Window.partitionBy("g").orderBy("v")))
+    else:
+        ranked = grouped_prefix_sum(keyed, "g", "v", ["c"])
+
+    def wanted(which: int) -> Column:
+        cases = None
+        for (c, i), (below, _) in inside.items():
+            hit = (F.col("g.feature") == c) & (F.col("g.i") == i)
+            rank = F.lit(place[c, i][which] - below)
+            cases = F.when(hit, rank) if cases is None else cases.when(hit, rank)
+        return cases
+
+    def at(which: int) -> Column:
+        return F.max(F.when((F.col("cum_c") - F.col("c") <= wanted(which)) & (wanted(which) < F.col("cum_c")), F.col("v")))
+    picks = {(r["g"]["feature"], r["g"]["i"]): (r["lo"], r["hi"]) for r in ranked.groupBy("g").agg(at(1).alias("lo"), at(2).alias("hi")).collect()}     # columns x probs
+    rows = []
+    for c, (n, _) in held.items():
+        q = []
+        for i in range(len(probs)):
+            lo, hi = picks[c, i]
+            part = place[c, i][0] - place[c, i][1]
+            q.append(lo if lo == hi else lo * (1 - part) + hi * part)
+        rows.append((c, n, q))
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(*by, feature, n, q): for each column its non-NULL count and the linearly
+    interpolated quantiles ``q`` at ``probs``; columns without a value are not listed.
+    NaN counts as greater than all other values."""
+    found = None if by else _whole(df, list(columns), [float(p) for p in probs])
+    return _grouped(df, columns, probs, list(by)) if found is None else found
+
+
 def exact_quantile(df: DataFrame, column: str, p: float) -> Column:
     """One quantile of a whole column as a scalar (NULL without values)."""
     return exact_quantiles(df, [column], [p]).agg(F.max(F.col("q")[0])).scalar()

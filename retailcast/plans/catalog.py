@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retailcast.contract import FEATURE_ORDER, GBT_PARAMS, NON_FEATURE_COLUMNS
+from retailcast.contract import FEATURE_ORDER, GBT_PARAMS, NON_FEATURE_COLUMNS, RAW_COLUMNS, RAW_FIELDS
 from retailcast.functions import columns as C
 from retailcast.functions.features import label_fixed_threshold, label_high_demand, label_if_missing
 from retailcast.operators import attribution as A
@@ -406,6 +407,55 @@ def _(spark, sf):
     return Q.check_results(raw(spark, sf))
 
 
+#: Rows that break most constraints: sizes stay, values, keys, days and flags are spoilt by record id.
+_SPOILT = {"record_id": "CASE WHEN record_id % 13 = 0 THEN record_id - record_id % 26 WHEN record_id % 29 <> 0 THEN record_id END",
+           "units_sold": "CASE WHEN record_id % 17 <> 0 THEN units_sold - 40 END", "discount_pct": "discount_pct * 20",
+           "day_of_week": "CASE WHEN record_id % 5 = 0 THEN 'Funday' ELSE day_of_week END", "is_promo": "is_promo + is_weekend"}
+
+
+def _spoilt_rows(spark, sf) -> DataFrame:
+    return raw(spark, sf).select(*[F.expr(f"CAST({_SPOILT[c]} AS {dict(raw(spark, sf).dtypes)[c]})").alias(c) if c in _SPOILT else F.col(c) for c in RAW_COLUMNS])
+
+
+FAILING_SQL = "spoilt AS (SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _SPOILT.items()) + ") FROM retail)"
+
+
+@q("check_results_failing",
+   "SELECT 'daily sales quality' AS \"check\", 'Error' AS check_level, "
+   "CASE WHEN bool_and(ok) OVER () THEN 'Success' ELSE 'Error' END AS check_status, \"constraint\", "
+   + CHECK_STATUS + ", NOT ok AND round(value, 6) IS NOT NULL AS has_message, CASE WHEN NOT ok THEN round(value, 6) END AS message_value FROM ("
+   + _checks_sql(CHECK_ITEMS, "*").replace("FROM retail", "FROM spoilt") + ") w", "retail", extra=FAILING_SQL)
+def _(spark, sf):
+    """The value in a message is read back: the text of a double differs between engines."""
+    m = F.col("constraint_message")
+    return Q.check_results(_spoilt_rows(spark, sf)).select(
+        "check", "check_level", "check_status", "constraint", "constraint_status",
+        (m.startswith("Value: ") & m.endswith(" does not meet the constraint requirement!")).alias("has_message"),
+        F.round(F.regexp_extract(m, "^Value: (\\S+) ", 1).try_cast("double"), 6).alias("message_value"))
+
+
+METRIC_COLUMNS = (["units_sold", "base_price", "max_temp_c"], ["store_id", "day_of_week", "record_id"], [("base_price", "units_sold")])
+_DISTINCT_TOLERANCE = 0.03
+
+
+@q("dq_metrics_merged", "SELECT 'Dataset' AS entity, '*' AS instance, 'Size' AS name, CAST(count(*) AS DOUBLE) AS value FROM retail UNION ALL " + " UNION ALL ".join(
+    [f"SELECT 'Column', '{c}', 'Completeness', avg(CASE WHEN {c} IS NOT NULL THEN 1.0::DOUBLE ELSE 0 END) FROM retail" for c in METRIC_COLUMNS[0] + METRIC_COLUMNS[1]]
+    + [f"SELECT 'Column', '{c}', '{n}', CAST({f}(CAST({c} AS DOUBLE)) AS DOUBLE) FROM retail" for c in METRIC_COLUMNS[0]
+       for n, f in (("Mean", "avg"), ("Minimum", "min"), ("Maximum", "max"), ("StandardDeviation", "stddev_pop"))]
+    + [f"SELECT 'Column', '{c}', 'ApproxCountDistinct', CAST(count(DISTINCT {c}) AS DOUBLE) FROM retail" for c in METRIC_COLUMNS[1]]
+    + ["SELECT 'Mutlicolumn', 'base_price,units_sold', 'Correlation', corr(base_price, CAST(units_sold AS DOUBLE)) FROM retail"]), "retail")
+def _(spark, sf):
+    """Metrics of months, stored one by one and added up. A distinct estimate within 3 % of the
+    exact count is given as that count, so that the comparison states its tolerance."""
+    src = raw(spark, sf).withColumn("month", F.substring("date", 1, 7))
+    state = materialize(Q.metric_state(src, ["month"], *METRIC_COLUMNS), "metric_state")
+    merged = Q.merged_metrics(state, *METRIC_COLUMNS)
+    exact = raw(spark, sf).agg(*[F.count_distinct(c).cast("double").alias(c) for c in METRIC_COLUMNS[1]])
+    true = F.coalesce(*[F.when(F.col("instance") == c, exact.select(c).scalar()) for c in METRIC_COLUMNS[1]])
+    close = (F.col("name") == "ApproxCountDistinct") & (F.abs(F.col("value") - true) <= _DISTINCT_TOLERANCE * true)
+    return merged.select("entity", "instance", "name", F.when(close, true).otherwise(F.col("value")).alias("value"))
+
+
 @q("check_success_metrics", _checks_sql(CHECK_ITEMS, "entity, instance, name, value"), "retail")
 def _(spark, sf):
     return Q.success_metrics(raw(spark, sf))
@@ -419,24 +469,24 @@ def _(spark, sf):
     return Q.uniqueness(raw(spark, sf), "date", "store_id")
 
 
-def _suggest_sql() -> str:
-    from retailcast.contract import RAW_FIELDS
-    from pyspark.sql import types as T
-    stats, rules = [], []
-    for c, t in RAW_FIELDS:
-        is_str = isinstance(t, T.StringType)
-        extra = (f"avg(CASE WHEN {c} IS NOT NULL THEN CASE WHEN TRY_CAST({c} AS DOUBLE) IS NOT NULL "
-                 f"THEN 1.0 ELSE 0.0 END END) AS {c}__num" if is_str else f"min(CAST({c} AS DOUBLE)) AS {c}__min")
+def _suggest_sql(fields: list[tuple[str, bool]], src: str = "retail", level: str = "retail", extra: str = "") -> str:
+    """``fields``: (column, whether it is a string)."""
+    stats, rules = ["CAST(count(*) AS DOUBLE) AS n"], []
+    for c, is_str in fields:
+        extra_col = (f"avg(CASE WHEN {c} IS NOT NULL THEN CASE WHEN TRY_CAST({c} AS DOUBLE) IS NOT NULL "
+                     f"THEN 1.0 ELSE 0.0 END END) AS {c}__num" if is_str else f"min(CAST({c} AS DOUBLE)) AS {c}__min")
+        order = "v" if is_str else "CAST(v AS DOUBLE)"
         stats.append(f"avg(CASE WHEN {c} IS NOT NULL THEN 1.0 ELSE 0.0 END) AS {c}__compl, "
-                     f"count(DISTINCT {c}) AS {c}__card, {extra}")
+                     f"count(DISTINCT {c}) AS {c}__card, {extra_col}")
         sel = "SELECT '{c}' AS column_name, '{r}' AS rule, '{d}' AS description, {code} AS code_for_constraint FROM prof WHERE {w}"
         rules.append(sel.format(c=c, r="CompleteIfCompleteRule", d=f"''{c}'' is not null",
                                 code=f"'.isComplete(\"{c}\")'", w=f"{c}__compl = 1.0"))
         rules.append(sel.format(c=c, r="RetainCompletenessRule", d=f"''{c}'' has less than full completeness",
-                                code=f"printf('.hasCompleteness(\"{c}\", _ >= %.2f)', floor({c}__compl * 100) / 100)",
+                                code=f"printf('.hasCompleteness(\"{c}\", _ >= %.2f)', floor(greatest({c}__compl - 1.96::DOUBLE * sqrt({c}__compl * (1.0::DOUBLE - {c}__compl) / n), 0) * 100) / 100)",
                                 w=f"{c}__compl < 1.0 AND {c}__compl > 0"))
         rules.append(sel.format(c=c, r="CategoricalRangeRule", d=f"''{c}'' has value range of at most 10 values",
-                                code=f"'.isContainedIn(\"{c}\", <observed values>)'", w=f"{c}__card <= 10"))
+                                code=f"'.isContainedIn(\"{c}\", Array(' || coalesce((SELECT string_agg('\"' || v || '\"', ', ' ORDER BY {order}) "
+                                     f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM {src} WHERE {c} IS NOT NULL)), '') || '))'", w=f"{c}__card BETWEEN 1 AND 10"))
         if is_str:
             rules.append(sel.format(c=c, r="RetainTypeRule", d=f"''{c}'' has numeric type",
                                     code=f"'.hasDataType(\"{c}\", ConstrainableDataTypes.Numeric)'",
@@ -444,7 +494,21 @@ def _suggest_sql() -> str:
         else:
             rules.append(sel.format(c=c, r="NonNegativeNumbersRule", d=f"''{c}'' has no negative values",
                                     code=f"'.isNonNegative(\"{c}\")'", w=f"{c}__min >= 0"))
-    return with_base(" UNION ALL ".join(rules), "retail", "prof AS (SELECT " + ", ".join(stats) + " FROM retail)")
+    return with_base(" UNION ALL ".join(rules), level, (extra + "," if extra else "") + "prof AS (SELECT " + ", ".join(stats) + f" FROM {src})")
+
+
+#: Columns with exactly ten and eleven values, text values, gaps and nothing at all, beside two of the table.
+GAPS = [("ten", False), ("eleven", False), ("words", True), ("digits", True), ("gaps", False), ("nothing", False), ("promo_type", True), ("units_sold", False)]
+GAPS_SQL = """gappy AS (SELECT record_id % 10 AS ten, record_id % 11 - 5 AS eleven, 'w' || CAST(record_id % 3 AS VARCHAR) AS words, CAST(record_id % 4 AS VARCHAR) AS digits,
+  CASE WHEN record_id % 7 > 0 THEN record_id % 9 END AS gaps, CAST(NULL AS DOUBLE) AS nothing, promo_type, units_sold FROM retail)"""
+
+
+@q("suggest_constraints_gaps")
+def _(spark, sf):
+    i = F.col("record_id")
+    return Q.suggest_constraints(raw(spark, sf).select(
+        (i % 10).alias("ten"), (i % 11 - 5).alias("eleven"), F.concat(F.lit("w"), (i % 3).cast("string")).alias("words"), (i % 4).cast("string").alias("digits"),
+        F.when(i % 7 > 0, i % 9).alias("gaps"), F.lit(None).cast("double").alias("nothing"), "promo_type", "units_sold"))
 
 
 @q("suggest_constraints")
@@ -1207,7 +1271,58 @@ def _(spark, sf):
           - CAST(count_if(is_weekend = 1 AND high_demand = 1) AS DOUBLE) / nullif(count_if(is_weekend = 1), 0) AS dpl
         FROM feat GROUP BY year, month)""", "feat")
 def _(spark, sf):
-    return W.bias_drift(feat(spark, sf))
+    return W.bias_drift(feat(spark, sf), yhat="high_demand").select("year", "month", F.col("DPL_labels").alias("dpl"), F.col("DPL_labels_change").alias("dpl_change"))
+
+
+_DRIFT_CELLS = ", ".join(f"CAST(count_if({w} AND {c}) AS DOUBLE) AS {g}_{n}" for g, w in (("a", "is_weekend <> 1"), ("d", "is_weekend = 1"))
+                         for n, c in (("tp", "high_demand = 1 AND pred_bin = 1"), ("fp", "high_demand <> 1 AND pred_bin = 1"),
+                                      ("tn", "high_demand <> 1 AND pred_bin <> 1"), ("fn", "high_demand = 1 AND pred_bin <> 1")))
+_DRIFT_RATES = {"DPL_labels": ("tp + {g}_fn", "tp + {g}_fp + {g}_tn + {g}_fn"), "DPPL_predicted": ("tp + {g}_fp", "tp + {g}_fp + {g}_tn + {g}_fn"),
+                "RD_recall_diff": ("tp", "tp + {g}_fn"), "DAR_precision_diff": ("tp", "tp + {g}_fp"), "AD_accuracy_diff": ("tp + {g}_tn", "tp + {g}_fp + {g}_tn + {g}_fn")}
+_DRIFT_VALUES = ", ".join(" - ".join(f"({{g}}_{x}) / nullif({{g}}_{y}, 0)".replace("{g}", g) for g in "ad") + f" AS {k}" for k, (x, y) in _DRIFT_RATES.items())
+BIAS_DRIFT_SQL = THR_SQL + f""",
+cells AS (SELECT year, month, {_DRIFT_CELLS} FROM binned GROUP BY year, month),
+drift AS (SELECT year, month, {_DRIFT_VALUES}, CAST(a_tp + a_fp + a_tn + a_fn AS BIGINT) AS n_a, CAST(d_tp + d_fp + d_tn + d_fn AS BIGINT) AS n_d FROM cells)"""
+
+
+@q("bias_drift_record", "SELECT *, " + ", ".join(f"{k} - lag({k}) OVER (ORDER BY year, month) AS {k}_change" for k in _DRIFT_RATES) + " FROM drift", extra=BIAS_DRIFT_SQL)
+def _(spark, sf):
+    return W.bias_drift(_binned(spark, sf))
+
+
+@q("feature_quantile_history", " UNION ALL ".join(
+    f"SELECT year, month, '{c}' AS feature, n, p25, p50, p75, p50 - lag(p50) OVER (ORDER BY year, month) AS p50_change FROM (SELECT year, month, count({c}) AS n, "
+    + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {p}) AS p{int(100 * p)}" for p in (0.25, 0.5, 0.75)) + " FROM feat GROUP BY year, month)"
+    for c in ("units_sold", "base_price", "final_price")), "feat")
+def _(spark, sf):
+    return X.quantile_history(feat(spark, sf), ["units_sold", "base_price", "final_price"])
+
+
+@q("retrain_trigger_shifted",
+   "SELECT feature, psi, psi > 0.2 AS drifted, (max(CASE WHEN psi > 0.2 THEN 1 ELSE 0 END) OVER ()) = 1 AS retrain FROM psi",
+   extra="trn AS (SELECT * FROM scored WHERE split_type = 'train'), "
+         "cur AS (SELECT * REPLACE (max_temp_c + 4 AS max_temp_c, final_price * 1.2 AS final_price) FROM scored WHERE split_type = 'test')," + _psi_sql(DRIFT_FEATURES, "trn", "cur"))
+def _(spark, sf):
+    """A current side with warmer days and dearer goods: some features drift, others don't."""
+    s = scored(spark, sf)
+    now = s.filter("split_type = 'test'").withColumn("max_temp_c", F.col("max_temp_c") + 4).withColumn("final_price", F.col("final_price") * 1.2)
+    return W.retrain_trigger(W.psi(s.filter("split_type = 'train'"), now, DRIFT_FEATURES))
+
+
+_BAD_PREDICTION = ("CASE WHEN record_id % 10 = 0 THEN -prediction WHEN record_id % 10 = 1 THEN CAST('NaN' AS DOUBLE) WHEN record_id % 10 = 2 THEN NULL "
+                   "WHEN record_id % 10 = 3 THEN prediction * 1000 ELSE prediction END")
+
+
+@q("prediction_sanity_bad",
+   """SELECT avg(CASE WHEN coalesce(prediction >= 0, false) THEN 1.0 ELSE 0.0 END) AS non_negative,
+             avg(CASE WHEN prediction IS NOT NULL AND NOT isnan(prediction) THEN 1.0 ELSE 0.0 END) AS finite,
+             avg(CASE WHEN coalesce(prediction <= (SELECT 2 * max(units_sold) FROM scored), false) THEN 1.0 ELSE 0.0 END)
+               AS within_bound,
+             count(*) AS n FROM (SELECT * REPLACE (""" + _BAD_PREDICTION + " AS prediction) FROM scored)")
+def _(spark, sf):
+    """Predictions that are negative, NaN, missing or far too large by record id."""
+    s = scored(spark, sf)
+    return W.prediction_sanity(s.withColumn("prediction", F.expr(_BAD_PREDICTION)), upper=s.agg((F.max("units_sold") * 2).cast("double")).scalar())
 
 
 @q("rolling_monitor_window",
@@ -1545,6 +1660,67 @@ def _(spark, sf):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def _halves(spark, name: str, df: DataFrame, ts: str, closing: DataFrame | None = None) -> str:
+    """Rows in two files by time, and a third with the rows that close the stream; returns the glob."""
+    folder = shared_path(spark, f"streams/{name}/in")
+    cut = df.agg(F.percentile_approx(ts, 0.5)).first()[0]
+    parts = [df.filter(F.col(ts) < F.lit(cut)), df.filter(F.col(ts) >= F.lit(cut)), *([closing] if closing is not None else [])]
+    for i, part in enumerate(parts):
+        part.select(*df.columns).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{i}")
+    return f"{folder}/*"
+
+
+@plain("stream_anomaly_null_values", """
+SELECT event_id, event_type, value,
+  CASE WHEN value IS NOT NULL AND count(value) OVER w >= 2 AND stddev_samp(value) OVER w > 0
+       THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w END AS anomaly_score
+FROM (SELECT * REPLACE (CASE WHEN event_id % 17 > 0 THEN value END AS value) FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def _(spark, sf):
+    """Events with missing values over two micro-batches: every event comes back."""
+    name = f"anomaly-null-{_uid()}"
+    events = _events(spark, sf).withColumn("value", F.when(F.col("event_id") % 17 > 0, F.col("value")))
+    out = ST.stream_anomaly_state(ST.read_stream(spark, _halves(spark, name, events, "ts"), events.schema, max_files=1), name)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@plain("stream_alert_once", "WITH " + WIN_SQL + """
+SELECT *, 'above' AS alert FROM win WHERE avg_value > 100.0
+  AND strptime(window_end, '%Y-%m-%d %H:%M:%S') <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    """Several micro-batches; an alert is raised once, when its window is closed."""
+    name, events = f"alert-once-{_uid()}", _events(spark, sf)
+    out = ST.stream_alerts_once(ST.read_stream(spark, _halves(spark, name, events, "ts"), events.schema, max_files=1), name, 100.0)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+LATE_SQL = """
+p AS (SELECT event_id AS record_id, CAST(ts AS TIMESTAMP) AS predicted_at, value AS prediction FROM events),
+y AS (SELECT event_id AS record_id, CAST(ts AS TIMESTAMP) + to_minutes(event_id * 37 % 120) AS labelled_at, value * 2 AS label FROM events WHERE event_id % 5 > 0)"""
+
+
+@plain("delayed_labels_stream", "WITH " + LATE_SQL + """
+SELECT p.record_id, CASE WHEN y.record_id IS NULL THEN 'unlabeled' ELSE 'labeled' END AS status, prediction, label
+FROM p LEFT JOIN y ON p.record_id = y.record_id AND labelled_at <= predicted_at + INTERVAL 1 HOUR
+UNION ALL SELECT y.record_id, 'late_label', NULL, label FROM p JOIN y ON p.record_id = y.record_id AND labelled_at > predicted_at + INTERVAL 1 HOUR""")
+def _(spark, sf):
+    """Three micro-batches of predictions and of labels that come up to two hours later; the third closes both streams."""
+    name, e = f"late-{_uid()}", event_minutes(_events(spark, sf))
+    preds = e.select(F.col("event_id").alias("record_id"), F.col("ts").alias("predicted_at"), F.col("value").alias("prediction"))
+    labels = e.filter("event_id % 5 > 0").select(F.col("event_id").alias("record_id"), (F.col("ts") + F.expr("make_dt_interval(0, 0, event_id * 37 % 120, 0)")).alias("labelled_at"),
+                                                 (F.col("value") * 2).alias("label"))
+    end = preds.agg((F.max("predicted_at") + F.expr("INTERVAL 10 DAYS")).alias("t"))
+    last = [end.select(F.lit(-1).cast("long").alias("record_id"), F.col("t").alias(c), F.lit(None).cast("double").alias(v)) for c, v in (("predicted_at", "prediction"), ("labelled_at", "label"))]
+    streams = [ST.read_stream(spark, _halves(spark, f"{name}-{i}", df, c, z), df.schema, max_files=1)
+               for i, (df, c, z) in enumerate(((preds, "predicted_at", last[0]), (labels, "labelled_at", last[1])))]
+    out = ST.run_available_now(ST.stream_delayed_labels(*streams), name)
+    return spark.read.parquet(out).filter("record_id >= 0")
+
+
+def event_minutes(events: DataFrame) -> DataFrame:
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @q("stream_score", "SELECT record_id, store_id, date, units_sold, prediction FROM test")
 def _(spark, sf):
     f = feat(spark, sf)
@@ -1579,7 +1755,8 @@ def _(spark, sf):
     return Q.run_analyzers(raw(spark, sf, 5), Q.default_analyzers())
 
 
-QUERIES["suggest_constraints"] = (QUERIES["suggest_constraints"][0], _suggest_sql())
+QUERIES["suggest_constraints"] = (QUERIES["suggest_constraints"][0], _suggest_sql([(n, isinstance(t, T.StringType)) for n, t in RAW_FIELDS]))
+QUERIES["suggest_constraints_gaps"] = (QUERIES["suggest_constraints_gaps"][0], _suggest_sql(GAPS, "gappy", extra=GAPS_SQL))
 
 
 def _ks_sql(features, base, cur):

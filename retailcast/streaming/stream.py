@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailcast.operators.monitoring import TS_FMT
+from retailcast.operators.monitoring import TS_FMT, labels_within
 from retailcast.session import shared_path
 from retailcast.sources.sinks import read_if_exists
 
@@ -87,38 +87,60 @@ def stream_alert_batch(threshold: float, above: bool = True):
     return fn
 
 
-def _latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    """State written by the newest earlier micro-batch (``batch_id`` is the table's partition column)."""
-    states = read_if_exists(spark, state_dir)
-    newest = None if states is None else states.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    return None if newest is None else states.filter(F.col("batch_id") == newest).drop("batch_id")
+def alerts_once_batch(threshold: float, above: bool = True):
+    """foreachBatch writer for closed windows (append mode): each window comes once, so each raises
+    at most one alert. A batch's alerts go to the folder of its id; a replayed batch
+    replaces what it wrote and changes nothing."""
+    def fn(batch: DataFrame, batch_id: int, out: str) -> None:
+        cond = F.col("avg_value") > threshold if above else F.col("avg_value") < threshold
+        batch.filter(cond).withColumn("alert", F.lit("above" if above else "below")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    return fn
+
+
+def stream_alerts_once(events: DataFrame, name: str, threshold: float, above: bool = True, size: str = "1 hour", watermark: str = "10 minutes") -> str:
+    """Alerts of the windows that the watermark has closed; returns the output folder (by batch id).
+
+    The window state is freed as windows close."""
+    return run_available_now(stream_window_avg(events, size, watermark), name, batch_fn=alerts_once_batch(threshold, above))
+
+
+def stream_delayed_labels(predictions: DataFrame, labels: DataFrame, bound: str = "1 hour", lateness: str = "0 minutes", key: str = "record_id") -> DataFrame:
+    """Stream-stream full outer join of predictions (key, predicted_at, prediction) and labels (key,
+    labelled_at, label) with a watermark on each side and the interval ``bound`` between them.
+
+    A match comes out at once; a prediction without a label in time, and a label that came too late,
+    come out when the watermarks have passed them, and their state is dropped."""
+    p = predictions.withColumn("predicted_at", F.col("predicted_at").cast("timestamp")).withWatermark("predicted_at", lateness)
+    y = labels.withColumn("labelled_at", F.col("labelled_at").cast("timestamp")).withWatermark("labelled_at", lateness)
+    return labels_within(p, y, bound, key)
 
 
-def anomaly_state_writer(state_dir: str, key: str = "event_type"):
+def anomaly_state_writer(state_dir: str, key: str = "event_type", expire: str | None = None):
     """W3 (stream form) as a foreachBatch writer with an explicit state table.
 
     Each micro-batch reads the per-key state of the previous batch, scores its
     rows against all earlier values of their key (a row that arrives late
     is scored against the newer state it meets; exact distributed prefix
-    sums, so a hot key is split across tasks), then writes its output and the
-    new state under its batch id: a replayed batch overwrites the same
-    folders, so the sink is idempotent and restarts resume exactly once."""
+    sums, so a hot key is split across tasks), then writes its output under its
+    batch id and the new state into one of two slots by turns. A replayed batch reads
+    the slot before it again and overwrites the same places, so the sink is idempotent, restarts
+    resume exactly once, and no older state is kept or listed."""
     from retailcast.operators.monitoring import running_zscore
 
     def fn(batch: DataFrame, batch_id: int, out: str) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        prior = _latest_state(spark, state_dir, batch_id)
-        scored, new_state = running_zscore(batch, prior, key)
+        prior = read_if_exists(spark, f"{state_dir}/slot-{(batch_id - 1) % 2}") if batch_id else None
+        scored, new_state = running_zscore(batch, prior, key, expire=expire)
         scored.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        new_state.write.mode("overwrite").parquet(f"{state_dir}/batch_id={batch_id}")
+        new_state.write.mode("overwrite").parquet(f"{state_dir}/slot-{batch_id % 2}")
         batch.unpersist()
     return fn
 
 
-def stream_anomaly_state(events: DataFrame, name: str, key: str = "event_type") -> str:
+def stream_anomaly_state(events: DataFrame, name: str, key: str = "event_type", expire: str | None = None) -> str:
     """Run the stateful anomaly stream to completion of the present data;
-    returns the output folder (partitioned by batch id)."""
+    returns the output folder (partitioned by batch id). Keys not seen for ``expire`` leave the state."""
     state_dir = shared_path(events.sparkSession, f"streams/{name}/state")
     cols = events.select("event_id", F.col("ts"), key, "value")
-    return run_available_now(cols, name, batch_fn=anomaly_state_writer(state_dir, key))
+    return run_available_now(cols, name, batch_fn=anomaly_state_writer(state_dir, key, expire))
