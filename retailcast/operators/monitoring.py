@@ -168,23 +168,22 @@ def psi(baseline: DataFrame, current: DataFrame, features: list[str], eps: float
     """Population stability index per feature over baseline-decile buckets.
 
     Edges: exact deciles of each baseline feature. Bucket = number of edges
-    strictly below the value; all buckets of all features are counted in one
-    wide aggregation per side, without unpivoting rows."""
-    # nine numbers per feature: the edges become literals of one wide counting pass per side
+    strictly below the value; both sides are counted in one pass, combined map-side
+    to a row per feature and bucket."""
+    # nine numbers per feature: the edges become literals of the counting pass
     edges = {r["feature"]: r["q"] for r in exact_quantiles(baseline, features, DECILES).collect()}
 
-    def dist(df, side):
-        counts, cells = [], []
+    def buckets(df: DataFrame, side: int) -> DataFrame:
+        cells = []
         for c in features:
-            v, cut = F.col(c).cast("double"), edges.get(c, [])
-            bucket = sum((F.when(v > e, 1).otherwise(0) for e in cut), F.lit(0))
-            for b in range(len(cut) + 1):
-                counts.append(F.count_if(v.isNotNull() & (bucket == b)).alias(f"{c}__{b}"))
-                cells.append(F.struct(F.lit(c).alias("feature"), F.lit(b).alias("bucket"), F.col(f"{c}__{b}").alias("c")))
-        cnt = df.agg(*counts).select(F.inline(F.array(*cells))).filter("c > 0")
-        tot = F.sum("c").over(Window.partitionBy("feature"))
-        return cnt.select("feature", "bucket", (F.col("c") / tot).alias(side))
-    d = dist(baseline, "p_base").join(dist(current, "p_cur"), ["feature", "bucket"], "full")
+            v = F.col(c).cast("double")
+            bucket = sum((F.when(v > e, 1).otherwise(0) for e in edges.get(c, [])), F.lit(0))
+            cells.append(F.struct(F.lit(c).alias("feature"), F.when(v.isNotNull(), bucket).alias("bucket")))
+        return df.select(F.lit(side).alias("side"), F.explode(F.array(*cells)).alias("x")).select("side", "x.feature", "x.bucket").filter("bucket IS NOT NULL")
+    counts = buckets(baseline, 0).unionByName(buckets(current, 1)).groupBy("feature", "bucket").agg(
+        F.count_if(F.col("side") == 0).alias("base"), F.count_if(F.col("side") == 1).alias("cur"))           # features x buckets rows
+    total = Window.partitionBy("feature")
+    d = counts.select("feature", F.try_divide(F.col("base"), F.sum("base").over(total)).alias("p_base"), F.try_divide(F.col("cur"), F.sum("cur").over(total)).alias("p_cur"))
     pb = F.greatest(F.coalesce("p_base", F.lit(0.0)), F.lit(eps))
     pc = F.greatest(F.coalesce("p_cur", F.lit(0.0)), F.lit(eps))
     return d.groupBy("feature").agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"))

@@ -267,9 +267,18 @@ def _few_values(columns: list[str], most: int):
     return run
 
 
+#: Rows looked at first, for columns that certainly have too many values.
+PROOF_ROWS = 2_000
+
+
 def few_values(df: DataFrame, columns: list[str], most: int) -> dict[str, list[str]]:
     """The distinct non-NULL values, as text in order (numbers by value), of the columns that have at most
     ``most``: exact, and bounded by columns x ``most`` rows a task and on the driver."""
+    # some rows prove that a column has more values than that; only the others are searched
+    some = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]).limit(PROOF_ROWS).toArrow()
+    columns = [c for i, c in enumerate(columns) if pc.count_distinct(some.column(i), mode="only_valid").as_py() <= most]
+    if not columns:
+        return {}
     texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
     per = texts.mapInArrow(_few_values(columns, most), "column string, value string, over boolean").groupBy("column", "value").agg(F.bool_or("over").alias("over"))
     fits = per.groupBy("column").agg(F.count("value").alias("n"), F.bool_or("over").alias("over")).filter(~F.col("over") & (F.col("n") <= most))

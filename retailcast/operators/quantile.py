@@ -2,7 +2,7 @@
 
 Whole columns: one pass makes a KLL sketch per column, whose quantiles at the wanted rank
 plus and minus its error bracket the answer; a second pass counts the values below each
-bracket, and only the distinct values inside the brackets (counted map-side) are shuffled to
+bracket, and only the distinct values inside the brackets (counted per task) are shuffled to
 pick the exact ranks. The counts prove that a rank lies in its bracket; otherwise the bracket is
 widened and counted again.
 
@@ -15,8 +15,10 @@ values, never those of a whole column.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,15 +79,38 @@ def _brackets(df: DataFrame, columns: list[str], probs: list[float]) -> tuple[di
     return out, any(row[f"nan{i}"] for i in range(len(columns)))
 
 
-def _counted(df: DataFrame, held: dict) -> dict:
-    """{(column, i): (values below its bracket, values inside)}."""
-    aggs = []
-    for k, (c, (_, ends)) in enumerate(held.items()):
-        v = F.col(c).cast("double")
-        for i, (lo, hi) in enumerate(ends):
-            aggs += [F.count_if(v < lo).alias(f"b{k}_{i}"), F.count_if((v >= lo) & (v <= hi)).alias(f"w{k}_{i}")]
-    row = df.agg(*aggs).first()
-    return {(c, i): (row[f"b{k}_{i}"], row[f"w{k}_{i}"]) for k, (c, (_, ends)) in enumerate(held.items()) for i in range(len(ends))}
+def _inside(ends: list[list[tuple[float, float]]]):
+    """Of each column and bracket: the number of values below it (a row without a value) and the distinct values inside with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        below = [np.zeros(len(e), np.int64) for e in ends]
+        held: list[list] = [[] for _ in ends]
+
+        def merged(parts: list) -> list:
+            if not parts:
+                return []
+            v, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+            return [(v, np.bincount(at, weights=np.concatenate([c for _, c in parts])).astype(np.int64))]
+        for batch in batches:
+            for k, e in enumerate(ends):
+                column = batch.column(k).drop_null()
+                v, c = np.unique(column.to_numpy(zero_copy_only=False), return_counts=True)
+                total = np.concatenate([[0], np.cumsum(c)])
+                keep = np.zeros(len(v), bool)
+                for i, (lo, hi) in enumerate(e):
+                    first, last = np.searchsorted(v, lo, "left"), np.searchsorted(v, hi, "right")
+                    below[k][i] += total[first]
+                    keep[first:last] = True
+                held[k].append((v[keep], c[keep]))
+                if len(held[k]) == 16:
+                    held[k] = merged(held[k])
+        for k, e in enumerate(ends):
+            for v, c in merged(held[k]) or [(np.zeros(0), np.zeros(0, np.int64))]:
+                for i, (lo, hi) in enumerate(e):
+                    first, last = np.searchsorted(v, lo, "left"), np.searchsorted(v, hi, "right")
+                    n = last - first + 1
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k, np.int32)), pa.array(np.full(n, i, np.int32)), pa.concat_arrays([pa.nulls(1, pa.float64()), pa.array(v[first:last])]),
+                                                      pa.array(np.concatenate([below[k][i:i + 1], c[first:last]]))], ["k", "i", "v", "c"])
+    return run
 
 
 def _whole(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame | None:
@@ -94,45 +119,34 @@ def _whole(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame |
     if nan:
         return None
     schema = "feature string, n bigint, q array<double>"
-    if not held:
-        return df.sparkSession.createDataFrame([], schema)
-    place = {(c, i): ((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for c, (n, _) in held.items() for i, p in enumerate(probs)}
-    inside = _counted(df, held)
-    missed = {k for k, (below, within) in inside.items() if not (below <= place[k][1] and place[k][2] < below + within)}
-    if missed:                                          # beyond the sketch's stated error: such brackets become the whole range
-        held = {c: (n, [(-math.inf, math.inf) if (c, i) in missed else e for i, e in enumerate(ends)]) for c, (n, ends) in held.items()}
-        inside = _counted(df, held)
-    cells = []
-    for c, (_, ends) in held.items():
-        v = F.col(c).cast("double")
-        for i, (lo, hi) in enumerate(ends):
-            cells.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(c).alias("feature"), F.lit(i).alias("i"), v.alias("v"))))
-    found = df.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("x")).groupBy("x.feature", "x.i", "x.v").agg(F.count(F.lit(1)).alias("c"))
-    keyed = found.select(F.struct("feature", "i").alias("g"), "v", "c")
-    if sum(w for _, w in inside.values()) <= WINDOWED:
-        ranked = keyed.withColumn("cum_c", F.sum("c").over(Window.partitionBy("g").orderBy("v")))
-    else:
-        ranked = grouped_prefix_sum(keyed, "g", "v", ["c"])
-
-    def wanted(which: int) -> Column:
-        cases = None
-        for (c, i), (below, _) in inside.items():
-            hit = (F.col("g.feature") == c) & (F.col("g.i") == i)
-            rank = F.lit(place[c, i][which] - below)
-            cases = F.when(hit, rank) if cases is None else cases.when(hit, rank)
-        return cases
-
-    def at(which: int) -> Column:
-        return F.max(F.when((F.col("cum_c") - F.col("c") <= wanted(which)) & (wanted(which) < F.col("cum_c")), F.col("v")))
-    picks = {(r["g"]["feature"], r["g"]["i"]): (r["lo"], r["hi"]) for r in ranked.groupBy("g").agg(at(1).alias("lo"), at(2).alias("hi")).collect()}     # columns x probs
+    names = list(held)
+    place = {(k, i): (held[c][0] - 1) * p for k, c in enumerate(names) for i, p in enumerate(probs)}
+    ends, picked, wanted = [list(held[c][1]) for c in names], {}, set(place)
+    while wanted:
+        inside = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInArrow(_inside(ends), "k int, i int, v double, c long")
+        counts = inside.groupBy(F.struct("k", "i").alias("g"), "v").agg(F.sum("c").alias("c"))          # per bracket: the count below it, without a value, comes first
+        if sum(n for n, _ in held.values()) * len(probs) * 2 * MARGIN <= WINDOWED:
+            ranked = counts.withColumn("cum_c", F.sum("c").over(Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())))
+        else:
+            ranked = grouped_prefix_sum(counts, "g", "v", ["c"])
+        rank = F.lit([[float(place[k, i]) for i in range(len(probs))] for k in range(len(names))])[F.col("g.k")][F.col("g.i")]
+
+        def at(r: Column) -> Column:
+            return F.max(F.when((F.col("cum_c") - F.col("c") <= r) & (r < F.col("cum_c")), F.col("v")))
+        for r in ranked.groupBy("g").agg(at(F.floor(rank)).alias("lo"), at(F.ceil(rank)).alias("hi")).collect():               # columns x probs
+            if r["lo"] is not None and r["hi"] is not None:
+                picked[r["g"]["k"], r["g"]["i"]] = r["lo"], r["hi"]
+        wanted = set(place) - set(picked)               # a rank outside its bracket, beyond the sketch's stated error: the whole range is searched
+        for k, i in wanted:
+            ends[k][i] = (-math.inf, math.inf)
     rows = []
-    for c, (n, _) in held.items():
+    for k, c in enumerate(names):
         q = []
         for i in range(len(probs)):
-            lo, hi = picks[c, i]
-            part = place[c, i][0] - place[c, i][1]
+            lo, hi = picked[k, i]
+            part = place[k, i] - math.floor(place[k, i])
             q.append(lo if lo == hi else lo * (1 - part) + hi * part)
-        rows.append((c, n, q))
+        rows.append((c, held[c][0], q))
     return df.sparkSession.createDataFrame(rows, schema)
 
 
