@@ -125,16 +125,24 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int, equal_width: bo
     out = []
     for i in range(len(cols)):
         q = sorted(set(row[f"q{i}"] or []))
-        out.append([(a + b) / 2 for a, b in zip(q, q[1:], strict=False)])
+        out.append(sorted({float_safe((a + b) / 2) for a, b in zip(q, q[1:], strict=False)}))
     return out
 
 
+def float_safe(cut: float) -> float:
+    """The number halfway between two neighbouring floats beside ``cut``: a value and the float it
+    is sent as in a request fall on the same side."""
+    f = np.float32(cut)
+    return (float(f) + float(np.nextafter(f, np.float32(np.inf)))) / 2
+
+
 def _numbers(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
     """Feature columns as doubles, missing ones as NaN."""
     return np.stack([batch.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float64) for n in names], axis=1) if names else np.zeros((batch.num_rows, 0))
 
 
-ROWS = "side int, key long, y double, bins binary, pred double"
+#: Rows travel in blocks of up to BLOCK of one side, so that a pass costs little but its arithmetic.
+ROWS, BLOCK = "side int, n int, key binary, y binary, bins binary, pred binary", 4_096
 
 
 def _bin_pass(names: list[str], edges: list[list[float]], start: Booster):
@@ -144,16 +152,22 @@ def _bin_pass(names: list[str], edges: list[list[float]], start: Booster):
             out = np.empty(x.shape, np.uint8)
             for f, e in enumerate(edges):
                 out[:, f] = np.where(np.isnan(x[:, f]), MISSING, np.searchsorted(e, x[:, f], side="left"))
-            y = batch.column("y")
-            yield pa.RecordBatch.from_arrays([batch.column("side"), batch.column("key"), y, pa.array([r.tobytes() for r in out], pa.binary()), pa.array(start.predict(x))],
-                                             ["side", "key", "y", "bins", "pred"])
+            side, key, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("side", "key", "y"))
+            pred = start.predict(x)
+            blocks = [own[at:at + BLOCK] for s in np.unique(side) for own in [np.flatnonzero(side == s)] for at in range(0, len(own), BLOCK)]
+            cols = [[a[own].tobytes() for own in blocks] for a in (key, y, out, pred)]
+            yield pa.RecordBatch.from_arrays([pa.array([side[own[0]] for own in blocks], pa.int32()), pa.array([len(own) for own in blocks], pa.int32()),
+                                              *[pa.array(c, pa.binary()) for c in cols]], ["side", "n", "key", "y", "bins", "pred"])
     return run
 
 
-def _read(batch: pa.RecordBatch, n_features: int) -> tuple[np.ndarray, ...]:
-    bins = batch.column("bins")
-    data = np.frombuffer(b"".join(bins.to_pylist()), np.uint8).reshape(batch.num_rows, n_features)
-    return (data, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("side", "key", "y", "pred")))
+def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(one-row batch, bins, side, key, label, prediction) of each block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            side, n, key, y, bins, pred = (batch.column(c)[i] for c in ("side", "n", "key", "y", "bins", "pred"))
+            yield (batch.slice(i, 1), np.frombuffer(bins.as_buffer(), np.uint8).reshape(n.as_py(), n_features), side.as_py(),
+                   np.frombuffer(key.as_buffer(), np.int64), np.frombuffer(y.as_buffer()), np.frombuffer(pred.as_buffer()))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -173,42 +187,45 @@ def sampled(key: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
     return _mix(key.view(np.uint64) ^ salt) < np.uint64(int(share * 2**64))
 
 
-def _histogram_pass(trees: list[Tree], now: Tree, level: int, index: int, p: dict, width: int, bits: int, n_features: int):
-    """Gradient sums and row counts by (node of this level, feature, bin)."""
+def _histogram_pass(trees: list[Tree], now: Tree, level: int, index: int, p: dict, width: int, bits: int, n_features: int, packed: bool):
+    """Gradient sums and row counts by (feature, node of this level and bin): as rows, or ``packed`` as one row with both arrays."""
     first, nodes = 2**level - 1, 2**level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g_sum, count = (np.zeros((n_features, nodes * width), np.int64) for _ in range(2))
-        for batch in batches:
-            bins, side, key, y, pred = _read(batch, n_features)
-            own = (side == 0) & sampled(key, p["seed"], index, p["subsample"])
+        for _, bins, side, key, y, pred in _blocks(batches, n_features):
+            if side:
+                continue
+            own = sampled(key, p["seed"], index, p["subsample"])
             at = now.node_of(bins)
             own &= at >= first
-            bins, at, margin = bins[own], at[own] - first, pred[own].copy()
+            bins, at, margin = bins[own], at[own] - first, pred[own]
             for t in trees:
-                margin += t.value[t.node_of(bins)]
+                margin = margin + t.value[t.node_of(bins)]
             g = np.floor((margin - y[own]) * 2.0**bits + 0.5)
             slot = np.minimum(bins, width - 1)              # the last slot is the missing one
             for f in range(n_features):
                 i = at * width + slot[:, f]
                 g_sum[f] += np.bincount(i, weights=g, minlength=nodes * width).astype(np.int64)
                 count[f] += np.bincount(i, minlength=nodes * width)
+        if packed:
+            yield pa.RecordBatch.from_arrays([pa.array([g_sum.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["g", "n"])
+            return
         f, i = np.nonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(f.astype(np.int32)), pa.array(i.astype(np.int32)), pa.array(g_sum[f, i]), pa.array(count[f, i])], ["feature", "slot", "g", "n"])
     return run
 
 
 def _advance_pass(trees: list[Tree], n_features: int):
-    """Rows with their prediction after ``trees``, and the squared error after each of them."""
+    """Blocks with their prediction after ``trees``, and the sum of squared errors after each of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bins, _, _, y, pred = _read(batch, n_features)
-            pred, errors = pred.copy(), []
+        for block, bins, _, _, y, pred in _blocks(batches, n_features):
+            errors = []
             for t in trees:
-                pred += t.value[t.node_of(bins)]
-                errors.append((pred - y) ** 2)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(np.stack(errors, axis=1).ravel()), len(trees)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("side", "key", "y", "bins")), pa.array(pred), lists], ["side", "key", "y", "bins", "pred", "errors"])
+                pred = pred + t.value[t.node_of(bins)]
+                errors.append(float(((pred - y) ** 2).sum()))
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("side", "n", "key", "y", "bins")), pa.array([pred.tobytes()], pa.binary()), pa.array([errors], pa.list_(pa.float64()))],
+                                             ["side", "n", "key", "y", "bins", "pred", "errors"])
     return run
 
 
@@ -242,14 +259,16 @@ def grow(rows: DataFrame, tasks: int, since: list[Tree], index: int, p: dict, ed
     tree, stats = Tree(p["max_depth"]), {}
     open_nodes = [0]
     for level in range(p["max_depth"]):
-        found = rows.mapInArrow(_histogram_pass(since, tree, level, index, p, width, bits, n_features), "feature int, slot int, g long, n long")
-        if tasks > DIRECT:
-            found = found.groupBy("feature", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-        found = found.toArrow()
+        task = _histogram_pass(since, tree, level, index, p, width, bits, n_features, tasks <= DIRECT)
         g, n = (np.zeros((n_features, 2**level * width), np.int64) for _ in range(2))
-        at = found.column("feature").to_numpy(), found.column("slot").to_numpy()
-        np.add.at(g, at, found.column("g").to_numpy())
-        np.add.at(n, at, found.column("n").to_numpy())
+        if tasks <= DIRECT:
+            for r in rows.mapInArrow(task, "g binary, n binary").toArrow().to_pylist():
+                g += np.frombuffer(r["g"], np.int64).reshape(g.shape)
+                n += np.frombuffer(r["n"], np.int64).reshape(n.shape)
+        else:
+            found = rows.mapInArrow(task, "feature int, slot int, g long, n long").groupBy("feature", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
+            at = found.column("feature").to_numpy(), found.column("slot").to_numpy()
+            g[at], n[at] = found.column("g").to_numpy(), found.column("n").to_numpy()
         g = g / 2.0**bits
         if level == 0:
             stats[0] = float(g[0].sum()), int(n[0].sum())
@@ -308,7 +327,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: dict, rou
         while len(since) < min(STORE, rounds - (done - first)):
             since.append(grow(rows, tasks, since, done + len(since), p, edges, bits))
         rows = materialize(rows.select(*[c.split()[0] for c in ROWS.split(", ")]).mapInArrow(_advance_pass(since, len(names)), ROWS + ", errors array<double>"), "boosted")
-        sums = {r["side"]: r for r in rows.groupBy("side").agg(F.count("*").alias("n"), *[F.sum(F.col("errors")[i]).alias(f"e{i}") for i in range(len(since))]).collect()}
+        sums = {r["side"]: r for r in rows.groupBy("side").agg(F.sum("n").alias("n"), *[F.sum(F.col("errors")[i]).alias(f"e{i}") for i in range(len(since))]).collect()}
         for i in range(len(since)):
             rmse = [math.sqrt(sums[s][f"e{i}"] / sums[s]["n"]) if s in sums else None for s in (0, 1)]
             curve.append((done + i, *rmse))
