@@ -50,6 +50,7 @@ def dropped_words(docs: DataFrame, min_docs: int = 10, min_length: int = 1, keep
     found = materialize(line_positions(docs, min_length), "lines")
     common = (found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "first")).alias("at"))
               .filter(F.col("n") >= min_docs).drop("n"))
+    common = materialize(common, "common_lines")        # a plain table on this side: the join's hot keys can be split
     gone = found.join(common, ["h1", "h2"]).select("doc_id", "version", F.explode("positions").alias("pos"), "at")
     if keep_first:
         gone = gone.filter(~F.struct("doc_id", "version", F.col("pos").alias("first")).eqNullSafe(F.col("at")))

@@ -494,9 +494,10 @@ def _pair_members(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     A block of more than BLOCK nodes is cut into chunks, and its pairs into tiles of two."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    placed = pairs.join(least, "a").join(least.toDF("b", "mb"), "b").select("a", "b", F.least("m", "mb").alias("block"))
+    placed = materialize(pairs.join(least, "a").join(least.toDF("b", "mb"), "b").select("a", "b", F.least("m", "mb").alias("block")), "placed")
     chunks = (placed.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
               .groupBy("block").agg(F.ceil(2 * F.count("*") / BLOCK).alias("chunks")))
+    chunks = materialize(chunks, "chunks")              # plain tables on both sides: the join can split a block of many pairs
     chunk = lambda c: F.pmod(F.xxhash64(c), "chunks")
     tiled = placed.join(chunks, "block").select("block", "a", "b", (F.least(chunk("a"), chunk("b")) * F.lit(2**31) + F.greatest(chunk("a"), chunk("b"))).alias("salt"))
     members = tiled.select("block", "salt", F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -141,7 +141,7 @@ def secrets(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     update_ledger(docs, ledger, rules)
-    known = read_ledger(docs.sparkSession, ledger, rule_version(rules))
+    known = materialize(read_ledger(docs.sparkSession, ledger, rule_version(rules)), "known_blobs")     # a plain table: the join can split a hot blob
     return docs.select("doc_id", blob_address(F.col("text")).alias("blob")).join(known, "blob", "left").select("doc_id", "blob", "findings")
 
 

@@ -360,9 +360,15 @@ class Codec:
         self.out = np.frombuffer(b"".join(raw), dtype=np.uint8)
         self.out_size = np.array([len(x) for x in raw])
         self.out_first = np.concatenate([[0], np.cumsum(self.out_size)[:-1]])
+        # an id that is no piece reads as U+FFFD, kept behind the pieces
+        unknown = np.frombuffer("\ufffd".encode(), np.uint8)
+        self.out_first, self.out_size = np.append(self.out_first, len(self.out)), np.append(self.out_size, len(unknown))
+        self.out = np.concatenate([self.out, unknown])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(UTF-8 bytes joined, row offsets); the mark put before a text is taken off again."""
+        none = len(self.out_size) - 1
+        ids = np.where((ids < 0) | (ids >= none), none, ids)
         size = self.out_size[ids]
         data = ragged(self.out, self.out_first[ids], size)
         rows = np.concatenate([[0], np.cumsum(size)])[offsets]
@@ -416,7 +422,7 @@ def _decode_pass(proto: bytes):
         codec = Codec(proto)
         for batch in batches:
             lists = batch.column(1).fill_null([])
-            ids, rows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            ids, rows = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
             data, ends = codec.decode(ids, rows)
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
@@ -436,6 +442,6 @@ def encode(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str
 
 
 def decode(rows: DataFrame, proto: bytes) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, text); null or empty ids give an empty text, bytes
-    that are no UTF-8 come out as U+FFFD. Null ids within a list are not allowed."""
+    """(doc_id, ids) -> (doc_id, text); null or empty ids give an empty text. Null ids within a list,
+    ids that are no piece and bytes that are no UTF-8 come out as U+FFFD."""
     return rows.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(_decode_pass(proto), "doc_id long, text string")

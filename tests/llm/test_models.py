@@ -250,3 +250,11 @@ def test_encode_and_decode_frames(spark, odd_docs, no_docs):
     assert sp_codec.encode(no_docs, proto).count() == 0 and sp_codec.decode(sp_codec.encode(no_docs, proto), proto).count() == 0
     lossy = sp_codec.encode(frame(spark, ["a▁b"]), proto).first()
     assert not lossy["round_trip"]
+
+
+def test_decode_reads_null_and_unknown_ids(spark):
+    proto = sp_codec.model_bytes(SP_MODEL)
+    ids = sp_codec.encode(frame(spark, ["one two"]), proto).first()["ids"]
+    rows = spark.createDataFrame([(1, ids), (2, [ids[0], None, 10**9, -5]), (3, [None]), (4, None)], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: r["text"] for r in sp_codec.decode(rows, proto).collect()}
+    assert got[1] == "one two" and got[2].endswith("\ufffd\ufffd\ufffd") and not got[2].startswith("\ufffd") and got[3] == "\ufffd" and got[4] == ""
