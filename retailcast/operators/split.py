@@ -170,6 +170,7 @@ def grouped_prefix_sum(df: DataFrame, group: str, order: str | list[str], cols:
                                               .alias(f"_o_{c}") for c in cols])
     w_in = Window.partitionBy("_pid", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # one row per (partition, group held there): AQE broadcasts it while it is small
-    return (ranged.join(offsets, ["_pid", group])
+    offsets = offsets.select(F.col("_pid").alias("_p"), F.col(group).alias("_g"), *[f"_o_{c}" for c in cols])
+    return (ranged.join(offsets, (F.col("_pid") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
             .select(*[c for c in df.columns],
                     *[(F.col(f"_o_{c}") + F.sum(c).over(w_in)).alias(f"cum_{c}") for c in cols]))
