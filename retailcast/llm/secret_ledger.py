@@ -117,7 +117,8 @@ def update_ledger(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
     path = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     texts = docs.select(path.alias("path"), F.coalesce("text", F.lit("")).alias("text"), blob_address(F.col("text")).alias("blob"))
     seen = read_ledger(spark, ledger, version).select("blob")
-    unseen = texts.select("blob", "path").join(seen, "blob", "left_anti").groupBy("blob").agg(F.min("path").alias("path"))
+    # the copies of a blob are combined by each task, before anything is dealt by blob
+    unseen = texts.groupBy("blob").agg(F.min("path").alias("path")).join(seen, "blob", "left_anti")
     unseen = materialize(unseen, "unseen_blobs")
     run = f"{ledger.rstrip('/')}/version={version}/run={uuid.uuid4().hex}"
     slot = F.shiftrightunsigned(F.xxhash64("path"), 64 - V.ID_BITS)
