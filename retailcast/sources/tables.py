@@ -9,6 +9,8 @@ are deterministic arithmetic of day-of-year and store.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,15 @@ def retail_daily(spark: SparkSession, sf_dir: str, stores: int | None = None) ->
              F.min("p_retailprice").alias("base_price"),
              F.max("l_discount").alias("discount_pct"))
     )
+    return describe(daily)
+
+
+#: The stored facts of a daily row; ``describe`` derives all other columns from them.
+FACTS = ["d", "store_id", "units_sold", "base_price", "discount_pct"]
+
+
+def describe(daily: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 17 columns of each row of ``FACTS``, and the columns ``keep`` as they are."""
     wd = F.weekday("d")
     doy = F.dayofyear("d").cast("bigint")
     md = F.date_format("d", "MM-dd")
@@ -64,7 +75,7 @@ def retail_daily(spark: SparkSession, sf_dir: str, stores: int | None = None) ->
         daily.select(
             "d", "store_id", "units_sold", "base_price", "discount_pct",
             wd.alias("_wd"), md.alias("_md"),
-            temp.alias("max_temp_c"), rain.alias("rainfall_mm"))
+            temp.alias("max_temp_c"), rain.alias("rainfall_mm"), *keep)
         .select(
             (F.datediff("d", F.lit(EPOCH)).cast("bigint") * 100000000 + sid).alias("record_id"),
             F.date_format("d", "yyyy-MM-dd").alias("date"),
@@ -81,6 +92,6 @@ def retail_daily(spark: SparkSession, sf_dir: str, stores: int | None = None) ->
             F.when(F.col("discount_pct") >= 0.1, "bundle")
              .when(F.col("discount_pct") >= 0.08, "flyer").otherwise("none").alias("promo_type"),
             (F.col("base_price") * (F.lit(1.0) - F.col("discount_pct"))).alias("final_price"),
-            "units_sold")
+            "units_sold", *keep)
     )
-    return out.select(*RAW_COLUMNS)
+    return out.select(*RAW_COLUMNS, *keep)
