@@ -14,10 +14,17 @@ from retailcast.functions.columns import add_run_context, null_if_not_finite, re
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split_type", fmt: str = "parquet") -> None:
     """One table partitioned by split (train/validation/test folders)."""
-    w = df.write.mode("overwrite").partitionBy(split_col)
+    # three folders are too few to deal by: a part would be all that one task read of the largest
+    w = _dealt(df, *[f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]).write.mode("overwrite").partitionBy(split_col)
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
 
 
+def _dealt(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` rebalanced by ``by``: a task sorts its rows by folder before it writes them, and gets a
+    part of bounded size however large its input files are."""
+    return df.hint("rebalance", *by)
+
+
 def write_tsv_report(df: DataFrame, path: str) -> None:
     """Single-file TSV with header. Only for report-sized frames (one
     row per metric), never for data-sized ones."""
@@ -47,7 +54,7 @@ def append_feature_table(df: DataFrame, path: str) -> None:
     stored = read_if_exists(df.sparkSession, path)
     if stored is not None:
         rows = rows.join(stored.select("record_id", "event_time"), ["record_id", "event_time"], "left_anti")
-    rows.select(*[f.name for f in FEATURE_TABLE_SCHEMA.fields]).write.mode("append").partitionBy("year", "month").parquet(path)
+    _dealt(rows.select(*[f.name for f in FEATURE_TABLE_SCHEMA.fields]), "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
 
 
 def latest_features(table: DataFrame, key: str = "record_id", ts: str = "event_time",

@@ -32,3 +32,15 @@ def test_only_facts_travel_to_the_baseline(spark):
         assert "holiday_name" in plan and not any(c in joined for c in ("holiday_name", "event_time", "rainfall_mm", "promo_type"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_folder_writers_deal_their_rows_out(spark, monkeypatch):
+    seen, kept = [], K._dealt
+    monkeypatch.setattr(K, "_dealt", lambda df, *folders: seen.append(kept(df, *folders)) or seen[-1])
+    rows, path = engineer(retail_daily(spark, SF0001)), shared_path(spark, "dealt")
+    K.append_feature_table(rows, f"{path}/features")
+    K.write_splits(rows, f"{path}/splits")
+    assert all("REBALANCE" in _plan(df) for df in seen) and len(seen) == 2
+    want = sorted(map(repr, K.contract_select(rows).collect()))
+    for name in ("features", "splits"):
+        assert sorted(map(repr, K.contract_select(spark.read.parquet(f"{path}/{name}")).collect())) == want
