@@ -3,7 +3,9 @@
 Features become bins once (a byte each). Every level of a tree is one pass: tasks
 apply the trees since the last stored prediction, sum gradients and row counts by
 (node, feature, bin) in numpy, and Spark adds the tasks' histograms up; their size is
-fixed by nodes, features and bins, not by rows. The driver picks the splits.
+fixed by nodes, features and bins, not by rows. The driver picks the splits. Only the
+tree's own columns are counted, and of two siblings the one with fewer rows: the sums are
+whole numbers, so the other's are exactly its parent's less these.
 
 For squared error the gradient is prediction - label and the Hessian 1. Gradients are
 summed as whole numbers of 2^-bits, so a fit gives the same trees however the rows
@@ -53,15 +55,21 @@ class Tree:
         self.threshold, self.missing_left = np.zeros(n), np.zeros(n, bool)
         self.value, self.gain, self.cover = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
 
-    def node_of(self, bins: np.ndarray) -> np.ndarray:
-        """The node that each row of bins has reached."""
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(self.depth):
-            f = self.feature[at]
-            b = bins[rows, np.maximum(f, 0)]
-            left = np.where(b == MISSING, self.missing_left[at], b <= self.cut[at])
-            at = np.where(f < 0, at, 2 * at + 2 - left)
+    def node_of(self, bins: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+        """The node that each row of bins (feature by row) has reached, or each of the rows ``own``."""
+        rows = np.arange(bins.shape[1]) if own is None else own
+        inner = np.flatnonzero(self.feature >= 0)
+        at = np.zeros(len(rows), np.int64)
+        if not len(inner):
+            return at
+        to = np.repeat(np.arange(len(self.feature))[:, None], 256, axis=1)          # (node, bin) -> the next node; leaves stay
+        left = np.arange(256)[None, :] <= self.cut[inner, None]
+        left[:, MISSING] = self.missing_left[inner]
+        to[inner] = 2 * inner[:, None] + 2 - left
+        to, flat, start = to.ravel(), bins.reshape(-1), np.maximum(self.feature, 0) * bins.shape[1]
+        for level in range(int(inner[-1] + 1).bit_length()):
+            b = flat[start[0] + rows] if level == 0 else flat.take(start.take(at) + rows)
+            at = to.take(at * 256 + b)
         return at
 
     def predict(self, x: np.ndarray) -> np.ndarray:
@@ -142,32 +150,53 @@ def _numbers(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
 
 
 #: Rows travel in blocks of up to BLOCK of one side, so that a pass costs little but its arithmetic.
-ROWS, BLOCK = "side int, n int, key binary, y binary, bins binary, pred binary", 4_096
+#: ``took`` has a bit for each of the next STORE trees: whether the row is in its sample.
+ROWS, BLOCK = "side int, n int, key binary, took binary, y binary, bins binary, pred binary", 32_768
+#: What a histogram pass needs of them.
+LIVE = ["n", "took", "y", "bins", "pred"]
+
+
+def _short(y: np.ndarray) -> bytes:
+    """Labels as floats where that loses nothing, else as doubles."""
+    small = y.astype(np.float32)
+    return (small if np.array_equal(small.astype(np.float64), y, equal_nan=True) else y).tobytes()
 
 
-def _bin_pass(names: list[str], edges: list[list[float]], start: Booster):
+def _bin_pass(names: list[str], edges: list[list[float]], start: Booster, p: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def block(side: int) -> pa.RecordBatch:
+            key, y, out, pred = (np.concatenate(a, axis=-1) for a in zip(*held.pop(side), strict=True))
+            cols = [pa.array([a], pa.binary()) for a in (key.tobytes(), taken(key, p, len(start.trees)).tobytes(), _short(y), out.tobytes(), pred.tobytes())]
+            return pa.RecordBatch.from_arrays([pa.array([side], pa.int32()), pa.array([len(key)], pa.int32()), *cols], ["side", "n", "key", "took", "y", "bins", "pred"])
         for batch in batches:
             x = _numbers(batch, names)
-            out = np.empty(x.shape, np.uint8)
+            out = np.empty(x.shape[::-1], np.uint8)
             for f, e in enumerate(edges):
-                out[:, f] = np.where(np.isnan(x[:, f]), MISSING, np.searchsorted(e, x[:, f], side="left"))
+                out[f] = np.where(np.isnan(x[:, f]), MISSING, np.searchsorted(e, x[:, f], side="left"))
             side, key, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("side", "key", "y"))
             pred = start.predict(x)
-            blocks = [own[at:at + BLOCK] for s in np.unique(side) for own in [np.flatnonzero(side == s)] for at in range(0, len(own), BLOCK)]
-            cols = [[a[own].tobytes() for own in blocks] for a in (key, y, out, pred)]
-            yield pa.RecordBatch.from_arrays([pa.array([side[own[0]] for own in blocks], pa.int32()), pa.array([len(own) for own in blocks], pa.int32()),
-                                              *[pa.array(c, pa.binary()) for c in cols]], ["side", "n", "key", "y", "bins", "pred"])
+            for s in np.unique(side):
+                own = np.flatnonzero(side == s)
+                for at in range(0, len(own), BLOCK):
+                    part = own[at:at + BLOCK]
+                    if sum(len(k) for k, *_ in held.get(s, [])) + len(part) > BLOCK:
+                        yield block(s)
+                    held.setdefault(s, []).append((key[part], y[part], out[:, part], pred[part]))
+        for s in list(held):
+            yield block(s)
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(one-row batch, bins, side, key, label, prediction) of each block."""
+def _blocks(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(one-row batch, bins by feature, samples, label, prediction) of each block."""
     for batch in batches:
         for i in range(batch.num_rows):
-            side, n, key, y, bins, pred = (batch.column(c)[i] for c in ("side", "n", "key", "y", "bins", "pred"))
-            yield (batch.slice(i, 1), np.frombuffer(bins.as_buffer(), np.uint8).reshape(n.as_py(), n_features), side.as_py(),
-                   np.frombuffer(key.as_buffer(), np.int64), np.frombuffer(y.as_buffer()), np.frombuffer(pred.as_buffer()))
+            n, took, y, bins, pred = (batch.column(c)[i] for c in LIVE)
+            n, label = n.as_py(), y.as_buffer()
+            yield (batch.slice(i, 1), np.frombuffer(bins.as_buffer(), np.uint8).reshape(n_features, n), np.frombuffer(took.as_buffer(), np.uint8),
+                   np.frombuffer(label, np.float32 if label.size == 4 * n else np.float64).astype(np.float64), np.frombuffer(pred.as_buffer()))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -187,27 +216,34 @@ def sampled(key: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
     return _mix(key.view(np.uint64) ^ salt) < np.uint64(int(share * 2**64))
 
 
-def _histogram_pass(trees: list[Tree], now: Tree, level: int, index: int, p: dict, width: int, bits: int, n_features: int, packed: bool):
-    """Gradient sums and row counts by (feature, node of this level and bin): as rows, or ``packed`` as one row with both arrays."""
-    first, nodes = 2**level - 1, 2**level
+def taken(key: np.ndarray, p: dict, first: int) -> np.ndarray:
+    """Bit i: whether the row is in the sample of tree ``first`` + i."""
+    out = np.zeros(len(key), np.uint8)
+    for i in range(STORE):
+        out |= sampled(key, p["seed"], first + i, p["subsample"]).astype(np.uint8) << np.uint8(i)
+    return out
+
+
+def _histogram_pass(trees: list[Tree], now: Tree, counted: list[int], width: int, bits: int, columns: np.ndarray, packed: bool):
+    """Gradient sums and row counts by (feature, one of the nodes ``counted`` and bin): as rows, or ``packed`` as one row with both arrays."""
+    n_features, size = len(columns), len(counted) * width
+    place = np.full(len(now.feature), -1)
+    place[counted] = np.arange(len(counted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g_sum, count = (np.zeros((n_features, nodes * width), np.int64) for _ in range(2))
-        for _, bins, side, key, y, pred in _blocks(batches, n_features):
-            if side:
-                continue
-            own = sampled(key, p["seed"], index, p["subsample"])
-            at = now.node_of(bins)
-            own &= at >= first
-            bins, at, margin = bins[own], at[own] - first, pred[own]
+        g_sum, count = (np.zeros((n_features, size), np.int64) for _ in range(2))
+        for _, bins, took, y, pred in _blocks(batches, n_features):
+            own = np.flatnonzero(took >> np.uint8(len(trees)) & np.uint8(1))
+            at = place[now.node_of(bins, own)]
+            own, at = own[at >= 0], at[at >= 0] * width
+            margin = pred[own]
             for t in trees:
-                margin = margin + t.value[t.node_of(bins)]
+                margin = margin + t.value[t.node_of(bins, own)]
             g = np.floor((margin - y[own]) * 2.0**bits + 0.5)
-            slot = np.minimum(bins, width - 1)              # the last slot is the missing one
-            for f in range(n_features):
-                i = at * width + slot[:, f]
-                g_sum[f] += np.bincount(i, weights=g, minlength=nodes * width).astype(np.int64)
-                count[f] += np.bincount(i, minlength=nodes * width)
+            for f in np.flatnonzero(columns):
+                i = at + np.minimum(bins[f].take(own), width - 1)              # the last slot is the missing one
+                g_sum[f] += np.bincount(i, weights=g, minlength=size).astype(np.int64)
+                count[f] += np.bincount(i, minlength=size)
         if packed:
             yield pa.RecordBatch.from_arrays([pa.array([g_sum.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["g", "n"])
             return
@@ -216,23 +252,26 @@ def _histogram_pass(trees: list[Tree], now: Tree, level: int, index: int, p: dic
     return run
 
 
-def _advance_pass(trees: list[Tree], n_features: int):
-    """Blocks with their prediction after ``trees``, and the sum of squared errors after each of them."""
+def _advance_pass(trees: list[Tree], n_features: int, p: dict, done: int):
+    """Blocks with their prediction after ``trees`` and the samples of the trees from ``done`` on, and the sum of squared errors after each of ``trees``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, bins, _, _, y, pred in _blocks(batches, n_features):
+        for block, bins, _, y, pred in _blocks(batches, n_features):
             errors = []
             for t in trees:
                 pred = pred + t.value[t.node_of(bins)]
                 errors.append(float(((pred - y) ** 2).sum()))
-            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("side", "n", "key", "y", "bins")), pa.array([pred.tobytes()], pa.binary()), pa.array([errors], pa.list_(pa.float64()))],
-                                             ["side", "n", "key", "y", "bins", "pred", "errors"])
+            took = taken(np.frombuffer(block.column("key")[0].as_buffer(), np.int64), p, done)
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("side", "n", "key")), pa.array([took.tobytes()], pa.binary()), *(block.column(c) for c in ("y", "bins")),
+                                              pa.array([pred.tobytes()], pa.binary()), pa.array([errors], pa.list_(pa.float64()))],
+                                             ["side", "n", "key", "took", "y", "bins", "pred", "errors"])
     return run
 
 
 def best_split(g: np.ndarray, n: np.ndarray, p: dict, columns: np.ndarray) -> tuple | None:
     """(gain, feature, cut, missing left, GL, HL) of a node from its histograms (feature, bin; the last
     bin is the missing one). Ties go to the lower feature, then the lower cut, then missing right."""
-    l2, total_g, total_n = p["reg_lambda"], g[0].sum(), n[0].sum()
+    any_column = int(columns.argmax())
+    l2, total_g, total_n = p["reg_lambda"], g[any_column].sum(), n[any_column].sum()
     best = None
     left_g, left_n = np.cumsum(g[:, :-1], axis=1)[:, :-1], np.cumsum(n[:, :-1], axis=1)[:, :-1]
     for missing_left in (False, True):
@@ -250,17 +289,18 @@ def best_split(g: np.ndarray, n: np.ndarray, p: dict, columns: np.ndarray) -> tu
 
 
 def grow(rows: DataFrame, tasks: int, since: list[Tree], index: int, p: dict, edges: list[list[float]], bits: int) -> Tree:
-    """The next tree: one histogram pass a level."""
+    """The next tree: one histogram pass a level over the blocks ``rows``, stored with the last tree before ``since``."""
     n_features = len(edges)
     width = max(len(e) for e in edges) + 2
     rng = np.random.default_rng([p["seed"], index])
     columns = np.zeros(n_features, bool)
     columns[rng.choice(n_features, max(1, int(n_features * p["colsample_bytree"])), replace=False)] = True
     tree, stats = Tree(p["max_depth"]), {}
-    open_nodes = [0]
+    open_nodes, sums = [0], {}
     for level in range(p["max_depth"]):
-        task = _histogram_pass(since, tree, level, index, p, width, bits, n_features, tasks <= DIRECT)
-        g, n = (np.zeros((n_features, 2**level * width), np.int64) for _ in range(2))
+        counted = open_nodes if level == 0 else [min(pair, key=lambda i: stats[i][1]) for pair in zip(open_nodes[::2], open_nodes[1::2], strict=True)]
+        task = _histogram_pass(since, tree, counted, width, bits, columns, tasks <= DIRECT)
+        g, n = (np.zeros((n_features, len(counted) * width), np.int64) for _ in range(2))
         if tasks <= DIRECT:
             for r in rows.mapInArrow(task, "g binary, n binary").toArrow().to_pylist():
                 g += np.frombuffer(r["g"], np.int64).reshape(g.shape)
@@ -269,13 +309,15 @@ def grow(rows: DataFrame, tasks: int, since: list[Tree], index: int, p: dict, ed
             found = rows.mapInArrow(task, "feature int, slot int, g long, n long").groupBy("feature", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
             at = found.column("feature").to_numpy(), found.column("slot").to_numpy()
             g[at], n[at] = found.column("g").to_numpy(), found.column("n").to_numpy()
-        g = g / 2.0**bits
+        above, sums = sums, {i: (g[:, k * width:(k + 1) * width], n[:, k * width:(k + 1) * width]) for k, i in enumerate(counted)}
+        for i in counted if level else []:
+            sums[i - 1 if i % 2 == 0 else i + 1] = tuple(whole - part for whole, part in zip(above[(i - 1) // 2], sums[i], strict=True))
         if level == 0:
-            stats[0] = float(g[0].sum()), int(n[0].sum())
+            any_column = int(columns.argmax())
+            stats[0] = float(g[any_column].sum() / 2.0**bits), int(n[any_column].sum())
         following = []
         for i in open_nodes:
-            own = slice((i - 2**level + 1) * width, (i - 2**level + 2) * width)
-            split = best_split(g[:, own], n[:, own], p, columns)
+            split = best_split(sums[i][0] / 2.0**bits, sums[i][1], p, columns)
             if split is None:
                 continue
             tree.gain[i], f, cut, tree.missing_left[i], gl, hl = split
@@ -318,15 +360,19 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: dict, rou
     spark = train.sparkSession
     if raw.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         raw = raw.repartition(spark.sparkContext.defaultParallelism)
-    rows = materialize(raw.mapInArrow(_bin_pass(names, edges, model), ROWS), "binned")
+    rows = materialize(raw.mapInArrow(_bin_pass(names, edges, model, p), ROWS), "binned", compression="zstd")
     trees, curve, done, best = list(model.trees), [], len(model.trees), (math.inf, -1)
     first = done
     while done - first < rounds:
-        tasks = rows.rdd.getNumPartitions()
         since: list[Tree] = []
-        while len(since) < min(STORE, rounds - (done - first)):
-            since.append(grow(rows, tasks, since, done + len(since), p, edges, bits))
-        rows = materialize(rows.select(*[c.split()[0] for c in ROWS.split(", ")]).mapInArrow(_advance_pass(since, len(names)), ROWS + ", errors array<double>"), "boosted")
+        live = rows.filter("side = 0").select(*LIVE).persist()             # read by up to STORE x depth passes; a lost copy is read again from the files
+        try:
+            tasks = live.rdd.getNumPartitions()
+            while len(since) < min(STORE, rounds - (done - first)):
+                since.append(grow(live, tasks, since, done + len(since), p, edges, bits))
+        finally:
+            live.unpersist()
+        rows = materialize(rows.select(*[c.split()[0] for c in ROWS.split(", ")]).mapInArrow(_advance_pass(since, len(names), p, done + len(since)), ROWS + ", errors array<double>"), "boosted", compression="zstd")
         sums = {r["side"]: r for r in rows.groupBy("side").agg(F.sum("n").alias("n"), *[F.sum(F.col("errors")[i]).alias(f"e{i}") for i in range(len(since))]).collect()}
         for i in range(len(since)):
             rmse = [math.sqrt(sums[s][f"e{i}"] / sums[s]["n"]) if s in sums else None for s in (0, 1)]

@@ -73,14 +73,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, **options):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts lineage (a lost executor re-reads files instead of recomputing
-    the join), and later scans get column pruning and filter pushdown."""
+    the join), and later scans get column pruning and filter pushdown.
+    ``options`` are the writer's."""
     import uuid
     spark = df.sparkSession
     path = shared_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.options(**options).mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

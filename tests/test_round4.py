@@ -34,6 +34,38 @@ def test_only_facts_travel_to_the_baseline(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_siblings_are_counted_once(spark, monkeypatch):
+    """Of two siblings the one with fewer rows is counted, over the tree's columns only."""
+    seen, kept = [], O._histogram_pass
+
+    def watched(trees, now, counted, width, bits, columns, packed):
+        seen.append((list(counted), int(columns.sum())))
+        return kept(trees, now, counted, width, bits, columns, packed)
+    monkeypatch.setattr(O, "_histogram_pass", watched)
+    df = spark.createDataFrame([(i, float(i % 10), float(i % 7), float(i % 3), float((i % 10 > 7) * 9 + i % 7)) for i in range(200)], "record_id long, a double, b double, c double, y double")
+    p = {"max_depth": 3, "learning_rate": 0.5, "subsample": 1.0, "colsample_bytree": 0.7, "min_child_weight": 1, "reg_lambda": 1.0, "seed": 1}
+    model, _ = O.fit(df, ["a", "b", "c"], "y", p, 1, id_col="record_id")
+    t = model.trees[0]
+    assert len(seen) == 3 and seen[0] == ([0], 2) and all(n == 2 for _, n in seen)
+    for counted, _ in seen[1:]:
+        for i in counted:
+            other = i - 1 if i % 2 == 0 else i + 1
+            assert other not in counted and t.cover[i] <= t.cover[other]
+    rows = df.toPandas()
+    x = rows[["a", "b", "c"]].to_numpy()
+    where = np.zeros(len(x), int)
+    for _ in range(3):
+        where = np.where(t.feature[where] < 0, where, 2 * where + 2 - (x[np.arange(len(x)), np.maximum(t.feature[where], 0)] <= t.threshold[where]))
+    for i in np.unique(where):
+        assert t.cover[i] == (where == i).sum()
+        assert abs(t.value[i] + 0.5 * (model.base - rows["y"])[where == i].sum() / ((where == i).sum() + 1)) < 1e-5
+
+
+def test_labels_that_are_no_floats_stay_doubles():
+    whole, fine = np.array([1.0, 2.0]), np.array([0.1, 2.0])
+    assert len(O._short(whole)) == 8 and np.array_equal(np.frombuffer(O._short(fine)), fine)
+
+
 def test_folder_writers_deal_their_rows_out(spark, monkeypatch):
     seen, kept = [], K._dealt
     monkeypatch.setattr(K, "_dealt", lambda df, *folders: seen.append(kept(df, *folders)) or seen[-1])
