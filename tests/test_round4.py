@@ -76,3 +76,11 @@ def test_folder_writers_deal_their_rows_out(spark, monkeypatch):
     want = sorted(map(repr, K.contract_select(rows).collect()))
     for name in ("features", "splits"):
         assert sorted(map(repr, K.contract_select(spark.read.parquet(f"{path}/{name}")).collect())) == want
+
+
+def test_registered_tables_read_compressed_files(spark):
+    from retailcast.plans.catalog import QUERIES
+    found = QUERIES["source_table_or_query"][0](spark, SF0001)
+    assert all(f.endswith(".csv.gz") for f in found.inputFiles())
+    want = retail_daily(spark, SF0001).groupBy("store_id", "day_of_week").agg(F.sum("units_sold").alias("units"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
