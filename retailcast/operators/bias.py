@@ -258,8 +258,9 @@ def flip_test(scored: DataFrame, features: list[str], facet: str = "is_weekend",
     without rows on either side. Rows with a NULL facet, prediction or id take no part.
     """
     from retailcast.operators.knn import knn_join, scaled_features
+    from retailcast.session import materialize
     rows = scaled_features(scored.filter(F.col(facet).isNotNull() & F.col(yhat).isNotNull() & F.col(id_col).isNotNull()), [c for c in features if c != facet], id_col)
-    rows = rows.select(F.col(id_col).cast("long").alias(id_col), (F.col(facet) == F.lit(facet_value)).alias("_d"), F.col(yhat).cast("int").alias("_p"), "x")
+    rows = materialize(rows.select(F.col(id_col).cast("long").alias(id_col), (F.col(facet) == F.lit(facet_value)).alias("_d"), F.col(yhat).cast("int").alias("_p"), "x"), "flip_rows")
     near, _ = knn_join(rows.filter("_d"), rows.filter("NOT _d"), k, id_col)
     return flips(rows.select(id_col, "_p"), near, id_col)
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +45,24 @@ def test_equals_brute_force(spark, monkeypatch, k):
         assert work["pairs"] < work["all_pairs"] / 2
 
 
+def plane(seed, n, first=0):
+    rng = random.Random(seed)
+    return [(first + i, [float(rng.randrange(1000)), float(rng.randrange(1000))]) for i in range(n)]
+
+
+def test_pairs_of_a_query_stay_the_same_over_more_candidates(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CHUNK", 64)
+    queries = plane(1, 60)
+    few, many = (joined(spark, queries, plane(2, n), 3)[1] for n in (1_000, 16_000))
+    assert many["pairs"] < 2 * few["pairs"]
+
+
+def test_ties_under_a_leaf_of_equal_points(spark):
+    same = [(1000 - i, [3.0, 4.0]) for i in range(300)] + plane(3, 200, 2000)
+    queries = [(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, [900.0, 900.0])]
+    assert joined(spark, queries, same, 4)[0] == brute(queries, same, 4)
+
+
 def test_few_rows_and_none(spark):
     one = [(1, [1.0, 2.0])]
     assert joined(spark, one, [(7, [1.0, 2.0]), (3, [1.0, 2.0])], 5)[0] == [(1, 1, 3, 0.0), (1, 2, 7, 0.0)]
@@ -75,3 +94,13 @@ def test_scaling(spark):
     df = spark.createDataFrame([(1, 2.0, 5, None), (2, 4.0, 5, 1.0), (3, 3.0, 5, 3.0)], "record_id long, a double, b int, c double")
     got = {r["record_id"]: r["x"] for r in knn.scaled_features(df, ["a", "b", "c"], "record_id", 10).select("record_id", "x").orderBy(F.col("record_id")).collect()}
     assert got == {1: [0.0, 0.0, 0.0], 2: [10.0, 0.0, 0.0], 3: [5.0, 0.0, 10.0]}
+
+
+def test_tree_of_few_values():
+    """Cuts between distinct values: every point lies in one leaf and its box, no leaf is empty."""
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.integers(0, 2, 500) * 1000.0, (rng.random(500) < 0.01) * 1000.0, rng.integers(0, 30, 500) * 1.0], axis=1)
+    tree = knn.Tree(x, 10)
+    own = tree.place(x)
+    assert sorted(np.concatenate(tree.rows)) == list(range(500)) and all((own[r] == i).all() and len(r) for i, r in enumerate(tree.rows))
+    assert all(len(r) <= 10 or (x[r] == x[r[0]]).all() for r in tree.rows)
