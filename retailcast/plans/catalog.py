@@ -777,7 +777,7 @@ def _(spark, sf):
          CAST(row_number() OVER (PARTITION BY d.record_id ORDER BY list_sum(list_transform(range(1, {len(FT_FEATURES)} + 1), lambda i: (d.x[i] - a.x[i]) * (d.x[i] - a.x[i]))), a.record_id) AS INTEGER) AS rank
        FROM fx d JOIN fx a ON d.is_weekend = 1 AND a.is_weekend <> 1 QUALIFY rank <= 5""", extra=FT_SQL)
 def _(spark, sf):
-    rows = KN.scaled_features(_binned(spark, sf), FT_FEATURES, "record_id")
+    rows = materialize(KN.scaled_features(_binned(spark, sf), FT_FEATURES, "record_id").select("record_id", "is_weekend", "x"), "flip_rows")
     return KN.knn_join(rows.filter("is_weekend = 1"), rows.filter("is_weekend <> 1"), 5)[0]
 
 

@@ -1,6 +1,7 @@
 """The exact neighbour join against brute force, and a hand-worked flip test."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -63,6 +64,14 @@ def test_ties_under_a_leaf_of_equal_points(spark):
     assert joined(spark, queries, same, 4)[0] == brute(queries, same, 4)
 
 
+def test_partitions_grow_with_the_shipped_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "ROWS", 20, raising=False)
+    rows = spark.createDataFrame(plane(4, 2_000), SCHEMA)
+    found, _ = knn.knn_join(rows.filter("record_id < 500"), rows, 3)
+    parts = {int(n) for n in re.findall(r"hashpartitioning\(cell#\d+, chunk#\d+, block#\d+, (\d+)\)", found._jdf.queryExecution().toString())}
+    assert parts and min(parts) >= 2_000 // 20 // 2
+
+
 def test_few_rows_and_none(spark):
     one = [(1, [1.0, 2.0])]
     assert joined(spark, one, [(7, [1.0, 2.0]), (3, [1.0, 2.0])], 5)[0] == [(1, 1, 3, 0.0), (1, 2, 7, 0.0)]
