@@ -13,6 +13,9 @@ are partitioned. Split gain and leaf value carry the L2 term:
 
     gain = GL^2 / (HL + L2) + GR^2 / (HR + L2) - G^2 / (H + L2),  value = -rate * G / (H + L2)
 
+A fit of more than STORE rounds runs as one job: its tasks run at once, keep their rows in a file, and add
+their histograms up through the shared folder. Short fits and clusters where that can't be go pass by pass.
+
 Rows and columns are sampled per tree; a missing value goes to the side that gains more.
 Trees are only ever appended: a fit can be continued, and early stopping keeps a prefix.
 """
@@ -21,15 +24,22 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator, Sequence
+import os
+import pickle
+import re
+import tempfile
+import time
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailcast.session import materialize
+from retailcast.session import materialize, shared_path
 
 #: Rounds after which predictions are stored and the curve is extended.
 STORE = 5
@@ -288,27 +298,23 @@ def best_split(g: np.ndarray, n: np.ndarray, p: dict, columns: np.ndarray) -> tu
     return best
 
 
-def grow(rows: DataFrame, tasks: int, since: list[Tree], index: int, p: dict, edges: list[list[float]], bits: int) -> Tree:
-    """The next tree: one histogram pass a level over the blocks ``rows``, stored with the last tree before ``since``."""
-    n_features = len(edges)
-    width = max(len(e) for e in edges) + 2
+def drawn(index: int, p: dict, n_features: int) -> np.ndarray:
+    """Which columns the tree ``index`` learns from."""
     rng = np.random.default_rng([p["seed"], index])
     columns = np.zeros(n_features, bool)
     columns[rng.choice(n_features, max(1, int(n_features * p["colsample_bytree"])), replace=False)] = True
+    return columns
+
+
+def grow(count: Callable[[Tree, list[int], np.ndarray], tuple[np.ndarray, np.ndarray]], index: int, p: dict, edges: list[list[float]], bits: int) -> Tree:
+    """The next tree: one histogram pass a level; ``count`` gives gradient sums and row counts by feature, node and bin."""
+    width = max(len(e) for e in edges) + 2
+    columns = drawn(index, p, len(edges))
     tree, stats = Tree(p["max_depth"]), {}
     open_nodes, sums = [0], {}
     for level in range(p["max_depth"]):
         counted = open_nodes if level == 0 else [min(pair, key=lambda i: stats[i][1]) for pair in zip(open_nodes[::2], open_nodes[1::2], strict=True)]
-        task = _histogram_pass(since, tree, counted, width, bits, columns, tasks <= DIRECT)
-        g, n = (np.zeros((n_features, len(counted) * width), np.int64) for _ in range(2))
-        if tasks <= DIRECT:
-            for r in rows.mapInArrow(task, "g binary, n binary").toArrow().to_pylist():
-                g += np.frombuffer(r["g"], np.int64).reshape(g.shape)
-                n += np.frombuffer(r["n"], np.int64).reshape(n.shape)
-        else:
-            found = rows.mapInArrow(task, "feature int, slot int, g long, n long").groupBy("feature", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
-            at = found.column("feature").to_numpy(), found.column("slot").to_numpy()
-            g[at], n[at] = found.column("g").to_numpy(), found.column("n").to_numpy()
+        g, n = count(tree, counted, columns)
         above, sums = sums, {i: (g[:, k * width:(k + 1) * width], n[:, k * width:(k + 1) * width]) for k, i in enumerate(counted)}
         for i in counted if level else []:
             sums[i - 1 if i % 2 == 0 else i + 1] = tuple(whole - part for whole, part in zip(above[(i - 1) // 2], sums[i], strict=True))
@@ -332,6 +338,254 @@ def grow(rows: DataFrame, tasks: int, since: list[Tree], index: int, p: dict, ed
     return tree
 
 
+
+def _passes(rows: DataFrame, tasks: int, since: list[Tree], edges: list[list[float]], bits: int):
+    """``count`` of ``grow`` as one Spark pass over the blocks ``rows``, stored with the last tree before ``since``."""
+    n_features, width = len(edges), max(len(e) for e in edges) + 2
+
+    def count(tree: Tree, counted: list[int], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        task = _histogram_pass(since, tree, counted, width, bits, columns, tasks <= DIRECT)
+        g, n = (np.zeros((n_features, len(counted) * width), np.int64) for _ in range(2))
+        if tasks <= DIRECT:
+            for r in rows.mapInArrow(task, "g binary, n binary").toArrow().to_pylist():
+                g += np.frombuffer(r["g"], np.int64).reshape(g.shape)
+                n += np.frombuffer(r["n"], np.int64).reshape(n.shape)
+        else:
+            found = rows.mapInArrow(task, "feature int, slot int, g long, n long").groupBy("feature", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
+            at = found.column("feature").to_numpy(), found.column("slot").to_numpy()
+            g[at], n[at] = found.column("g").to_numpy(), found.column("n").to_numpy()
+        return g, n
+    return count
+
+
+# -- long fits: all tasks at once, each keeping its rows -------------------------
+
+def bundles(sizes: Sequence[int]) -> list[list[int]]:
+    """Features grouped so that the codes of a group, one for each combination of its bins, fit a byte."""
+    out: list[list[int]] = []
+    for f in sorted(range(len(sizes)), key=lambda f: (-sizes[f], f)):
+        home = next((g for g in out if math.prod(sizes[i] for i in g) * sizes[f] <= 256), None)
+        if home is None:
+            out.append(home := [])
+        home.append(f)
+    return out
+
+
+class _Spool:
+    """Arrays in a file without a name: a task's memory doesn't grow with its rows, and the system's file cache keeps what fits."""
+
+    def __init__(self):
+        self.file, self.end = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None), 0
+
+    def put(self, a: np.ndarray, at: int | None = None) -> int:
+        at = self.end if at is None else at
+        self.file.seek(at)
+        self.file.write(np.ascontiguousarray(a).reshape(-1).view(np.uint8))
+        self.end = max(self.end, at + a.nbytes)
+        return at
+
+    def get(self, at: int, n: int, kind) -> np.ndarray:
+        self.file.seek(at)
+        return np.frombuffer(self.file.read(n * np.dtype(kind).itemsize), kind)
+
+
+class _Board:
+    """Sums over a gang's tasks, as files of a folder that all of them see: task 0 adds up and writes the
+    total. Spark's own all-gather takes a second a call. A file is deleted when all its readers have gone on."""
+
+    def __init__(self, folder: str, me: int, tasks: int):
+        self.folder, self.me, self.tasks, self.step = folder, me, tasks, 0
+        os.makedirs(folder, exist_ok=True)
+
+    def _path(self, step: int, name: object) -> str:
+        return f"{self.folder}/{step}-{name}"
+
+    def _put(self, path: str, what: object) -> None:
+        with open(f"{path}.part", "wb") as f:
+            pickle.dump(what, f, pickle.HIGHEST_PROTOCOL)
+        os.rename(f"{path}.part", path)
+
+    def _get(self, path: str) -> object:
+        wait = 0.0005
+        while not os.path.exists(path):                                          # if a task fails, Spark ends all of them
+            time.sleep(wait)
+            wait = min(1.2 * wait, 0.02)
+        with open(path, "rb") as f:
+            return pickle.load(f)
+
+    def total(self, mine: tuple) -> tuple:
+        """The sums of the tasks' values (arrays, lists or numbers) by place; every task gets the same."""
+        step, self.step = self.step, self.step + 1
+        if self.me:
+            self._put(self._path(step, self.me), mine)
+            found = self._get(self._path(step, "total"))
+            os.remove(self._path(step, self.me))
+            return found
+        for i in range(1, self.tasks):
+            mine = tuple(a + b for a, b in zip(mine, self._get(self._path(step, i)), strict=True))
+        self._put(self._path(step, "total"), mine)
+        if step:
+            os.remove(self._path(step - 1, "total"))                             # whoever sent this step has read it
+        return mine
+
+
+class _Gang:
+    """One task's share of a fit: its blocks, their predictions and the node that each row has reached."""
+
+    def __init__(self, edges: list[list[float]], p: dict, bits: int, total: Callable[[tuple], tuple]):
+        self.edges, self.p, self.bits, self.total = edges, p, bits, total
+        self.sizes = [len(e) + 2 for e in edges]                                 # the last code of a feature is its missing value
+        self.width = max(self.sizes)
+        self.groups = bundles(self.sizes)
+        self.bin_of: dict[int, tuple[int, np.ndarray]] = {}                      # feature -> its group and its bin by the group's code
+        self.stride = {}
+        for k, g in enumerate(self.groups):
+            stride = 1
+            for f in g:
+                self.stride[f], self.bin_of[f] = stride, (k, np.arange(256) // stride % self.sizes[f])
+                stride *= self.sizes[f]
+        self.spool, self.blocks = _Spool(), []
+        self.node_type = np.min_scalar_type(2 ** (p["max_depth"] + 1))
+
+    def add(self, side: int, key: np.ndarray, y: np.ndarray, bins: np.ndarray, pred: np.ndarray) -> None:
+        codes = np.zeros((len(self.groups), len(key)), np.uint8)
+        for f, size in enumerate(self.sizes):
+            step = np.minimum(np.arange(256), size - 1) * self.stride[f]   # the bin of a missing value is MISSING
+            codes[self.bin_of[f][0]] += step.astype(np.uint8).take(bins[f])
+        at = {"codes": self.spool.put(codes), "pred": self.spool.put(pred), "y": self.spool.put(y)}
+        if side == 0:
+            at |= {"key": self.spool.put(key), "node": self.spool.put(np.zeros(len(key), self.node_type)), "took": self.spool.put(np.zeros(len(key), bool))}
+        self.blocks.append((side, len(key), y.dtype, at))
+
+    def _codes(self, n: int, at: dict) -> np.ndarray:
+        return self.spool.get(at["codes"], n * len(self.groups), np.uint8)
+
+    def _steps(self, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+        """(node, code) -> the next node, and the group that each node looks at; leaves stay."""
+        to, group = np.repeat(np.arange(len(tree.feature))[:, None], 256, axis=1), np.zeros(len(tree.feature), np.int64)
+        for i in np.flatnonzero(tree.feature >= 0):
+            group[i], value = self.bin_of[tree.feature[i]]
+            left = np.where(value == self.sizes[tree.feature[i]] - 1, tree.missing_left[i], value <= tree.cut[i])
+            to[i] = 2 * i + 2 - left
+        return to.reshape(-1), group
+
+    @staticmethod
+    def _step(codes: np.ndarray, node: np.ndarray, n: int, to: np.ndarray, group: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return to.take(node * 256 + codes.take((group * n).take(node) + rows))
+
+    def _marginal(self, k: int, sums: np.ndarray, out: np.ndarray, columns: np.ndarray) -> None:
+        """Sums by (node, code) of the group ``k`` as sums by node and bin of each of its ``columns``."""
+        shape = [self.sizes[f] for f in self.groups[k]][::-1]                    # the first feature changes fastest
+        sums = sums[:, :math.prod(shape)].reshape(-1, *shape)
+        for j, f in enumerate(self.groups[k]):
+            if columns[f]:
+                own = len(shape) - j
+                by_bin = sums.sum(axis=tuple(a for a in range(1, len(shape) + 1) if a != own))
+                out[f, :, :self.sizes[f] - 1], out[f, :, -1] = by_bin[:, :-1], by_bin[:, -1]
+
+    def _count(self, tree: Tree | None, counted: list[int], columns: np.ndarray, before: Tree | None, index: int, first: bool) -> tuple[np.ndarray, np.ndarray, list]:
+        """This task's sums of a level. The first pass of a tree adds the tree ``before`` to the predictions,
+        gives the squared errors by side and block, and draws the tree's rows; the others take rows one level down."""
+        used = [k for k, g in enumerate(self.groups) if columns[g].any()] if counted else []
+        size, errors = len(counted) * 256, [[], []]
+        g_sum, n_sum = (np.zeros((len(self.groups), size), np.int64) for _ in range(2))
+        if first:
+            place, (to, group) = None, self._steps(before) if before else (None, None)
+        else:
+            place = np.full(len(tree.feature), -1)
+            place[counted] = np.arange(len(counted)) * 256
+            to, group = self._steps(tree)
+        for side, n, kind, at in self.blocks:
+            if side and not (first and before):
+                continue
+            codes, rows = self._codes(n, at), np.arange(n)
+            pred, y = self.spool.get(at["pred"], n, np.float64), self.spool.get(at["y"], n, kind)
+            node = self.spool.get(at["node"], n, self.node_type).astype(np.int64) if side == 0 else np.zeros(n, np.int64)
+            if first:
+                if before:
+                    for _ in range(1 if side == 0 else before.depth):            # rows that learn stand one level above the leaves
+                        node = self._step(codes, node, n, to, group, rows)
+                    pred = pred + before.value.take(node)
+                    self.spool.put(pred, at["pred"])
+                    errors[side].append(float(((pred - y) ** 2).sum()))
+                if side or not counted:
+                    continue
+                took = sampled(self.spool.get(at["key"], n, np.int64), self.p["seed"], index, self.p["subsample"])
+                self.spool.put(took, at["took"])
+                self.spool.put(np.zeros(n, self.node_type), at["node"])
+                own = np.flatnonzero(took)
+                slot = None
+            else:
+                node = self._step(codes, node, n, to, group, rows)
+                self.spool.put(node.astype(self.node_type), at["node"])
+                slot = place.take(node)
+                own = np.flatnonzero((slot >= 0) & self.spool.get(at["took"], n, bool))
+                slot = slot.take(own)
+            g = np.floor((pred.take(own) - y.take(own)) * 2.0**self.bits + 0.5)
+            for k in used:
+                i = codes[k * n:(k + 1) * n].take(own)
+                i = i.astype(np.int64) if slot is None else slot + i
+                g_sum[k] += np.bincount(i, weights=g, minlength=size).astype(np.int64)
+                n_sum[k] += np.bincount(i, minlength=size)
+        out = [np.zeros((len(self.sizes), len(counted), self.width), np.int64) for _ in range(2)]
+        for k in used:
+            for sums, o in zip((g_sum, n_sum), out, strict=True):
+                self._marginal(k, sums[k].reshape(len(counted), 256), o, columns)
+        return *out, errors
+
+    def _total(self, g: np.ndarray, n: np.ndarray, errors: list, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+        """The sums of all tasks; every task gets the same."""
+        own = np.zeros((len(self.sizes), self.width), bool)
+        for f in np.flatnonzero(columns):
+            own[f, :self.sizes[f] - 1] = own[f, -1] = True
+        g_all, n_all, *errors = self.total((g.transpose(1, 0, 2)[:, own], n.transpose(1, 0, 2)[:, own], *errors))
+        g.transpose(1, 0, 2)[:, own], n.transpose(1, 0, 2)[:, own] = g_all, n_all
+        return g.reshape(len(self.sizes), -1), n.reshape(len(self.sizes), -1), errors
+
+    def fit(self, first: int, rounds: int, patience: int | None) -> tuple[list[Tree], list[tuple]]:
+        """(new trees, curve); every task comes to the same."""
+        rows = self.total(tuple(sum(n for side, n, *_ in self.blocks if side == s) for s in (0, 1)))
+        trees, curve = [], []
+        while True:
+            index, more, before = first + len(trees), len(trees) < rounds, trees[-1] if trees else None
+            columns = drawn(index, self.p, len(self.sizes)) if more else np.zeros(len(self.sizes), bool)
+            *root, errors = self._total(*self._count(None, [0] if more else [], columns, before, index, True), columns)
+            if before:
+                curve.append((index - 1, *[math.sqrt(math.fsum(errors[s]) / rows[s]) if rows[s] else None for s in (0, 1)]))
+            if not more or patience is not None and curve and rows[1] and index - 1 - min((v, r) for r, _, v in curve)[1] >= patience:
+                return trees, curve
+
+            def count(tree: Tree, counted: list[int], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                return tuple(root) if counted == [0] else self._total(*self._count(tree, counted, columns, None, index, False), columns)[:2]
+            trees.append(grow(count, index, self.p, self.edges, self.bits))
+
+
+def _gang_pass(folder: str, edges: list[list[float]], p: dict, bits: int, first: int, rounds: int, patience: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        attempts = context.allGather(uuid.uuid4().hex[:12])                       # a repeated attempt gets a folder of its own
+        board = _Board(f"{folder}/{attempts[0]}", context.partitionId(), len(attempts))
+        gang = _Gang(edges, p, bits, board.total)
+        for batch in batches:
+            for side, (block, bins, _, y, pred) in zip(batch.column("side").to_pylist(), _blocks([batch], len(edges)), strict=True):
+                gang.add(side, np.frombuffer(block.column("key")[0].as_buffer(), np.int64), y, bins, pred)
+        found = gang.fit(first, rounds, patience)
+        if context.partitionId() == 0:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], ["found"])
+    return run
+
+
+def gang_size(spark: SparkSession, folder: str) -> int:
+    """Tasks that can run at once, or 0 where a fit has to go pass by pass: tasks that come and go, a shared folder
+    that isn't a path, or so many tasks that adding up their sums in one of them would cost more than the passes."""
+    sc = spark.sparkContext
+    if sc.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true" or not folder.startswith("/"):
+        return 0
+    scheduler = sc._jsc.sc()
+    n = scheduler.maxNumConcurrentTasks(scheduler.resourceProfileManager().defaultResourceProfile())
+    return n if n <= DIRECT else 0
+
+
 def gradient_bits(n: int, spread: float) -> int:
     """Fraction bits of a gradient, so that the sum of ``n`` of them fits a long and a task's sum a double."""
     return max(0, min(20, int(50 - math.log2(max(n, 1)) / 2 - math.log2(max(spread, 1))), int(61 - math.log2(max(n, 1)) - math.log2(max(spread, 1)))))
@@ -362,14 +616,21 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: dict, rou
         raw = raw.repartition(spark.sparkContext.defaultParallelism)
     rows = materialize(raw.mapInArrow(_bin_pass(names, edges, model, p), ROWS), "binned", compression="zstd")
     trees, curve, done, best = list(model.trees), [], len(model.trees), (math.inf, -1)
-    first = done
+    first, folder = done, re.sub("^file:/+", "/", shared_path(spark, f"gangs/{uuid.uuid4().hex[:12]}"))
+    tasks = gang_size(spark, folder) if rounds > STORE else 0
+    if tasks:
+        found = rows.repartition(tasks).mapInArrow(_gang_pass(folder, edges, p, bits, first, rounds, patience), "found binary", barrier=True).collect()
+        new, curve = pickle.loads(found[0]["found"])
+        trees, done = trees + new, first + rounds
+        if patience is not None and curve and curve[-1][2] is not None:
+            best = min((v, r) for r, _, v in curve)
     while done - first < rounds:
         since: list[Tree] = []
         live = rows.filter("side = 0").select(*LIVE).persist()             # read by up to STORE x depth passes; a lost copy is read again from the files
         try:
             tasks = live.rdd.getNumPartitions()
             while len(since) < min(STORE, rounds - (done - first)):
-                since.append(grow(live, tasks, since, done + len(since), p, edges, bits))
+                since.append(grow(_passes(live, tasks, since, edges, bits), done + len(since), p, edges, bits))
         finally:
             live.unpersist()
         rows = materialize(rows.select(*[c.split()[0] for c in ROWS.split(", ")]).mapInArrow(_advance_pass(since, len(names), p, done + len(since)), ROWS + ", errors array<double>"), "boosted", compression="zstd")
