@@ -98,7 +98,8 @@ def save_model(model: Booster, path: str) -> str:
 def batch_score(model_path: str, df: DataFrame, features=FEATURE_ORDER, out: str = "prediction") -> DataFrame:
     """M6: load the stored model and score a table (input columns + prediction)."""
     require_columns(df, features)
-    return boosting.score(df.sparkSession, model_path, df, out)
+    score = boosting.score if df.isStreaming else boosting.score_table
+    return score(df.sparkSession, model_path, df, out)
 
 
 def tree_table(spark: SparkSession, model_path: str) -> DataFrame:

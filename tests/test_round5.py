@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from retailcast.operators import boosting as O
+from retailcast.operators import model as M
 from retailcast.session import shared_path
 
 P = {"max_depth": 4, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.7, "min_child_weight": 1, "reg_lambda": 1.0, "seed": 1}
@@ -76,3 +77,17 @@ def test_tasks_add_up_through_a_folder(spark):
             a, b, n = found[me][k]
             assert a.tolist() == [3, 3 * k] and sorted(b) == [0.0, 1.0, 2.0] and n == 3
     assert len(os.listdir(folder)) == 1                           # the last total; what all have read is deleted
+
+
+def test_batches_are_scored_by_table_with_the_same_numbers(spark):
+    df = rows(spark, 600)
+    model, _ = O.fit(df, NAMES, "y", P, 4, id_col="record_id")
+    path = O.save(model, spark, shared_path(spark, "test-models/round5"))
+    more = df.unionByName(df.limit(2).withColumn("a", F.lit(float("inf"))).withColumn("b", F.lit(float("-inf"))))
+    found = M.batch_score(path, more, NAMES)
+    assert found.columns == [*more.columns, "prediction"] and "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    got = found.toPandas()
+    assert len(got) == 602 and np.array_equal(got["prediction"], model.predict(got[NAMES].to_numpy(dtype=float)))
+    assert np.array_equal(got["prediction"], O.score(spark, path, more).toPandas()["prediction"])
+    none = O.save(O.Booster(NAMES, dict(P), 3.5, []), spark, shared_path(spark, "test-models/round5-none"))
+    assert [r["prediction"] for r in M.batch_score(none, df.limit(2), NAMES).collect()] == [3.5, 3.5]
