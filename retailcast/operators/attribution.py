@@ -58,6 +58,53 @@ def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, bool, flo
     return out
 
 
+#: Most features of a path whose shares are tabulated.
+TABLED = 8
+
+
+def path_shares(zs: np.ndarray, os_: np.ndarray, value: float) -> list[np.ndarray]:
+    """Contribution of each feature of a leaf's path, from its zero fractions ``zs`` and one fractions ``os_``
+    (element by row; element 0 is the root's dummy)."""
+    d, n = len(zs) - 1, os_.shape[1]                                         # path elements after the dummy: 1..d
+    pw, out = np.zeros((d + 1, n)), []
+    pw[0] = 1.0
+    for u in range(1, d + 1):                                                # EXTEND with element u
+        for i in range(u - 1, -1, -1):
+            pw[i + 1] += os_[u] * pw[i] * (i + 1) / (u + 1)
+            pw[i] = zs[u] * pw[i] * (u - i) / (u + 1)
+    for k in range(1, d + 1):                                                # UNWOUND SUM of element k
+        one, zero = os_[k], zs[k]
+        nxt = pw[d].copy()
+        total = np.zeros(n)
+        safe_one = np.where(one != 0, one, 1.0)
+        for i in range(d - 1, -1, -1):
+            tmp = nxt * (d + 1) / ((i + 1) * safe_one)
+            t_one = tmp
+            t_zero = pw[i] / (zero * (d - i) / (d + 1))
+            total += np.where(one != 0, t_one, t_zero)
+            nxt = np.where(one != 0, pw[i] - tmp * zero * (d - i) / (d + 1), nxt)
+        out.append(total * (one - zero) * value)
+    return out
+
+
+def leaf_shares(tree: dict) -> list[tuple[float, dict[int, list], np.ndarray, list[np.ndarray] | None]]:
+    """Per leaf: value, conditions by feature, zero fractions, and each feature's contribution for every combination of
+    conditions met (bit k: those of the k-th feature); kept with the tree, as it doesn't depend on rows."""
+    if "shares" not in tree:
+        out = []
+        for value, path in leaf_paths(tree):
+            feats: dict[int, list] = {}
+            z: dict[int, float] = {}
+            for f, ratio, is_left, t, missing_left in path:
+                z[f] = z.get(f, 1.0) * ratio
+                feats.setdefault(f, []).append((t, missing_left, is_left))
+            d, zs = len(feats), np.array([1.0, *z.values()])
+            met = np.vstack([np.ones(2**d), *((np.arange(2**d) >> k & 1).astype(np.float64) for k in range(d))]) if d <= TABLED else None
+            out.append((value, feats, zs, None if met is None else path_shares(zs, met, value)))
+        tree["shares"] = out
+    return tree["shares"]
+
+
 def tree_shap_batch(X: np.ndarray, tree: dict, phi: np.ndarray) -> None:
     """Vectorized path-dependent tree Shapley values for all rows of X.
 
@@ -65,36 +112,30 @@ def tree_shap_batch(X: np.ndarray, tree: dict, phi: np.ndarray) -> None:
     of cover ratios along their splits) and a per-row one fraction (1 when the
     row satisfies all of that feature's conditions on the path). Extending the
     path polynomial is order-independent, so each leaf's contribution is the
-    same as in the recursive algorithm, computed for all rows at once."""
-    n = X.shape[0]
-    for value, path in leaf_paths(tree):
-        feats: dict[int, list] = {}
-        for f, ratio, is_left, t, missing_left in path:
-            z, o = feats.get(f, (1.0, np.ones(n)))
-            cond = went_left(X[:, f], t, missing_left) == is_left
-            feats[f] = (z * ratio, o * cond)
-        items = list(feats.items())
-        d = len(items)                       # path elements after the root dummy: 1..d
-        zs = np.array([1.0] + [z for _, (z, _) in items])
-        os_ = np.vstack([np.ones(n)] + [o for _, (_, o) in items])          # (d+1, n)
-        pw = np.zeros((d + 1, n))
-        pw[0] = 1.0
-        for u in range(1, d + 1):                                            # EXTEND with element u
-            for i in range(u - 1, -1, -1):
-                pw[i + 1] += os_[u] * pw[i] * (i + 1) / (u + 1)
-                pw[i] = zs[u] * pw[i] * (u - i) / (u + 1)
-        for k in range(1, d + 1):                                            # UNWOUND SUM of element k
-            one, zero = os_[k], zs[k]
-            nxt = pw[d].copy()
-            total = np.zeros(n)
-            safe_one = np.where(one != 0, one, 1.0)
-            for i in range(d - 1, -1, -1):
-                tmp = nxt * (d + 1) / ((i + 1) * safe_one)
-                t_one = tmp
-                t_zero = pw[i] / (zero * (d - i) / (d + 1))
-                total += np.where(one != 0, t_one, t_zero)
-                nxt = np.where(one != 0, pw[i] - tmp * zero * (d - i) / (d + 1), nxt)
-            phi[:, items[k - 1][0]] += total * (one - zero) * value
+    same as in the recursive algorithm. It depends on a row only by which features'
+    conditions are met, so it is worked out once for each combination and looked up."""
+    n, own = X.shape[0], np.zeros(phi.shape[::-1])
+    went: dict[tuple, np.ndarray] = {}
+    for value, feats, zs, shares in leaf_shares(tree):
+        met = []
+        for f, conditions in feats.items():
+            every = None
+            for t, missing_left, is_left in conditions:
+                if (f, t, missing_left) not in went:
+                    went[f, t, missing_left] = went_left(X[:, f], t, missing_left)
+                this = went[f, t, missing_left] if is_left else ~went[f, t, missing_left]
+                every = this if every is None else every & this
+            met.append(every)
+        if shares is None:
+            by_row = path_shares(zs, np.vstack([np.ones(n), *(m.astype(np.float64) for m in met)]), value)
+        else:
+            which = np.zeros(n, np.uint8)
+            for k, m in enumerate(met):
+                which |= m.view(np.uint8) << np.uint8(k)
+            by_row = [share.take(which) for share in shares]
+        for f, share in zip(feats, by_row, strict=True):
+            own[f] += share
+    phi += own.T
 
 
 def predict_batch(X: np.ndarray, tree: dict) -> np.ndarray:

@@ -1,4 +1,4 @@
-"""Long fits by tasks that keep their rows."""
+"""Long fits by tasks that keep their rows, batch scores in numpy, tabulated Shapley shares."""
 
 import os
 import threading
@@ -6,6 +6,7 @@ import threading
 import numpy as np
 from pyspark.sql import functions as F
 
+from retailcast.operators import attribution as A
 from retailcast.operators import boosting as O
 from retailcast.operators import model as M
 from retailcast.session import shared_path
@@ -91,3 +92,22 @@ def test_batches_are_scored_by_table_with_the_same_numbers(spark):
     assert np.array_equal(got["prediction"], O.score(spark, path, more).toPandas()["prediction"])
     none = O.save(O.Booster(NAMES, dict(P), 3.5, []), spark, shared_path(spark, "test-models/round5-none"))
     assert [r["prediction"] for r in M.batch_score(none, df.limit(2), NAMES).collect()] == [3.5, 3.5]
+
+
+def test_shapley_shares_are_worked_out_once_for_each_leaf(spark, monkeypatch):
+    model, _ = O.fit(rows(spark, 600), NAMES, "y", P, 3, id_col="record_id")
+    trees = A.load_trees(spark, O.save(model, spark, shared_path(spark, "test-models/round5-shap")))
+    x = np.random.default_rng(2).uniform(0, 40, (500, 4))
+    x[::5, 0] = np.nan
+    seen, kept = [], A.path_shares
+    monkeypatch.setattr(A, "path_shares", lambda zs, os_, value: seen.append(os_.shape) or kept(zs, os_, value))
+    found, leaves = [np.zeros(x.shape) for _ in trees], sum(int((t["left"] < 0).sum()) for t in trees)
+    for part in (slice(0, 200), slice(200, 500)):
+        for t, phi in zip(trees, found, strict=True):
+            A.tree_shap_batch(x[part], t, phi[part])
+    assert all(n <= 2 ** (d - 1) for d, n in seen) and len(seen) <= leaves + 2 * len(trees)      # however many rows and batches
+    monkeypatch.setattr(A, "TABLED", -1)
+    for t, phi in zip(trees, found, strict=True):
+        by_row = np.zeros(x.shape)
+        A.tree_shap_batch(x, {k: v for k, v in t.items() if k != "shares"}, by_row)
+        assert np.array_equal(phi, by_row)
